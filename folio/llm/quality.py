@@ -164,13 +164,13 @@ def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     """The same for DuckDB over documents; the statistics are computed from unnested words, the estimates by the same SQL."""
     stats = rf"""
-    WITH w AS (SELECT doc_id, lang, source, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-        list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l, coalesce(text, '') AS t FROM documents),
+    WITH w AS (SELECT doc_id, lang, source, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l, coalesce(text, '') AS t FROM documents),
     g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w)),
     d AS (SELECT DISTINCT doc_id, i + k AS i FROM (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1), range(5) r(k)),
     r AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
     s AS (SELECT w.doc_id AS doc_id, coalesce('=' || lang, '-') AS lang, coalesce('=' || source, '-') AS source, cast(len(w) AS bigint) AS n_words,
-        cast(coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS bigint) AS word_chars, cast(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS bigint) AS n_symbols,
+        cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS bigint) AS word_chars, cast(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS bigint) AS n_symbols,
         cast(len(l) AS bigint) AS n_lines, cast(len(l) - len(list_distinct(l)) AS bigint) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
         FROM w LEFT JOIN r ON w.doc_id = r.doc_id)
     SELECT *, {", ".join(VECTOR)} FROM s"""
