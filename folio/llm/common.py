@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,5 +123,42 @@ def words(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start, end, np.searchsorted(start, begin)
 
 
+def save_array(folder: str, x: np.ndarray) -> str:
+    """Writes x as a new file below folder, a URI that all workers reach; the file's URI. A task that is run again leaves its first file behind unread."""
+    uri = f"{folder}/{uuid.uuid4().hex}.npy"
+    store, path = _store(uri)
+    store.create_dir(path.rpartition("/")[0], recursive=True)
+    held = io.BytesIO()
+    np.lib.format.write_array_header_1_0(held, np.lib.format.header_data_from_array_1_0(x))
+    with store.open_output_stream(path) as to:
+        to.write(held.getvalue())
+        to.write(memoryview(np.ascontiguousarray(x)).cast("B"))
+    return uri
+
+
+def load_array(uri: str) -> np.ndarray:
+    """The array of save_array: memory-mapped where the folder is mounted, read where it is a store's."""
+    if uri in _arrays:
+        return _arrays[uri]
+    store, path = _store(uri)
+    if isinstance(store, fs.LocalFileSystem):
+        x = np.load(path, mmap_mode="r")
+    else:
+        with store.open_input_file(path) as f:
+            x = np.load(io.BytesIO(f.read()))
+        return x
+    if len(_arrays) > 4000:
+        _arrays.clear()
+    _arrays[uri] = x
+    return x
+
+
+_arrays: dict[str, np.ndarray] = {}
+
+
+def _store(uri: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+
+
 def packed(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from . import exact, quality
+from . import exact, packing, pieces, quality, suffixes, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
+    "op2_warc": warc.op2_warc,
+    "op4_packing": packing.op4_packing,
+    "op5_sentencepiece": pieces.op5_sentencepiece,
+    "op6_suffix_dedup": suffixes.op6_suffix_dedup,
     "op10_exact_dedup": exact.op10_exact_dedup,
 }
 ORACLES = {
     "op1_quality_rules": quality.SQL,
+    "op2_warc": warc.SQL,
     "op10_exact_dedup": exact.SQL,
 }
