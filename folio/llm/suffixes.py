@@ -23,10 +23,10 @@ from .common import BACK, flat, load_array, mix, packed, powers, prefix_hash, ru
 
 WINDOW, K = 100, 50
 #: Bits for a place in a piece of text, and so the most bytes of a piece; all pieces must break ties alike.
-PLACE = 22
+PLACE = 20
 PIECE = (1 << PLACE) - 2 * WINDOW
 #: Bytes of text in one batch, whose suffixes are sorted together, and bytes of text whose suffixes one shard holds.
-BATCH, SHARD = 16_000_000, 32_000_000
+BATCH, SHARD = 8_000_000, 16_000_000
 FIELDS = ("g", "v", "d", "p", "n", "multi")
 _NONE = -(1 << 63)
 
@@ -176,21 +176,34 @@ def _unblob(raw: bytes, fields: tuple[str, ...]) -> dict[str, np.ndarray]:
     return out | {"d": keys[out["d"]], "p": out["p"].astype(np.int64)} | ({"n": out["n"].astype(np.int64), "multi": out["multi"] > 0} if "n" in fields else {})
 
 
-_SPANS = pa.schema([("shard", pa.int32()), ("key", pa.int64()), ("hash", pa.int64()), ("data", pa.binary())])
-_DDL = "shard int, key long, hash long, data binary"
+#: Kinds of rows: a batch's part for a shard; a document's spans; the name of a file with a shard's g of several stretches.
+PART, SPANS, FILE = 0, 1, 2
+_ROWS = pa.schema([("kind", pa.int8()), ("shard", pa.int32()), ("key", pa.int64()), ("hash", pa.int64()), ("data", pa.binary())])
+_DDL = "kind byte, shard int, key long, hash long, data binary"
 
 
-def _spans(d: np.ndarray, p: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+def _spans(d: np.ndarray, p: np.ndarray, n: np.ndarray, shards: int = 1) -> pa.RecordBatch:
     """A row per document with its spans (start, end) as 32-bit numbers; d has rows (key, hash)."""
     if not len(d):
-        return pa.RecordBatch.from_arrays([pa.array([], f.type) for f in _SPANS], schema=_SPANS)
+        return packed([], _ROWS)
     by = np.lexsort((p, d[:, 1], d[:, 0]))
     d, p, n = d[by], p[by], n[by]
     first = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]).any(1)])
     ends = np.stack([p, p + n + WINDOW - 1], 1).astype(np.int32)
     offsets = (np.r_[first, len(d)] * 8).astype(np.int32)
     data = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(ends.tobytes())])
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(first), -1, np.int32)), pa.array(d[first, 0]), pa.array(d[first, 1]), data], schema=_SPANS)
+    columns = [np.full(len(first), SPANS, np.int8), (d[first, 1] % shards).astype(np.int32), d[first, 0], d[first, 1]]
+    return pa.RecordBatch.from_arrays([*map(pa.array, columns), data], schema=_ROWS)
+
+
+def _parts(batches):
+    """Of sorted rows, the spans as they are (None, batch), and each part as (shard, bytes)."""
+    for batch in batches:
+        own = batch.column(0).to_numpy() == PART
+        if not own.all():
+            yield None, batch.filter(pa.array(~own))
+        for i in np.flatnonzero(own).tolist():
+            yield batch.column(1)[i].as_py(), batch.column(4)[i].as_py()
 
 
 def _batches(batches):
@@ -223,16 +236,16 @@ def _index(shards: int):
             unique = keys[back]
             first, same, several = own_repeats(r)
             again = ~first & ~same
-            yield _spans(unique[r["d"][again]], r["p"][again], r["n"][again])
+            yield _spans(unique[r["d"][again]], r["p"][again], r["n"][again], shards)
             # one record for each g: its only stretch, or that it has several
             head = np.flatnonzero(first & np.r_[True, r["g"][1:] != r["g"][:-1]]) if len(first) else np.zeros(0, np.int64)
             sent = {f: x[head] for f, x in r.items()} | {"multi": several[head]}
             sent["v"] = np.where(sent["multi"], mix(sent["v"] + sent["d"].astype(np.uint64) + np.uint64(keys[0, 1] & 0xFFFFFFFF)), sent["v"])
             shard = _shard_of(sent["g"], shards)
             at = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
-            rows = [(i, int(keys[0, 0]), int(keys[0, 1]), _blob(unique, {f: sent[f][at[i] : at[i + 1]] for f in FIELDS})) for i in range(shards) if at[i + 1] > at[i]]
+            rows = [(PART, i, int(keys[0, 0]), int(keys[0, 1]), _blob(unique, {f: sent[f][at[i] : at[i + 1]] for f in FIELDS})) for i in range(shards) if at[i + 1] > at[i]]
             if rows:
-                yield packed(rows, _SPANS)
+                yield packed(rows, _ROWS)
 
     return run
 
@@ -247,14 +260,16 @@ def _merge(folder: str):
             for lost in family.lost:
                 yield _spans(*lost)
             if len(g := family.several()):
-                yield packed([(shard, len(g), 0, save_array(folder, g).encode())], _SPANS)
-
-        for batch in batches:
-            for i, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if i != shard:
-                    yield from end()
-                    shard, family = i, Family()
-                family.add(_unblob(raw.as_py(), FIELDS))
+                yield packed([(FILE, shard, len(g), 0, save_array(folder, g).encode())], _ROWS)
+
+        for i, raw in _parts(batches):
+            if i is None:
+                yield raw
+                continue
+            if i != shard:
+                yield from end()
+                shard, family = i, Family()
+            family.add(_unblob(raw, FIELDS))
         yield from end()
 
     return run
@@ -289,7 +304,7 @@ def _windows(shards: int, files: list[tuple[int, str]], index_shards: int):
             r, own = {f: x[by] for f, x in r.items()}, own[by]
             first, same, _ = own_repeats(r)
             again = ~first & ~same
-            yield _spans(unique[r["d"][again]], r["p"][again], r["n"][again])
+            yield _spans(unique[r["d"][again]], r["p"][again], r["n"][again], shards)
             r, own = {f: x[first] for f, x in r.items()}, own[first]
             d, p = np.repeat(r["d"], r["n"]), np.repeat(r["p"], r["n"]) + np.arange(r["n"].sum()) - np.repeat(np.cumsum(r["n"]) - r["n"], r["n"])
             at = begin[np.repeat(own, r["n"])] + p
@@ -307,13 +322,13 @@ def _windows(shards: int, files: list[tuple[int, str]], index_shards: int):
             first = np.r_[True, w[1:] != w[:-1]] if len(w) else np.zeros(0, bool)
             head = np.flatnonzero(first)[np.cumsum(first) - 1] if len(w) else np.zeros(0, np.int64)
             again = (d != d[head]) | (p != p[head])
-            yield _spans(unique[d[again]], p[again], np.ones(again.sum(), np.int64))
+            yield _spans(unique[d[again]], p[again], np.ones(again.sum(), np.int64), shards)
             w, d, p = w[first], d[first], p[first]
             shard = _shard_of(w, shards)
             cut = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
-            rows = [(i, int(keys[0, 0]), int(keys[0, 1]), _blob(unique, {"g": w[cut[i] : cut[i + 1]], "d": d[cut[i] : cut[i + 1]], "p": p[cut[i] : cut[i + 1]]})) for i in range(shards) if cut[i + 1] > cut[i]]
+            rows = [(PART, i, int(keys[0, 0]), int(keys[0, 1]), _blob(unique, {"g": w[cut[i] : cut[i + 1]], "d": d[cut[i] : cut[i + 1]], "p": p[cut[i] : cut[i + 1]]})) for i in range(shards) if cut[i + 1] > cut[i]]
             if rows:
-                yield packed(rows, _SPANS)
+                yield packed(rows, _ROWS)
 
     return run
 
@@ -331,16 +346,18 @@ def _later(batches):
         again = (x["d"] != x["d"][head]).any(1) | (x["p"] != x["p"][head])
         return {f: v[first] for f, v in x.items()}, _spans(x["d"][again], x["p"][again], np.ones(again.sum(), np.int64))
 
-    for batch in batches:
-        for i, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            if i != shard or n > 4_000_000:
-                if held:
-                    kept, spans = reduced()
-                    yield spans
-                    held, n = ([kept], 0) if i == shard else ([], 0)
-                shard = i
-            held.append(_unblob(raw.as_py(), ("g", "d", "p")))
-            n += len(held[-1]["g"])
+    for i, raw in _parts(batches):
+        if i is None:
+            yield raw
+            continue
+        if i != shard or n > 2_000_000:
+            if held:
+                kept, spans = reduced()
+                yield spans
+                held, n = ([kept], 0) if i == shard else ([], 0)
+            shard = i
+        held.append(_unblob(raw, ("g", "d", "p")))
+        n += len(held[-1]["g"])
     if held:
         yield reduced()[1]
 
@@ -372,14 +389,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     files = scratch(spark, "several")
 
     def by_shard(df: DataFrame) -> DataFrame:
-        return df.filter("shard >= 0").repartition(shards, "shard").sortWithinPartitions("shard", "key", "hash").select("shard", "data")
-
-    first = table(narrow.mapInArrow(_index(shards), _DDL), "suffixes")
-    second = table(by_shard(first).mapInArrow(_merge(files), _DDL), "levels")
-    found = [(r.shard, bytes(r.data).decode()) for r in second.filter("shard >= 0").collect()]
-    third = table(narrow.mapInArrow(_windows(shards, found, shards), _DDL), "windows")
-    fourth = by_shard(third).mapInArrow(_later, _DDL)
-    spans = first.filter("shard < 0").unionByName(second.filter("shard < 0")).unionByName(third.filter("shard < 0")).unionByName(fourth.filter("shard < 0"))
+        return df.repartition(shards, "shard").sortWithinPartitions("shard", "kind", "key", "hash")
+
+    levels = table(by_shard(narrow.mapInArrow(_index(shards), _DDL)).mapInArrow(_merge(files), _DDL), "levels")
+    found = [(r.shard, bytes(r.data).decode()) for r in levels.filter(F.col("kind") == FILE).select("shard", "data").collect()]
+    windows = by_shard(narrow.mapInArrow(_windows(shards, found, shards), _DDL)).mapInArrow(_later, _DDL)
+    spans = levels.filter(F.col("kind") == SPANS).unionByName(windows)
     spans = spans.groupBy("key", "hash").agg(F.collect_list("data").alias("spans"))
     extra = [f for f in rows.schema if f.name.startswith("carry_")]
     both = rows.join(spans, ["key", "hash"], "left").select("key", "none", "text", F.array_join(F.transform("spans", lambda x: F.hex(x)), "").alias("spans"), *[f.name for f in extra])
