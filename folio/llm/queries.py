@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact, packing, pieces, quality, suffixes, warc
+from . import exact, jaccard, packing, pieces, quality, suffixes, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -10,10 +10,12 @@ QUERIES = {
     "op4_packing": packing.op4_packing,
     "op5_sentencepiece": pieces.op5_sentencepiece,
     "op6_suffix_dedup": suffixes.op6_suffix_dedup,
+    "op9_ngram_jaccard_join": jaccard.op9_ngram_jaccard_join,
     "op10_exact_dedup": exact.op10_exact_dedup,
 }
 ORACLES = {
     "op1_quality_rules": quality.SQL,
     "op2_warc": warc.SQL,
+    "op9_ngram_jaccard_join": jaccard.SQL,
     "op10_exact_dedup": exact.SQL,
 }
