@@ -24,6 +24,8 @@ CUTOFF = 28.5
 #: The statistics are whole multiples of 1 / UNIT up to 4, so that sums of squares are exact in any order.
 UNIT = 1024
 P = 4
+#: Parts that the rows of a group are joined in.
+SALTS = 16
 _PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
 
 
@@ -64,7 +66,7 @@ _VECTOR = (
 VECTOR = [f"cast(round(least({x}, 4.0e0) * {UNIT}) AS bigint) AS x{i}" for i, x in enumerate(_VECTOR)]
 
 
-def mcd_sql(stats: str, percentile: str, prefix: str = "") -> list[tuple[str, str]]:
+def mcd_sql(stats: str, percentile: str, salts: str, prefix: str = "") -> list[tuple[str, str]]:
     """Named queries, each over those before it, of which the last (far) gives the columns of stats with d2: each row's squared distance from the estimates of its language and source.
 
     stats has lang, source, x0..x3. Every group, language and the whole table get two starts: the mean and
@@ -73,9 +75,10 @@ def mcd_sql(stats: str, percentile: str, prefix: str = "") -> list[tuple[str, st
     covariance; the start that ends at the smaller determinant is used. Sums are of integers, so any order of rows
     gives the same result, and a group is never gathered: it is one row for each of at most 700 histogram bins.
     """
+    # a group may hold most rows: they join its estimates by a salt too, so that none of its rows need be together
     k = "lvl, lang, source, start"
     xs = ", ".join(f"x{i}" for i in range(P))
-    on = " AND ".join(f"e.{x} = p.{x}" for x in ("lvl", "lang", "source"))
+    on = " AND ".join(f"e.{x} = p.{x}" for x in ("lvl", "lang", "source", "salt"))
     sums = ", ".join([f"sum(x{i}) AS s{i}" for i in range(P)] + [f"sum(x{i} * x{j}) AS s{i}{j}" for i, j in _PAIRS])
     again = ", ".join([f"sum(s{i}) AS s{i}" for i in range(P)] + [f"sum(s{i}{j}) AS s{i}{j}" for i, j in _PAIRS])
     chol = []
@@ -96,7 +99,7 @@ def mcd_sql(stats: str, percentile: str, prefix: str = "") -> list[tuple[str, st
     half = ", ".join(f"{percentile}(x{i}, 0.5) / {UNIT}.0e0 AS m{i}, ({percentile}(x{i}, 0.75) - {percentile}(x{i}, 0.25)) / {UNIT}.0e0 / 1.349e0 AS q{i}" for i in range(P))
     diag = ", ".join(f"q{i} * q{i} + {FLOORS[i] ** 2:.6f}e0 AS c{i}{i}" if i == j else f"0.0e0 AS c{i}{j}" for i, j in _PAIRS)
     parts = [
-        "@e AS (" + " UNION ALL ".join(f"SELECT {lvl} AS lvl, {la} AS lang, {so} AS source, {xs} FROM {stats}" for lvl, la, so in ((0, "''", "''"), (1, "lang", "''"), (2, "lang", "source"))) + ")",
+        "@e AS (" + " UNION ALL ".join(f"SELECT {lvl} AS lvl, {la} AS lang, {so} AS source, (x0 + x1 + x2 + x3) % {SALTS} AS salt, {xs} FROM {stats}" for lvl, la, so in ((0, "''", "''"), (1, "lang", "''"), (2, "lang", "source"))) + ")",
         f"@a0 AS (SELECT lvl, lang, source, 0 AS start, count(*) AS n, {sums} FROM @e GROUP BY lvl, lang, source)",
         f"@b0 AS (SELECT lvl, lang, source, 1 AS start, count(*) AS n, {half} FROM @e GROUP BY lvl, lang, source)",
         f"@a1 AS (SELECT *, {means} FROM @a0)",
@@ -108,7 +111,7 @@ def mcd_sql(stats: str, percentile: str, prefix: str = "") -> list[tuple[str, st
     ]
     for s in range(1, STEPS + 1):
         parts += [
-            f"@d{s} AS (SELECT e.*, p.start AS start, p.total AS total, {', '.join('p.' + x for x in names.split(', ') if x != 'det')} FROM @e e JOIN @p{s - 1} p ON {on})",
+            f"@d{s} AS (SELECT e.*, p.start AS start, p.total AS total, {', '.join('p.' + x for x in names.split(', ') if x != 'det')} FROM @e e JOIN (SELECT *, {salts} AS salt FROM @p{s - 1}) p ON {on})",
             f"@z{s} AS (SELECT {k}, total, {', '.join(f'x{i}' for i in range(P))}, {zs} FROM @d{s})",
             f"@h{s} AS (SELECT {k}, total, cast(floor(16 * ln(1 + d2) / ln(2.0e0)) AS bigint) AS bin, count(*) AS n, {sums} FROM @z{s} GROUP BY {k}, total, cast(floor(16 * ln(1 + d2) / ln(2.0e0)) AS bigint))",
             f"@r{s} AS (SELECT *, sum(n) OVER (PARTITION BY {k} ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM @h{s})",
@@ -147,7 +150,7 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", sourc
     rows = table(statistics(plain, "text_").drop("text_").selectExpr("*", *VECTOR), "stats")
     rows.createOrReplaceTempView(view := f"stats_{uuid.uuid4().hex[:12]}")
     views = [view]
-    for name, sql in mcd_sql(view, "percentile", f"{view}_"):
+    for name, sql in mcd_sql(view, "percentile", f"explode(sequence(0, {SALTS - 1}))", f"{view}_"):
         far = spark.sql(sql)
         if re.fullmatch(r"p\d|est", name):  # a few numbers for each group: written, so that plans stay small
             far = table(far, "estimates")
@@ -177,7 +180,7 @@ def _sql() -> str:
         cast(len(l) AS bigint) AS n_lines, cast(len(l) - len(list_distinct(l)) AS bigint) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
         FROM w LEFT JOIN r ON w.doc_id = r.doc_id)
     SELECT *, {", ".join(VECTOR)} FROM s"""
-    inner = ", ".join(f"{name} AS ({sql})" for name, sql in mcd_sql("stats", "quantile_cont"))
+    inner = ", ".join(f"{name} AS ({sql})" for name, sql in mcd_sql("stats", "quantile_cont", f"unnest(range({SALTS}))"))
     return f"""WITH stats AS MATERIALIZED ({stats}), {inner}
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {BASE_FAILED} AS base_failed, NOT {BASE_FAILED} AND coalesce(d2 <= {CUTOFF}, true) AS kept FROM far"""
 
