@@ -36,7 +36,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 def table(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet below the shared folder and read again: its lineage ends there, and a lost executor costs nothing."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact, jaccard, lines, lm, packing, pieces, quality, suffixes, warc
+from . import classifier, exact, jaccard, lines, lm, packing, pieces, quality, suffixes, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_sentencepiece": pieces.op5_sentencepiece,
     "op6_suffix_dedup": suffixes.op6_suffix_dedup,
     "op7_line_dedup": lines.op7_line_dedup,
+    "op8_quality_classifier": classifier.op8_quality_classifier,
     "op9_ngram_jaccard_join": jaccard.op9_ngram_jaccard_join,
     "op10_exact_dedup": exact.op10_exact_dedup,
 }

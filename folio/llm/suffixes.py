@@ -379,10 +379,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     left in the same text. Null text is empty, a null doc_id the smallest. Rows with one doc_id and one text are the same
     document and lose the same bytes; different texts under one doc_id are ordered by a hash. Texts shorter than WINDOW
     keep all; an empty table gives no rows. kept_text is the rest as text, without the parts of characters that a cut
-    leaves. Columns in carry must not have the names of the new ones.
+    leaves. Columns in carry with the names of the new ones are replaced by those.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NONE)).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), *[F.col(f"`{c}`").alias(f"carry_{c}") for c in carry or []], F.col(doc_id).isNull().alias("none"))
+    made = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())] + [("kept_text", pa.string())] * with_text
+    carry = [c for c in carry or [] if c not in dict(made)]
+    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NONE)).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), *[F.col(f"`{c}`").alias(f"carry_{c}") for c in carry], F.col(doc_id).isNull().alias("none"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
     narrow = rows.select("key", "hash", "text")
     shards = max(1, math.ceil((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / batch_shard))
@@ -398,7 +400,6 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     spans = spans.groupBy("key", "hash").agg(F.collect_list("data").alias("spans"))
     extra = [f for f in rows.schema if f.name.startswith("carry_")]
     both = rows.join(spans, ["key", "hash"], "left").select("key", "none", "text", F.array_join(F.transform("spans", lambda x: F.hex(x)), "").alias("spans"), *[f.name for f in extra])
-    made = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())] + [("kept_text", pa.string())] * with_text
     schema = pa.schema(made)
 
     def run(batches):
