@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BACK, flat, load_array, mix, packed, powers, prefix_hash, runs, save_array, scratch, span_hash, table
+from .common import BACK, flat, give_back, load_array, mix, packed, powers, prefix_hash, runs, save_array, scratch, span_hash, table
 
 WINDOW, K = 100, 50
 #: Bits for a place in a piece of text, and so the most bytes of a piece; all pieces must break ties alike.
@@ -215,6 +215,7 @@ def _batches(batches):
         for first, last in runs(begin, BATCH):
             a, z = int(begin[first]), int(begin[last])
             yield keys[first:last], data[a:z], begin[first : last + 1] - a
+            give_back()
 
 
 def _ordered(keys: np.ndarray) -> np.ndarray:
@@ -243,6 +244,7 @@ def _index(shards: int):
             sent["v"] = np.where(sent["multi"], mix(sent["v"] + sent["d"].astype(np.uint64) + np.uint64(keys[0, 1] & 0xFFFFFFFF)), sent["v"])
             shard = _shard_of(sent["g"], shards)
             at = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
+            del r, first, same, several, again
             rows = [(PART, i, int(keys[0, 0]), int(keys[0, 1]), _blob(unique, {f: sent[f][at[i] : at[i + 1]] for f in FIELDS})) for i in range(shards) if at[i + 1] > at[i]]
             if rows:
                 yield packed(rows, _ROWS)
@@ -257,9 +259,11 @@ def _merge(folder: str):
         shard, family = None, Family()
 
         def end():
-            for lost in family.lost:
-                yield _spans(*lost)
+            if family.lost:
+                yield _spans(*(np.concatenate(x) for x in zip(*family.lost, strict=True)))
+            family.lost = []
             if len(g := family.several()):
+                family.levels = []
                 yield packed([(FILE, shard, len(g), 0, save_array(folder, g).encode())], _ROWS)
 
         for i, raw in _parts(batches):
@@ -269,6 +273,7 @@ def _merge(folder: str):
             if i != shard:
                 yield from end()
                 shard, family = i, Family()
+                give_back()
             family.add(_unblob(raw, FIELDS))
         yield from end()
 
