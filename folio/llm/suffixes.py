@@ -62,7 +62,8 @@ def anchors(data: np.ndarray, begin: np.ndarray, s: np.ndarray) -> tuple[np.ndar
     a, p = place[first], start[first]
     text = np.searchsorted(begin, p, "right") - 1
     v = mix(span_hash(s, p, p + count + WINDOW - 1) + (a - p).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return h[a], v, text, p - begin[text], count
+    # least hashes lie near 0: mixed again, so that ranges of them are of equal size
+    return mix(h[a]), v, text, p - begin[text], count
 
 
 def pieces(data: np.ndarray, begin: np.ndarray):
