@@ -15,7 +15,7 @@ BITS_A_ROW, MOST_BITS = 16, 1 << 28
 PAGE = 32768
 
 
-def _bit(bitmap: Column, position: Column) -> Column:
+def bit(bitmap: Column, position: Column) -> Column:
     """Whether the bit of bitmap_construct_agg is set; false where there is no bitmap."""
     byte = F.conv(F.hex(F.substring(bitmap, (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     return F.coalesce(F.getbit(byte, (position % 8).cast("int")) == 1, F.lit(False))
@@ -44,7 +44,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mos
     for i in (0, 1):
         half = F.broadcast(maps.select(F.col("page").alias(f"page{i}"), F.col("bitmap").alias(f"bitmap{i}")))
         seen = seen.join(half, (F.col(f"p{i}") / PAGE).cast("long") == F.col(f"page{i}"), "left")
-    seen = seen.select("doc_id", "sha", "row", (_bit(F.col("bitmap0"), F.col("p0") % PAGE) & _bit(F.col("bitmap1"), F.col("p1") % PAGE)).alias("maybe"))
+    seen = seen.select("doc_id", "sha", "row", (bit(F.col("bitmap0"), F.col("p0") % PAGE) & bit(F.col("bitmap1"), F.col("p1") % PAGE)).alias("maybe"))
     out = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
     hexed = F.lower(F.hex("sha")).alias("text_sha256")
     alone = seen.filter("not maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), hexed)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
+from .exact import BITS_A_ROW, MOST_BITS, PAGE, bit
 
 #: Lines of fewer characters are never compared nor dropped; from LONG characters on, two edits are allowed, else one.
 LEAST, LONG = 20, 40
-#: Bits of the sketch (words hashed to one of 64, by parity) that one edit can change: it makes at most three words differ.
-BITS_AN_EDIT = 3
+#: Bits of the sketch (pairs of neighbouring characters hashed to one of 64, by parity) that one edit can change: it takes away two pairs and brings two.
+BITS_AN_EDIT = 4
 #: Rows up to which a side of two or three numbers a row is sent to all executors.
 SENT = 500_000
 _NONE = -(1 << 63)
@@ -41,7 +44,7 @@ def index_keys(line: str, n: str) -> str:
 
 
 def probe_keys(line: str, n: str) -> str:
-    """SQL for an array of keys under which a line no longer than this one, and within its edits, can be indexed.
+    """SQL for an array of keys, other than the line's own, under which a line no longer than this one, and within its edits, can be indexed.
 
     For each shorter length and each of its segments only the places are probed at which a segment can stand when the
     edits before it and behind it are as few as the others leave (multi-match-aware selection).
@@ -51,16 +54,16 @@ def probe_keys(line: str, n: str) -> str:
         for i in range(1, edits + 2):
             at, size = segment(length, edits, i)
             low, high = max(-(i - 1), less - (edits + 1 - i)), min(i - 1, less + edits + 1 - i)
-            out += [f"xxhash64({length}, {i}, substring({line}, {at} + {shift}, {size}))" for shift in range(low, high + 1)]
+            out += [f"xxhash64({length}, {i}, substring({line}, {at} + {shift}, {size}))" for shift in range(low, high + 1) if less or shift]
         return f"array({', '.join(out)})"
 
     # the shorter line's length decides how many edits there may be
     parts = []
     for less in (0, 1, 2):
         two = of(2, less)
-        one = of(1, less) if less < 2 else "array()"
-        parts.append(f"CASE WHEN {n} - {less} >= {LONG} THEN {two} WHEN {n} - {less} >= {LEAST} THEN {one} ELSE array() END")
-    return f"array_distinct(concat({', '.join(parts)}))"
+        one = of(1, less) if less == 1 else "cast(array() AS array<bigint>)"  # of equal length, one edit leaves a segment in its place
+        parts.append(f"CASE WHEN {n} - {less} >= {LONG} THEN {two} WHEN {n} - {less} >= {LEAST} THEN {one} ELSE cast(array() AS array<bigint>) END")
+    return f"concat({', '.join(parts)})"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -73,25 +76,46 @@ def _hash(line: Column) -> Column:
     return F.xxhash64(line)
 
 
+def _sent(df: DataFrame) -> DataFrame:
+    """df, written and small, to all executors; else as it is."""
+    return F.broadcast(df) if df.count() <= SENT else df
+
+
 def near_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(firsts, links) of docs(key, th, text): each different line's hash h, first place and number; verified pairs (a, b) of hashes."""
+    """(places, links) of docs(key, th, text): key, th, no and hash h of every line; verified pairs (a, b) of hashes.
+
+    Every line is indexed under its segments. Its other probes pass a Bloom filter of the index (of bounded size: when the
+    index outgrows it more probes pass) before they are shuffled. Keys that only one line has are dropped by a
+    pre-aggregated minimum and maximum; what is left is joined by key, lines whose sketches differ too much for so few
+    edits are left out, and the rest is verified by banded edit distance.
+    """
     lines = _lines(docs)
-    firsts = table(lines.select(_hash(F.col("line")).alias("h"), "key", "th", "no").groupBy("h").agg(F.min(F.struct("key", "th", "no")).alias("first"), F.count(F.lit(1)).alias("copies")), "firsts")
-    sketch = F.expr("aggregate(split(line, ' '), 0L, (s, w) -> s ^ shiftleft(1L, pmod(xxhash64(w), 64)))")
-    keyed = lines.select(_hash(F.col("line")).alias("h"), sketch.alias("sketch"), F.col("n"), F.expr(index_keys("line", "n")).alias("index"), F.expr(probe_keys("line", "n")).alias("probe"))
-    index = keyed.select("h", "sketch", F.explode("index").alias("seg")).distinct()
-    probe = keyed.select(F.col("h").alias("h2"), F.col("sketch").alias("sketch2"), F.explode("probe").alias("seg")).distinct()
+    hashed = _hash(F.col("line")).alias("h")
+    places = table(lines.select("key", "th", "no", hashed), "places")
+    index = table(lines.select(hashed, F.explode(F.expr(index_keys("line", "n"))).alias("seg")).distinct(), "segments")
+    bits = min(MOST_BITS, max(PAGE, 1 << math.ceil(math.log2(max(1, index.count()) * BITS_A_ROW))))
+    place = F.pmod("seg", F.lit(bits))
+    maps = index.groupBy((place / PAGE).cast("long").alias("page")).agg(F.bitmap_construct_agg(place % PAGE).alias("bitmap"))
+    probes = lines.select(hashed, F.explode(F.expr(probe_keys("line", "n"))).alias("seg"))
+    probes = probes.join(F.broadcast(table(maps, "bloom")), (place / PAGE).cast("long") == F.col("page"))
+    probes = table(probes.filter(bit(F.col("bitmap"), place % PAGE)).select("h", "seg").distinct(), "probes")
+    keys = index.withColumn("own", F.lit(1)).unionByName(probes.withColumn("own", F.lit(0)))
+    common = keys.groupBy("seg").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.max("own").alias("any")).filter("lo <> hi AND any = 1").select("seg")
+    keys = table(keys.join(_sent(table(common, "common")), "seg"), "keys")
+    wanted = table(keys.select("h").distinct(), "wanted")
+    texts = lines.select(hashed, "line").join(_sent(wanted), "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
+    sketch = F.expr("aggregate(sequence(1, length(line) - 1), 0L, (s, i) -> s ^ shiftleft(1L, cast(pmod(xxhash64(substring(line, i, 2)), 64) AS int)))")
+    texts = table(texts.withColumn("sketch", sketch), "texts")
+    keys = keys.join(_sent(texts.select("h", "sketch")), "h")
+    other = keys.select("seg", F.col("h").alias("h2"), F.col("sketch").alias("sketch2"), F.col("own").alias("own2"))
     close = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sketch2"))) <= 2 * BITS_AN_EDIT
-    pairs = index.join(probe, (index["seg"] == probe["seg"]) & (F.col("h") != F.col("h2")) & close)
+    # two lines that own a key meet once
+    pairs = keys.filter("own = 1").join(other, (keys["seg"] == other["seg"]) & (F.col("h") != F.col("h2")) & ((F.col("own2") == 0) | (F.col("h") < F.col("h2"))) & close)
     pairs = table(pairs.select(F.least("h", "h2").alias("a"), F.greatest("h", "h2").alias("b")).distinct(), "candidates")
-    wanted = table(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "wanted")
-    side = F.broadcast(wanted) if wanted.count() <= SENT else wanted
-    texts = lines.select(_hash(F.col("line")).alias("h"), "line").join(side, "h", "left_semi").groupBy("h").agg(F.min("line").alias("line"))
-    texts = table(texts, "texts")
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("line_a")), "a").join(texts.select(F.col("h").alias("b"), F.col("line").alias("line_b")), "b")
     edits = F.expr(allowed("least(length(line_a), length(line_b))"))
     far = F.when(edits == 2, F.levenshtein("line_a", "line_b", 2)).otherwise(F.levenshtein("line_a", "line_b", 1))
-    return firsts, table(both.filter(far >= 0).select("a", "b"), "links")
+    return places, table(both.filter(far >= 0).select("a", "b"), "links")
 
 
 def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
@@ -110,13 +134,13 @@ def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carr
     body = F.coalesce(F.col(text), F.lit(""))
     ident = [F.coalesce(F.col(doc_id).cast("long"), F.lit(_NONE)).alias("key"), F.xxhash64(body).alias("th")]
     narrow = docs.select(*ident, body.alias("text"))
-    firsts, links = near_lines(narrow)
+    places, links = near_lines(narrow)
+    firsts = table(places.groupBy("h").agg(F.min(F.struct("key", "th", "no")).alias("first"), F.count(F.lit(1)).alias("copies")), "firsts")
     ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     before = ends.join(firsts.select(F.col("h").alias("b"), F.col("first").alias("other")), "b").groupBy("a").agg(F.min("other").alias("other"), F.count(F.lit(1)).alias("links"))
     known = firsts.join(before, firsts["h"] == before["a"], "left").filter("copies > 1 OR links > 0")
     known = table(known.select("h", "first", (F.coalesce(F.col("other") < F.col("first"), F.lit(False))).alias("late"), F.coalesce("links", F.lit(0)).alias("links")), "known")
-    side = F.broadcast(known) if known.count() <= SENT else known
-    places = _lines(narrow).select("key", "th", "no", _hash(F.col("line")).alias("h")).join(side, "h")
+    places = places.join(_sent(known), "h")
     gone = F.col("late") | (F.struct("key", "th", "no") != F.col("first"))
     per = places.groupBy("key", "th", "no").agg(F.max("links").alias("links"), F.bool_or(gone).alias("gone"))
     per = table(per.groupBy("key", "th").agg(F.collect_list(F.when(F.col("gone"), F.col("no"))).alias("gone"), F.sum("links").alias("links")), "dropped")
