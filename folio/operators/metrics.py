@@ -53,7 +53,7 @@ def dips(tagged: DataFrame, below: float, least_s: int, cold_s: int, cpu_stages:
     t = tagged.withColumn("new", F.coalesce((F.lag("stage").over(w) != F.col("stage")), F.lit(True)))
     t = t.withColumn("block_start", F.max(F.when(F.col("new"), F.col("ts"))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     d = islands(t, below).filter("low").groupBy("series", "run").agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"), F.count(F.lit(1)).alias("n"), F.min_by(F.struct("stage", "block_start"), F.struct("ts", "event_id")).alias("first"))
-    us = lambda c: F.unix_micros(c)
+    us = lambda c: F.unix_micros(c.cast("timestamp"))
     d = d.withColumn("seconds", F.floor((us(F.col("t1")) - us(F.col("t0"))) / 1000000)).filter(F.col("seconds") >= least_s)
     since = (us(F.col("t0")) - us(F.col("first.block_start"))) / 1000000
     kind = F.when(F.col("first.stage").isin(*cpu_stages), "expected_cpu_stage").when(since <= cold_s, "cold_start").otherwise("stall")

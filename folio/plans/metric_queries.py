@@ -1,4 +1,175 @@
-"""Queries."""
+"""Queries over metric series, rasters and streams."""
+
+from __future__ import annotations
+
+import tempfile
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ..operators import metrics as M
+from ..operators import raster as R
+from ..sources.tables import STAGES, corpus, read, samples
+from ..streaming import tail
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    def add(f):
+        QUERIES["q_" + f.__name__] = f
+        if oracle is not None:
+            ORACLES["q_" + f.__name__] = oracle
+        return f
+
+    return add
+
+
+D_STAGES = ", ".join(f"({o}, '{s}', {a}, {b})" for o, s, a, b in STAGES)
+TAGGED = f"""WITH st(ord, stage, h0, h1) AS (VALUES {D_STAGES}), sm AS (SELECT user_id AS series, ts, event_id, value AS util, event_type FROM events),
+tg AS (SELECT sm.*, coalesce((SELECT arg_min(stage, ord) FROM st WHERE sm.ts >= date_trunc('day', sm.ts) + to_hours(h0) AND sm.ts <= date_trunc('day', sm.ts) + to_hours(h1)), '(idle)') AS stage FROM sm)"""
+
+
+def _tagged(spark, sf_dir):
+    s = samples(spark, sf_dir)
+    days = s.select(F.date_trunc("DAY", "ts").alias("day")).distinct()
+    return M.tag(s, M.stage_windows(spark, days))
+
+
+@query(f"{TAGGED} SELECT event_id, stage FROM tg")
+def stage_tag(spark, sf_dir):
+    return _tagged(spark, sf_dir).select("event_id", "stage")
+
+
+STATS = "count(util) AS n, round(min(util), 3) AS min, round(avg(util), 3) AS mean, round(max(util), 3) AS max, round(quantile_disc(util, 0.95), 3) AS p95, round(arg_max(util, (ts, event_id)), 3) AS last"
+
+
+@query(f"{TAGGED} SELECT stage, {STATS} FROM tg GROUP BY stage")
+def stats(spark, sf_dir):
+    return M.stats(_tagged(spark, sf_dir), ["stage"])
+
+
+@query("""WITH s AS (SELECT user_id AS series, ts, event_id, value AS util, coalesce(value < 20, false) AS low FROM events),
+r AS (SELECT *, sum(CASE WHEN low THEN 0 ELSE 1 END) OVER (PARTITION BY series ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM s),
+e AS (SELECT series, run, count(*) AS length FROM r WHERE low GROUP BY series, run),
+g AS (SELECT series, count(*) AS episodes, avg(length) AS mean_len, max(length) AS max_len FROM e GROUP BY series),
+p AS (SELECT series, avg(CASE WHEN low THEN 1.0 ELSE 0 END) AS idle_frac, avg(CASE WHEN NOT low THEN util END) AS busy_mean FROM s GROUP BY series)
+SELECT p.series AS series, round(idle_frac, 3) AS idle_frac, coalesce(episodes, 0) AS episodes, round(mean_len, 3) AS mean_len, coalesce(max_len, 0) AS max_len, round(busy_mean, 3) AS busy_mean FROM p LEFT JOIN g ON p.series = g.series""")
+def duty_cycle(spark, sf_dir):
+    return M.duty_cycle(samples(spark, sf_dir), 20)
+
+
+DIPS = f"""{TAGGED}, b AS (SELECT *, CASE WHEN coalesce(lag(stage) OVER w <> stage, true) THEN ts END AS start FROM tg WINDOW w AS (PARTITION BY series ORDER BY ts, event_id)),
+c AS (SELECT *, max(start) OVER (PARTITION BY series ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block_start, sum(CASE WHEN coalesce(util < 20, false) THEN 0 ELSE 1 END) OVER (PARTITION BY series ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM b),
+d AS (SELECT series, run, min(ts) AS t0, max(ts) AS t1, count(*) AS n, arg_min(stage, (ts, event_id)) AS stage, arg_min(block_start, (ts, event_id)) AS bs FROM c WHERE util < 20 GROUP BY series, run)
+SELECT series, t0, t1, n, cast(floor((epoch_us(t1) - epoch_us(t0)) / 1000000) AS bigint) AS seconds, stage,
+    CASE WHEN stage IN ('assembly', 'rasterize') THEN 'expected_cpu_stage' WHEN (epoch_us(t0) - epoch_us(bs)) / 1000000 <= 7200 THEN 'cold_start' ELSE 'stall' END AS kind FROM d WHERE floor((epoch_us(t1) - epoch_us(t0)) / 1000000) >= 3600"""
+
+
+@query(DIPS)
+def dips(spark, sf_dir):
+    return M.dips(_tagged(spark, sf_dir), 20, 3600, 7200)
+
+
+VERDICT = "event_id, value % 7 / 70 AS swap_delta, value % 11 AS avail, value AS gpu, value * 3 AS cpu, 4 AS cores, value / 2 AS sys"
+
+
+@query(f"""WITH m AS (SELECT {VERDICT} FROM events)
+SELECT event_id, CASE WHEN swap_delta > 0.05 OR avail < 2 THEN 'memory' WHEN gpu >= 70 AND (cpu >= 85 * cores OR sys >= 85) THEN 'mixed' WHEN gpu >= 70 THEN 'gpu' WHEN cpu >= 85 * cores OR sys >= 85 THEN 'cpu' WHEN gpu IS NOT NULL OR cpu IS NOT NULL THEN 'underutilised' ELSE 'unknown' END AS verdict FROM m""")
+def interpret(spark, sf_dir):
+    return M.verdict(read(spark, sf_dir, "events").selectExpr(*VERDICT.split(", "))).select("event_id", "verdict")
+
+
+@query("SELECT user_id AS series, event_type, round(arg_max(value, (ts, event_id)) - arg_min(value, (ts, event_id)), 3) AS delta FROM events GROUP BY 1, 2")
+def deltas(spark, sf_dir):
+    return M.deltas(samples(spark, sf_dir), ["series", "event_type"])
+
+
+RUNS = "user_id AS run, event_id % 40 + 1 AS pages, event_id % 97 AS seconds, cast(event_id % 101 AS double) AS busy, event_id % 10 / 10 AS idle, event_id % 13 AS avail, event_id % 50 = 0 AS swap"
+D_RUNS = RUNS.replace("event_id % 10 / 10", "event_id % 10 / 10.0e0")
+D_AGG = f"WITH r AS (SELECT {D_RUNS} FROM events), g AS (SELECT run, sum(seconds) / sum(pages) AS s_page, avg(busy) AS busy, avg(idle) AS idle, min(avail) AS avail, bool_or(swap) AS swapped FROM r GROUP BY run)"
+
+
+def _runs(spark, sf_dir):
+    return M.aggregate_runs(read(spark, sf_dir, "events").selectExpr(*RUNS.split(", ")))
+
+
+@query(f"{D_AGG} SELECT run, round(s_page, 6) AS s_page, round(busy, 6) AS busy, round(idle, 6) AS idle, avail, swapped FROM g")
+def agg_runs(spark, sf_dir):
+    return _runs(spark, sf_dir).select("run", F.round("s_page", 6).alias("s_page"), F.round("busy", 6).alias("busy"), F.round("idle", 6).alias("idle"), "avail", "swapped")
+
+
+@query(f"{D_AGG} SELECT run, CASE WHEN swapped OR avail < 2 THEN 'fewer workers' WHEN round(idle, 6) > 0.3 THEN 'more workers' WHEN busy >= 80 THEN 'keep' ELSE 'measure longer' END AS action FROM g")
+def recommend(spark, sf_dir):
+    return M.recommend(_runs(spark, sf_dir).withColumn("idle", F.round("idle", 6))).select("run", "action")
+
+
+@query("""WITH RECURSIVE p AS (SELECT event_id AS pid, event_id // 3 AS ppid FROM events WHERE event_id BETWEEN 1 AND 1999), t(pid, root, depth) AS (SELECT pid, pid, 0 FROM p WHERE ppid = 0 UNION ALL SELECT p.pid, t.root, t.depth + 1 FROM t JOIN p ON p.ppid = t.pid AND p.pid <> t.pid)
+SELECT pid, root, depth FROM t""")
+def proc_tree(spark, sf_dir):
+    p = read(spark, sf_dir, "events").filter("event_id BETWEEN 1 AND 1999").selectExpr("event_id AS pid", "event_id div 3 AS ppid")
+    return M.process_tree(p, spark)
+
+
+@query("""WITH h AS (SELECT l_suppkey % 8 AS img, cast(l_quantity * 5 AS bigint) % 256 AS bin, count(*) AS n FROM lineitem GROUP BY 1, 2),
+c AS (SELECT *, sum(n) OVER w AS wb, sum(bin * n) OVER w AS sb, sum(n) OVER g AS tn, sum(bin * n) OVER g AS ts FROM h WINDOW w AS (PARTITION BY img ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), g AS (PARTITION BY img)),
+v AS (SELECT *, CASE WHEN tn > wb THEN cast(wb AS double) * (tn - wb) * (cast(sb AS double) / wb - cast(ts - sb AS double) / (tn - wb)) ** 2 END AS v FROM c)
+SELECT img, bin AS threshold FROM v QUALIFY row_number() OVER (PARTITION BY img ORDER BY coalesce(v, -1) DESC, bin) = 1""")
+def otsu(spark, sf_dir):
+    h = read(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 8).alias("img"), ((F.col("l_quantity") * 5).cast("long") % 256).alias("bin")).groupBy("img", "bin").agg(F.count(F.lit(1)).alias("n"))
+    return R.otsu(h, ["img"])
+
+
+def rasters() -> list[tuple[int, int, int, bytearray]]:
+    """two columns; one column; a thin line at row 30; a waved line; blank; a wide page of two."""
+    out = []
+    for kind in range(6):
+        h, w = (40, 60) if kind != 5 else (40, 100)
+        a = np.full((h, w), 255, np.uint8)
+        if kind in (0, 5):
+            a[2:38, 4 : w // 2 - 3] = a[2:38, w // 2 + 3 : w - 4] = 0
+        if kind == 1:
+            a[2:38:2, 4:56] = 0
+        if kind == 2:
+            a[30, 5:40] = 0
+        if kind == 3:
+            for x in range(5, 50):
+                a[30 + x % 3, x] = 0
+        out.append((kind, h, w, bytearray(a.tobytes())))
+    return out
+
+
+@query()
+def gutter(spark, sf_dir):
+    return R.profiles(spark.createDataFrame(rasters(), "id long, h int, w int, data binary"))
+
+
+@query("SELECT 0::bigint AS id, 23::bigint AS longest UNION ALL SELECT 1, 52 UNION ALL SELECT 2, 35 UNION ALL SELECT 3, 1 UNION ALL SELECT 4, 0 UNION ALL SELECT 5, 43")
+def row_runs(spark, sf_dir):
+    return R.profiles(spark.createDataFrame(rasters(), "id long, h int, w int, data binary")).select("id", "longest")
+
+
+def _files(df, parts: int) -> str:
+    folder = tempfile.mkdtemp(prefix="folio-stream-")
+    df.repartition(parts).write.mode("overwrite").json(folder)
+    return folder
+
+
+@query("SELECT edition, title FROM (SELECT p_partkey AS edition, p_name || '-v2' AS title, p_partkey AS k FROM part)")
+def stream_manifest(spark, sf_dir):
+    c = corpus(spark, sf_dir).select("edition", "title")
+    old, new = c.withColumn("version", F.lit(1)), c.withColumns({"title": F.concat("title", F.lit("-v2")), "version": F.lit(2)})
+    folder = _files(old.unionByName(new), 3)
+    tail.latest(tail.manifest(spark, folder, "edition long, title string, version int"), "edition", "version", "folio_manifest")
+    return spark.table("folio_manifest").select("edition", "title")
+
+
+@query()
+def stream_dips(spark, sf_dir):
+    schema = "series long, ts timestamp, event_id long, util double"
+    folder = _files(samples(spark, sf_dir).select("series", "ts", "event_id", "util"), 1)
+    stream = spark.readStream.schema(schema).json(folder)
+    q = tail.dip_stream(stream, 20, 3600).writeStream.outputMode("append").format("memory").queryName("folio_dips").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.table("folio_dips")

@@ -44,7 +44,8 @@ def dip_stream(stream: DataFrame, below: float, least_s: int) -> DataFrame:
                     out.append((key[0], pd.Timestamp(t0, unit="us"), pd.Timestamp(t1, unit="us"), n))
                 t0, t1, n = None, None, 0
         state.update((t0, t1, n))
-        yield pd.DataFrame(out, columns=["series", "t0", "t1", "n"])
+        if out:
+            yield pd.DataFrame(out, columns=["series", "t0", "t1", "n"])
 
     return stream.groupBy("series").applyInPandasWithState(step, "series long, t0 timestamp, t1 timestamp, n long", "t0 long, t1 long, n long", "append", GroupStateTimeout.NoTimeout)
 
