@@ -146,7 +146,7 @@ def save_array(folder: str, x: np.ndarray) -> str:
     np.lib.format.write_array_header_1_0(held, np.lib.format.header_data_from_array_1_0(x))
     with store.open_output_stream(path) as to:
         to.write(held.getvalue())
-        to.write(memoryview(np.ascontiguousarray(x)).cast("B"))
+        to.write(memoryview(np.ascontiguousarray(x).reshape(-1).view(np.uint8)))
     return uri
 
 

@@ -161,7 +161,7 @@ def _blob(keys: np.ndarray, columns: dict[str, np.ndarray]) -> bytes:
     """Columns as bytes; d, an index into the rows of keys, with the keys that it uses."""
     used, d = np.unique(columns["d"], return_inverse=True)
     head = np.array([len(d), len(used)], np.int64).tobytes() + keys[used].tobytes()
-    kinds = {"d": np.uint16 if len(used) < 1 << 16 else np.uint32, "p": np.uint32, "n": np.uint8, "multi": np.uint8, "g": np.uint64, "v": np.uint64}
+    kinds = {"d": np.uint16 if len(used) < 1 << 16 else np.uint32, "p": np.uint32, "n": np.uint8, "multi": np.uint8, "g": np.uint64, "v": np.uint64, "e": np.uint32}
     return head + b"".join((d if f == "d" else columns[f]).astype(kinds[f]).tobytes() for f in columns)
 
 
@@ -169,11 +169,12 @@ def _unblob(raw: bytes, fields: tuple[str, ...]) -> dict[str, np.ndarray]:
     n, used = np.frombuffer(raw, np.int64, 2).tolist()
     at = 16 + 16 * used
     keys = np.frombuffer(raw, np.int64, 2 * used, 16).reshape(-1, 2)
-    kinds = {"d": np.uint16 if used < 1 << 16 else np.uint32, "p": np.uint32, "n": np.uint8, "multi": np.uint8, "g": np.uint64, "v": np.uint64}
+    kinds = {"d": np.uint16 if used < 1 << 16 else np.uint32, "p": np.uint32, "n": np.uint8, "multi": np.uint8, "g": np.uint64, "v": np.uint64, "e": np.uint32}
     out = {}
     for f in fields:
         out[f] = np.frombuffer(raw, kinds[f], n, at)
         at += out[f].nbytes
+    out |= {"e": out["e"].astype(np.int64)} if "e" in fields else {}
     return out | {"d": keys[out["d"]], "p": out["p"].astype(np.int64)} | ({"n": out["n"].astype(np.int64), "multi": out["multi"] > 0} if "n" in fields else {})
 
 
@@ -183,18 +184,43 @@ _ROWS = pa.schema([("kind", pa.int8()), ("shard", pa.int32()), ("key", pa.int64(
 _DDL = "kind byte, shard int, key long, hash long, data binary"
 
 
-def _spans(d: np.ndarray, p: np.ndarray, n: np.ndarray, shards: int = 1) -> pa.RecordBatch:
-    """A row per document with its spans (start, end) as 32-bit numbers; d has rows (key, hash)."""
+def _spans(d: np.ndarray, p: np.ndarray, n: np.ndarray, shards: int) -> pa.RecordBatch:
+    """A row per shard with the spans of its documents, joined where they meet; d has rows (key, hash)."""
     if not len(d):
         return packed([], _ROWS)
+    bucket = d[:, 1] % shards
+    by = np.lexsort((p, d[:, 1], d[:, 0], bucket))
+    d, p, end, bucket = d[by], p[by], (p + n + WINDOW - 1)[by], bucket[by]
+    new = np.r_[True, (d[1:] != d[:-1]).any(1)]
+    # one axis for all documents
+    at = np.cumsum(new) << 34
+    upto = np.maximum.accumulate(at + end)
+    first = np.flatnonzero(np.r_[True, (at + p)[1:] > upto[:-1]])
+    last = np.r_[first[1:], len(p)] - 1
+    own = np.flatnonzero(new)
+    keys, which = d[own], (np.cumsum(new) - 1)[first]
+    columns = {"d": which, "p": p[first], "e": upto[last] - at[first]}
+    cut = np.searchsorted(bucket[first], np.arange(shards + 1))
+    rows = [(SPANS, i, 0, 0, _blob(keys, {f: x[cut[i] : cut[i + 1]] for f, x in columns.items()})) for i in range(shards) if cut[i + 1] > cut[i]]
+    return packed(rows, _ROWS)
+
+
+def _by_document(batches):
+    """The spans of each document of a shard, as (start, end) in 32 bits."""
+    held = [_unblob(raw.as_py(), ("d", "p", "e")) for batch in batches for raw in batch.column(4)]
+    schema = pa.schema([("key", pa.int64()), ("hash", pa.int64()), ("spans", pa.binary())])
+    if not held:
+        return
+    d, p, e = (np.concatenate([h[f] for h in held]) for f in ("d", "p", "e"))
     by = np.lexsort((p, d[:, 1], d[:, 0]))
-    d, p, n = d[by], p[by], n[by]
+    d, p, e = d[by], p[by], e[by]
     first = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]).any(1)])
-    ends = np.stack([p, p + n + WINDOW - 1], 1).astype(np.int32)
-    offsets = (np.r_[first, len(d)] * 8).astype(np.int32)
-    data = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(ends.tobytes())])
-    columns = [np.full(len(first), SPANS, np.int8), (d[first, 1] % shards).astype(np.int32), d[first, 0], d[first, 1]]
-    return pa.RecordBatch.from_arrays([*map(pa.array, columns), data], schema=_ROWS)
+    ends = np.stack([p, e], 1).astype(np.int32)
+    for i in range(0, len(first), 10_000):
+        some = np.r_[first, len(d)][i : i + 10_001]
+        offsets = ((some - some[0]) * 8).astype(np.int32)
+        data = pa.BinaryArray.from_buffers(pa.binary(), len(some) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(ends[some[0] : some[-1]].tobytes())])
+        yield pa.RecordBatch.from_arrays([pa.array(d[some[:-1], 0]), pa.array(d[some[:-1], 1]), data], schema=schema)
 
 
 def _parts(batches):
@@ -253,7 +279,7 @@ def _index(shards: int):
     return run
 
 
-def _merge(folder: str):
+def _merge(folder: str, shards: int):
     """Runs the family of each shard over its batches; spans of what is lost, and the g of several stretches in a file."""
 
     def run(batches):
@@ -261,7 +287,7 @@ def _merge(folder: str):
 
         def end():
             if family.lost:
-                yield _spans(*(np.concatenate(x) for x in zip(*family.lost, strict=True)))
+                yield _spans(*(np.concatenate(x) for x in zip(*family.lost, strict=True)), shards)
             family.lost = []
             if len(g := family.several()):
                 family.levels = []
@@ -339,33 +365,37 @@ def _windows(shards: int, files: list[tuple[int, str]], index_shards: int):
     return run
 
 
-def _later(batches):
+def _later(shards: int):
     """Of the windows of each shard, all but the first of those with one fingerprint."""
-    shard, held, n = None, [], 0
-
-    def reduced():
-        x = {f: np.concatenate([h[f] for h in held]) for f in ("g", "d", "p")}
-        by = np.lexsort((x["p"], x["d"][:, 1], x["d"][:, 0], x["g"]))
-        x = {f: v[by] for f, v in x.items()}
-        first = np.r_[True, x["g"][1:] != x["g"][:-1]]
-        head = np.flatnonzero(first)[np.cumsum(first) - 1]
-        again = (x["d"] != x["d"][head]).any(1) | (x["p"] != x["p"][head])
-        return {f: v[first] for f, v in x.items()}, _spans(x["d"][again], x["p"][again], np.ones(again.sum(), np.int64))
-
-    for i, raw in _parts(batches):
-        if i is None:
-            yield raw
-            continue
-        if i != shard or n > 2_000_000:
-            if held:
-                kept, spans = reduced()
-                yield spans
-                held, n = ([kept], 0) if i == shard else ([], 0)
-            shard = i
-        held.append(_unblob(raw, ("g", "d", "p")))
-        n += len(held[-1]["g"])
-    if held:
-        yield reduced()[1]
+
+    def run(batches):
+        shard, held, n = None, [], 0
+
+        def reduced():
+            x = {f: np.concatenate([h[f] for h in held]) for f in ("g", "d", "p")}
+            by = np.lexsort((x["p"], x["d"][:, 1], x["d"][:, 0], x["g"]))
+            x = {f: v[by] for f, v in x.items()}
+            first = np.r_[True, x["g"][1:] != x["g"][:-1]]
+            head = np.flatnonzero(first)[np.cumsum(first) - 1]
+            again = (x["d"] != x["d"][head]).any(1) | (x["p"] != x["p"][head])
+            return {f: v[first] for f, v in x.items()}, _spans(x["d"][again], x["p"][again], np.ones(again.sum(), np.int64), shards)
+
+        for i, raw in _parts(batches):
+            if i is None:
+                yield raw
+                continue
+            if i != shard or n > 2_000_000:
+                if held:
+                    kept, spans = reduced()
+                    yield spans
+                    held, n = ([kept], 0) if i == shard else ([], 0)
+                shard = i
+            held.append(_unblob(raw, ("g", "d", "p")))
+            n += len(held[-1]["g"])
+        if held:
+            yield reduced()[1]
+
+    return run
 
 
 def merged(spans: np.ndarray, n: int) -> np.ndarray:
@@ -397,23 +427,22 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     files = scratch(spark, "several")
 
     def by_shard(df: DataFrame) -> DataFrame:
-        return df.repartition(shards, "shard").sortWithinPartitions("shard", "kind", "key", "hash")
+        return df.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "kind", "key", "hash")
 
-    levels = table(by_shard(narrow.mapInArrow(_index(shards), _DDL)).mapInArrow(_merge(files), _DDL), "levels")
+    levels = table(by_shard(narrow.mapInArrow(_index(shards), _DDL)).mapInArrow(_merge(files, shards), _DDL), "levels")
     found = [(r.shard, bytes(r.data).decode()) for r in levels.filter(F.col("kind") == FILE).select("shard", "data").collect()]
-    windows = by_shard(narrow.mapInArrow(_windows(shards, found, shards), _DDL)).mapInArrow(_later, _DDL)
-    spans = levels.filter(F.col("kind") == SPANS).unionByName(windows)
-    spans = spans.groupBy("key", "hash").agg(F.collect_list("data").alias("spans"))
+    windows = by_shard(narrow.mapInArrow(_windows(shards, found, shards), _DDL)).mapInArrow(_later(shards), _DDL)
+    spans = levels.filter(F.col("kind") == SPANS).unionByName(windows).repartitionById(shards, F.col("shard")).mapInArrow(_by_document, "key long, hash long, spans binary")
     extra = [f for f in rows.schema if f.name.startswith("carry_")]
-    both = rows.join(spans, ["key", "hash"], "left").select("key", "none", "text", F.array_join(F.transform("spans", lambda x: F.hex(x)), "").alias("spans"), *[f.name for f in extra])
+    both = rows.join(spans, ["key", "hash"], "left").select("key", "none", "text", "spans", *[f.name for f in extra])
     schema = pa.schema(made)
 
     def run(batches):
         for batch in batches:
             out = []
-            for key, none, raw, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()), batch.column(3).to_pylist(), strict=True):
+            for key, none, raw, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()), batch.column(3), strict=True):
                 raw = raw.as_py()
-                gone = merged(np.frombuffer(bytes.fromhex(spans or ""), np.int32).reshape(-1, 2), len(raw))
+                gone = merged(np.frombuffer(spans.as_py() or b"", np.int32).reshape(-1, 2), len(raw))
                 kept, at = [], 0
                 for a, z in gone.tolist():
                     kept.append(raw[at:a])
