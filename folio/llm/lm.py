@@ -10,13 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat, load_array, mix, packed, prefix_hash, remainder, runs, save_array, scratch, span_hash, table, words
+from .common import flat, give_back, load_array, mix, packed, prefix_hash, remainder, runs, save_array, scratch, span_hash, table, words
 
 #: Bytes of text whose counts are merged before they are sent, that are hashed at once, that are scored at once, and whose bigrams one shard holds.
 BATCH, CHUNK, SCORED, SHARD = 16_000_000, 2_000_000, 6_000_000, 16_000_000
 #: Token hashes have 56 bits; these two stand for the begin and the end of a text.
 BITS = 56
 BEGIN, END = np.uint64(1), np.uint64(2)
+#: Tokens that make up at least this share of a sample are first tokens of so many bigrams that these are dealt by their second token.
+HOT, HOT_SAMPLE = 1 / 500, 20_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
@@ -47,6 +49,12 @@ def _shard_of(a: np.ndarray, shards: int) -> np.ndarray:
     return ((a >> np.uint64(BITS - 32)) * np.uint64(shards)) >> np.uint64(32)
 
 
+def _deal(a: np.ndarray, b: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
+    """The shards of bigrams: by the first token, or by the second where the first is hot."""
+    at = np.minimum(np.searchsorted(hot, a), len(hot) - 1)
+    return _shard_of(np.where(hot[at] == a, b, a), shards)
+
+
 def _bytes7(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
 
@@ -98,7 +106,28 @@ def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(a, own), b, count
 
 
-def _count(shards: int):
+def _frequent(batches):
+    """Of a sample, the tokens of each batch that may be hot, with their counts, and all tokens' number as token 0."""
+    for batch in batches:
+        tok = tokens(*flat(batch.column(0)))[0]
+        token, count = np.unique(tok, return_counts=True)
+        some = count >= HOT / 4 * len(tok)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[np.uint64(0), token[some]].astype(np.int64)), pa.array(np.r_[len(tok), count[some]].astype(np.int64))], names=["token", "n"])
+
+
+def hot_tokens(docs: DataFrame, size: int, text: str = "text") -> np.ndarray:
+    """BEGIN and the tokens that are frequent in a sample of about HOT_SAMPLE bytes: at most a few hundred.
+
+    They decide only where bigrams are summed, not what the sums are.
+    """
+    some = docs.filter(F.pmod(F.xxhash64(text), F.lit(max(1, size // HOT_SAMPLE))) == 0).select(F.coalesce(F.col(text), F.lit("")).alias("text"))
+    n = some.mapInArrow(_frequent, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    rows = {r.token: r.n for r in n.orderBy(F.desc("n")).limit(1000).collect()}
+    least = HOT * rows.pop(0, 0)
+    return np.array(sorted({int(BEGIN)} | {t for t, k in rows.items() if k >= least}), np.uint64)
+
+
+def _count(shards: int, hot: np.ndarray):
     def run(batches):
         for batch in batches:
             data, begin = flat(batch.column(1))
@@ -106,9 +135,13 @@ def _count(shards: int):
                 lo, hi = int(begin[first]), int(begin[last])
                 tok, before, _ = tokens(data[lo:hi], begin[first : last + 1] - lo)
                 (a, b), count = _summed([before, tok], np.ones(len(tok), np.int64))
-                cut = np.searchsorted(_shard_of(a, shards), np.arange(shards + 1, dtype=np.uint64))
+                shard = _deal(a, b, hot, shards)
+                by = np.argsort(shard, kind="stable")
+                a, b, count = a[by], b[by], count[by]
+                cut = np.searchsorted(shard[by], np.arange(shards + 1, dtype=np.uint64))
                 rows = [(i, int(b[cut[i]] ^ a[cut[i]]), _pack(a[x:z], b[x:z], count[x:z])) for i in range(shards) if (x := cut[i]) < (z := cut[i + 1])]
                 yield packed(rows, _ROWS)
+                give_back()
 
     return run
 
@@ -136,12 +169,12 @@ def _grouped(batches):
         yield shard, held
 
 
-#: What a shard of the bigrams returns: files, sums, and, for other shards, in how many bigrams a token is second.
-_MERGED = pa.schema([("shard", pa.int32()), ("files", pa.list_(pa.string())), ("sums", pa.list_(pa.int64())), ("to", pa.int32()), ("data", pa.binary())])
-_MERGED_DDL = "shard int, files array<string>, sums array<long>, to int, data binary"
+#: What a shard of the bigrams returns: files and sums; a hot token's part of its sums; and, for other shards, in how many bigrams tokens are second.
+_MERGED = pa.schema([("shard", pa.int32()), ("files", pa.list_(pa.string())), ("sums", pa.list_(pa.int64())), ("hot", pa.int64()), ("to", pa.int32()), ("data", pa.binary())])
+_MERGED_DDL = "shard int, files array<string>, sums array<long>, hot long, to int, data binary"
 
 
-def _merge(shards: int, folder: str):
+def _merge(shards: int, folder: str, hot: np.ndarray):
     def run(batches):
         for shard, parts in _grouped(batches):
             a, b, count = (np.concatenate(x) for x in zip(*map(_unpack, parts), strict=True))
@@ -153,9 +186,11 @@ def _merge(shards: int, folder: str):
             key = _key(a, b)
             one = np.sort(key[count == 1])
             more = np.argsort(key[count > 1])
-            files = [save_array(folder, one), save_array(folder, key[count > 1][more]), save_array(folder, count[count > 1][more]), save_array(folder, a[first]), save_array(folder, np.stack([total, *ns], 1))]
-            texts = int(total[a[first] == BEGIN].sum())
-            yield packed([(shard, files, [*_of_counts(count).tolist(), len(count), int(total.sum()), texts], None, None)], _MERGED)
+            token, own = a[first], np.stack([total, *ns], 1)
+            at = np.isin(token, hot)
+            files = [save_array(folder, x) for x in (one, key[count > 1][more], count[count > 1][more], token[~at], own[~at])]
+            yield packed([(shard, files, [*_of_counts(count).tolist(), len(count)], None, None, None)], _MERGED)
+            yield packed([(shard, None, x, t, None, None) for t, x in zip(token[at].tolist(), own[at].tolist(), strict=True)], _MERGED)
             del key, one, more
             (b,), n = _summed([b], np.ones(len(b), np.int64))
             cut = np.searchsorted(_shard_of(b, shards), np.arange(shards + 1, dtype=np.uint64))
@@ -164,7 +199,8 @@ def _merge(shards: int, folder: str):
                 if x < z:
                     small, large = np.minimum(n[x:z], 255).astype(np.uint8), n[x:z][n[x:z] >= 255]
                     raw = np.array([z - x, len(large)], np.int64).tobytes() + _bytes7(b[x:z]) + small.tobytes() + large.tobytes()
-                    yield packed([(shard, None, None, i, raw)], _MERGED)
+                    yield packed([(shard, None, None, None, i, raw)], _MERGED)
+            give_back()
 
     return run
 
@@ -177,7 +213,7 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.0), float(k)) for k in (1, 2, 3))
 
 
-def _vocabulary(folder: str, contexts: dict[int, list[str]], texts: int, d: tuple[float, float, float]):
+def _vocabulary(folder: str, shards: int, contexts: dict[int, list[str]], hot: dict[int, list[int]], d: tuple[float, float, float]):
     """Per shard the tokens, their counts, the bigrams they are second in, and the weight that they leave as a first token."""
 
     def run(batches):
@@ -193,16 +229,19 @@ def _vocabulary(folder: str, contexts: dict[int, list[str]], texts: int, d: tupl
             files = contexts.get(shard)
             a = np.array(load_array(files[3])) if files else np.zeros(0, np.uint64)
             of = np.array(load_array(files[4])) if files else np.zeros((0, 4), np.int64)
+            own = np.array(sorted(hot), np.uint64)
+            own = own[_shard_of(own, shards) == shard]
+            a, of = np.r_[a, own], np.vstack([of, np.array([hot[t] for t in own.tolist()], np.int64).reshape(-1, 4)])
             token = np.union1d(a, b)
             second, count, weight = np.zeros(len(token), np.uint32), np.zeros(len(token), np.int64), np.ones(len(token), np.float32)
             second[np.searchsorted(token, b)] = n
             i = np.searchsorted(token, a)
             count[i] = of[:, 0]
             weight[i] = (of[:, 1:] @ np.array(d)) / of[:, 0]
-            count[token == END] = texts
+            count[token == END] = hot.get(int(BEGIN), [0])[0]
             real = token != BEGIN
             sums = [*_of_counts(second[real]).tolist(), int((second[real] >= 3).sum()), int(real.sum()), int(count[real].sum())]
-            yield packed([(shard, [save_array(folder, x) for x in (token, count, second, weight)], sums, None, None)], _MERGED)
+            yield packed([(shard, [save_array(folder, x) for x in (token, count, second, weight)], sums, None, None, None)], _MERGED)
 
     return run
 
@@ -212,6 +251,7 @@ class Model:
     """Where the arrays are, by shard, and the few numbers that hold for all."""
 
     shards: int
+    hot: np.ndarray
     bigrams: dict[int, list[str]]
     vocabulary: dict[int, list[str]]
     d2: tuple[float, float, float]
@@ -263,7 +303,7 @@ class Model:
         base = np.log10((count + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
         d = np.r_[0.0, self.d1][np.minimum(second, 3)]
         low = (second - d) / max(self.types, 1) + (self.left if self.types else 1.0) / (self.distinct + 1)
-        shard, key = _shard_of(before, self.shards), _key(before, tok)
+        shard, key = _deal(before, tok, self.hot, self.shards), _key(before, tok)
         by = np.lexsort((key, shard))
         shard, key = shard[by], key[by]
         new = np.r_[True, (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])] if len(key) else np.zeros(0, bool)
@@ -281,7 +321,7 @@ def train(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD) -> Mode
     """The model of all texts of docs; null is empty, and every text ends with one end token.
 
     Batches of texts are counted where they are read, and only their distinct bigrams are shuffled, to shards by ranges of
-    the first token's hash. A shard sums them and writes sorted arrays below the shared folder; a second, smaller shuffle
+    the first token's hash, or of the second's where the first is one of the few hot ones. A shard sums them and writes sorted arrays below the shared folder; a second, smaller shuffle
     tells each token in how many bigrams it is second. To the driver come file names and a few sums for each shard. What a
     task that runs again has written before isn't named in its result, and so is never read.
     """
@@ -289,23 +329,24 @@ def train(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD) -> Mode
     body = docs.select(F.lit(0).alias("one"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = body.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards, folder = max(1, math.ceil(size / shard_bytes)), scratch(spark, "lm")
-    parts = body.mapInArrow(_count(shards), _DDL).repartition(shards, "shard").sortWithinPartitions("shard", "part")
-    merged = table(parts.mapInArrow(_merge(shards, folder), _MERGED_DDL), "bigrams")
+    hot = hot_tokens(body, size)
+    parts = body.mapInArrow(_count(shards, hot), _DDL).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "part")
+    merged = table(parts.mapInArrow(_merge(shards, folder, hot), _MERGED_DDL), "bigrams")
     done = merged.filter("files IS NOT NULL").select("shard", "files", "sums").collect()
-    sums = np.array([r.sums for r in done], np.int64).reshape(-1, 7).sum(0).tolist()
+    sums = np.array([r.sums for r in done], np.int64).reshape(-1, 5).sum(0).tolist()
     bigrams, d2 = {r.shard: list(r.files) for r in done}, discounts(sums[:4])
+    part = merged.filter("hot IS NOT NULL").groupBy("hot").agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range(4)])
+    own_sums = {r.hot: [r.s0, r.s1, r.s2, r.s3] for r in part.collect()}
     seconds = merged.filter("to IS NOT NULL").select(F.col("to").alias("shard"), F.col("shard").alias("part"), "data")
-    seconds = seconds.repartition(shards, "shard").sortWithinPartitions("shard", "part")
-    # a shard may hold first tokens only: none does unless it holds the begin alone, which is looked up as a context
-    begin_shard = int(_shard_of(np.array([BEGIN]), shards)[0])
-    empty = np.zeros(2, np.int64).tobytes()
-    seconds = seconds.unionByName(spark.createDataFrame([(begin_shard, -1, bytearray(empty))], _DDL)).repartition(shards, "shard").sortWithinPartitions("shard", "part")
-    done = table(seconds.mapInArrow(_vocabulary(folder, bigrams, sums[6], d2), _MERGED_DDL), "vocabulary").select("shard", "files", "sums").collect()
+    # shards without a second token still may hold first ones: a part of nothing for each
+    empty = spark.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(-1).cast("long").alias("part"), F.lit(bytearray(16)).alias("data"))
+    seconds = seconds.unionByName(empty).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "part")
+    done = table(seconds.mapInArrow(_vocabulary(folder, shards, bigrams, own_sums, d2), _MERGED_DDL), "vocabulary").select("shard", "files", "sums").collect()
     vocabulary = {r.shard: list(r.files) for r in done}
     own = np.array([r.sums for r in done], np.int64).reshape(-1, 7).sum(0).tolist()
     d1, types = discounts(own[:4]), sums[4]
     left = (d1[0] * own[0] + d1[1] * own[1] + d1[2] * own[4]) / types if types else 1.0
-    return Model(shards, bigrams, vocabulary, d2, d1, types, left, own[5], own[6])
+    return Model(shards, hot, bigrams, vocabulary, d2, d1, types, left, own[5], own[6])
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -322,6 +363,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", carry: list[str] |
             for first, last in runs(begin, SCORED):
                 lo, hi = int(begin[first]), int(begin[last])
                 got = model.score(data[lo:hi], begin[first : last + 1] - lo)
+                give_back()
                 yield pa.RecordBatch.from_arrays([*(c.slice(first, last - first) for c in batch.columns[1:]), *(pa.array(x, t) for x, (_, t) in zip(got, made, strict=True))], names=[*batch.schema.names[1:], *[n for n, _ in made]])
 
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text_"), *[F.col(f"`{c}`") for c in carry or []])

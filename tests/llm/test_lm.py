@@ -99,7 +99,7 @@ def _p_first(model, w):
     token, index = np.unique(np.r_[tok[:1], before[:1]], return_inverse=True)
     count, second, weight = model.look_up(token)
     i, j = index[0], index[1]
-    both = model.bigram_counts(lm._shard_of(before[:1], model.shards), lm._key(before[:1], tok[:1]))[0]
+    both = model.bigram_counts(lm._deal(before[:1], tok[:1], model.hot, model.shards), lm._key(before[:1], tok[:1]))[0]
     d1, d2 = np.r_[0.0, model.d1], np.r_[0.0, model.d2]
     low = (second[i] - d1[min(second[i], 3)]) / model.types + model.left / (model.distinct + 1)
     return (both - d2[min(both, 3)]) / count[j] + weight[j] * low
