@@ -196,23 +196,20 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     schema = pa.schema([("uri", pa.string()), ("records", pa.int64())])
 
     def run(batches):
-        count = 0
-
         def records():
-            nonlocal count
             for batch in batches:
                 for i, u, h, again, kept in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    count += 1
                     yield record(i, u, h.encode(), (kept,) if again else None)
 
         for archive in archives(records()):
-            before, uri = count, f"{folder}/{uuid.uuid4().hex}.warc.zst"
+            n, uri = -1, f"{folder}/{uuid.uuid4().hex}.warc.zst"  # the first part is the dictionary
             store, path = _at(uri)
             store.create_dir(path.rpartition("/")[0], recursive=True)
-            with store.open_output_stream(path) as to:
+            with store.open_output_stream(path, compression=None) as to:
                 for part in archive:
                     to.write(part)
-            yield packed([(uri, count - before)], schema)
+                    n += 1
+            yield packed([(uri, n)], schema)
 
     return table(rows.mapInArrow(run, "uri string, records long"), "archives")
 
@@ -237,7 +234,7 @@ def read_archives(listed: DataFrame, strict: bool = True) -> DataFrame:
     def records(uri: str):
         store, path = _at(uri)
         try:
-            with store.open_input_stream(path) as f:
+            with store.open_input_stream(path, compression=None) as f:
                 for data in frames(f.read):
                     r = parse(data)
                     algorithm, _, digest = (r["digest"] or _sha1(r["payload"])).partition(":")
