@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
-from .exact import BITS_A_ROW, MOST_BITS, PAGE, bit
+from .exact import BITS_A_ROW, MOST_BITS, PAGE, bit, bitmaps
 
 #: Lines of fewer characters are never compared nor dropped; from LONG characters on, two edits are allowed, else one.
 LEAST, LONG = 20, 40
@@ -95,17 +95,17 @@ def near_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     index = table(lines.select(hashed, F.explode(F.expr(index_keys("line", "n"))).alias("seg")).distinct(), "segments")
     bits = min(MOST_BITS, max(PAGE, 1 << math.ceil(math.log2(max(1, index.count()) * BITS_A_ROW))))
     place = F.pmod("seg", F.lit(bits))
-    maps = index.groupBy((place / PAGE).cast("long").alias("page")).agg(F.bitmap_construct_agg(place % PAGE).alias("bitmap"))
     probes = lines.select(hashed, F.explode(F.expr(probe_keys("line", "n"))).alias("seg"))
-    probes = probes.join(F.broadcast(table(maps, "bloom")), (place / PAGE).cast("long") == F.col("page"))
-    probes = table(probes.filter(bit(F.col("bitmap"), place % PAGE)).select("h", "seg").distinct(), "probes")
+    probes = probes.join(F.broadcast(table(bitmaps(index, place), "bloom")), (place / PAGE).cast("long") == F.col("page"))
+    probes = table(probes.filter(bit(F.col("words"), place % PAGE)).select("h", "seg").distinct(), "probes")
     keys = index.withColumn("own", F.lit(1)).unionByName(probes.withColumn("own", F.lit(0)))
     common = keys.groupBy("seg").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.max("own").alias("any")).filter("lo <> hi AND any = 1").select("seg")
     keys = table(keys.join(_sent(table(common, "common")), "seg"), "keys")
     wanted = table(keys.select("h").distinct(), "wanted")
     texts = lines.select(hashed, "line").join(_sent(wanted), "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
-    sketch = F.expr("aggregate(sequence(1, length(line) - 1), 0L, (s, i) -> s ^ shiftleft(1L, cast(pmod(xxhash64(substring(line, i, 2)), 64) AS int)))")
-    texts = table(texts.withColumn("sketch", sketch), "texts")
+    pairs_of = "zip_with(slice(c_, 1, size(c_) - 1), slice(c_, 2, size(c_)), (a, b) -> cast(pmod(xxhash64(a, b), 64) AS int))"
+    texts = texts.withColumn("c_", F.split("line", "")).withColumn("sketch", F.expr(f"aggregate({pairs_of}, 0L, (s, p) -> s ^ shiftleft(1L, p))")).drop("c_")
+    texts = table(texts, "texts")
     keys = keys.join(_sent(texts.select("h", "sketch")), "h")
     other = keys.select("seg", F.col("h").alias("h2"), F.col("sketch").alias("sketch2"), F.col("own").alias("own2"))
     close = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sketch2"))) <= 2 * BITS_AN_EDIT
