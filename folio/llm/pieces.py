@@ -16,7 +16,7 @@ from .common import packed
 #: Symbols of a word up to which it takes part in the vectorised rounds; longer ones use a heap, whose time doesn't grow with the square.
 LONG = 200
 #: Symbols in one set of rounds, and words kept with their ids.
-AT_ONCE, KEPT = 400_000, 400_000
+AT_ONCE, KEPT = 400_000, 600_000
 #: A line break, spaces with what follows them, or spaces at the end of a line.
 WORD = re.compile(r"\n| *[^ \n]+| +")
 _loaded: dict[str, Pieces] = {}
@@ -83,10 +83,10 @@ class Pieces:
         """
         place = np.arange(len(symbols))
         done: list[tuple[np.ndarray, ...]] = []
+        rank = np.full(len(symbols), self.none, np.int64)
+        near = np.flatnonzero(word[1:] == word[:-1])
+        rank[near] = self.rank(symbols[near], symbols[near + 1])
         while len(symbols):
-            rank = np.full(len(symbols), self.none, np.int64)
-            if len(symbols) > 1:
-                rank[:-1] = np.where(word[1:] == word[:-1], self.rank(symbols[:-1], symbols[1:]), self.none)
             first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             sizes = np.diff(np.r_[first, len(symbols)])
             # rank and place in one number: the least is the leftmost of the least
@@ -98,11 +98,17 @@ class Pieces:
                 if not live.any():
                     break
             at = best[live] % len(symbols)
-            symbols = symbols.copy()
             symbols[at] = self.merged[np.searchsorted(self.pairs, symbols[at] * (self.n + 1) + symbols[at + 1])]
             keep = np.repeat(live, sizes)
             keep[at + 1] = False
-            symbols, word, place = symbols[keep], word[keep], place[keep]
+            at = np.cumsum(keep)[at] - 1
+            symbols, word, place, rank = symbols[keep], word[keep], place[keep], rank[keep]
+            # only the pairs with a merged symbol are new
+            rank[at] = self.none
+            for left in (at - 1, at):
+                left = left[(left >= 0) & (left + 1 < len(symbols))]
+                left = left[word[left] == word[left + 1]]
+                rank[left] = self.rank(symbols[left], symbols[left + 1])
         if not done:
             return symbols, word, place
         symbols, word, place = (np.concatenate(x) for x in zip(*done, strict=True))
@@ -187,12 +193,12 @@ class Pieces:
 
     def learn(self, texts: list[list[str]]) -> None:
         """Encodes and decodes the words that aren't known yet."""
-        new = {w for ws in texts for w in ws} - self.ids_of.keys()
+        all_words = set().union(*texts)
+        new = [w for w in all_words if w not in self.ids_of]
         if len(self.ids_of) + len(new) > KEPT:
             self.ids_of.clear()
             self.text_of.clear()
-            new = {w for ws in texts for w in ws}
-        new = list(new)
+            new = list(all_words)
         for w, ids in zip(new, self.encode_words(new), strict=True):
             self.ids_of[w] = ",".join(map(str, ids))
             self.text_of[w] = self.decode_bytes(ids)
