@@ -43,27 +43,31 @@ def index_keys(line: str, n: str) -> str:
     return f"CASE WHEN {n} >= {LONG} THEN {of(2)} ELSE {of(1)} END"
 
 
-def probe_keys(line: str, n: str) -> str:
-    """SQL for an array of keys, other than the line's own, under which a line no longer than this one, and within its edits, can be indexed.
+def probes() -> list[tuple[int, int, int, int]]:
+    """(edits, less, i, shift): where lines probe for segment i of lines that are shorter by `less` and allow so many edits.
 
-    For each shorter length and each of its segments only the places are probed at which a segment can stand when the
-    edits before it and behind it are as few as the others leave (multi-match-aware selection).
+    Only the places are probed at which a segment can stand when the edits before it and behind it are as few as the
+    others leave (multi-match-aware selection); a line's own segments are left out.
     """
-    def of(edits: int, less: int) -> str:
-        out, length = [], f"({n} - {less})"
-        for i in range(1, edits + 2):
-            at, size = segment(length, edits, i)
-            low, high = max(-(i - 1), less - (edits + 1 - i)), min(i - 1, less + edits + 1 - i)
-            out += [f"xxhash64({length}, {i}, substring({line}, {at} + {shift}, {size}))" for shift in range(low, high + 1) if less or shift]
-        return f"array({', '.join(out)})"
+    out = []
+    for edits in (1, 2):
+        for less in range(edits + 1):
+            for i in range(1, edits + 2):
+                low, high = max(-(i - 1), less - (edits + 1 - i)), min(i - 1, less + edits + 1 - i)
+                out += [(edits, less, i, shift) for shift in range(low, high + 1) if less or shift]
+    return out
+
 
-    # the shorter line's length decides how many edits there may be
-    parts = []
-    for less in (0, 1, 2):
-        two = of(2, less)
-        one = of(1, less) if less == 1 else "cast(array() AS array<bigint>)"  # of equal length, one edit leaves a segment in its place
-        parts.append(f"CASE WHEN {n} - {less} >= {LONG} THEN {two} WHEN {n} - {less} >= {LEAST} THEN {one} ELSE cast(array() AS array<bigint>) END")
-    return f"concat({', '.join(parts)})"
+def probed(lines: DataFrame) -> DataFrame:
+    """(h, seg): the keys under which lines no longer than each line, and within its edits, can be indexed.
+
+    One small expression a row, rather than a long one a line: the compiler leaves very long ones alone.
+    """
+    at = F.array(*[F.struct(F.lit(e).alias("e"), F.lit(d).alias("less"), F.lit(i).alias("i"), F.lit(x).alias("x")) for e, d, i, x in probes()])
+    rows = lines.select("line", _hash(F.col("line")).alias("h"), "n", F.explode(at).alias("p")).selectExpr("line", "h", "n - p.less AS m", "p.e AS e", "p.i AS i", "p.x AS x")
+    rows = rows.filter(f"m >= {LEAST} AND e = {allowed('m')}")
+    rows = rows.selectExpr("line", "h", "m", "i", "x", "e + 1 - m % (e + 1) AS even", "m div (e + 1) AS size")
+    return rows.selectExpr("h", "xxhash64(m, i, substring(line, cast((i - 1) * size + greatest(0, i - 1 - even) + 1 + x AS int), cast(size + CASE WHEN i > even THEN 1 ELSE 0 END AS int))) AS seg")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -95,8 +99,7 @@ def near_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     index = table(lines.select(hashed, F.explode(F.expr(index_keys("line", "n"))).alias("seg")).distinct(), "segments")
     bits = min(MOST_BITS, max(PAGE, 1 << math.ceil(math.log2(max(1, index.count()) * BITS_A_ROW))))
     place = F.pmod("seg", F.lit(bits))
-    probes = lines.select(hashed, F.explode(F.expr(probe_keys("line", "n"))).alias("seg"))
-    probes = probes.join(F.broadcast(table(bitmaps(index, place), "bloom")), (place / PAGE).cast("long") == F.col("page"))
+    probes = probed(lines).join(F.broadcast(table(bitmaps(index, place), "bloom")), (place / PAGE).cast("long") == F.col("page"))
     probes = table(probes.filter(bit(F.col("words"), place % PAGE)).select("h", "seg").distinct(), "probes")
     keys = index.withColumn("own", F.lit(1)).unionByName(probes.withColumn("own", F.lit(0)))
     common = keys.groupBy("seg").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.max("own").alias("any")).filter("lo <> hi AND any = 1").select("seg")
