@@ -172,8 +172,9 @@ def resolve(blk: DataFrame) -> DataFrame:
     return b.groupBy("doc_id").applyInPandas(_document, NOTES)
 
 
-def backlinks(typed: DataFrame) -> DataFrame:
-    """For each note key of a page the id of its first block."""
-    m = typed.filter(F.col("label") == "Footnote").withColumn("marker", T.marker(F.col("text"), True)).filter("marker IS NOT NULL")
+def backlinks(typed: DataFrame, blk: DataFrame) -> DataFrame:
+    """For each note key of a page the id of the first of its blocks; blk has the texts with their marks."""
+    m = blk.filter(F.col("label") == "Footnote").select(*PAGE, "block_idx", T.marker(F.col("text"), True).alias("marker")).filter("marker IS NOT NULL")
+    m = typed.select(*PAGE, "block_idx", "seq", "id").join(m, [*PAGE, "block_idx"])
     m = m.withColumn("scope_key", F.concat(F.lit("p"), "page_idx", F.lit(":"), "marker"))
     return m.groupBy("doc_id", "scope_key").agg(F.min_by("id", F.struct("page_idx", "seq")).alias("block_id"))

@@ -60,13 +60,35 @@ def verses(blk: DataFrame) -> DataFrame:
     return out.withColumn("verse_type", kind)
 
 
-def page_signals(blk: DataFrame) -> DataFrame:
-    """Per page: has it copyright, contents, back matter; its prose blocks and blocks."""
+def signs(blk: DataFrame) -> DataFrame:
+    """blk with head_type, indent, centered and sign: what its shape says it is.
+
+    A running head, else a copyright line or printer's key, else a verse or quote, a list item, a line of contents; null
+    if none.
+    """
+    key = [*PAGE, "block_idx"]
+    t = F.col("text")
+    heads = running_heads(blk).select(*key, "head_type")
+    b = verses(blk).join(heads, key, "left")
+    sign = (
+        F.when(F.col("head_type").isNotNull(), F.col("head_type"))
+        .when(T.is_printer_key(t) | T.is_copyright(t), "copyright")
+        .when(F.col("verse_type").isNotNull(), F.col("verse_type"))
+        .when(T.is_list_item(t), "list_item")
+        .when(T.is_toc(t), "toc")
+    )
+    return b.withColumn("sign", sign)
+
+
+def page_signals(signed: DataFrame) -> DataFrame:
+    """Per page of signs(): has it copyright, contents, back matter; its prose blocks and blocks."""
     t, heading = F.col("text"), F.col("label").isin("SectionHeader", "Title")
     prose = (F.col("label").isNull() | (F.col("label") == "Text")) & (F.length("text") > 80)
-    contents = T.is_toc(t) | (heading & (F.coalesce(T.nav(t), F.lit("")) == "toc"))
-    back = heading & (F.coalesce(T.nav(t), F.lit("")).isin("index", "bibliography") | T.is_notes_heading(t))
-    return blk.groupBy(*PAGE).agg(F.bool_or(T.is_copyright(t)).alias("copyright"), F.bool_or(contents).alias("toc"), F.count_if(prose).alias("prose"), F.bool_or(back).alias("back"), F.count(F.lit(1)).alias("n_blocks"))
+    sign = F.coalesce("sign", F.lit(""))
+    contents = (sign == "toc") | (heading & t.rlike("(?i)" + T.CONTENTS))
+    back = heading & t.rlike("(?i)" + T.BACK_MATTER)
+    g = F.coalesce
+    return signed.groupBy(*PAGE).agg(F.bool_or(sign == "copyright").alias("copyright"), g(F.bool_or(contents), F.lit(False)).alias("toc"), F.count_if(prose).alias("prose"), g(F.bool_or(back), F.lit(False)).alias("back"), F.count(F.lit(1)).alias("n_blocks"))
 
 
 def regions(signals: DataFrame) -> DataFrame:
@@ -80,46 +102,60 @@ def regions(signals: DataFrame) -> DataFrame:
     return s.withColumn("region", region).drop("end_", "back_", "n")
 
 
-def typed(blk: DataFrame, low_confidence: float = 0.6) -> DataFrame:
+def typed(blk: DataFrame, low_confidence: float = 0.6, notes: DataFrame | None = None, compose: bool = False) -> DataFrame:
     """Blocks in reading order with id, type, level, chapter, region, citation cues and review flag.
 
-    Types are decided in steps: the label; headings of contents, index and bibliography pass theirs on to the blocks below,
-    across pages, until another heading; numbers alone are page numbers; then running heads, printers' keys and copyright
-    lines, verses and quotes, list items and contents; last, the region decides about epigraphs and colophons.
+    Types are decided in steps: the label; a running head or heading of contents, index or bibliography passes its kind on
+    to the blocks below it, headings across pages until the next one; lines of contents beat notes; notes(doc_id, page_idx,
+    block_idx, note_type), if given, beat labels; then what shape and region say: verses, quotes, epigraphs and list items
+    for body blocks, furniture for all but tables, copyright and contents for all but headings and tables.
     """
     key = [*PAGE, "block_idx"]
-    t = F.col("text")
-    heads = running_heads(blk).select(*key, "head_type")
-    ver = verses(blk).select(*key, "indent", "centered", "verse_type")
-    sig = page_signals(blk)
-    reg = regions(sig).select(*PAGE, "region", F.col("copyright").alias("p_copyright"), F.col("toc").alias("p_toc"), "prose", "n_blocks")
-    unsure = overlapping(blk).select(*key).withColumn("overlaps", F.lit(True))
-    b = reading_order(blk).join(heads, key, "left").join(ver, key, "left").join(reg, PAGE, "left").join(unsure, key, "left")
+    signed = signs(blk)
+    sig = page_signals(signed)
+    reg = regions(sig).select(*PAGE, "region", ((F.col("region") == "front") & ~F.col("copyright") & ~F.col("toc") & (F.col("prose") == 0) & (F.col("n_blocks") <= 8)).alias("title_page"))
+    unsure = overlapping(blk).select(*key).withColumn("unsure", F.lit(True))
+    heads = blk.filter(F.col("label").isin("PageHeader", "Page-header")).withColumn("n", T.nav_of_head(F.col("text"))).filter("n IS NOT NULL")
+    heads = heads.groupBy(*PAGE).agg(F.min_by("n", "block_idx").alias("page_nav"))
+    b = reading_order(blk).join(signed.select(*key, "sign", "indent", "centered", "verse_type"), key, "left").join(reg, PAGE, "left").join(unsure, key, "left").join(heads, PAGE, "left")
+    b = b.join(notes, key, "left") if notes is not None else b.withColumn("note_type", F.lit(None).cast("string"))
     doc = Window.partitionBy("doc_id").orderBy("page_idx", "seq")
     so_far = doc.rowsBetween(Window.unboundedPreceding, 0)
-    base = label_type(F.col("label"))
-    b = b.withColumn("base", base).withColumn("heading", F.col("base") == "heading")
-    b = b.withColumn("nav", F.last(F.when(F.col("heading"), F.struct(T.nav(t).alias("nav"))), ignorenulls=True).over(so_far)["nav"])
-    b = b.withColumn("chapter", F.last(F.when(F.col("heading"), T.chapter(t)), ignorenulls=True).over(so_far))
-    kind = F.when(F.col("heading") & T.nav(t).isNotNull(), T.nav(t)).when(F.col("base").isin("body", "list_item") & F.col("nav").isNotNull(), F.col("nav")).otherwise(F.col("base"))
-    number = T.strip(t).rlike(r"^[\[(]?(\d{1,4}|[ivxlcdmIVXLCDM]{1,7})[\])]?$")
-    kind = F.when((F.col("base") == "body") & number, "page_number").otherwise(kind)
+    raw = F.col("text")
+    b = b.withColumns({"norm": T.normalize(raw, compose=compose), "base": label_type(F.col("label"))}).withColumn("heading", F.col("base") == "heading")
+    norm = F.col("norm")
+    b = b.withColumn("nav", F.last(F.when(F.col("heading"), F.struct(T.nav(norm).alias("nav"))), ignorenulls=True).over(so_far)["nav"])
+    b = b.withColumn("chapter", F.last(F.when(F.col("heading"), T.chapter(norm)), ignorenulls=True).over(so_far))
+    nav = F.coalesce("page_nav", "nav")
+    kind = F.when(F.col("base").isin("body", "list_item") & F.col("note_type").isNull() & nav.isNotNull(), nav).when(F.col("base").isin("page_header", "page_footer") & norm.rlike("(?i)" + T.PAGE_NUMBER), "page_number").otherwise(F.col("base"))
     b = b.withColumn("kind", kind)
-    cr = T.is_printer_key(t) | T.is_copyright(t)
-    kind = (
-        F.when(F.col("head_type").isNotNull() & (F.col("kind") != "table"), F.col("head_type"))
-        .when(cr & ~F.col("kind").isin("heading", "table"), F.when(F.col("region") == "back", "colophon").otherwise("copyright"))
-        .when((F.col("kind") == "body") & F.col("verse_type").isNotNull(), F.when(F.col("region").isin("front", "back"), F.when(F.size(T.lines(t)) >= 3, "epigraph").otherwise("body")).otherwise(F.col("verse_type")))
-        .when((F.col("kind") == "body") & T.is_list_item(t), "list_item")
-        .when(T.is_toc(t) & ~F.col("kind").isin("heading", "table"), "toc")
+    claimed = F.col("note_type").isNotNull() | F.col("kind").isin("footnote", "endnote")
+    in_toc = F.coalesce(F.col("page_nav") == "toc", F.lit(False)) | F.coalesce(F.col("nav") == "toc", F.lit(False))
+    b = b.withColumn("kind", F.when(claimed & T.note_is_toc(norm, in_toc), "toc").otherwise(F.coalesce("note_type", "kind")))
+    sign, region = F.coalesce("sign", F.lit("")), F.col("region")
+    lines = F.size(T.lines(raw))
+    shape = (
+        F.when((region == "back") & ((sign == "copyright") | (F.col("heading") & raw.rlike("(?iU)" + T.COLOPHON))), "colophon")
+        .when((region == "front") & T.is_dedication(raw) & ~sign.isin("copyright", "toc"), "dedication")
+        .when((region == "front") & F.col("title_page") & ~sign.isin("copyright", "toc", "page_header", "page_footer", "page_number", "epigraph", "dedication"), "title_page")
+        .when((region != "body") & sign.isin("verse", "quote"), F.when(~F.col("title_page") & (lines >= 3), "epigraph"))
+        .otherwise(F.col("sign"))
+    )
+    b = b.withColumn("shape", shape)
+    final = (
+        F.when(F.col("shape").isin("verse", "quote", "list_item", "epigraph"), F.when(F.col("kind") == "body", F.col("shape")).otherwise(F.col("kind")))
+        .when(F.col("shape").isin("page_header", "page_footer", "page_number", "title_page", "dedication", "colophon"), F.when(F.col("kind") != "table", F.col("shape")).otherwise(F.col("kind")))
+        .when(F.col("shape").isNotNull() & ~F.col("kind").isin("heading", "table"), F.col("shape"))
         .otherwise(F.col("kind"))
     )
-    b = b.withColumn("type", kind)
+    b = b.withColumn("type", final)
+    noted = F.col("kind").isin("footnote", "endnote")
+    b = b.withColumn("text", F.when(noted, T.without_mark(norm)).when(F.col("type").isin("verse", "epigraph") & (F.col("kind") == "body"), T.normalize(raw, False, compose)).otherwise(norm))
     before = F.lag("text", 1, "").over(doc)
     b = b.withColumn("before_", before)
-    lead, source = T.lead_in(F.col("before_")), T.trailing_source(t)
-    strong = lead | source.isNotNull()
-    b = b.withColumns({"colon": T.after_colon(F.col("before_")), "lead_in": lead, "source": source, "quote_candidate": (F.col("type") == "body") & strong})
-    review = F.coalesce(F.col("confidence") < low_confidence, F.lit(False)) | F.coalesce("overlaps", F.lit(False)) | F.col("quote_candidate")
+    lead, source = T.lead_in(F.col("before_")), T.trailing_source(F.col("text"))
+    b = b.withColumns({"colon": T.after_colon(F.col("before_")), "lead_in": lead, "source": source})
+    b = b.withColumn("quote_candidate", (F.col("type") == "body") & (F.col("lead_in") | F.col("source").isNotNull()))
+    review = F.coalesce(F.col("confidence") < low_confidence, F.lit(False)) | F.coalesce("unsure", F.lit(False)) | F.col("quote_candidate")
     b = b.withColumns({"needs_review": review, "id": F.format_string("b%05d", F.row_number().over(doc)), "level": F.when(F.col("heading"), T.heading_level(F.col("html"), F.col("label")))})
-    return b.drop("before_", "heading", "base", "kind")
+    return b.drop("before_", "heading", "base", "kind", "norm", "shape", "sign")

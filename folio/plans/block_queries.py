@@ -40,9 +40,9 @@ def d_dehyphenate(t: str) -> str:
     return rf"regexp_replace({t}, '([\p{{L}}\p{{N}}_])-\n[ \t]*([a-zà-ÿ])', '\1\2', 'g')"
 
 
-def d_norm(t: str) -> str:
+def d_norm(t: str, joined: bool = True) -> str:
     t = f"replace(replace({t}, 'ﬁ', 'fi'), '’', '''')"
-    t = rf"regexp_replace({d_dehyphenate(t)}, '[ \t]{{2,}}', ' ', 'g')"
+    t = rf"regexp_replace({d_dehyphenate(t) if joined else t}, '[ \t]{{2,}}', ' ', 'g')"
     t = rf"regexp_replace({t}, '[ \t]*\n[ \t]*', chr(10), 'g')"
     return d_strip(rf"regexp_replace({t}, '\n{{3,}}', chr(10) || chr(10), 'g')")
 
@@ -98,26 +98,38 @@ def d_copyright(t: str) -> str:
 
 
 def d_enumerator(t: str) -> str:
-    return f"(regexp_matches({t}, '{T.ENUMERATOR}') OR regexp_matches({t}, '{T.BULLET}'))"
+    return f"(regexp_matches({t}, '(?i){T.ENUMERATOR}') OR regexp_matches({t}, '{T.BULLET}'))"
 
 
 def d_toc(t: str) -> str:
-    return rf"(regexp_matches({t}, '\.{{4,}}|…{{2,}}') OR len(list_filter(string_split({t}, chr(10)), lambda x: regexp_matches(x, '\s\d{{1,4}}\s*$'))) >= 2)"
+    return f"(regexp_matches({t}, '{T.LEADERS}') OR len(list_filter(string_split({t}, chr(10)), lambda x: regexp_matches(x, '{T.TOC_LINE}'))) >= 2)"
+
+
+def _d_kind(t: str, kinds: list[tuple[str, str]]) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({t}, '(?i){p}') THEN '{k}'" for p, k in kinds) + " END"
 
 
 def d_nav(t: str) -> str:
-    s = f"lower({d_strip(t)})"
-    return f"CASE WHEN regexp_full_match({s}, 'index( of .*)?') THEN 'index' WHEN regexp_full_match({s}, 'bibliography|references|works cited|sources') THEN 'bibliography' WHEN regexp_full_match({s}, '(table of )?contents') THEN 'toc' END"
+    return _d_kind(t, T.NAV)
 
 
 def d_chapter(t: str) -> str:
-    return rf"nullif(lower(regexp_extract({t}, '(?i)^\s*((?:chapter|part)\s+(?:\d+|[ivxlcdm]+|[a-z]+))', 1)), '')"
+    return f"nullif(lower(regexp_extract({t}, '(?i){T.CHAPTER}', 1)), '')"
+
+
+def d_dedication(t: str) -> str:
+    return f"(regexp_matches({t}, '(?i){T.DEDICATION}') AND length({t}) < 200)"
+
+
+def d_note_toc(t: str, in_toc: str) -> str:
+    x = d_strip(f"replace({t}, chr(10), ' ')")
+    return f"(regexp_matches({x}, '{T.TOC_LEADERS}') OR ({in_toc} AND (regexp_matches({x}, '{T.TOC_DOTS}') OR (length({x}) <= 80 AND regexp_matches({x}, '{T.TOC_TAIL}')))))"
 
 
 W = r"[\p{L}\p{N}_]"
 D_COLON = r"regexp_matches(bt, '[:：]\s*$')"
-D_LEAD = rf"({D_COLON} AND regexp_matches(lower(bt), '(^|[^\p{{L}}\p{{N}}_])({'|'.join(T.SPEECH)})([^\p{{L}}\p{{N}}_]|$)'))"
-D_SOURCE = "coalesce(" + ", ".join(d_get(d_strip("text"), p) for p in (rf"\(([A-Z](?:{W}|\.)*(?:\s(?:{W}|\.)+)*\s\d+[.:]\d+[^)]*)\)\s*$", r"\((\s*(?:vv?|fol|pp?|D|Q|P|Toh|Derge)\.?\s[^)]*)\)\s*$", rf"—\s*([A-Z]{W}+(?:\s[A-Z]{W}+){{0,2}})\.?\s*$")) + ")"
+D_LEAD = rf"({D_COLON} AND regexp_matches(lower(bt), '(^|[^\p{{L}}\p{{N}}_])(?:{T.CUE_WORDS})([^\p{{L}}\p{{N}}_]|$)'))"
+D_SOURCE = d_get(d_strip("text"), T.SOURCE.replace(r"\w", r"\p{L}\p{N}_"))
 
 BLK = f"WITH {DUCK_BLK}"
 ORDER = f"""{BLK},
@@ -198,7 +210,7 @@ def extract_marker(spark, sf_dir):
     return b.filter("bare IS NOT NULL")
 
 
-@query(f"{BLK} SELECT {K}, coalesce({d_get(d_squeezed('text'), f'chapter({W}+)$')}, {d_get(d_squeezed('text'), f'to(?:the)?({W}+)$')}) AS scope FROM blk WHERE {d_notes('text')}")
+@query(f"{BLK} SELECT {K}, coalesce({d_get(d_squeezed('text'), 'chapter([a-z0-9]+)$')}, {d_get(d_squeezed('text'), 'to(?:the)?([a-z0-9]+)$')}) AS scope FROM blk WHERE {d_notes('text')}")
 def notes_heading(spark, sf_dir):
     b = blocks(spark, sf_dir).filter(T.is_notes_heading(F.col("text")))
     return b.select(*KEY, T.notes_scope(F.col("text")).alias("scope"))
@@ -247,7 +259,7 @@ for _name, _test, _sql in (
     _predicate(_name, _test, _sql)
 
 
-D_REF = d_get("text", r"^\s*(\d+(?:\.\d+)*)[.)—\-\s]")
+D_REF = d_get("text", r"^\s*(\d+(?:\.\d+)*)\s*[.)—\-\s]")
 
 
 @query(f"{BLK} SELECT {K}, {D_REF} AS ref_label FROM blk WHERE {D_REF} IS NOT NULL")
@@ -328,8 +340,12 @@ def running_heads(spark, sf_dir):
     return S.running_heads(blocks(spark, sf_dir)).select(*KEY, "head_type")
 
 
-SIGNALS = f"""sg AS (SELECT doc_id, page_idx, bool_or({d_copyright('text')}) AS copyright, bool_or({d_toc('text')} OR (label = 'SectionHeader' AND coalesce({d_nav('text')}, '') = 'toc')) AS toc,
-    count(*) FILTER (label = 'Text' AND length(text) > 80) AS prose, bool_or(label = 'SectionHeader' AND (coalesce({d_nav('text')}, '') IN ('index', 'bibliography') OR {d_notes('text')})) AS back, count(*) AS n_blocks FROM blk GROUP BY doc_id, page_idx)"""
+SIGNS = f"""{VERSE}, {HEADS},
+si AS (SELECT vt.*, rh.head_type, CASE WHEN rh.head_type IS NOT NULL THEN rh.head_type WHEN {d_key('vt.text')} OR {d_copyright('vt.text')} THEN 'copyright' WHEN verse_type IS NOT NULL THEN verse_type
+    WHEN {d_enumerator('vt.text')} AND NOT {d_ragged('vt.text')} THEN 'list_item' WHEN {d_toc('vt.text')} THEN 'toc' END AS sign FROM vt LEFT JOIN rh ON vt.doc_id = rh.doc_id AND vt.page_idx = rh.page_idx AND vt.block_idx = rh.block_idx)"""
+SIGNALS = f"""{SIGNS},
+sg AS (SELECT doc_id, page_idx, bool_or(coalesce(sign, '') = 'copyright') AS copyright, bool_or(coalesce(sign, '') = 'toc' OR (label = 'SectionHeader' AND regexp_matches(text, '(?i){T.CONTENTS}'))) AS toc,
+    count(*) FILTER (label = 'Text' AND length(text) > 80) AS prose, bool_or(label = 'SectionHeader' AND regexp_matches(text, '(?i){T.BACK_MATTER}')) AS back, count(*) AS n_blocks FROM si GROUP BY doc_id, page_idx)"""
 REGIONS = f"""{SIGNALS},
 sn AS (SELECT *, max(page_idx) OVER (PARTITION BY doc_id) + 1 AS n, min(CASE WHEN NOT (copyright OR toc OR prose = 0) THEN page_idx END) OVER (PARTITION BY doc_id) AS ff FROM sg),
 se AS (SELECT *, least(coalesce(ff, n), greatest(8, cast(floor(n * 0.25) AS int))) AS fe FROM sn),
@@ -337,29 +353,46 @@ sb AS (SELECT *, min(CASE WHEN back AND page_idx >= greatest(fe, cast(floor(n /
 rg AS (SELECT *, CASE WHEN n <= 2 THEN 'body' WHEN page_idx < fe THEN 'front' WHEN page_idx >= bs THEN 'back' ELSE 'body' END AS region FROM sb)"""
 
 
-@query(f"{BLK}, {SIGNALS} SELECT * FROM sg")
+def _signals(spark, sf_dir):
+    return S.page_signals(S.signs(blocks(spark, sf_dir)))
+
+
+@query(f"{SIGNALS} SELECT * FROM sg")
 def page_signals(spark, sf_dir):
-    return S.page_signals(blocks(spark, sf_dir))
+    return _signals(spark, sf_dir)
 
 
-@query(f"{BLK}, {REGIONS} SELECT doc_id, page_idx, region FROM rg")
+@query(f"{REGIONS} SELECT doc_id, page_idx, region FROM rg")
 def regions(spark, sf_dir):
-    return S.regions(S.page_signals(blocks(spark, sf_dir))).select("doc_id", "page_idx", "region")
+    return S.regions(_signals(spark, sf_dir)).select("doc_id", "page_idx", "region")
+
+
+@query(f"{SIGNS} SELECT {K}, sign FROM si WHERE sign IS NOT NULL")
+def signs(spark, sf_dir):
+    return S.signs(blocks(spark, sf_dir)).filter("sign IS NOT NULL").select(*KEY, "sign")
 
 
-TYPED = f"""{ORDER}, {HEADS}, {REGIONS}, {VERSE.split('ac AS', 1)[1].join(['ac AS', ''])},
+ON = " AND ".join(f"ro.{c} = {{0}}.{c}" for c in KEY)
+TYPED = f"""{REGIONS}{ORDER.removeprefix(BLK)},
 ov AS (SELECT DISTINCT a.doc_id, a.page_idx, a.block_idx FROM blk a JOIN blk b ON a.doc_id = b.doc_id AND a.page_idx = b.page_idx AND a.block_idx <> b.block_idx AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1),
-t0 AS (SELECT ro.*, rh.head_type, vt.verse_type, vt.indent, rg.region, ov.doc_id IS NOT NULL AS unsure, CASE ro.label WHEN 'PageHeader' THEN 'page_header' WHEN 'SectionHeader' THEN 'heading' WHEN 'Footnote' THEN 'footnote' ELSE 'body' END AS base
-    FROM ro LEFT JOIN rh ON ro.doc_id = rh.doc_id AND ro.page_idx = rh.page_idx AND ro.block_idx = rh.block_idx LEFT JOIN vt ON ro.doc_id = vt.doc_id AND ro.page_idx = vt.page_idx AND ro.block_idx = vt.block_idx
-    LEFT JOIN rg ON ro.doc_id = rg.doc_id AND ro.page_idx = rg.page_idx LEFT JOIN ov ON ro.doc_id = ov.doc_id AND ro.page_idx = ov.page_idx AND ro.block_idx = ov.block_idx),
-t1 AS (SELECT *, sum(CASE WHEN base = 'heading' THEN 1 ELSE 0 END) OVER d AS hn, last_value(CASE WHEN base = 'heading' THEN {d_chapter('text')} END IGNORE NULLS) OVER d AS chapter, lag(text, 1, '') OVER (PARTITION BY doc_id ORDER BY page_idx, seq) AS bt,
+pn AS (SELECT doc_id, page_idx, arg_min({_d_kind('text', T.NAV_HEAD)}, block_idx) FILTER (({_d_kind('text', T.NAV_HEAD)}) IS NOT NULL) AS page_nav FROM blk WHERE label = 'PageHeader' GROUP BY doc_id, page_idx),
+t0 AS (SELECT ro.*, si.sign, si.indent, rg.region, rg.region = 'front' AND NOT rg.copyright AND NOT rg.toc AND rg.prose = 0 AND rg.n_blocks <= 8 AS title_pg, ov.doc_id IS NOT NULL AS unsure, pn.page_nav, {d_norm('ro.text')} AS norm,
+    CASE ro.label WHEN 'PageHeader' THEN 'page_header' WHEN 'SectionHeader' THEN 'heading' WHEN 'Footnote' THEN 'footnote' ELSE 'body' END AS base
+    FROM ro LEFT JOIN si ON {ON.format('si')} LEFT JOIN rg ON ro.doc_id = rg.doc_id AND ro.page_idx = rg.page_idx LEFT JOIN ov ON {ON.format('ov')} LEFT JOIN pn ON ro.doc_id = pn.doc_id AND ro.page_idx = pn.page_idx),
+t1 AS (SELECT *, sum(CASE WHEN base = 'heading' THEN 1 ELSE 0 END) OVER d AS hn, last_value(CASE WHEN base = 'heading' THEN {d_chapter('norm')} END IGNORE NULLS) OVER d AS chapter,
     row_number() OVER (PARTITION BY doc_id ORDER BY page_idx, seq) AS rn FROM t0 WINDOW d AS (PARTITION BY doc_id ORDER BY page_idx, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-t2 AS (SELECT *, max(CASE WHEN base = 'heading' THEN {d_nav('text')} END) OVER (PARTITION BY doc_id, hn) AS nav FROM t1),
-t3 AS (SELECT *, CASE WHEN base = 'body' AND regexp_full_match({d_strip('text')}, '[\\[(]?(\\d{{1,4}}|[ivxlcdmIVXLCDM]{{1,7}})[\\])]?') THEN 'page_number' WHEN base = 'heading' AND {d_nav('text')} IS NOT NULL THEN {d_nav('text')} WHEN base = 'body' AND nav IS NOT NULL THEN nav ELSE base END AS knd FROM t2),
-t4 AS (SELECT *, CASE WHEN head_type IS NOT NULL THEN head_type WHEN ({d_key('text')} OR {d_copyright('text')}) AND knd <> 'heading' THEN CASE WHEN region = 'back' THEN 'colophon' ELSE 'copyright' END
-    WHEN knd = 'body' AND verse_type IS NOT NULL THEN CASE WHEN region IN ('front', 'back') THEN CASE WHEN len({d_lines('text')}) >= 3 THEN 'epigraph' ELSE 'body' END ELSE verse_type END
-    WHEN knd = 'body' AND {d_enumerator('text')} AND NOT {d_ragged('text')} THEN 'list_item' WHEN {d_toc('text')} AND knd <> 'heading' THEN 'toc' ELSE knd END AS type FROM t3),
-ty AS (SELECT *, 'b' || lpad(cast(rn AS varchar), 5, '0') AS id, type = 'body' AND ({D_LEAD} OR {D_SOURCE} IS NOT NULL) AS quote_candidate FROM t4)"""
+t2 AS (SELECT *, max(CASE WHEN base = 'heading' THEN {d_nav('norm')} END) OVER (PARTITION BY doc_id, hn) AS nav FROM t1),
+t3 AS (SELECT *, CASE WHEN base = 'body' AND coalesce(page_nav, nav) IS NOT NULL THEN coalesce(page_nav, nav) WHEN base = 'page_header' AND regexp_matches(norm, '(?i){T.PAGE_NUMBER}') THEN 'page_number'
+    WHEN base = 'footnote' AND {d_note_toc('norm', "(coalesce(page_nav, '') = 'toc' OR coalesce(nav, '') = 'toc')")} THEN 'toc' ELSE base END AS knd FROM t2),
+t4 AS (SELECT *, CASE WHEN region = 'back' AND (coalesce(sign, '') = 'copyright' OR (base = 'heading' AND regexp_matches(text, '(?i){T.COLOPHON}'))) THEN 'colophon'
+    WHEN region = 'front' AND {d_dedication('text')} AND coalesce(sign, '') NOT IN ('copyright', 'toc') THEN 'dedication'
+    WHEN region = 'front' AND title_pg AND coalesce(sign, '') NOT IN ('copyright', 'toc', 'page_header', 'page_footer', 'page_number') THEN 'title_page'
+    WHEN region <> 'body' AND coalesce(sign, '') IN ('verse', 'quote') THEN CASE WHEN NOT title_pg AND len({d_lines('text')}) >= 3 THEN 'epigraph' END ELSE sign END AS shape FROM t3),
+t5 AS (SELECT *, CASE WHEN shape IN ('verse', 'quote', 'list_item', 'epigraph') THEN CASE WHEN knd = 'body' THEN shape ELSE knd END WHEN shape IN ('page_header', 'page_footer', 'page_number', 'title_page', 'dedication', 'colophon') THEN shape
+    WHEN shape IS NOT NULL AND knd <> 'heading' THEN shape ELSE knd END AS type FROM t4),
+t6 AS (SELECT * EXCLUDE (text), CASE WHEN knd = 'footnote' THEN regexp_replace(norm, '{T.MARK}', '') WHEN type IN ('verse', 'epigraph') AND knd = 'body' THEN {d_norm('text', False)} ELSE norm END AS text FROM t5),
+t7 AS (SELECT *, lag(text, 1, '') OVER (PARTITION BY doc_id ORDER BY page_idx, seq) AS bt FROM t6),
+ty AS (SELECT *, 'b' || lpad(cast(rn AS varchar), 5, '0') AS id, type = 'body' AND ({D_LEAD} OR {D_SOURCE} IS NOT NULL) AS quote_candidate FROM t7)"""
 
 
 @query(f"{TYPED} SELECT {K}, type, region FROM ty")
@@ -367,9 +400,9 @@ def block_types(spark, sf_dir):
     return S.typed(blocks(spark, sf_dir)).select(*KEY, "type", "region")
 
 
-@query(f"{TYPED} SELECT {K}, type FROM ty WHERE region <> 'body' AND type IN ('epigraph', 'colophon', 'copyright')")
+@query(f"{TYPED} SELECT {K}, type FROM ty WHERE region <> 'body' AND type IN ('epigraph', 'colophon', 'copyright', 'dedication', 'title_page')")
 def region_gate(spark, sf_dir):
-    return S.typed(blocks(spark, sf_dir)).filter("region <> 'body' AND type IN ('epigraph', 'colophon', 'copyright')").select(*KEY, "type")
+    return S.typed(blocks(spark, sf_dir)).filter("region <> 'body' AND type IN ('epigraph', 'colophon', 'copyright', 'dedication', 'title_page')").select(*KEY, "type")
 
 
 @query(f"{TYPED} SELECT {K}, nav FROM ty WHERE nav IS NOT NULL")
@@ -480,7 +513,7 @@ def footnote_islands(spark, sf_dir):
     return N.footnote_islands(blocks(spark, sf_dir))
 
 
-D_SCOPE = f"coalesce({d_get(d_squeezed('text'), f'chapter({W}+)$')}, {d_get(d_squeezed('text'), f'to(?:the)?({W}+)$')})"
+D_SCOPE = f"coalesce({d_get(d_squeezed('text'), 'chapter([a-z0-9]+)$')}, {d_get(d_squeezed('text'), 'to(?:the)?([a-z0-9]+)$')})"
 
 
 @query(f"""{BLK}, {NOTE_PAGES}, eb AS (SELECT blk.*, label = 'SectionHeader' AND {d_notes('text')} AS h FROM blk JOIN np ON blk.doc_id = np.doc_id AND blk.page_idx = np.page_idx WHERE headed OR looks),
@@ -491,18 +524,18 @@ def endnote_keys(spark, sf_dir):
     return N.endnote_keys(blocks(spark, sf_dir)).select(*KEY, "scope_key")
 
 
-BACK = f"{TYPED}, bl AS (SELECT doc_id, 'p' || page_idx || ':' || {d_marker('text', True)} AS scope_key, min(id) AS block_id FROM ty WHERE label = 'Footnote' AND {d_marker('text', True)} IS NOT NULL GROUP BY ALL)"
+BACK = f"{TYPED}, bl AS (SELECT doc_id, 'p' || page_idx || ':' || {d_marker('raw_text', True)} AS scope_key, min(id) AS block_id FROM (SELECT ty.*, blk.text AS raw_text FROM ty JOIN blk ON ty.doc_id = blk.doc_id AND ty.page_idx = blk.page_idx AND ty.block_idx = blk.block_idx) WHERE label = 'Footnote' AND {d_marker('raw_text', True)} IS NOT NULL GROUP BY ALL)"
 
 
 @query(f"{BACK} SELECT * FROM bl")
 def footnote_backlinks(spark, sf_dir):
-    return N.backlinks(S.typed(blocks(spark, sf_dir)))
+    return N.backlinks(S.typed(blocks(spark, sf_dir)), blocks(spark, sf_dir))
 
 
 @query(f"{BACK} SELECT bl.doc_id AS doc_id, scope_key, ty.id AS id, ty.text AS text FROM bl JOIN ty ON bl.doc_id = ty.doc_id AND bl.block_id = ty.id")
 def note_source(spark, sf_dir):
     t = S.typed(blocks(spark, sf_dir))
-    return N.backlinks(t).withColumnRenamed("block_id", "id").join(t.select("doc_id", "id", "text"), ["doc_id", "id"])
+    return N.backlinks(t, blocks(spark, sf_dir)).withColumnRenamed("block_id", "id").join(t.select("doc_id", "id", "text"), ["doc_id", "id"])
 
 
 # documents

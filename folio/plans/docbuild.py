@@ -19,7 +19,7 @@ def build(blk: DataFrame) -> DataFrame:
     core = F.struct("id", "type", "text", F.col("page_idx").alias("page"), "level", "chapter", "region", T.find_refs(F.col("text")).alias("refs"), F.array(*[F.round(c, 1) for c in ("x0", "y0", "x1", "y1")]).alias("bbox"), "confidence", "needs_review", "indent", "centered", "source")
     docs = b.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page_idx", "seq", core.alias("b")))).alias("s"))
     docs = docs.select("doc_id", F.transform("s", lambda x: x["b"]).alias("blocks"))
-    notes = resolve(blk).join(backlinks(b), ["doc_id", "scope_key"], "left")
+    notes = resolve(blk).join(backlinks(b, blk), ["doc_id", "scope_key"], "left")
     n = notes.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("scope_key", F.struct("marker", "kind", "text", "page", "chapter", "block_id", "needs_review", "span_pages")))).alias("footnotes"))
     return docs.join(n, "doc_id", "left").select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"), F.array(*map(F.lit, FEATURES)).alias("features"), "blocks", "footnotes")
 

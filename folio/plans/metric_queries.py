@@ -132,7 +132,7 @@ def rasters() -> list[tuple[int, int, int, bytearray]]:
         if kind == 1:
             a[2:38:2, 4:56] = 0
         if kind == 2:
-            a[30, 5:40] = 0
+            a[30, 5:30] = 0
         if kind == 3:
             for x in range(5, 50):
                 a[30 + x % 3, x] = 0
@@ -145,7 +145,7 @@ def gutter(spark, sf_dir):
     return R.profiles(spark.createDataFrame(rasters(), "id long, h int, w int, data binary"))
 
 
-@query("SELECT 0::bigint AS id, 23::bigint AS longest UNION ALL SELECT 1, 52 UNION ALL SELECT 2, 35 UNION ALL SELECT 3, 1 UNION ALL SELECT 4, 0 UNION ALL SELECT 5, 43")
+@query("SELECT 0::bigint AS id, 23::bigint AS longest UNION ALL SELECT 1, 52 UNION ALL SELECT 2, 25 UNION ALL SELECT 3, 1 UNION ALL SELECT 4, 0 UNION ALL SELECT 5, 43")
 def row_runs(spark, sf_dir):
     return R.profiles(spark.createDataFrame(rasters(), "id long, h int, w int, data binary")).select("id", "longest")
 
