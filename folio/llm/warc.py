@@ -23,7 +23,7 @@ REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 #: Payloads from this many bytes on are stored once.
 LEAST_REVISIT = 1000
-#: Bytes after which a new archive begins; records and bytes of the sample that an archive's dictionary is trained on; its size.
+#: Bytes after which a new archive begins, and of payload for each task that writes; records and bytes of the sample that an archive's dictionary is trained on; its size.
 ARCHIVE_BYTES, SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES = 32_000_000, 400, 2_000_000, 16_384
 CHUNK = 1 << 16
 _URN = re.compile(r"<urn:page:(-?\d+|null)>")
@@ -192,6 +192,7 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), body.alias("html"), F.unhex(F.sha1(body)).alias("sha"))
     groups = rows.filter(F.octet_length("html") >= LEAST_REVISIT).groupBy("sha").agg(F.max("page_id").alias("kept_id"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("sha").alias("group_sha"), "kept_id")
     rows = rows.join(groups, F.col("sha") == F.col("group_sha"), "left")
+    size = pages.agg(F.sum(F.octet_length(html))).first()[0] or 0
     rows = rows.select("page_id", "url", "html", (F.col("group_sha").isNotNull() & ~F.col("kept_id").eqNullSafe(F.col("page_id"))).alias("again"), "kept_id")
     schema = pa.schema([("uri", pa.string()), ("records", pa.int64())])
 
@@ -211,7 +212,7 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
                     n += 1
             yield packed([(uri, n)], schema)
 
-    return table(rows.mapInArrow(run, "uri string, records long"), "archives")
+    return table(rows.coalesce(max(1, math.ceil(size / ARCHIVE_BYTES))).mapInArrow(run, "uri string, records long"), "archives")
 
 
 def read_archives(listed: DataFrame, strict: bool = True) -> DataFrame:
@@ -259,7 +260,7 @@ def read_archives(listed: DataFrame, strict: bool = True) -> DataFrame:
         if rows:
             yield packed(rows, schema)
 
-    tasks = max(1, math.ceil(listed.count() / 2))
+    tasks = max(1, listed.count())
     ddl = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary, error string"
     return listed.select("uri").repartition(tasks).mapInArrow(run, ddl)
 
