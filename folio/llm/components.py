@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
 
+#: Links in one file of a round; rounds of a small graph then are a few files, whatever the number of shuffle partitions.
+ROWS_A_FILE = 200_000
+
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of edges(a, b), two long columns: root is the least node that node is linked with.
@@ -25,12 +30,13 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if now == last or not now[0]:
             break
         last = now
+        files = math.ceil(now[0] / ROWS_A_FILE)
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         e = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         least = e.groupBy("u").agg(F.min("v").alias("m"))
         e = e.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        e = table(e.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+        e = table(e.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().coalesce(files), "links")
     else:
         raise RuntimeError(f"components didn't settle in {most_rounds} rounds")
     linked = e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
