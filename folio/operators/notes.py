@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from .geometry import PAGE
 
+ANNOTATIONS = "doc_id long, page_idx int, block_idx int, note_type string, note_marker string, scope_key string, continuation boolean"
 NOTES = "doc_id long, scope_key string, marker string, kind string, text string, page int, chapter string, needs_review boolean, span_pages array<int>"
 _END = tuple(".!?\"')]”’…")
 
@@ -78,6 +79,11 @@ class _Notes:
     def __init__(self) -> None:
         self.notes: dict[str, dict] = {}
         self.open: str | None = None
+        self.blocks: list[tuple] = []
+
+    def mark(self, b: dict, kind: str, marker: str | None, key: str, goes_on: bool) -> None:
+        """Notes that a block is part of a note."""
+        self.blocks.append((b["page_idx"], b["block_idx"], kind, marker, key, goes_on))
 
     def put(self, key: str, marker: str, kind: str, text: str, page: int, chapter: str | None, review: bool) -> None:
         self.notes[key] = {"marker": marker, "kind": kind, "text": text, "page": page, "chapter": chapter, "needs_review": review, "span_pages": [page]}
@@ -99,18 +105,20 @@ def _footnotes(state: _Notes, page: list[dict], number: int) -> str | None:
     """A page's band of footnotes. Marks come first; what has none takes the first reference of the page that is unused."""
     band = sorted((b for b in page if b["in_band"]), key=lambda b: b["y0"])
     refs = [m[1] or m[2] for b in page if not b["in_band"] for m in _REF.finditer(b["text"])]
-    found: list[list] = []
+    found: list[list] = []  # marker, text, blocks
     for i, b in enumerate(band):
         marker, rest = _split(b["text"])
         if marker is None and i == 0 and state.open:
             state.go_on(state.open, b["text"].strip(), number)
+            state.mark(b, "footnote", None, state.open, True)
         elif marker is None and found:
             found[-1][1] += " " + b["text"].strip()
+            found[-1][2].append(b)
         else:
-            found.append([marker, rest.strip()])
-    used = {m for m, _ in found if m}
+            found.append([marker, rest.strip(), [b]])
+    used = {m for m, _, _ in found if m}
     last = None
-    for marker, text in found:
+    for marker, text, blocks in found:
         review = marker is None or marker not in refs
         if marker is None:
             marker = next((r for r in refs if r not in used), None)
@@ -119,6 +127,8 @@ def _footnotes(state: _Notes, page: list[dict], number: int) -> str | None:
             used.add(marker)
         last = f"p{number}:{marker}"
         state.put(last, marker, "footnote", text, number, None, review)
+        for i, b in enumerate(blocks):
+            state.mark(b, "footnote", None if i else marker, last, i > 0)
     return last
 
 
@@ -141,13 +151,15 @@ def _endnotes(state: _Notes, page: list[dict], number: int, chapter: str | None)
         if marker is None:
             if last:
                 state.go_on(last, b["text"].strip(), number)
+                state.mark(b, "endnote", None, last, True)
             continue
         last = f"ch{chapter}:{marker}" if chapter else f"book:{marker}"
         state.put(last, marker, "endnote", rest.strip(), number, chapter, False)
+        state.mark(b, "endnote", marker, last, False)
     return last, chapter
 
 
-def _document(rows: pd.DataFrame) -> pd.DataFrame:
+def _resolved(rows: pd.DataFrame) -> _Notes:
     rows = rows.sort_values(["page_idx", "block_idx"], kind="stable")
     state, chapter = _Notes(), None
     for number, page in rows.groupby("page_idx", sort=True):
@@ -157,19 +169,37 @@ def _document(rows: pd.DataFrame) -> pd.DataFrame:
         else:
             last = _footnotes(state, blocks, int(number))
         state.open = state.closed(last)
-    doc = rows["doc_id"].iloc[0]
+    return state
+
+
+def _document(rows: pd.DataFrame) -> pd.DataFrame:
+    state, doc = _resolved(rows), rows["doc_id"].iloc[0]
     made = [{"doc_id": doc, "scope_key": k, **v} for k, v in state.notes.items()]
     return pd.DataFrame(made, columns=["doc_id", "scope_key", "marker", "kind", "text", "page", "chapter", "needs_review", "span_pages"])
 
 
+def _marked(rows: pd.DataFrame) -> pd.DataFrame:
+    state, doc = _resolved(rows), rows["doc_id"].iloc[0]
+    return pd.DataFrame([(doc, *x) for x in state.blocks], columns=["doc_id", "page_idx", "block_idx", "note_type", "note_marker", "scope_key", "continuation"])
+
+
+def _by_document(blk: DataFrame):
+    pages = note_pages(blk).select(*PAGE, (F.col("headed") | F.col("looks")).alias("notes_page"))
+    b = band(blk).join(pages, PAGE).select("doc_id", "page_idx", "block_idx", "label", "text", "y0", "in_band", "notes_page")
+    return b.groupBy("doc_id")
+
+
 def resolve(blk: DataFrame) -> DataFrame:
     """All notes of all documents, exactly: notes that run over pages, marks that must be guessed, and their scopes.
 
     The state passes from page to page, so a document is one group; a document's blocks are bounded by its pages.
     """
-    pages = note_pages(blk).select(*PAGE, (F.col("headed") | F.col("looks")).alias("notes_page"))
-    b = band(blk).join(pages, PAGE).select("doc_id", "page_idx", "block_idx", "label", "text", "y0", "in_band", "notes_page")
-    return b.groupBy("doc_id").applyInPandas(_document, NOTES)
+    return _by_document(blk).applyInPandas(_document, NOTES)
+
+
+def annotations(blk: DataFrame) -> DataFrame:
+    """The blocks that notes consist of: their type, mark, key, and whether they go on from another block."""
+    return _by_document(blk).applyInPandas(_marked, ANNOTATIONS)
 
 
 def backlinks(typed: DataFrame, blk: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators.notes import backlinks, resolve
+from ..operators.geometry import PAGE
+from ..operators.notes import annotations, resolve
 from ..operators.structure import FURNITURE, NOTE, VERSE, typed
 
 SCHEMA_VERSION = "1.2"
@@ -15,11 +16,13 @@ FEATURES = ["region", "indent", "citation_cues", "footnotes"]
 
 def build(blk: DataFrame) -> DataFrame:
     """A row per document: doc_id, schema_version, features, blocks in order, footnotes by key."""
-    b = typed(blk)
-    core = F.struct("id", "type", "text", F.col("page_idx").alias("page"), "level", "chapter", "region", T.find_refs(F.col("text")).alias("refs"), F.array(*[F.round(c, 1) for c in ("x0", "y0", "x1", "y1")]).alias("bbox"), "confidence", "needs_review", "indent", "centered", "source")
+    found = annotations(blk)
+    b = typed(blk, notes=found.select(*PAGE, "block_idx", "note_type", "note_marker", "scope_key", "continuation"), compose=True)
+    first = b.filter("scope_key IS NOT NULL AND NOT continuation").groupBy("doc_id", "scope_key").agg(F.min_by("id", F.struct("page_idx", "seq")).alias("block_id"))
+    core = F.struct("id", "type", "text", F.col("page_idx").alias("page"), "level", "chapter", "region", T.find_refs(F.col("text")).alias("refs"), F.array(*[F.round(c, 1) for c in ("x0", "y0", "x1", "y1")]).alias("bbox"), "confidence", "needs_review", F.col("note_marker").alias("marker"), F.col("continuation"), "indent", "centered", "source")
     docs = b.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page_idx", "seq", core.alias("b")))).alias("s"))
     docs = docs.select("doc_id", F.transform("s", lambda x: x["b"]).alias("blocks"))
-    notes = resolve(blk).join(backlinks(b, blk), ["doc_id", "scope_key"], "left")
+    notes = resolve(blk).join(first, ["doc_id", "scope_key"], "left")
     n = notes.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("scope_key", F.struct("marker", "kind", "text", "page", "chapter", "block_id", "needs_review", "span_pages")))).alias("footnotes"))
     return docs.join(n, "doc_id", "left").select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"), F.array(*map(F.lit, FEATURES)).alias("features"), "blocks", "footnotes")
 
