@@ -18,13 +18,16 @@ def build(blk: DataFrame) -> DataFrame:
     """A row per document: doc_id, schema_version, features, blocks in order, footnotes by key."""
     found = annotations(blk)
     b = typed(blk, notes=found.select(*PAGE, "block_idx", "note_type", "note_marker", "scope_key", "continuation"), compose=True)
-    first = b.filter("scope_key IS NOT NULL AND NOT continuation").groupBy("doc_id", "scope_key").agg(F.min_by("id", F.struct("page_idx", "seq")).alias("block_id"))
     core = F.struct("id", "type", "text", F.col("page_idx").alias("page"), "level", "chapter", "region", T.find_refs(F.col("text")).alias("refs"), F.array(*[F.round(c, 1) for c in ("x0", "y0", "x1", "y1")]).alias("bbox"), "confidence", "needs_review", F.col("note_marker").alias("marker"), F.col("continuation"), "indent", "centered", "source")
-    docs = b.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page_idx", "seq", core.alias("b")))).alias("s"))
-    docs = docs.select("doc_id", F.transform("s", lambda x: x["b"]).alias("blocks"))
-    notes = resolve(blk).join(first, ["doc_id", "scope_key"], "left")
-    n = notes.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("scope_key", F.struct("marker", "kind", "text", "page", "chapter", "block_id", "needs_review", "span_pages")))).alias("footnotes"))
-    return docs.join(n, "doc_id", "left").select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"), F.array(*map(F.lit, FEATURES)).alias("features"), "blocks", "footnotes")
+    docs = b.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page_idx", "seq", core.alias("b"), "scope_key", "continuation"))).alias("s"))
+    docs = docs.select("doc_id", F.transform("s", lambda x: x["b"]).alias("blocks"), F.filter("s", lambda x: x["scope_key"].isNotNull() & ~x["continuation"]).alias("marked"))
+    keep = ["marker", "kind", "text", "page", "chapter", "needs_review", "span_pages"]
+    n = resolve(blk).groupBy("doc_id").agg(F.collect_list(F.struct("scope_key", *keep)).alias("notes"))
+    # a note's block is the first that it is made of
+    block = lambda key: F.get(F.filter("marked", lambda x: x["scope_key"] == key), F.lit(0))["b"]["id"]
+    entry = lambda x: F.struct(x["scope_key"], F.struct(*[x[c].alias(c) for c in keep], block(x["scope_key"]).alias("block_id")))
+    footnotes = F.map_from_entries(F.transform("notes", entry)).alias("footnotes")
+    return docs.join(n, "doc_id", "left").select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"), F.array(*map(F.lit, FEATURES)).alias("features"), "blocks", footnotes)
 
 
 def to_json(docs: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from ..functions import text as T
 
 #: Image extensions of pages (fixed values).
 IMAGES = ["jpg", "jpeg", "png", "tif", "tiff", "webp", "bmp"]
+#: What a server's log says of a finished task (a fixed format).
+EVAL = r"task (\d+) \|\s+eval time =\s+[\d.]+ ms /\s+(\d+) tokens"
 _BOXES = "array<struct<text: string, html: string, label: string, raw_label: string, confidence: double, bbox: array<double>, polygon: array<array<double>>>>"
 CACHE = f"map<string, array<struct<blocks: {_BOXES}, text_lines: {_BOXES}, lines: {_BOXES}, image_bbox: array<double>, page: int>>>"
 
@@ -85,9 +87,10 @@ def layout_rules(spark: SparkSession, path: str) -> DataFrame:
     at = F.split("line", r"\t| :: |::", 2)
     rows = rows.select("no", T.strip(F.get(at, F.lit(0))).alias("key"), F.get(at, F.lit(1)).alias("rest"))
     word = rows.select("no", "key", F.explode(F.split(F.coalesce(T.strip(F.col("rest")), F.lit("")), r"[,\s]+")).alias("d"))
-    opt, val = F.replace(F.lower(F.split_part("d", F.lit("="), F.lit(1))), F.lit("-"), F.lit("_")), F.split_part("d", F.lit("="), F.lit(2))
-    opt = F.when(opt.isin("columns", "cols", "ncols"), "columns").when(opt.isin("two_up", "twoup"), "two_up").when(opt.isin("drop_pages", "skip_pages"), "drop_pages")
-    good = ((opt == "columns") & (val.try_cast("int") >= 1)) | ((opt == "two_up") & val.isin("on", "auto", "off")) | ((opt == "drop_pages") & val.rlike(r"^(even|odd|non-latin)(:\d*-\d*)?$"))
+    name, val = F.replace(F.lower(F.split_part("d", F.lit("="), F.lit(1))), F.lit("-"), F.lit("_")), F.lower(F.split_part("d", F.lit("="), F.lit(2)))
+    opt = F.when(name.isin("columns", "column", "two_column", "two_columns"), "columns").when(name == "two_up", "two_up").when(name.isin("drop_pages", "skip_pages"), "drop_pages")
+    val = F.when(name.startswith("two_column"), "2").when((name == "two_up") & (val == ""), "on").otherwise(val)
+    good = ((opt == "columns") & (val.try_cast("int") >= 1)) | ((opt == "two_up") & val.isin("on", "auto", "off")) | ((opt == "drop_pages") & val.rlike(r"^(even|odd|non-latin)(:|$)"))
     bad = F.raise_error(F.concat(F.lit("bad layout rule in line "), F.col("no") + 1))
     return word.select((F.col("no") + 1).alias("ord"), F.when(F.coalesce(good, F.lit(False)) & (F.col("key") != ""), F.col("key")).otherwise(bad).alias("key"), opt.alias("opt"), val.alias("val"))
 
@@ -99,18 +102,19 @@ def sidecar_edition(rows: DataFrame) -> DataFrame:
 
 
 def perf_lines(spark: SparkSession, path: str, marker: str = "[PERF]") -> DataFrame:
-    """The summaries of stage ocr that a log holds as JSON behind a marker."""
+    """The summaries of stage ocr that a log holds as JSON behind a marker: their fields, and the JSON itself."""
     rows = spark.read.text(path).filter(F.contains("value", F.lit(marker)))
     j = T.strip(F.expr(f"substring(value, instr(value, '{marker}') + {len(marker)})"))
-    kinds = "kind string, stage string, pages int, seconds double, gpu_busy double, gpu_idle double, mem_avail double, swap boolean"
-    return rows.select(F.from_json(j, kinds).alias("r")).select("r.*").filter("kind = 'summary' AND stage = 'ocr'")
+    said = F.get_json_object("j", "$.summary")
+    rows = rows.select(j.alias("j")).filter((F.get_json_object("j", "$.stage") == "ocr") & said.isNotNull() & ~said.isin("false", "0", "", "{}", "[]"))
+    return rows.select(F.from_json("j", "map<string, string>").alias("fields"), F.col("j").alias("json"))
 
 
 def decoded_tokens(spark: SparkSession, path: str) -> DataFrame:
     """log, task, tokens of lines that report how many tokens a task has decoded."""
-    v = F.col("value")
-    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("log"), F.regexp_extract(v, r"task\s+(\d+)", 1).try_cast("long").alias("task"), F.regexp_extract(v, r"n_decoded\s*=\s*(\d+)", 1).try_cast("int").alias("tokens"))
-    return rows.filter("task IS NOT NULL AND tokens IS NOT NULL")
+    rows = spark.read.text(path).filter("value LIKE '%eval time%' AND value NOT LIKE '%prompt eval%'")
+    at = lambda g, kind: F.regexp_extract("value", EVAL, g).try_cast(kind)
+    return rows.select(F.col("_metadata.file_path").alias("log"), at(1, "long").alias("task"), at(2, "int").alias("tokens")).filter("task IS NOT NULL")
 
 
 def page_images(spark: SparkSession, folder: str) -> DataFrame:

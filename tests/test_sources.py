@@ -44,8 +44,8 @@ def test_lists_and_manifests(spark, tmp_path):
 
 
 def test_layout_rules(spark, tmp_path):
-    got = R.layout_rules(spark, write(tmp_path, "r.txt", "# all\nedition:5 :: columns=2, two-up=auto\nrose\tdrop-pages=even:2-8 # x\n")).collect()
-    assert [(r.ord, r.key, r.opt, r.val) for r in got] == [(2, "edition:5", "columns", "2"), (2, "edition:5", "two_up", "auto"), (3, "rose", "drop_pages", "even:2-8")]
+    got = R.layout_rules(spark, write(tmp_path, "r.txt", "# all\nedition:5 :: columns=2, two-up\nrose\tdrop-pages=even:2-8 # x\n")).collect()
+    assert [(r.ord, r.key, r.opt, r.val) for r in got] == [(2, "edition:5", "columns", "2"), (2, "edition:5", "two_up", "on"), (3, "rose", "drop_pages", "even:2-8")]
     for bad in ("x :: columns=0", "x", ":: two-up=on", "x :: what=1"):
         with pytest.raises(PySparkException, match="line 1"):
             R.layout_rules(spark, write(tmp_path, "bad.txt", bad)).collect()
@@ -54,9 +54,9 @@ def test_layout_rules(spark, tmp_path):
 def test_editions_and_logs(spark, tmp_path):
     rows = spark.createDataFrame([("/a/e12", None), ("/a/x", '{"edition": 7}'), ("/a/e12b", "{}")], "folder string, json string")
     assert [r.edition for r in R.sidecar_edition(rows).collect()] == ["12", "7", None]
-    path = write(tmp_path, "perf.log", '[PERF] {"kind": "summary", "stage": "ocr", "pages": 3}\nnoise\n[PERF] {"kind": "sample", "stage": "ocr"}\n')
-    assert [r.pages for r in R.perf_lines(spark, path).collect()] == [3]
-    path = write(tmp_path, "llama.log", "slot 1 | task 7 | n_decoded = 50\nother\n")
+    path = write(tmp_path, "perf.log", '[PERF] {"summary": true, "stage": "ocr", "pages": 3}\nnoise\n[PERF] {"stage": "ocr"}\n[PERF] {"summary": true, "stage": "pdf"}\n')
+    assert [r.fields["pages"] for r in R.perf_lines(spark, path).collect()] == ["3"]
+    path = write(tmp_path, "llama.log", "slot 1 | task 7 |  eval time =  9.5 ms /   50 tokens\nprompt eval time = 1 ms / 2 tokens\n")
     assert [(r.task, r.tokens) for r in R.decoded_tokens(spark, path).collect()] == [(7, 50)]
 
 
