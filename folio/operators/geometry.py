@@ -30,12 +30,16 @@ def reading_order(blk: DataFrame) -> DataFrame:
     return out.withColumn("seq", F.row_number().over(w))
 
 
+def with_overlaps(blk: DataFrame) -> DataFrame:
+    """blk with overlaps: whether the box intersects another block's of its page, whose boxes, a few dozen, lie in an array beside it."""
+    boxes = F.collect_list(F.struct("block_idx", "x0", "y0", "x1", "y1")).over(Window.partitionBy(*PAGE))
+    other = lambda o: (o["block_idx"] != F.col("block_idx")) & (o["x0"] < F.col("x1")) & (F.col("x0") < o["x1"]) & (o["y0"] < F.col("y1")) & (F.col("y0") < o["y1"])
+    return blk.withColumn("boxes_", boxes).withColumn("overlaps", F.exists("boxes_", other)).drop("boxes_")
+
+
 def overlapping(blk: DataFrame) -> DataFrame:
     """The blocks whose boxes intersect another block's of their page."""
-    b = blk.select(*PAGE, F.col("block_idx").alias("i_"), *[F.col(c).alias(c + "_") for c in ("x0", "x1", "y0", "y1")])
-    meet = (F.col("block_idx") != F.col("i_")) & (F.col("x0") < F.col("x1_")) & (F.col("x0_") < F.col("x1")) & (F.col("y0") < F.col("y1_")) & (F.col("y0_") < F.col("y1"))
-    on = (blk["doc_id"] == b["doc_id"]) & (blk["page_idx"] == b["page_idx"]) & meet
-    return blk.join(b, on, "left_semi")
+    return with_overlaps(blk).filter("overlaps").drop("overlaps")
 
 
 def merge_layout(blk: DataFrame, regions: DataFrame, least: float = 0.5) -> DataFrame:

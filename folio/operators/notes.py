@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import pandas as pd
@@ -160,14 +161,15 @@ def _endnotes(state: _Notes, page: list[dict], number: int, chapter: str | None)
 
 
 def _resolved(rows: pd.DataFrame) -> _Notes:
-    rows = rows.sort_values(["page_idx", "block_idx"], kind="stable")
+    columns = [rows[c].tolist() for c in rows.columns]
+    blocks = sorted((dict(zip(rows.columns, r, strict=True)) for r in zip(*columns, strict=True)), key=lambda b: (b["page_idx"], b["block_idx"]))
     state, chapter = _Notes(), None
-    for number, page in rows.groupby("page_idx", sort=True):
-        blocks = page.to_dict("records")
-        if bool(page["notes_page"].iloc[0]):
-            last, chapter = _endnotes(state, blocks, int(number), chapter)
+    for number, page in itertools.groupby(blocks, key=lambda b: b["page_idx"]):
+        page = list(page)
+        if page[0]["notes_page"]:
+            last, chapter = _endnotes(state, page, number, chapter)
         else:
-            last = _footnotes(state, blocks, int(number))
+            last = _footnotes(state, page, number)
         state.open = state.closed(last)
     return state
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .geometry import PAGE, overlapping, reading_order, with_columns
+from .geometry import PAGE, reading_order, with_columns, with_overlaps
 
 #: Engine labels and the types they stand for (fixed values); others are body.
 TYPES = {
@@ -32,15 +32,20 @@ def label_type(label):
     return out
 
 
-def running_heads(blk: DataFrame, least: int = 3) -> DataFrame:
-    """Blocks at the top or bottom whose text, but for numbers, stands on several pages; with head_type."""
+def with_running_heads(blk: DataFrame, least: int = 3) -> DataFrame:
+    """blk with head_type, for blocks at the top or bottom whose text, but for numbers, stands on several pages."""
     cy = (F.col("y0") + F.col("y1")) / 2
     band = F.when(cy < 0.1 * F.col("page_h"), "top").when(cy > 0.9 * F.col("page_h"), "bottom")
     mask = F.substring(T.strip(F.regexp_replace("text", r"\d+", "#")), 1, 80)
-    b = blk.withColumns({"band": band, "mask": mask}).filter("band IS NOT NULL AND mask <> ''")
-    often = b.groupBy("doc_id", "band", "mask").agg(F.count_distinct("page_idx").alias("pages")).filter(F.col("pages") >= least)
+    b = blk.withColumn("band", band).withColumn("mask", F.when(F.col("band").isNotNull(), F.nullif(mask, F.lit(""))))
+    pages = F.size(F.collect_set("page_idx").over(Window.partitionBy("doc_id", "band", "mask")))
+    b = b.withColumn("often", F.col("mask").isNotNull() & (pages >= least))
     kind = F.when(T.strip(F.col("text")).rlike(r"^\d+$"), "page_number").when(F.col("band") == "top", "page_header").otherwise("page_footer")
-    return b.join(often, ["doc_id", "band", "mask"]).withColumn("head_type", kind)
+    return b.withColumn("head_type", F.when(F.col("often"), kind)).drop("band", "mask", "often")
+
+
+def running_heads(blk: DataFrame, least: int = 3) -> DataFrame:
+    return with_running_heads(blk, least).filter("head_type IS NOT NULL")
 
 
 def verses(blk: DataFrame) -> DataFrame:
@@ -48,8 +53,11 @@ def verses(blk: DataFrame) -> DataFrame:
     out = with_columns(blk, name="col2")
     textish = ~F.coalesce(F.col("label"), F.lit("")).isin("PageHeader", "PageFooter", "Table", "Figure", "Picture") & (F.col("x1") > F.col("x0"))
     out = out.withColumn("textish", textish)
-    m = out.filter("textish").groupBy(*PAGE, "col2").agg(F.median("x0").alias("ml"), F.median("x1").alias("mr"), F.count(F.lit(1)).alias("n_text")).filter("n_text >= 2 AND mr > ml")
-    out = out.join(m, [*PAGE, "col2"], "left")
+    column = Window.partitionBy(*PAGE, "col2")
+    side = lambda c: F.median(F.when(F.col("textish"), F.col(c))).over(column)
+    out = out.withColumns({"ml": side("x0"), "mr": side("x1"), "n_text": F.count_if("textish").over(column)})
+    known = (F.col("n_text") >= 2) & (F.col("mr") > F.col("ml"))
+    out = out.withColumns({c: F.when(known, F.col(c)) for c in ("ml", "mr", "n_text")})
     w = F.col("mr") - F.col("ml")
     left, right = (F.col("x0") - F.col("ml")) / w, (F.col("mr") - F.col("x1")) / w
     centered = (left >= 0.06) & (right >= 0.06) & (F.abs((F.col("x0") + F.col("x1") - F.col("ml") - F.col("mr")) / 2 / w) <= 0.07)
@@ -66,10 +74,8 @@ def signs(blk: DataFrame) -> DataFrame:
     A running head, else a copyright line or printer's key, else a verse or quote, a list item, a line of contents; null
     if none.
     """
-    key = [*PAGE, "block_idx"]
     t = F.col("text")
-    heads = running_heads(blk).select(*key, "head_type")
-    b = verses(blk).join(heads, key, "left")
+    b = with_running_heads(verses(blk))
     sign = (
         F.when(F.col("head_type").isNotNull(), F.col("head_type"))
         .when(T.is_printer_key(t) | T.is_copyright(t), "copyright")
@@ -80,26 +86,31 @@ def signs(blk: DataFrame) -> DataFrame:
     return b.withColumn("sign", sign)
 
 
-def page_signals(signed: DataFrame) -> DataFrame:
-    """Per page of signs(): has it copyright, contents, back matter; its prose blocks and blocks."""
+def signals() -> dict:
+    """Aggregates of signs() over a page: has it copyright, contents, back matter; its prose blocks and blocks."""
     t, heading = F.col("text"), F.col("label").isin("SectionHeader", "Title")
     prose = (F.col("label").isNull() | (F.col("label") == "Text")) & (F.length("text") > 80)
     sign = F.coalesce("sign", F.lit(""))
     contents = (sign == "toc") | (heading & t.rlike("(?i)" + T.CONTENTS))
     back = heading & t.rlike("(?i)" + T.BACK_MATTER)
-    g = F.coalesce
-    return signed.groupBy(*PAGE).agg(F.bool_or(sign == "copyright").alias("copyright"), g(F.bool_or(contents), F.lit(False)).alias("toc"), F.count_if(prose).alias("prose"), g(F.bool_or(back), F.lit(False)).alias("back"), F.count(F.lit(1)).alias("n_blocks"))
+    some = lambda c: F.max(F.coalesce(c, F.lit(False)))
+    return {"copyright": some(sign == "copyright"), "toc": some(contents), "prose": F.count_if(prose), "back": some(back), "n_blocks": F.count(F.lit(1))}
+
+
+def page_signals(signed: DataFrame) -> DataFrame:
+    """signals() per page."""
+    return signed.groupBy(*PAGE).agg(*[c.alias(k) for k, c in signals().items()])
 
 
-def regions(signals: DataFrame) -> DataFrame:
-    """front, body or back of every page; documents of up to two pages are body."""
+def regions(pages: DataFrame) -> DataFrame:
+    """pages with signals, or blocks with those of their page, with region: front, body or back; documents of up to two pages are body."""
     w = Window.partitionBy("doc_id")
     front = F.col("copyright") | F.col("toc") | (F.col("prose") == 0)
     n = F.max("page_idx").over(w) + 1
-    s = signals.withColumns({"n": n, "end_": F.least(F.coalesce(F.min(F.when(~front, F.col("page_idx"))).over(w), n), F.greatest(F.lit(8), F.floor(n * 0.25)))})
-    s = s.withColumn("back_", F.min(F.when(F.col("back") & (F.col("page_idx") >= F.greatest(F.col("end_"), F.floor(F.col("n") / 2))), F.col("page_idx"))).over(w))
-    region = F.when(F.col("n") <= 2, "body").when(F.col("page_idx") < F.col("end_"), "front").when(F.col("page_idx") >= F.col("back_"), "back").otherwise("body")
-    return s.withColumn("region", region).drop("end_", "back_", "n")
+    s = pages.withColumns({"n_": n, "end_": F.least(F.coalesce(F.min(F.when(~front, F.col("page_idx"))).over(w), n), F.greatest(F.lit(8), F.floor(n * 0.25)))})
+    s = s.withColumn("back_", F.min(F.when(F.col("back") & (F.col("page_idx") >= F.greatest(F.col("end_"), F.floor(F.col("n_") / 2))), F.col("page_idx"))).over(w))
+    region = F.when(F.col("n_") <= 2, "body").when(F.col("page_idx") < F.col("end_"), "front").when(F.col("page_idx") >= F.col("back_"), "back").otherwise("body")
+    return s.withColumn("region", region).drop("end_", "back_", "n_")
 
 
 def typed(blk: DataFrame, low_confidence: float = 0.6, notes: DataFrame | None = None, compose: bool = False) -> DataFrame:
@@ -111,13 +122,15 @@ def typed(blk: DataFrame, low_confidence: float = 0.6, notes: DataFrame | None =
     for body blocks, furniture for all but tables, copyright and contents for all but headings and tables.
     """
     key = [*PAGE, "block_idx"]
-    signed = signs(blk)
-    sig = page_signals(signed)
-    reg = regions(sig).select(*PAGE, "region", ((F.col("region") == "front") & ~F.col("copyright") & ~F.col("toc") & (F.col("prose") == 0) & (F.col("n_blocks") <= 8)).alias("title_page"))
-    unsure = overlapping(blk).select(*key).withColumn("unsure", F.lit(True))
-    heads = blk.filter(F.col("label").isin("PageHeader", "Page-header")).withColumn("n", T.nav_of_head(F.col("text"))).filter("n IS NOT NULL")
-    heads = heads.groupBy(*PAGE).agg(F.min_by("n", "block_idx").alias("page_nav"))
-    b = reading_order(blk).join(signed.select(*key, "sign", "indent", "centered", "verse_type"), key, "left").join(reg, PAGE, "left").join(unsure, key, "left").join(heads, PAGE, "left")
+    page = Window.partitionBy(*PAGE)
+    # one shuffle by document; every window below is within one
+    b = signs(blk.repartition("doc_id"))
+    b = regions(b.withColumns({k: c.over(page) for k, c in signals().items()}))
+    sparse = (F.col("region") == "front") & ~F.col("copyright") & ~F.col("toc") & (F.col("prose") == 0) & (F.col("n_blocks") <= 8)
+    head_nav = F.when(F.col("label").isin("PageHeader", "Page-header"), T.nav_of_head(F.col("text")))
+    b = b.withColumns({"title_page": sparse, "head_nav": head_nav}).drop("copyright", "toc", "prose", "back", "n_blocks")
+    b = b.withColumn("page_nav", F.min_by("head_nav", F.when(F.col("head_nav").isNotNull(), F.col("block_idx"))).over(page)).drop("head_nav")
+    b = with_overlaps(reading_order(b)).withColumnRenamed("overlaps", "unsure")
     b = b.join(notes, key, "left") if notes is not None else b.withColumn("note_type", F.lit(None).cast("string"))
     doc = Window.partitionBy("doc_id").orderBy("page_idx", "seq")
     so_far = doc.rowsBetween(Window.unboundedPreceding, 0)
