@@ -110,3 +110,22 @@ def progress(books: DataFrame) -> DataFrame:
 def running_totals(times: DataFrame) -> DataFrame:
     w = Window.partitionBy("batch").orderBy("finish", "book").rowsBetween(Window.unboundedPreceding, 0)
     return times.withColumns({"pages_so_far": F.sum("pages").over(w), "seconds_so_far": F.sum("seconds").over(w)})
+
+
+def nfc_share(docs: DataFrame, text: str = "text") -> DataFrame:
+    """docs with nfc: whether the text is in Unicode NFC."""
+    from ..functions.text import nfc
+
+    return docs.withColumn("nfc", nfc(F.col(text)).eqNullSafe(F.col(text)))
+
+
+def active_claims(claims: DataFrame, host: str, ttl: int) -> DataFrame:
+    """Claims that can't be stolen, the oldest first, with their age."""
+    return stealable(claims, host, ttl).filter("NOT stealable").select("name", "host", "pid", "age_s")
+
+
+def acquire(claims: DataFrame, wanted: DataFrame, host: str, ttl: int) -> DataFrame:
+    """claims after wanted(name, pid, asked_at): a free or stealable name goes to who asked first; others stay with their holder."""
+    held = stealable(claims, host, ttl).filter("NOT stealable").select("name", "pid")
+    first = wanted.groupBy("name").agg(F.min_by("pid", F.struct("asked_at", "pid")).alias("pid"))
+    return held.withColumn("won", F.lit(False)).unionByName(first.join(held, "name", "left_anti").withColumn("won", F.lit(True)))

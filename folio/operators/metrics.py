@@ -93,3 +93,15 @@ def process_tree(procs: DataFrame, spark: SparkSession) -> DataFrame:
             SELECT pid, pid, 0 FROM procs_ WHERE ppid = 0 OR ppid NOT IN (SELECT pid FROM procs_)
             UNION ALL SELECT p.pid, t.root, t.depth + 1 FROM t JOIN procs_ p ON p.ppid = t.pid AND p.pid <> t.pid)
         SELECT pid, root, depth FROM t""")
+
+
+def matches(procs: DataFrame, needles: list[str]) -> DataFrame:
+    """procs(name, cmd) whose name or command holds one of the needles, whatever the case."""
+    hay = F.lower(F.concat_ws(" ", "name", "cmd"))
+    return procs.filter(F.exists(F.array(*[F.lit(n.lower()) for n in needles]), lambda n: F.instr(hay, n) > 0)) if needles else procs
+
+
+def process_profile(procs: DataFrame, needles: list[str], by: list[str]) -> DataFrame:
+    """Sums over all processes of a sample, and over the matched ones with their names."""
+    own = matches(procs, needles).groupBy(*by).agg(F.sum("cpu").alias("own_cpu"), F.array_join(F.sort_array(F.collect_set("name")), ",").alias("names"))
+    return procs.groupBy(*by).agg(F.round(F.sum("cpu"), 3).alias("tree_cpu"), F.count(F.lit(1)).alias("n_procs")).join(own, by, "left").withColumn("own_cpu", F.round("own_cpu", 3))

@@ -139,3 +139,63 @@ def not_rising(files: DataFrame) -> DataFrame:
     """Labels that aren't larger than the last of their kind."""
     w = Window.partitionBy("book", "kind").orderBy("file_idx")
     return files.filter("kind IS NOT NULL").withColumn("before", F.lag("printed").over(w)).filter("printed <= before")
+
+
+def page_no(name: Column, backend: Column, idx: Column) -> Column:
+    """The last number of a name's stem, else the backend's if it isn't 0, else the index."""
+    stem = F.regexp_replace(name, r"\.[^.]*$", "")
+    return F.coalesce(F.regexp_extract(stem, r"(\d+)\D*$", 1).try_cast("long"), F.nullif(backend, F.lit(0)), idx)
+
+
+def drop_spec(spec: Column) -> Column:
+    """even, odd or non-latin, with :LO-HI, as (mode, lo, hi)."""
+    span = F.split_part(spec, F.lit(":"), F.lit(2))
+    bound = lambda k: F.nullif(F.split_part(span, F.lit("-"), F.lit(k)), F.lit("")).try_cast("int")
+    return F.struct(F.lower(F.split_part(spec, F.lit(":"), F.lit(1))).alias("mode"), bound(1).alias("lo"), bound(2).alias("hi"))
+
+
+def add_pages(files: DataFrame, added: DataFrame) -> DataFrame:
+    """added(book, after, ord, sha) with new_name: <name of the anchor><next free letter>; contents that the book has, or that come twice, are left out.
+
+    An anchor that isn't there stops the job.
+    """
+    own = files.select("book", "sha").distinct()
+    once = added.withColumn("rep", F.row_number().over(Window.partitionBy("book", "sha").orderBy("after", "ord"))).filter("rep = 1").drop("rep")
+    new = once.join(own, ["book", "sha"], "left_anti")
+    at = files.select("book", F.col("file_idx").alias("after"), F.col("name").alias("anchor"))
+    new = new.join(at, ["book", "after"], "left").withColumn("n", F.row_number().over(Window.partitionBy("book", "after").orderBy("ord")) - 1)
+    stem, ext = F.regexp_replace("anchor", r"\.[^.]*$", ""), F.regexp_extract("anchor", r"(\.[^.]*)$", 1)
+    missing = F.raise_error(F.concat(F.lit("no page "), F.col("after"), F.lit(" in book "), F.col("book")))
+    return new.withColumn("new_name", F.when(F.col("anchor").isNotNull(), F.concat(stem, letters(F.col("n")), ext)).otherwise(missing)).drop("anchor", "n")
+
+
+def resolve_start(files: DataFrame, starts: DataFrame) -> DataFrame:
+    """starts(book, start) with the file_idx of that name, else of that stem, else of that page number."""
+    j = files.join(starts, "book")
+    stem = F.regexp_replace("name", r"\.[^.]*$", "")
+    how = F.when(F.col("name") == F.col("start"), 0).when(stem == F.col("start"), 1).when(page_number(F.col("name")) == F.col("start").try_cast("long"), 2)
+    return j.withColumn("how", how).filter("how IS NOT NULL").groupBy("book", "start").agg(F.min_by("file_idx", F.struct("how", "file_idx")).alias("file_idx"))
+
+
+def better_side(strips: DataFrame, samples: int = 16) -> DataFrame:
+    """strips(book, file_idx, side, val): per book the side whose numbers are read on more of evenly spaced sample pages; top if equal."""
+    n = F.max("file_idx").over(Window.partitionBy("book"))
+    s = strips.withColumn("every", F.greatest(F.ceil(n / samples), F.lit(1))).filter((F.col("file_idx") - 1) % F.col("every") == 0)
+    read = lambda side: F.count_if((F.col("side") == side) & F.col("val").isNotNull())
+    return s.groupBy("book").agg(F.when(read("bottom") > read("top"), "bottom").otherwise("top").alias("side"))
+
+
+def page_values(strips: DataFrame) -> DataFrame:
+    """The number of each page: from the book's better side, else from the other."""
+    best = better_side(strips).withColumnRenamed("side", "best")
+    j = strips.join(best, "book")
+    return j.groupBy("book", "file_idx").agg(F.coalesce(F.max(F.when(F.col("side") == F.col("best"), F.col("val"))), F.max(F.when(F.col("side") != F.col("best"), F.col("val")))).alias("val"))
+
+
+def unscramble(files: DataFrame) -> DataFrame:
+    """files in their right order: a new name by sequence, the old name, the number, whether it was inferred or is suspect."""
+    order = descramble(files).select("book", "file_idx", "seq")
+    inferred = infer_missing(files).select("book", "file_idx", "inferred")
+    odd = suspects(files).select("book", "file_idx", "suspect")
+    j = files.join(order, ["book", "file_idx"]).join(inferred, ["book", "file_idx"], "left").join(odd, ["book", "file_idx"], "left")
+    return j.select("book", F.lpad(F.col("seq").cast("string"), 4, "0").alias("file"), F.col("name").alias("source"), F.coalesce(F.when(F.col("kind").isNotNull(), F.col("printed")), F.col("inferred")).alias("page"), F.col("inferred").isNotNull().alias("was_inferred"), F.coalesce("suspect", F.lit(False)).alias("suspect"))

@@ -148,3 +148,25 @@ def token_caps(spark, sf_dir):
 def book_timing(spark, sf_dir):
     t = read(spark, sf_dir, "orders").selectExpr("o_custkey AS batch", "o_orderkey AS book", "o_orderdate AS finish", "o_orderkey % 9 + 1 AS pages", "o_orderkey % 50 AS seconds")
     return C.running_totals(t).select("batch", "book", "pages_so_far", "seconds_so_far")
+
+
+@query("SELECT doc_id, nfc_normalize(text) = text AS nfc FROM documents")
+def nfc_check(spark, sf_dir):
+    return C.nfc_share(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "nfc")
+
+
+CLAIM2 = CLAIM + ", s_suppkey AS pid"
+
+
+@query(f"WITH c AS (SELECT {CLAIM2} FROM supplier) SELECT name, host, pid, age_s FROM c WHERE NOT CASE WHEN corrupt THEN true WHEN host = 'h1' THEN NOT alive ELSE age_s > 900 END")
+def active_claims(spark, sf_dir):
+    return C.active_claims(read(spark, sf_dir, "supplier").selectExpr(*CLAIM2.split(", ")), "h1", 900)
+
+
+@query(f"""WITH c AS (SELECT {CLAIM2} FROM supplier), h AS (SELECT name, pid FROM c WHERE NOT CASE WHEN corrupt THEN true WHEN host = 'h1' THEN NOT alive ELSE age_s > 900 END),
+w AS (SELECT l_suppkey AS name, arg_min(l_orderkey, (l_linenumber, l_orderkey)) AS pid FROM lineitem GROUP BY l_suppkey)
+SELECT name, pid, false AS won FROM h UNION ALL SELECT name, pid, true FROM w WHERE name NOT IN (SELECT name FROM h)""")
+def leases(spark, sf_dir):
+    claims = read(spark, sf_dir, "supplier").selectExpr(*CLAIM2.split(", "))
+    wanted = read(spark, sf_dir, "lineitem").selectExpr("l_suppkey AS name", "l_orderkey AS pid", "l_linenumber AS asked_at")
+    return C.acquire(claims, wanted, "h1", 900)

@@ -105,6 +105,16 @@ def recommend(spark, sf_dir):
     return M.recommend(_runs(spark, sf_dir).withColumn("idle", F.round("idle", 6))).select("run", "action")
 
 
+PROCS = "user_id AS series, CASE event_type WHEN 'click' THEN 'llama-server' WHEN 'view' THEN 'surya' ELSE 'helper' END AS name, event_type AS cmd, value AS cpu"
+
+
+@query(f"""WITH p AS (SELECT {PROCS} FROM events)
+SELECT series, round(sum(cpu), 3) AS tree_cpu, count(*) AS n_procs, round(sum(cpu) FILTER (name = 'llama-server' OR name = 'surya'), 3) AS own_cpu, string_agg(DISTINCT name, ',' ORDER BY name) FILTER (name = 'llama-server' OR name = 'surya') AS names FROM p GROUP BY series""")
+def proc_profile(spark, sf_dir):
+    p = read(spark, sf_dir, "events").selectExpr("user_id AS series", "CASE event_type WHEN 'click' THEN 'llama-server' WHEN 'view' THEN 'surya' ELSE 'helper' END AS name", "event_type AS cmd", "value AS cpu")
+    return M.process_profile(p, ["LLAMA", "surya"], ["series"])
+
+
 @query("""WITH RECURSIVE p AS (SELECT event_id AS pid, event_id // 3 AS ppid FROM events WHERE event_id BETWEEN 1 AND 1999), t(pid, root, depth) AS (SELECT pid, pid, 0 FROM p WHERE ppid = 0 UNION ALL SELECT p.pid, t.root, t.depth + 1 FROM t JOIN p ON p.ppid = t.pid AND p.pid <> t.pid)
 SELECT pid, root, depth FROM t""")
 def proc_tree(spark, sf_dir):

@@ -125,3 +125,54 @@ def infer_missing(spark, sf_dir):
 @query(f"{PF}, l AS (SELECT *, lag(printed) OVER (PARTITION BY book, kind ORDER BY file_idx) AS before FROM pf WHERE kind IS NOT NULL) SELECT book, file_idx, printed, before FROM l WHERE printed <= before")
 def verify_increasing(spark, sf_dir):
     return P.not_rising(page_files(spark, sf_dir)).select("book", "file_idx", "printed", "before")
+
+
+@query(rf"{PF} SELECT book, name, coalesce(try_cast(nullif(regexp_extract(regexp_replace(name, '\.[^.]*$', ''), '(\d+)\D*$', 1), '') AS bigint), nullif(hk, 0), file_idx) AS page_no FROM pf")
+def page_no(spark, sf_dir):
+    f = page_files(spark, sf_dir)
+    return f.select("book", "name", P.page_no(F.col("name"), F.col("hk").cast("long"), F.col("file_idx")).alias("page_no"))
+
+
+@query(f"""{PF}, ad AS (SELECT book, file_idx AS after, hk AS ord, 'new-' || (o_orderkey % 40) AS content FROM pf WHERE hk IN (1, 4, 6)),
+on1 AS (SELECT * FROM ad QUALIFY row_number() OVER (PARTITION BY book, content ORDER BY after, ord) = 1),
+nu AS (SELECT *, row_number() OVER (PARTITION BY book, after ORDER BY ord) - 1 AS n FROM on1)
+SELECT nu.book AS book, after, replace(name, '.jpg', '') || chr(cast(97 + n AS int)) || '.jpg' AS new_name FROM nu JOIN pf ON pf.book = nu.book AND pf.file_idx = nu.after""")
+def add_pages(spark, sf_dir):
+    f = page_files(spark, sf_dir).withColumn("sha", F.sha2("content", 256))
+    added = f.filter("hk IN (1, 4, 6)").select("book", F.col("file_idx").alias("after"), F.col("hk").alias("ord"), F.sha2(F.concat(F.lit("new-"), F.col("o_orderkey") % 40), 256).alias("sha"))
+    return P.add_pages(f, added).select("book", "after", "new_name")
+
+
+@query(f"""{PF}, s AS (SELECT DISTINCT book, CASE book % 3 WHEN 0 THEN 'Book - 004.jpg' WHEN 1 THEN 'Book - 5' ELSE '6' END AS start FROM pf),
+h AS (SELECT pf.book, start, file_idx, CASE WHEN name = start THEN 0 WHEN replace(name, '.jpg', '') = start THEN 1 WHEN {NUM} = try_cast(start AS bigint) THEN 2 END AS how FROM pf JOIN s ON pf.book = s.book)
+SELECT book, start, arg_min(file_idx, (how, file_idx)) AS file_idx FROM h WHERE how IS NOT NULL GROUP BY book, start""")
+def start_page(spark, sf_dir):
+    f = page_files(spark, sf_dir)
+    start = F.when(F.col("book") % 3 == 0, "Book - 004.jpg").when(F.col("book") % 3 == 1, "Book - 5").otherwise("6")
+    return P.resolve_start(f.select("book", "file_idx", "name"), f.select("book", start.alias("start")).distinct())
+
+
+def _strips(spark, sf_dir):
+    f = page_files(spark, sf_dir)
+    side = lambda name, cond: f.select("book", "file_idx", F.lit(name).alias("side"), F.when(F.expr(cond), F.col("printed")).alias("val"))
+    return side("top", "(o_orderkey + book) % 4 <> 0").unionByName(side("bottom", "(o_orderkey + book) % 3 <> 0"))
+
+
+STRIPS = f"""{PF}, st AS (SELECT book, file_idx, 'top' AS side, CASE WHEN (o_orderkey + book) % 4 <> 0 THEN printed END AS val FROM pf UNION ALL SELECT book, file_idx, 'bottom', CASE WHEN (o_orderkey + book) % 3 <> 0 THEN printed END FROM pf),
+sm AS (SELECT *, greatest(cast(ceil(max(file_idx) OVER (PARTITION BY book) / 16.0) AS bigint), 1) AS every FROM st),
+bs AS (SELECT book, CASE WHEN count(val) FILTER (side = 'bottom') > count(val) FILTER (side = 'top') THEN 'bottom' ELSE 'top' END AS side FROM sm WHERE (file_idx - 1) % every = 0 GROUP BY book)"""
+
+
+@query(f"{STRIPS} SELECT book, side FROM bs")
+def number_side(spark, sf_dir):
+    return P.better_side(_strips(spark, sf_dir))
+
+
+@query(f"{STRIPS} SELECT st.book AS book, file_idx, coalesce(max(val) FILTER (st.side = bs.side), max(val) FILTER (st.side <> bs.side)) AS val FROM st JOIN bs ON st.book = bs.book GROUP BY st.book, file_idx")
+def page_values(spark, sf_dir):
+    return P.page_values(_strips(spark, sf_dir))
+
+
+@query()
+def unscramble(spark, sf_dir):
+    return P.unscramble(page_files(spark, sf_dir))
