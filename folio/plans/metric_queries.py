@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 from pyspark.sql import functions as F
 
 from ..operators import metrics as M
 from ..operators import raster as R
-from ..sources.tables import STAGES, corpus, read, samples
+from ..sources.tables import STAGES, corpus, read, samples, shared_folder
 from ..streaming import tail
 
 QUERIES: dict = {}
@@ -161,8 +159,8 @@ def row_runs(spark, sf_dir):
 
 
 def _files(df, parts: int) -> str:
-    folder = tempfile.mkdtemp(prefix="folio-stream-")
-    df.repartition(parts).write.mode("overwrite").json(folder)
+    folder = shared_folder(df.sparkSession, "stream")
+    df.repartition(parts).write.json(folder)
     return folder
 
 
@@ -171,8 +169,8 @@ def stream_manifest(spark, sf_dir):
     c = corpus(spark, sf_dir).select("edition", "title")
     old, new = c.withColumn("version", F.lit(1)), c.withColumns({"title": F.concat("title", F.lit("-v2")), "version": F.lit(2)})
     folder = _files(old.unionByName(new), 3)
-    tail.latest(tail.manifest(spark, folder, "edition long, title string, version int"), "edition", "version", "folio_manifest")
-    return spark.table("folio_manifest").select("edition", "title")
+    rows = tail.manifest(spark, folder, "edition long, title string, version int")
+    return tail.latest(rows, "edition", "version", shared_folder(spark, "manifest")).select("edition", "title")
 
 
 @query()
@@ -180,6 +178,4 @@ def stream_dips(spark, sf_dir):
     schema = "series long, ts timestamp, event_id long, util double"
     folder = _files(samples(spark, sf_dir).select("series", "ts", "event_id", "util"), 1)
     stream = spark.readStream.schema(schema).json(folder)
-    q = tail.dip_stream(stream, 20, 3600).writeStream.outputMode("append").format("memory").queryName("folio_dips").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table("folio_dips")
+    return tail.run_to_files(tail.dip_stream(stream, 20, 3600), shared_folder(spark, "dips"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +54,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path below spark.checkpoint.dir, which all workers reach; below a temporary folder where that is unset."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="folio-")
+    return f"{at.rstrip('/')}/folio/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """a block per non-blank line of documents, with label, text, geometry, confidence and html."""
     out = read(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))

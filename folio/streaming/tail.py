@@ -15,12 +15,28 @@ def manifest(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return parsed.filter(F.col(parsed.columns[0]).isNotNull())
 
 
-def latest(stream: DataFrame, key: str, order: str, name: str) -> None:
-    """Runs what has arrived, and keeps per key the row of the largest order in the table `name` in memory."""
+def latest(stream: DataFrame, key: str, order: str, folder: str) -> DataFrame:
+    """Runs what has arrived; per key the row of the largest order. Each batch writes a new version of the table below folder from the last one."""
     others = [c for c in stream.columns if c != key]
-    agg = stream.groupBy(key).agg(F.max_by(F.struct(*others), order).alias("r"))
-    q = agg.select(key, "r.*").writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
+
+    def merge(batch: DataFrame, number: int) -> None:
+        if number:
+            batch = batch.unionByName(batch.sparkSession.read.schema(batch.schema).parquet(f"{folder}/v{number - 1}"))
+        new = batch.groupBy(key).agg(F.max_by(F.struct(*others), order).alias("r")).select(key, "r.*")
+        new.write.mode("overwrite").parquet(f"{folder}/v{number}")
+        done.append(number)
+
+    done: list[int] = []
+    q = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return stream.sparkSession.read.parquet(f"{folder}/v{done[-1]}") if done else stream.sparkSession.createDataFrame([], stream.schema)
+
+
+def run_to_files(stream: DataFrame, folder: str) -> DataFrame:
+    """Runs what has arrived into files below folder, and reads them."""
+    q = stream.writeStream.outputMode("append").format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
 
 
 def windowed(stream: DataFrame, late: str = "1 day", width: str = "1 day") -> DataFrame:
