@@ -16,6 +16,16 @@ def catalogue(holdings: DataFrame) -> DataFrame:
     return holdings.groupBy(F.col("edition_id").alias("edition")).agg(F.min_by("pub_id", F.when(F.col("pub_id").isNotNull(), F.col("supp"))).alias("pub_id"), F.count("content_hash").alias("n_hashes"), F.min("content_hash").alias("sole"))
 
 
+def verify_catalogue(holdings: DataFrame, version: int | None = None) -> DataFrame:
+    """holdings, if it has the columns that stamping needs and its version, where one is stated, is 1 or later; else ValueError."""
+    missing = {"edition_id", "pub_id", "file_path", "content_hash"} - set(holdings.columns)
+    if missing:
+        raise ValueError(f"the catalogue lacks {', '.join(sorted(missing))}")
+    if version is not None and version < 1:
+        raise ValueError(f"catalogue version {version}")
+    return holdings
+
+
 def stamp(rows: DataFrame, holdings: DataFrame) -> DataFrame:
     """rows(edition, source, pub_hint) with pub_id and content_hash.
 

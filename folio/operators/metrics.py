@@ -23,6 +23,31 @@ def tag(samples: DataFrame, stages: DataFrame) -> DataFrame:
     return hit.groupBy(*samples.columns).agg(F.coalesce(first, F.lit("(idle)")).alias("stage"))
 
 
+def day_windows(stages: DataFrame) -> DataFrame:
+    """The stage windows of each day as one row, in order."""
+    return stages.groupBy("day").agg(F.sort_array(F.collect_list(F.struct("ord", "stage", "a", "b"))).alias("windows"))
+
+
+def tag_stream(stream: DataFrame, windows: DataFrame, none: str = "(idle)") -> DataFrame:
+    """tag() without a state, for streams: joined with day_windows(), a static table."""
+    s = stream.withColumn("day", F.date_trunc("DAY", "ts")).join(windows, "day", "left")
+    hit = F.get(F.filter("windows", lambda w: (F.col("ts") >= w["a"]) & (F.col("ts") <= w["b"])), F.lit(0))["stage"]
+    return s.withColumn("stage", F.coalesce(hit, F.lit(none))).drop("day", "windows")
+
+
+def stage_seconds(samples: DataFrame, by: str = "stage") -> DataFrame:
+    """Samples, mean, and least and largest time per stage; what lies in none is (unstaged)."""
+    s = samples.withColumn(by, F.when(F.col(by) == "(idle)", "(unstaged)").otherwise(F.col(by)))
+    return s.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("util"), 3).alias("mean"), F.min("ts").alias("t0"), F.max("ts").alias("t1"))
+
+
+def named_sums(procs: DataFrame, names: dict[str, list[str]], by: list[str]) -> DataFrame:
+    """Sums of cpu per sample over the processes whose name or command holds one of each entry's needles."""
+    hay = F.lower(F.concat_ws(" ", "name", "cmd"))
+    holds = lambda needles: F.exists(F.array(*[F.lit(n.lower()) for n in needles]), lambda n: F.instr(hay, n) > 0)
+    return procs.groupBy(*by).agg(*[F.round(F.coalesce(F.sum(F.when(holds(v), F.col("cpu"))), F.lit(0.0)), 3).alias(k) for k, v in names.items()])
+
+
 def stats(samples: DataFrame, by: list[str], value: str = "util") -> DataFrame:
     """n, least, mean, largest, nearest-rank 95th percentile, last; rounded to 3 places."""
     r = lambda c: F.round(c, 3)

@@ -199,3 +199,14 @@ def unscramble(files: DataFrame) -> DataFrame:
     odd = suspects(files).select("book", "file_idx", "suspect")
     j = files.join(order, ["book", "file_idx"]).join(inferred, ["book", "file_idx"], "left").join(odd, ["book", "file_idx"], "left")
     return j.select("book", F.lpad(F.col("seq").cast("string"), 4, "0").alias("file"), F.col("name").alias("source"), F.coalesce(F.when(F.col("kind").isNotNull(), F.col("printed")), F.col("inferred")).alias("page"), F.col("inferred").isNotNull().alias("was_inferred"), F.coalesce("suspect", F.lit(False)).alias("suspect"))
+
+
+def rotation(spec: Column) -> Column:
+    """DEGREES:CW or DEGREES:CCW, with @FIRST:LAST, as (degrees clockwise, first, last), null for none; anything else stops the job."""
+    good = spec.rlike(r"(?i)^\d+(\.\d+)?(:c?cw)?(@\d*:(\d*|end))?$")
+    turn, span = F.split_part(spec, F.lit("@"), F.lit(1)), F.split_part(spec, F.lit("@"), F.lit(2))
+    degrees = F.split_part(turn, F.lit(":"), F.lit(1)).try_cast("double")
+    bound = lambda k: F.split_part(span, F.lit(":"), F.lit(k)).try_cast("int")
+    clockwise = F.when(F.upper(F.split_part(turn, F.lit(":"), F.lit(2))) == "CCW", -degrees).otherwise(degrees)
+    bad = F.raise_error(F.concat(F.lit("bad rotation "), spec))
+    return F.when(~good | (degrees > 180), bad).when(degrees > 0, F.struct(clockwise.alias("degrees"), bound(1).alias("first"), bound(2).alias("last")))

@@ -18,7 +18,7 @@ def build(blk: DataFrame) -> DataFrame:
     """A row per document: doc_id, schema_version, features, blocks in order, footnotes by key."""
     found = annotations(blk)
     b = typed(blk, notes=found.select(*PAGE, "block_idx", "note_type", "note_marker", "scope_key", "continuation"), compose=True)
-    core = F.struct("id", "type", "text", F.col("page_idx").alias("page"), "level", "chapter", "region", T.find_refs(F.col("text")).alias("refs"), F.array(*[F.round(c, 1) for c in ("x0", "y0", "x1", "y1")]).alias("bbox"), "confidence", "needs_review", F.col("note_marker").alias("marker"), F.col("continuation"), "indent", "centered", "source")
+    core = F.struct("id", "type", "text", F.col("page_idx").alias("page"), "level", "chapter", "region", T.find_refs(F.col("text")).alias("refs"), F.array(*[F.round(c, 1) for c in ("x0", "y0", "x1", "y1")]).alias("bbox"), F.when(F.col("type") == "table", F.when(F.col("html").isNotNull(), F.struct(F.lit("html").alias("format"), F.col("html").alias("content")))).alias("table"), "confidence", "needs_review", F.col("note_marker").alias("marker"), F.col("continuation"), "indent", "centered", "source")
     docs = b.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page_idx", "seq", core.alias("b"), "scope_key", "continuation"))).alias("s"))
     docs = docs.select("doc_id", F.transform("s", lambda x: x["b"]).alias("blocks"), F.filter("s", lambda x: x["scope_key"].isNotNull() & ~x["continuation"]).alias("marked"))
     keep = ["marker", "kind", "text", "page", "chapter", "needs_review", "span_pages"]

@@ -40,6 +40,18 @@ def stage_tag(spark, sf_dir):
     return _tagged(spark, sf_dir).select("event_id", "stage")
 
 
+@query(f"{TAGGED} SELECT event_id, stage FROM tg")
+def stage_tag_stream(spark, sf_dir):
+    s = samples(spark, sf_dir)
+    days = s.select(F.date_trunc("DAY", "ts").alias("day")).distinct()
+    return M.tag_stream(s, M.day_windows(M.stage_windows(spark, days))).select("event_id", "stage")
+
+
+@query(f"{TAGGED} SELECT CASE stage WHEN '(idle)' THEN '(unstaged)' ELSE stage END AS stage, count(*) AS n, round(avg(util), 3) AS mean, min(ts) AS t0, max(ts) AS t1 FROM tg GROUP BY 1")
+def stage_windows(spark, sf_dir):
+    return M.stage_seconds(_tagged(spark, sf_dir))
+
+
 STATS = "count(util) AS n, round(min(util), 3) AS min, round(avg(util), 3) AS mean, round(max(util), 3) AS max, round(quantile_disc(util, 0.95), 3) AS p95, round(arg_max(util, (ts, event_id)), 3) AS last"
 
 
@@ -113,6 +125,12 @@ def proc_profile(spark, sf_dir):
     return M.process_profile(p, ["LLAMA", "surya"], ["series"])
 
 
+@query("SELECT user_id AS series, round(coalesce(sum(value) FILTER (event_type IN ('click', 'view')), 0), 3) AS model, round(coalesce(sum(value) FILTER (event_type = 'view'), 0), 3) AS surya FROM events GROUP BY user_id")
+def named_sums(spark, sf_dir):
+    p = read(spark, sf_dir, "events").selectExpr("user_id AS series", "event_type AS name", "'' AS cmd", "value AS cpu")
+    return M.named_sums(p, {"model": ["CLICK", "view"], "surya": ["view"]}, ["series"])
+
+
 @query("""WITH RECURSIVE p AS (SELECT event_id AS pid, event_id // 3 AS ppid FROM events WHERE event_id BETWEEN 1 AND 1999), t(pid, root, depth) AS (SELECT pid, pid, 0 FROM p WHERE ppid = 0 UNION ALL SELECT p.pid, t.root, t.depth + 1 FROM t JOIN p ON p.ppid = t.pid AND p.pid <> t.pid)
 SELECT pid, root, depth FROM t""")
 def proc_tree(spark, sf_dir):

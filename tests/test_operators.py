@@ -165,3 +165,37 @@ def test_rasters(spark):
     assert got[0].inner_gutter is not None and got[1].inner_gutter is None
     assert got[2].rule_y == 30 and got[3].rule_y is None and got[4].rule_y is None
     assert got[5].two_up is not None and got[1].two_up is None
+
+
+def test_rotations(spark):
+    df = spark.createDataFrame([("90:CW@3:9",), ("1.5:ccw@4:end",), ("0:CW",)], "s string")
+    got = [r[0] for r in df.select(P.rotation(F.col("s"))).collect()]
+    assert [(r.degrees, r.first, r.last) if r else None for r in got] == [(90.0, 3, 9), (-1.5, 4, None), None]
+    with pytest.raises(Exception, match="bad rotation"):
+        spark.createDataFrame([("270:CW",)], "s string").select(P.rotation(F.col("s"))).collect()
+
+
+def test_drop_specs(spark):
+    r = spark.createDataFrame([("odd:3-8",)], "s string").select(P.drop_spec(F.col("s")).alias("d")).first().d
+    assert (r.mode, r.lo, r.hi) == ("odd", 3, 8)
+
+
+def test_catalogue_contract(spark):
+    good = spark.createDataFrame([], "edition_id long, pub_id string, file_path string, content_hash string")
+    assert C.verify_catalogue(good, 1) is good
+    for df, version in ((good.drop("pub_id"), 1), (good, 0)):
+        with pytest.raises(ValueError):
+            C.verify_catalogue(df, version)
+
+
+def test_tables_are_kept(spark):
+    d = D.build(blk(spark, [(0, "Table", "a b", None)]).withColumn("html", F.lit("<table>"))).first()
+    assert d.blocks[0].table.content == "<table>" and d.blocks[0].type == "table"
+
+
+def test_added_pages_need_their_anchor(spark):
+    f = spark.createDataFrame([(1, 1, "p1.jpg", "x")], "book int, file_idx long, name string, sha string")
+    a = spark.createDataFrame([(1, 1, 0, "y"), (1, 1, 1, "z"), (1, 1, 2, "x"), (1, 1, 3, "y")], "book int, after long, ord int, sha string")
+    assert sorted(r.new_name for r in P.add_pages(f, a).collect()) == ["p1a.jpg", "p1b.jpg"]
+    with pytest.raises(Exception, match="no page 9"):
+        P.add_pages(f, a.withColumn("after", F.lit(9).cast("long"))).collect()
