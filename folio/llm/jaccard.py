@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat, mix, packed, prefix_hash, runs, span_hash, table, words
+from .common import flat, give_back, mix, packed, prefix_hash, runs, span_hash, table, words
 from .components import components
 
 #: Words in a shingle; a pair is linked from a Jaccard similarity of 4/5 on.
@@ -80,6 +80,7 @@ def _chunks(batch):
     for first, last in runs(begin, CHUNK):
         a, z = int(begin[first]), int(begin[last])
         yield first, last, shingles(data[a:z], begin[first : last + 1] - a)
+        give_back()
 
 
 _SIGNED = pa.schema([("key", pa.int64()), ("th", pa.int64()), ("words", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("trees", pa.list_(pa.int64()))])
@@ -97,9 +98,7 @@ def _sign(trees: int, depth: int):
                 keys = tree_keys(h, at, trees, depth).view(np.int64).reshape(-1)
                 offsets = pa.array(np.r_[0, np.cumsum(some * trees)].astype(np.int32))
                 lists = pa.ListArray.from_arrays(offsets, pa.array(keys))
-                null = pa.array(~some)
                 held = [pa.array(x, mask=~some) for x in (h1, h2)]
-                del null
                 yield pa.RecordBatch.from_arrays([key.slice(first, last - first), th.slice(first, last - first), pa.array(all_words.view(np.int64)), *held, lists], schema=_SIGNED)
 
     return run
