@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from .geometry import PAGE
 
-ANNOTATIONS = "doc_id long, page_idx int, block_idx int, note_type string, note_marker string, scope_key string, continuation boolean"
-NOTES = "doc_id long, scope_key string, marker string, kind string, text string, page int, chapter string, needs_review boolean, span_pages array<int>"
+ANNOTATIONS = "doc_id long, page_idx int, block_idx int, note_type string, note_marker string, scope_key string, continuation boolean, note_no int, piece int, body string, note_chapter string, review boolean"
 _END = tuple(".!?\"')]”’…")
 
 
@@ -75,30 +74,30 @@ def _scope(text: str) -> tuple[bool, str | None]:
 
 
 class _Notes:
-    """The notes of one document so far: keyed in order, later ones replace earlier ones of the same key."""
+    """The notes of one document so far, as the blocks that they are made of; later notes replace earlier ones of the same key."""
 
     def __init__(self) -> None:
-        self.notes: dict[str, dict] = {}
+        self.number = 0
+        self.by_key: dict[str, tuple[int, str, str]] = {}  # number, marker, last piece of text
         self.open: str | None = None
         self.blocks: list[tuple] = []
 
-    def mark(self, b: dict, kind: str, marker: str | None, key: str, goes_on: bool) -> None:
-        """Notes that a block is part of a note."""
-        self.blocks.append((b["page_idx"], b["block_idx"], kind, marker, key, goes_on))
+    def put(self, b: dict, key: str, marker: str, kind: str, text: str, chapter: str | None, review: bool) -> None:
+        self.number += 1
+        self.by_key[key] = (self.number, marker, text)
+        self.blocks.append((b["page_idx"], b["block_idx"], kind, marker, key, False, self.number, len(self.blocks), text, chapter, review))
 
-    def put(self, key: str, marker: str, kind: str, text: str, page: int, chapter: str | None, review: bool) -> None:
-        self.notes[key] = {"marker": marker, "kind": kind, "text": text, "page": page, "chapter": chapter, "needs_review": review, "span_pages": [page]}
-
-    def go_on(self, key: str, text: str, page: int) -> None:
-        n = self.notes[key]
-        n["text"] += " " + text
-        if page not in n["span_pages"]:
-            n["span_pages"].append(page)
+    def go_on(self, b: dict, key: str, kind: str) -> None:
+        number, marker, _ = self.by_key[key]
+        text = b["text"].strip()
+        self.by_key[key] = (number, marker, text)
+        self.blocks.append((b["page_idx"], b["block_idx"], kind, None, key, True, number, len(self.blocks), text, None, False))
 
     def closed(self, key: str | None) -> str | None:
+        """key, if its note doesn't end like a sentence."""
         if key is None:
             return None
-        end = self.notes[key]["text"].rstrip()
+        end = self.by_key[key][2].rstrip()
         return None if not end or end.endswith(_END) else key
 
 
@@ -110,10 +109,8 @@ def _footnotes(state: _Notes, page: list[dict], number: int) -> str | None:
     for i, b in enumerate(band):
         marker, rest = _split(b["text"])
         if marker is None and i == 0 and state.open:
-            state.go_on(state.open, b["text"].strip(), number)
-            state.mark(b, "footnote", None, state.open, True)
+            state.go_on(b, state.open, "footnote")
         elif marker is None and found:
-            found[-1][1] += " " + b["text"].strip()
             found[-1][2].append(b)
         else:
             found.append([marker, rest.strip(), [b]])
@@ -127,15 +124,15 @@ def _footnotes(state: _Notes, page: list[dict], number: int) -> str | None:
                 continue
             used.add(marker)
         last = f"p{number}:{marker}"
-        state.put(last, marker, "footnote", text, number, None, review)
-        for i, b in enumerate(blocks):
-            state.mark(b, "footnote", None if i else marker, last, i > 0)
+        state.put(blocks[0], last, marker, "footnote", text, None, review)
+        for b in blocks[1:]:
+            state.go_on(b, last, "footnote")
     return last
 
 
 def _endnotes(state: _Notes, page: list[dict], number: int, chapter: str | None) -> tuple[str | None, str | None]:
     last, first, headed = state.open, True, False
-    before = state.notes[state.open]["marker"] if state.open else None
+    before = state.by_key[state.open][1] if state.open else None
     for b in page:
         if b["label"] in ("PageHeader", "PageFooter") or not b["text"].strip():
             continue
@@ -151,12 +148,10 @@ def _endnotes(state: _Notes, page: list[dict], number: int, chapter: str | None)
         first = False
         if marker is None:
             if last:
-                state.go_on(last, b["text"].strip(), number)
-                state.mark(b, "endnote", None, last, True)
+                state.go_on(b, last, "endnote")
             continue
         last = f"ch{chapter}:{marker}" if chapter else f"book:{marker}"
-        state.put(last, marker, "endnote", rest.strip(), number, chapter, False)
-        state.mark(b, "endnote", marker, last, False)
+        state.put(b, last, marker, "endnote", rest.strip(), chapter, False)
     return last, chapter
 
 
@@ -175,33 +170,31 @@ def _resolved(rows: pd.DataFrame) -> _Notes:
 
 
 def _document(rows: pd.DataFrame) -> pd.DataFrame:
-    state, doc = _resolved(rows), rows["doc_id"].iloc[0]
-    made = [{"doc_id": doc, "scope_key": k, **v} for k, v in state.notes.items()]
-    return pd.DataFrame(made, columns=["doc_id", "scope_key", "marker", "kind", "text", "page", "chapter", "needs_review", "span_pages"])
-
-
-def _marked(rows: pd.DataFrame) -> pd.DataFrame:
-    state, doc = _resolved(rows), rows["doc_id"].iloc[0]
-    return pd.DataFrame([(doc, *x) for x in state.blocks], columns=["doc_id", "page_idx", "block_idx", "note_type", "note_marker", "scope_key", "continuation"])
-
-
-def _by_document(blk: DataFrame):
-    pages = note_pages(blk).select(*PAGE, (F.col("headed") | F.col("looks")).alias("notes_page"))
-    b = band(blk).join(pages, PAGE).select("doc_id", "page_idx", "block_idx", "label", "text", "y0", "in_band", "notes_page")
-    return b.groupBy("doc_id")
+    names = [c.split()[0] for c in ANNOTATIONS.split(", ")]
+    doc = rows["doc_id"].iloc[0]
+    return pd.DataFrame([(doc, *x) for x in _resolved(rows).blocks], columns=names)
 
 
-def resolve(blk: DataFrame) -> DataFrame:
-    """All notes of all documents, exactly: notes that run over pages, marks that must be guessed, and their scopes.
+def annotations(blk: DataFrame) -> DataFrame:
+    """The blocks that notes are made of, exactly: notes that run over pages, marks that must be guessed, and their scopes.
 
     The state passes from page to page, so a document is one group; a document's blocks are bounded by its pages.
     """
-    return _by_document(blk).applyInPandas(_document, NOTES)
-
-
-def annotations(blk: DataFrame) -> DataFrame:
-    """The blocks that notes consist of: their type, mark, key, and whether they go on from another block."""
-    return _by_document(blk).applyInPandas(_marked, ANNOTATIONS)
+    pages = note_pages(blk).select(*PAGE, (F.col("headed") | F.col("looks")).alias("notes_page"))
+    b = band(blk).join(pages, PAGE).select("doc_id", "page_idx", "block_idx", "label", "text", "y0", "in_band", "notes_page")
+    return b.groupBy("doc_id").applyInPandas(_document, ANNOTATIONS)
+
+
+def resolve(blk: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """The notes of all documents, from annotations(blk), which may be given: one row a key, the last note of that key."""
+    found = annotations(blk) if found is None else found
+    pieces = F.sort_array(F.collect_list(F.struct("piece", "body", "page_idx")))
+    head = lambda c: F.max(F.when(~F.col("continuation"), F.col(c)))
+    n = found.groupBy("doc_id", "scope_key", "note_no").agg(pieces.alias("p"), head("note_marker").alias("marker"), head("note_type").alias("kind"), head("note_chapter").alias("chapter"), F.max("review").alias("needs_review"))
+    last = n.groupBy("doc_id", "scope_key").agg(F.max_by(F.struct("p", "marker", "kind", "chapter", "needs_review"), "note_no").alias("n")).select("doc_id", "scope_key", "n.*")
+    pages = F.array_distinct(F.transform("p", lambda x: x["page_idx"]))
+    text = F.array_join(F.transform("p", lambda x: x["body"]), " ")
+    return last.select("doc_id", "scope_key", "marker", "kind", text.alias("text"), F.get(pages, F.lit(0)).alias("page"), "chapter", "needs_review", pages.alias("span_pages"))
 
 
 def backlinks(typed: DataFrame, blk: DataFrame) -> DataFrame:

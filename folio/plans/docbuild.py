@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.geometry import PAGE
-from ..operators.notes import annotations, resolve
+from ..operators.notes import ANNOTATIONS, annotations, resolve
+from ..sources.tables import shared_folder
 from ..operators.structure import FURNITURE, NOTE, VERSE, typed
 
 SCHEMA_VERSION = "1.2"
@@ -16,13 +17,16 @@ FEATURES = ["region", "indent", "citation_cues", "footnotes"]
 
 def build(blk: DataFrame) -> DataFrame:
     """A row per document: doc_id, schema_version, features, blocks in order, footnotes by key."""
-    found = annotations(blk)
+    # the notes are needed twice; they are resolved once
+    path = shared_folder(blk.sparkSession, "notes")
+    annotations(blk).write.parquet(path)
+    found = blk.sparkSession.read.schema(ANNOTATIONS).parquet(path)
     b = typed(blk, notes=found.select(*PAGE, "block_idx", "note_type", "note_marker", "scope_key", "continuation"), compose=True)
     core = F.struct("id", "type", "text", F.col("page_idx").alias("page"), "level", "chapter", "region", T.find_refs(F.col("text")).alias("refs"), F.array(*[F.round(c, 1) for c in ("x0", "y0", "x1", "y1")]).alias("bbox"), F.when(F.col("type") == "table", F.when(F.col("html").isNotNull(), F.struct(F.lit("html").alias("format"), F.col("html").alias("content")))).alias("table"), "confidence", "needs_review", F.col("note_marker").alias("marker"), F.col("continuation"), "indent", "centered", "source")
     docs = b.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page_idx", "seq", core.alias("b"), "scope_key", "continuation"))).alias("s"))
     docs = docs.select("doc_id", F.transform("s", lambda x: x["b"]).alias("blocks"), F.filter("s", lambda x: x["scope_key"].isNotNull() & ~x["continuation"]).alias("marked"))
     keep = ["marker", "kind", "text", "page", "chapter", "needs_review", "span_pages"]
-    n = resolve(blk).groupBy("doc_id").agg(F.collect_list(F.struct("scope_key", *keep)).alias("notes"))
+    n = resolve(blk, found).groupBy("doc_id").agg(F.collect_list(F.struct("scope_key", *keep)).alias("notes"))
     # a note's block is the first that it is made of
     block = lambda key: F.get(F.filter("marked", lambda x: x["scope_key"] == key), F.lit(0))["b"]["id"]
     entry = lambda x: F.struct(x["scope_key"], F.struct(*[x[c].alias(c) for c in keep], block(x["scope_key"]).alias("block_id")))
