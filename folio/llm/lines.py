@@ -17,6 +17,8 @@ BITS_AN_EDIT = 4
 #: Rows up to which a side of two or three numbers a row is sent to all executors.
 SENT = 500_000
 _NONE = -(1 << 63)
+#: The whole rule: edits are allowed from SHORT characters on, one in SHARE characters, and one at least. Lines from GRAMS characters on are indexed under their disjoint pieces of GRAM characters.
+SHORT, SHARE, GRAMS, GRAM = 10, 20, 64, 16
 
 
 def allowed(length: str) -> str:
@@ -24,6 +26,11 @@ def allowed(length: str) -> str:
     return f"CASE WHEN {length} >= {LONG} THEN 2 ELSE 1 END"
 
 
+def allowed_whole(length: str) -> str:
+    """SQL for how many edits the shorter of two lines allows by the whole rule."""
+    return f"cast(CASE WHEN {length} >= {SHORT} THEN greatest(1, {length} div {SHARE}) ELSE 0 END AS int)"
+
+
 def segment(length: str, edits: int, i: int) -> tuple[str, str]:
     """SQL for the first place (from 1) and length of segment i (from 1) of edits + 1; the last ones are longer by one where it doesn't come out even."""
     k = edits + 1
@@ -31,8 +38,8 @@ def segment(length: str, edits: int, i: int) -> tuple[str, str]:
     return f"({i - 1} * ({length} div {k}) + {extra} + 1)", f"({length} div {k} + CASE WHEN {i} > {k} - {length} % {k} THEN 1 ELSE 0 END)"
 
 
-def index_keys(line: str, n: str) -> str:
-    """SQL for an array of keys: of every segment its length, number and text."""
+def index_keys(line: str, n: str, whole: bool = False) -> str:
+    """SQL for an array of keys: of every segment its length, number and text; by the whole rule, of long lines every piece."""
     def of(edits: int) -> str:
         out = []
         for i in range(1, edits + 2):
@@ -40,17 +47,26 @@ def index_keys(line: str, n: str) -> str:
             out.append(f"xxhash64({n}, {i}, substring({line}, {at}, {size}))")
         return f"array({', '.join(out)})"
 
+    if whole:
+        # n div GRAM pieces, of which n div SHARE edits leave one at least
+        pieces = f"transform(sequence(1, {n} div {GRAM}), i -> {gram_key(line, f'(i - 1) * {GRAM} + 1')})"
+        classes = " ".join(f"WHEN {n} >= {max(SHORT, e * SHARE if e > 1 else 0)} THEN {of(e)}" for e in range((GRAMS - 1) // SHARE, 0, -1))
+        return f"CASE WHEN {n} >= {GRAMS} THEN {pieces} {classes} ELSE cast(array() AS array<bigint>) END"
     return f"CASE WHEN {n} >= {LONG} THEN {of(2)} ELSE {of(1)} END"
 
 
-def probes() -> list[tuple[int, int, int, int]]:
+def gram_key(line: str, at: str) -> str:
+    return f"xxhash64(0, substring({line}, cast({at} AS int), {GRAM}))"
+
+
+def probes(most: int = 2) -> list[tuple[int, int, int, int]]:
     """(edits, less, i, shift): where lines probe for segment i of lines that are shorter by `less` and allow so many edits.
 
     Only the places are probed at which a segment can stand when the edits before it and behind it are as few as the
     others leave (multi-match-aware selection); a line's own segments are left out.
     """
     out = []
-    for edits in (1, 2):
+    for edits in range(1, most + 1):
         for less in range(edits + 1):
             for i in range(1, edits + 2):
                 low, high = max(-(i - 1), less - (edits + 1 - i)), min(i - 1, less + edits + 1 - i)
@@ -58,22 +74,30 @@ def probes() -> list[tuple[int, int, int, int]]:
     return out
 
 
-def probed(lines: DataFrame) -> DataFrame:
+def probed(lines: DataFrame, whole: bool = False) -> DataFrame:
     """(h, seg): the keys under which lines no longer than each line, and within its edits, can be indexed.
 
     One small expression a row, rather than a long one a line: the compiler leaves very long ones alone.
     """
-    at = F.array(*[F.struct(F.lit(e).alias("e"), F.lit(d).alias("less"), F.lit(i).alias("i"), F.lit(x).alias("x")) for e, d, i, x in probes()])
-    rows = lines.select("line", _hash(F.col("line")).alias("h"), "n", F.explode(at).alias("p")).selectExpr("line", "h", "n - p.less AS m", "p.e AS e", "p.i AS i", "p.x AS x")
-    rows = rows.filter(f"m >= {LEAST} AND e = {allowed('m')}")
+    places = probes((GRAMS - 1) // SHARE if whole else 2)
+    at = F.array(*[F.struct(F.lit(e).alias("e"), F.lit(d).alias("less"), F.lit(i).alias("i"), F.lit(x).alias("x")) for e, d, i, x in places])
+    # a longer line has at most as many characters more as the longest that is indexed by segments allows edits
+    some = lines.filter(f"n < {GRAMS + (GRAMS - 1) // SHARE}") if whole else lines
+    rows = some.select("line", _hash(F.col("line")).alias("h"), "n", F.explode(at).alias("p")).selectExpr("line", "h", "n - p.less AS m", "p.e AS e", "p.i AS i", "p.x AS x")
+    rows = rows.filter(f"m >= {SHORT} AND m < {GRAMS} AND e = {allowed_whole('m')}" if whole else f"m >= {LEAST} AND e = {allowed('m')}")
     rows = rows.selectExpr("line", "h", "m", "i", "x", "e + 1 - m % (e + 1) AS even", "m div (e + 1) AS size")
-    return rows.selectExpr("h", "xxhash64(m, i, substring(line, cast((i - 1) * size + greatest(0, i - 1 - even) + 1 + x AS int), cast(size + CASE WHEN i > even THEN 1 ELSE 0 END AS int))) AS seg")
+    keys = rows.selectExpr("h", "xxhash64(m, i, substring(line, cast((i - 1) * size + greatest(0, i - 1 - even) + 1 + x AS int), cast(size + CASE WHEN i > even THEN 1 ELSE 0 END AS int))) AS seg")
+    if not whole:
+        return keys
+    # a piece can stand anywhere in a longer line; the places of the line's own pieces are in the index
+    rows = lines.filter(f"n >= {GRAMS}").select("line", _hash(F.col("line")).alias("h"), "n", F.explode(F.expr(f"sequence(1, n - {GRAM - 1})")).alias("at"))
+    return keys.unionByName(rows.filter(f"(at - 1) % {GRAM} <> 0").selectExpr("h", f"{gram_key('line', 'at')} AS seg"))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _lines(docs: DataFrame, whole: bool = False) -> DataFrame:
     """key, th, no (from 0), line, n of the lines that are compared."""
     rows = docs.select("key", "th", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    return rows.withColumn("n", F.length("line")).filter(F.col("n") >= LEAST)
+    return rows.withColumn("n", F.length("line")).filter(F.col("line").rlike(r"\S") if whole else F.col("n") >= LEAST)
 
 
 def _hash(line: Column) -> Column:
@@ -85,21 +109,22 @@ def _sent(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SENT else df
 
 
-def near_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def near_lines(docs: DataFrame, whole: bool = False) -> tuple[DataFrame, DataFrame]:
     """(places, links) of docs(key, th, text): key, th, no and hash h of every line; verified pairs (a, b) of hashes.
 
     Every line is indexed under its segments. Its other probes pass a Bloom filter of the index (of bounded size: when the
     index outgrows it more probes pass) before they are shuffled. Keys that only one line has are dropped by a
     pre-aggregated minimum and maximum; what is left is joined by key, lines whose sketches differ too much for so few
-    edits are left out, and the rest is verified by banded edit distance.
+    edits are left out, and the rest is verified by banded edit distance. By the whole rule a candidate also has to have as
+    many of the shorter line's pieces as the edits leave.
     """
-    lines = _lines(docs)
+    lines = _lines(docs, whole)
     hashed = _hash(F.col("line")).alias("h")
     places = table(lines.select("key", "th", "no", hashed), "places")
-    index = table(lines.select(hashed, F.explode(F.expr(index_keys("line", "n"))).alias("seg")).distinct(), "segments")
+    index = table(lines.select(hashed, F.explode(F.expr(index_keys("line", "n", whole))).alias("seg")).distinct(), "segments")
     bits = min(MOST_BITS, max(PAGE, 1 << math.ceil(math.log2(max(1, index.count()) * BITS_A_ROW))))
     place = F.pmod("seg", F.lit(bits))
-    probes = probed(lines).join(F.broadcast(table(bitmaps(index, place), "bloom")), (place / PAGE).cast("long") == F.col("page"))
+    probes = probed(lines, whole).join(F.broadcast(table(bitmaps(index, place), "bloom")), (place / PAGE).cast("long") == F.col("page"))
     probes = table(probes.filter(bit(F.col("words"), place % PAGE)).select("h", "seg").distinct(), "probes")
     keys = index.withColumn("own", F.lit(1)).unionByName(probes.withColumn("own", F.lit(0)))
     common = keys.groupBy("seg").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.max("own").alias("any")).filter("lo <> hi AND any = 1").select("seg")
@@ -109,6 +134,8 @@ def near_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs_of = "zip_with(slice(c_, 1, size(c_) - 1), slice(c_, 2, size(c_)), (a, b) -> cast(pmod(xxhash64(a, b), 64) AS int))"
     texts = texts.withColumn("c_", F.split("line", "")).withColumn("sketch", F.expr(f"aggregate({pairs_of}, 0L, (s, p) -> s ^ shiftleft(1L, p))")).drop("c_")
     texts = table(texts, "texts")
+    if whole:
+        return places, _whole_links(keys, texts, lines)
     keys = keys.join(_sent(texts.select("h", "sketch")), "h")
     other = keys.select("seg", F.col("h").alias("h2"), F.col("sketch").alias("sketch2"), F.col("own").alias("own2"))
     close = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sketch2"))) <= 2 * BITS_AN_EDIT
@@ -121,11 +148,34 @@ def near_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return places, table(both.filter(far >= 0).select("a", "b"), "links")
 
 
-def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
+def _whole_links(keys: DataFrame, texts: DataFrame, lines: DataFrame) -> DataFrame:
+    """The verified pairs (a, b) of hashes among lines that share keys(h, seg, own), by the whole rule.
+
+    The shorter line of a pair has to own the key. Of its pieces those are counted that stand in the longer one.
+    """
+    keys = keys.join(_sent(texts.select("h", "sketch", F.length("line").alias("n"))), "h")
+    # equal pieces of one line are one key, that counts as often as it stands there
+    again = lines.filter(f"n >= {2 * GRAM} AND n >= {GRAMS}").select(_hash(F.col("line")).alias("h"), F.expr(index_keys("line", "n", True)).alias("all_"))
+    again = again.filter("size(array_distinct(all_)) < size(all_)").dropDuplicates(["h"]).select("h", F.explode("all_").alias("seg")).groupBy("h", "seg").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    keys = keys.join(_sent(table(again, "repeated")), ["h", "seg"], "left").withColumn("times", F.coalesce("times", F.lit(1)))
+    other = keys.select("seg", F.col("h").alias("h2"), F.col("sketch").alias("sketch2"), F.col("n").alias("n2"))
+    k = F.expr(allowed_whole("n"))
+    close = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sketch2"))) <= k * BITS_AN_EDIT
+    pairs = keys.filter("own = 1").join(other, (keys["seg"] == other["seg"]) & (F.col("h") != F.col("h2")) & (F.col("n2") >= F.col("n")) & (F.col("n2") - F.col("n") <= k) & close)
+    shared = pairs.groupBy("h", "h2").agg(F.sum("times").alias("shared"), F.first("n").alias("n"))
+    pairs = shared.filter(f"shared >= CASE WHEN n >= {GRAMS} THEN n div {GRAM} - n div {SHARE} ELSE 1 END")
+    pairs = table(pairs.select(F.least("h", "h2").alias("a"), F.greatest("h", "h2").alias("b")).distinct(), "candidates")
+    both = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("line_a")), "a").join(texts.select(F.col("h").alias("b"), F.col("line").alias("line_b")), "b")
+    far = F.expr(f"levenshtein(line_a, line_b, {allowed_whole('least(length(line_a), length(line_b))')})")
+    return table(both.filter(far >= 0).select("a", "b"), "links")
+
+
+def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list[str] | None = None, whole: bool = False) -> DataFrame:
     """The columns carry of docs (all if not given) with kept_text, n_lines, n_dropped and n_links.
 
     Lines of at least LEAST characters are near when at most one edit, from LONG characters of the shorter line on two
-    edits, turn one into the other. A line is dropped when a line near it, or the same line, stands earlier: in a document
+    edits, turn one into the other. With whole, every line that isn't blank is compared: from SHORT characters of the
+    shorter line on, one edit in SHARE characters and one at least may lie between near lines, shorter ones have to be equal. A line is dropped when a line near it, or the same line, stands earlier: in a document
     of smaller doc_id, or before it in the same. n_links counts, over the lines of the text, the different lines near them.
     Of one distance each line is one row, however often it stands; hot lines are pre-aggregated. A null text stays null and
     has no lines; a null doc_id is the smallest; documents repeated with id and text are the same one and lose the same
@@ -137,7 +187,7 @@ def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carr
     body = F.coalesce(F.col(text), F.lit(""))
     ident = [F.coalesce(F.col(doc_id).cast("long"), F.lit(_NONE)).alias("key"), F.xxhash64(body).alias("th")]
     narrow = docs.select(*ident, body.alias("text"))
-    places, links = near_lines(narrow)
+    places, links = near_lines(narrow, whole)
     firsts = table(places.groupBy("h").agg(F.min(F.struct("key", "th", "no")).alias("first"), F.count(F.lit(1)).alias("copies")), "firsts")
     ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     before = ends.join(firsts.select(F.col("h").alias("b"), F.col("first").alias("other")), "b").groupBy("a").agg(F.min("other").alias("other"), F.count(F.lit(1)).alias("links"))
@@ -163,6 +213,12 @@ def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", "n_links", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op7_line_dedup_whole(spark, sf_dir: str) -> DataFrame:
+    """op7_line_dedup by the whole rule: no line is too short to be a copy, and the edits grow with the line."""
+    done = line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), carry=["doc_id"], whole=True)
+    return done.select("doc_id", "n_lines", "n_dropped", "n_links", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
 SQL = f"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
 o AS (SELECT doc_id, unnest(range(len(l))) AS no, unnest(l) AS line FROM d),
@@ -175,3 +231,18 @@ p AS (SELECT o.doc_id AS doc_id, o.no AS no, o.line AS line, coalesce(o.doc_id *
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, cast(sum(links) AS bigint) AS n_links, sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS kept_sha256
 FROM p GROUP BY doc_id
 """
+
+WHOLE_SQL = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+o AS (SELECT doc_id, unnest(range(len(l))) AS no, unnest(l) AS line FROM d),
+t AS (SELECT line, length(line) AS n, CASE WHEN length(line) >= {SHORT} THEN greatest(1, length(line) // {SHARE}) ELSE 0 END AS k, min(doc_id * 100000 + no) AS first
+    FROM o WHERE regexp_matches(line, '[^\\s\\x0B]') GROUP BY line),
+c AS (SELECT a.line AS x, b.line AS y, a.first AS fx, b.first AS fy FROM t a JOIN t b ON a.line <> b.line AND b.n BETWEEN a.n AND a.n + a.k AND (a.n < b.n OR a.line < b.line)
+    WHERE a.k > 0 AND levenshtein(a.line, b.line) <= a.k),
+e AS (SELECT x AS line, fy AS other FROM c UNION ALL SELECT y, fx FROM c),
+k AS (SELECT line, count(*) AS links, min(other) AS other FROM e GROUP BY line),
+p AS (SELECT o.doc_id AS doc_id, o.no AS no, o.line AS line, coalesce(o.doc_id * 100000 + o.no <> t.first OR k.other < t.first, false) AS gone, coalesce(k.links, 0) AS links
+    FROM o LEFT JOIN t ON o.line = t.line LEFT JOIN k ON o.line = k.line)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, cast(sum(links) AS bigint) AS n_links, sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS kept_sha256
+FROM p GROUP BY doc_id
+"""

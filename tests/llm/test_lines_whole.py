@@ -1,0 +1,76 @@
+"""Line deduplication by the whole rule against all pairs."""
+
+import random
+
+from folio.llm.lines import line_dedup
+
+from .test_lines import distance
+
+
+def brute(rows):
+    where = [(i, no, line) for i, t in sorted(rows) for no, line in enumerate(t.split("\n"))]
+    first = {}
+    for i, no, line in where:
+        if line.strip():
+            first.setdefault(line, (i, no))
+    near = {a: set() for a in first}
+    for a in first:
+        for b in first:
+            n = min(len(a), len(b))
+            k = max(1, n // 20) if n >= 10 else 0
+            if a < b and abs(len(a) - len(b)) <= k and distance(a, b) <= k:
+                near[a].add(b)
+                near[b].add(a)
+    out = {}
+    for i, no, line in where:
+        o = out.setdefault(i, [0, 0, []])
+        if line in first:
+            o[1] += len(near[line])
+            if first[line] != (i, no) or any(first[b] < first[line] for b in near[line]):
+                o[0] += 1
+                continue
+        o[2].append(line)
+    return {i: (n, links, "\n".join(kept)) for i, (n, links, kept) in out.items()}
+
+
+def sample():
+    r = random.Random(7)
+    base = ["".join(r.choice("abcdé fgh") for _ in range(n)) for n in (3, 9, 10, 15, 19, 20, 39, 40, 59, 60, 63, 64, 79, 80, 99, 100, 127, 140, 143, 200, 342)]
+    base += ["ab" * 40, "ab" * 41, "abcdefghijklmnop" * 5, " ", "", "\t"]
+
+    def near(s):
+        out = list(s)
+        for _ in range(r.randint(0, len(s) // 20 + 2)):
+            k, p = r.choice("sid"), r.randrange(len(out) or 1)
+            out[p : p + (k != "i")] = [] if k == "d" else ["#"]
+        return "".join(out)
+
+    return [(i * 13 % 97, "\n".join(r.choice(base) if r.random() < 0.2 else near(r.choice(base)) for _ in range(r.randint(1, 5)))) for i in range(90)]
+
+
+def run(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    return {r.doc_id: (r.n_dropped, r.n_links, r.kept_text) for r in line_dedup(df, whole=True).collect()}
+
+
+def test_against_all_pairs(spark):
+    rows = sample()
+    assert run(spark, rows) == brute(rows)
+
+
+def test_short_repeats(spark):
+    got = run(spark, [(1, "Ietzte.\nx\n\n"), (2, "x\nIetzte.\n\ny")])
+    assert got == {1: (0, 0, "Ietzte.\nx\n\n"), 2: (2, 0, "\ny")}
+
+
+def test_against_sql(spark):
+    import duckdb
+
+    from folio.llm.lines import WHOLE_SQL, op7_line_dedup_whole
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    columns = ["doc_id", "n_lines", "n_dropped", "n_links", "kept_sha256"]
+    want = con.sql(f"SELECT {', '.join(columns)} FROM ({WHOLE_SQL})").fetchall()
+    assert sorted(tuple(r[c] for c in columns) for r in op7_line_dedup_whole(spark, sf).collect()) == sorted(want)
