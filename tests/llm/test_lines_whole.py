@@ -63,6 +63,12 @@ def test_short_repeats(spark):
     assert got == {1: (0, 0, "Ietzte.\nx\n\n"), 2: (2, 0, "\ny")}
 
 
+def test_replaced_word_in_a_long_line(spark):
+    r = random.Random(3)
+    line = " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(49))
+    assert run(spark, [(1, line), (2, line[:140] + "#" * 6 + line[146:])]) == {1: (0, 1, line), 2: (1, 1, "")}
+
+
 def test_against_sql(spark):
     import duckdb
 
