@@ -1,9 +1,9 @@
-"""Language-model scoring (3): interpolated modified Kneser-Ney over word bigrams, in memory-mapped sorted hash arrays."""
+"""Language-model scoring (3): interpolated modified Kneser-Ney over word n-grams, in memory-mapped sorted hash arrays."""
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,8 @@ BITS = 56
 BEGIN, END = np.uint64(1), np.uint64(2)
 #: Tokens that make up at least this share of a sample are first tokens of so many bigrams that these are dealt by their second token.
 HOT, HOT_SAMPLE = 1 / 500, 20_000_000
+#: The order of the query's model.
+ORDER = 3
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
@@ -44,6 +46,16 @@ def tokens(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return tok, before, at
 
 
+def histories(tok: np.ndarray, before: np.ndarray, at: np.ndarray, order: int) -> list[np.ndarray]:
+    """The columns of the n-grams of this order that end with each token; what lies before a text is BEGIN."""
+    cols = [before, tok]
+    while len(cols) < order:
+        far = np.r_[BEGIN, cols[0][:-1]][: len(tok)]
+        far[at[:-1]] = BEGIN
+        cols.insert(0, far)
+    return cols
+
+
 def _shard_of(a: np.ndarray, shards: int) -> np.ndarray:
     """Equal ranges of the tokens' hashes, mixed once more so that the two fixed tokens lie anywhere."""
     return ((a >> np.uint64(BITS - 32)) * np.uint64(shards)) >> np.uint64(32)
@@ -106,6 +118,31 @@ def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(a, own), b, count
 
 
+def _pack_grams(cols: list[np.ndarray], counts: np.ndarray) -> bytes:
+    """N-grams as columns, with a row of counts for each."""
+    flat_ = counts.reshape(-1)
+    large = flat_[flat_ >= 255].astype(np.int64)
+    return np.array([len(counts), counts.shape[1], len(large)], np.int64).tobytes() + b"".join(map(_bytes7, cols)) + np.minimum(flat_, 255).astype(np.uint8).tobytes() + large.tobytes()
+
+
+def _unpack_grams(raw: bytes, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    n, k, large = np.frombuffer(raw, np.int64, 3).tolist()
+    cols = [_from7(raw, n, 24 + 7 * n * i) for i in range(order)]
+    at = 24 + 7 * n * order
+    counts = np.frombuffer(raw, np.uint8, n * k, at).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(raw, np.int64, large, at + n * k)
+    return cols, counts.reshape(n, k)
+
+
+def _dealt(cols: list[np.ndarray], counts: np.ndarray, hot: np.ndarray, shards: int):
+    """(shard, part, data) of summed n-grams: bigrams as _deal deals them, longer ones by all tokens but the last."""
+    shard = _deal(*cols, hot, shards) if len(cols) == 2 else _shard_of_key(_gram_key(cols[:-1]), shards)
+    by = np.argsort(shard, kind="stable")
+    cols, counts = [c[by] for c in cols], counts[by]
+    cut = np.searchsorted(shard[by], np.arange(shards + 1, dtype=np.uint64))
+    return [(i, int(cols[0][cut[i]] ^ cols[-1][cut[i]]), _pack_grams([c[x:z] for c in cols], counts[x:z])) for i in range(shards) if (x := cut[i]) < (z := cut[i + 1])]
+
+
 def _frequent(batches):
     """Of a sample, the tokens of each batch that may be hot, with their counts, and all tokens' number as token 0."""
     for batch in batches:
@@ -127,13 +164,18 @@ def hot_tokens(docs: DataFrame, size: int, text: str = "text") -> np.ndarray:
     return np.array(sorted({int(BEGIN)} | {t for t, k in rows.items() if k >= least}), np.uint64)
 
 
-def _count(shards: int, hot: np.ndarray):
+def _count(shards: int, hot: np.ndarray, order: int = 2):
     def run(batches):
         for batch in batches:
             data, begin = flat(batch.column(1))
             for first, last in runs(begin, BATCH):
                 lo, hi = int(begin[first]), int(begin[last])
-                tok, before, _ = tokens(data[lo:hi], begin[first : last + 1] - lo)
+                tok, before, at = tokens(data[lo:hi], begin[first : last + 1] - lo)
+                if order > 2:
+                    cols, count = _summed(histories(tok, before, at, order), np.ones(len(tok), np.int64))
+                    yield packed(_dealt(cols, count[:, None], hot, shards), _ROWS)
+                    give_back()
+                    continue
                 (a, b), count = _summed([before, tok], np.ones(len(tok), np.int64))
                 shard = _deal(a, b, hot, shards)
                 by = np.argsort(shard, kind="stable")
@@ -150,6 +192,17 @@ def _key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * np.uint64(0x9E3779B97F4A7C15) + b)
 
 
+def _gram_key(cols: list[np.ndarray]) -> np.ndarray:
+    key = cols[0]
+    for c in cols[1:]:
+        key = _key(key, c)
+    return key
+
+
+def _shard_of_key(key: np.ndarray, shards: int) -> np.ndarray:
+    return ((key >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+
+
 def _of_counts(count: np.ndarray) -> np.ndarray:
     """How many are 1, 2, 3 and 4."""
     return np.bincount(np.minimum(count, 5), minlength=6)[1:5]
@@ -174,19 +227,54 @@ _MERGED = pa.schema([("shard", pa.int32()), ("files", pa.list_(pa.string())), ("
 _MERGED_DDL = "shard int, files array<string>, sums array<long>, hot long, to int, data binary"
 
 
-def _merge(shards: int, folder: str, hot: np.ndarray):
+def _level(n: int, shards: int, folder: str, hot: np.ndarray):
+    """Sorted arrays of the n-grams (of three tokens or more) of a shard and of their contexts; and, for other shards, the n-grams without their first token.
+
+    Those count in how many n-grams they are; where they begin a text nothing else can stand before them, and they keep
+    their count. The second count is always that of the texts. N-grams of fewer tokens, at the begin of texts, only pass.
+    """
     def run(batches):
         for shard, parts in _grouped(batches):
-            a, b, count = (np.concatenate(x) for x in zip(*map(_unpack, parts), strict=True))
+            cols, counts = zip(*[_unpack_grams(raw, n) for raw in parts], strict=True)
+            del parts
+            cols, counts = _summed([np.concatenate(c) for c in zip(*cols, strict=True)], np.concatenate(counts))
+            real = cols[1] != BEGIN
+            count = counts[real, 0]
+            key, context = _gram_key([c[real] for c in cols]), _gram_key([c[real] for c in cols[:-1]])
+            first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(context) else np.zeros(0, np.int64)
+            own = np.stack([np.add.reduceat(x.astype(np.int64), first) if len(first) else np.zeros(0, np.int64) for x in (count, count == 1, count == 2, count >= 3)], 1)
+            by, more = np.argsort(context[first]), np.argsort(key[count > 1])
+            files = [save_array(folder, x) for x in (np.sort(key[count == 1]), key[count > 1][more], count[count > 1][more], context[first][by], own[by].astype(np.uint32))]
+            yield packed([(shard, files, [*_of_counts(count).tolist(), len(count)], None, None, None)], _MERGED)
+            del key, context, own, by, more
+            lower, counts = _summed(cols[1:], np.stack([np.where(real, 1, counts[:, -1]), counts[:, -1]], 1))
+            del cols
+            for i, _, raw in _dealt(lower, counts, hot, shards):
+                yield packed([(shard, None, None, None, i, raw)], _MERGED)
+            give_back()
+
+    return run
+
+
+def _merge(shards: int, folder: str, hot: np.ndarray, order: int = 2):
+    def run(batches):
+        for shard, parts in _grouped(batches):
+            if order > 2:
+                cols, counts = zip(*[_unpack_grams(raw, 2) for raw in parts], strict=True)
+                (a, b), counts = _summed([np.concatenate(c) for c in zip(*cols, strict=True)], np.concatenate(counts))
+                count, of_texts = counts.T.copy()
+                del cols, counts
+            else:
+                a, b, count = (np.concatenate(x) for x in zip(*map(_unpack, parts), strict=True))
+                (a, b), count = _summed([a, b], count)
             del parts
-            (a, b), count = _summed([a, b], count)
             first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
             total = np.add.reduceat(count, first)
             ns = [np.add.reduceat((count == k if k < 3 else count >= 3).astype(np.int64), first) for k in (1, 2, 3)]
             key = _key(a, b)
             one = np.sort(key[count == 1])
             more = np.argsort(key[count > 1])
-            token, own = a[first], np.stack([total, *ns], 1)
+            token, own = a[first], np.stack([total, *ns] if order == 2 else [np.add.reduceat(of_texts, first), *ns, total], 1)
             at = np.isin(token, hot)
             files = [save_array(folder, x) for x in (one, key[count > 1][more], count[count > 1][more], token[~at], own[~at])]
             yield packed([(shard, files, [*_of_counts(count).tolist(), len(count)], None, None, None)], _MERGED)
@@ -213,8 +301,9 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.0), float(k)) for k in (1, 2, 3))
 
 
-def _vocabulary(folder: str, shards: int, contexts: dict[int, list[str]], hot: dict[int, list[int]], d: tuple[float, float, float]):
-    """Per shard the tokens, their counts, the bigrams they are second in, and the weight that they leave as a first token."""
+def _vocabulary(folder: str, shards: int, contexts: dict[int, list[str]], hot: dict[int, list[int]], d: tuple[float, float, float], order: int = 2):
+    """Per shard the tokens, their counts, the bigrams they are second in, and the weight that they leave as a first token; from order three on also the sum of the counts of their bigrams, which then aren't those of the texts."""
+    width = 4 if order == 2 else 5
 
     def run(batches):
         for shard, parts in _grouped(batches):
@@ -228,20 +317,22 @@ def _vocabulary(folder: str, shards: int, contexts: dict[int, list[str]], hot: d
             (b,), n = _summed([np.concatenate(b)], np.concatenate(n))
             files = contexts.get(shard)
             a = np.array(load_array(files[3])) if files else np.zeros(0, np.uint64)
-            of = np.array(load_array(files[4])) if files else np.zeros((0, 4), np.int64)
+            of = np.array(load_array(files[4])) if files else np.zeros((0, width), np.int64)
             own = np.array(sorted(hot), np.uint64)
             own = own[_shard_of(own, shards) == shard]
-            a, of = np.r_[a, own], np.vstack([of, np.array([hot[t] for t in own.tolist()], np.int64).reshape(-1, 4)])
+            a, of = np.r_[a, own], np.vstack([of, np.array([hot[t] for t in own.tolist()], np.int64).reshape(-1, width)])
             token = np.union1d(a, b)
             second, count, weight = np.zeros(len(token), np.uint32), np.zeros(len(token), np.int64), np.ones(len(token), np.float32)
             second[np.searchsorted(token, b)] = n
             i = np.searchsorted(token, a)
             count[i] = of[:, 0]
-            weight[i] = (of[:, 1:] @ np.array(d)) / of[:, 0]
+            total = np.zeros(len(token), np.int64)
+            total[i] = of[:, 0 if order == 2 else 4]
+            weight[i] = (of[:, 1:4] @ np.array(d)) / total[i]
             count[token == END] = hot.get(int(BEGIN), [0])[0]
             real = token != BEGIN
             sums = [*_of_counts(second[real]).tolist(), int((second[real] >= 3).sum()), int(real.sum()), int(count[real].sum())]
-            yield packed([(shard, [save_array(folder, x) for x in (token, count, second, weight)], sums, None, None, None)], _MERGED)
+            yield packed([(shard, [save_array(folder, x) for x in (token, count, second, weight, *([total] if order > 2 else []))], sums, None, None, None)], _MERGED)
 
     return run
 
@@ -260,6 +351,8 @@ class Model:
     left: float
     distinct: int
     tokens: int
+    #: From order three on, of each order its files by shard and its discounts.
+    longer: list[tuple[dict[int, list[str]], tuple[float, float, float]]] = field(default_factory=list)
 
     def _by_shard(self, x: np.ndarray, files: dict[int, list[str]]):
         """(files, begin, end) of the runs of x, sorted by shard, that lie in one shard that there is."""
@@ -282,10 +375,46 @@ class Model:
                 out[i + hit] = load_array(f)[at[hit]]
         return count, second, weight
 
+    def totals(self, token: np.ndarray) -> np.ndarray:
+        """The sums of the counts of the bigrams that begin with sorted tokens."""
+        out = np.zeros(len(token), np.int64)
+        for files, i, j in self._by_shard(_shard_of(token, self.shards), self.vocabulary):
+            have = load_array(files[0])
+            if len(have):
+                at = np.minimum(np.searchsorted(have, token[i:j]), len(have) - 1)
+                hit = np.flatnonzero(have[at] == token[i:j])
+                out[i + hit] = load_array(files[4])[at[hit]]
+        return out
+
     def bigram_counts(self, shard: np.ndarray, key: np.ndarray) -> np.ndarray:
         """Counts of bigrams, sorted by the first token's shard and then by key."""
+        return self._gram_counts(self.bigrams, shard, key)
+
+    def _longer(self, cols: list[np.ndarray], p: np.ndarray) -> np.ndarray:
+        """p of the lower orders, interpolated with n-grams of three tokens or more; at the begin of a text there are none."""
+        grams, d = self.longer[len(cols) - 3]
+        real = np.flatnonzero(cols[1] != BEGIN)
+        context, key = _gram_key([c[real] for c in cols[:-1]]), _gram_key([c[real] for c in cols])
+        by = np.lexsort((key, _shard_of_key(context, self.shards)))
+        count = np.zeros(len(real), np.int64)
+        count[by] = self._gram_counts(grams, _shard_of_key(context[by], self.shards), key[by])
+        seen, index = np.unique(context, return_inverse=True)
+        own = np.zeros((len(seen), 4), np.int64)
+        for files, i, j in self._by_shard(_shard_of_key(seen, self.shards), grams):
+            have = load_array(files[3])
+            if len(have):
+                at = np.minimum(np.searchsorted(have, seen[i:j]), len(have) - 1)
+                hit = np.flatnonzero(have[at] == seen[i:j])
+                own[i + hit] = load_array(files[4])[at[hit]]
+        total = np.maximum(own[:, 0], 1)
+        left = np.where(own[:, 0] > 0, own[:, 1:] @ np.array(d) / total, 1.0)
+        out = p.copy()
+        out[real] = (count - np.r_[0.0, d][np.minimum(count, 3)]) / total[index] + left[index] * p[real]
+        return out
+
+    def _gram_counts(self, grams: dict[int, list[str]], shard: np.ndarray, key: np.ndarray) -> np.ndarray:
         out = np.zeros(len(key), np.int64)
-        for files, i, j in self._by_shard(shard, self.bigrams):
+        for files, i, j in self._by_shard(shard, grams):
             for keys, counts in ((files[0], None), (files[1], files[2])):
                 have = load_array(keys)
                 if len(have):
@@ -309,16 +438,21 @@ class Model:
         new = np.r_[True, (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])] if len(key) else np.zeros(0, bool)
         both = np.zeros(len(tok), np.int64)
         both[by] = self.bigram_counts(shard[new], key[new])[np.cumsum(new) - 1]
-        high = (both - np.r_[0.0, self.d2][np.minimum(both, 3)]) / np.maximum(count[j], 1)
+        high = (both - np.r_[0.0, self.d2][np.minimum(both, 3)]) / np.maximum((self.totals(token) if self.longer else count)[j], 1)
         p = high + weight[j] * low[i]
+        for n in range(3, 3 + len(self.longer)):
+            p = self._longer(histories(tok, before, at, n), p)
         first = at[:-1]
         if not len(first):
             return (np.zeros(0, np.int64),) * 2 + (np.zeros(0),) * 2
         return np.diff(at), np.add.reduceat((count[i] > 0).astype(np.int64), first), np.add.reduceat(base[i], first), np.add.reduceat(np.log10(p), first)
 
 
-def train(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD) -> Model:
-    """The model of all texts of docs; null is empty, and every text ends with one end token.
+def train(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD, order: int = 2) -> Model:
+    """The model of this order (two or more) of all texts of docs; null is empty, and every text ends with one end token.
+
+    From order three on the longest n-grams are counted and shuffled by all tokens but their last; each order tells the next
+    lower one in how many n-grams its own are, and bigrams go on with those counts.
 
     Batches of texts are counted where they are read, and only their distinct bigrams are shuffled, to shards by ranges of
     the first token's hash, or of the second's where the first is one of the few hot ones. A shard sums them and writes sorted arrays below the shared folder; a second, smaller shuffle
@@ -330,23 +464,32 @@ def train(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD) -> Mode
     size = body.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards, folder = max(1, math.ceil(size / shard_bytes)), scratch(spark, "lm")
     hot = hot_tokens(body, size)
-    parts = body.mapInArrow(_count(shards, hot), _DDL).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "part")
-    merged = table(parts.mapInArrow(_merge(shards, folder, hot), _MERGED_DDL), "bigrams")
+    if order < 2:
+        raise ValueError(f"order {order}")
+    parts = body.mapInArrow(_count(shards, hot, order), _DDL).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "part")
+    longer = []
+    for n in range(order, 2, -1):
+        level = table(parts.mapInArrow(_level(n, shards, folder, hot), _MERGED_DDL), f"grams{n}")
+        done = level.filter("files IS NOT NULL").select("shard", "files", "sums").collect()
+        of = np.array([r.sums for r in done], np.int64).reshape(-1, 5).sum(0).tolist()
+        longer.insert(0, ({r.shard: list(r.files) for r in done}, discounts(of[:4])))
+        parts = level.filter("to IS NOT NULL").select(F.col("to").alias("shard"), F.col("shard").cast("long").alias("part"), "data").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "part")
+    merged = table(parts.mapInArrow(_merge(shards, folder, hot, order), _MERGED_DDL), "bigrams")
     done = merged.filter("files IS NOT NULL").select("shard", "files", "sums").collect()
     sums = np.array([r.sums for r in done], np.int64).reshape(-1, 5).sum(0).tolist()
     bigrams, d2 = {r.shard: list(r.files) for r in done}, discounts(sums[:4])
-    part = merged.filter("hot IS NOT NULL").groupBy("hot").agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range(4)])
-    own_sums = {r.hot: [r.s0, r.s1, r.s2, r.s3] for r in part.collect()}
+    part = merged.filter("hot IS NOT NULL").groupBy("hot").agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range(4 if order == 2 else 5)])
+    own_sums = {r.hot: list(r[1:]) for r in part.collect()}
     seconds = merged.filter("to IS NOT NULL").select(F.col("to").alias("shard"), F.col("shard").alias("part"), "data")
     # shards without a second token still may hold first ones: a part of nothing for each
     empty = spark.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(-1).cast("long").alias("part"), F.lit(bytearray(16)).alias("data"))
     seconds = seconds.unionByName(empty).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "part")
-    done = table(seconds.mapInArrow(_vocabulary(folder, shards, bigrams, own_sums, d2), _MERGED_DDL), "vocabulary").select("shard", "files", "sums").collect()
+    done = table(seconds.mapInArrow(_vocabulary(folder, shards, bigrams, own_sums, d2, order), _MERGED_DDL), "vocabulary").select("shard", "files", "sums").collect()
     vocabulary = {r.shard: list(r.files) for r in done}
     own = np.array([r.sums for r in done], np.int64).reshape(-1, 7).sum(0).tolist()
     d1, types = discounts(own[:4]), sums[4]
     left = (d1[0] * own[0] + d1[1] * own[1] + d1[2] * own[4]) / types if types else 1.0
-    return Model(shards, hot, bigrams, vocabulary, d2, d1, types, left, own[5], own[6])
+    return Model(shards, hot, bigrams, vocabulary, d2, d1, types, left, own[5], own[6], longer)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -373,6 +516,6 @@ def score(docs: DataFrame, model: Model, text: str = "text", carry: list[str] |
 
 def op3_lm_scoring(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", (remainder("doc_id", 10) == 0).alias("held_out"))
-    model = train(docs.filter("NOT held_out"))
+    model = train(docs.filter("NOT held_out"), order=ORDER)
     done = score(docs, model, carry=["doc_id", "held_out"])
     return done.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
