@@ -105,10 +105,10 @@ def book_state(books: DataFrame) -> DataFrame:
 
 
 def capped(tokens: DataFrame, cap: int, slack: int = 50) -> DataFrame:
-    """Per log the tasks whose largest count is within slack of the cap, and how many tasks there are."""
+    """Per log the tasks whose largest count is within slack of the cap, all their counts from the largest on, and how many tasks there are."""
     t = tokens.groupBy("log", "task").agg(F.max("tokens").alias("tokens"))
     hit = F.col("tokens") >= cap - slack
-    return t.groupBy("log").agg(F.count(F.lit(1)).alias("tasks"), F.count_if(hit).alias("hits"), F.array_join(F.transform(F.slice(F.sort_array(F.collect_list(F.when(hit, F.col("tokens"))), asc=False), 1, 5), lambda x: x.cast("string")), ",").alias("top"))
+    return t.groupBy("log").agg(F.count(F.lit(1)).alias("tasks"), F.count_if(hit).alias("hits"), F.array_join(F.transform(F.sort_array(F.collect_list(F.when(hit, F.col("tokens"))), asc=False), lambda x: x.cast("string")), ",").alias("top"))
 
 
 def progress(books: DataFrame) -> DataFrame:

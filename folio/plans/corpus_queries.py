@@ -140,6 +140,13 @@ def progress(spark, sf_dir):
 @query("""WITH t AS (SELECT l_suppkey % 3 AS log, l_orderkey % 500 AS task, max(cast(floor(l_quantity * 80) AS int)) AS tokens FROM lineitem GROUP BY 1, 2)
 SELECT log, count(*) AS tasks, count(*) FILTER (tokens >= 3450) AS hits, array_to_string(list_slice(list_sort(list(tokens) FILTER (tokens >= 3450), 'DESC'), 1, 5), ',') AS top FROM t GROUP BY log""")
 def token_caps(spark, sf_dir):
+    # the SQL of this query asks for the five largest of the operator's list
+    return token_caps_whole(spark, sf_dir).withColumn("top", F.substring_index("top", ",", 5))
+
+
+@query("""WITH t AS (SELECT l_suppkey % 3 AS log, l_orderkey % 500 AS task, max(cast(floor(l_quantity * 80) AS int)) AS tokens FROM lineitem GROUP BY 1, 2)
+SELECT log, count(*) AS tasks, count(*) FILTER (tokens >= 3450) AS hits, array_to_string(list_sort(list(tokens) FILTER (tokens >= 3450), 'DESC'), ',') AS top FROM t GROUP BY log""")
+def token_caps_whole(spark, sf_dir):
     t = read(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 3).alias("log"), (F.col("l_orderkey") % 500).alias("task"), F.floor(F.col("l_quantity") * 80).cast("int").alias("tokens"))
     return C.capped(t, 3500)
 
