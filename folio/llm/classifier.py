@@ -13,7 +13,7 @@ from .common import flat, remainder, runs
 
 #: Bytes of a chunk's half (chunks overlap by one half), of a filter, between two places of a filter; numbers for a byte; filters.
 HALF, WIDTH, STRIDE, EMBED, FILTERS = 256, 16, 4, 6, 32
-#: Labelled texts that the network learns from, at most, and bytes of the longest of them; rounds over them, texts in a step.
+#: Labelled texts that the network learns from, at most, and characters of the longest runs of them; rounds over them, texts in a step.
 SAMPLE, LONGEST, EPOCHS, STEP = 3000, 65_536, 8, 32
 #: Bytes that are scored at once.
 AT_ONCE = 1_000_000
@@ -59,10 +59,15 @@ class Net:
         n = (len(laid) - WIDTH) // STRIDE
         return np.lib.stride_tricks.as_strided(x, (n, WIDTH * EMBED), (STRIDE * EMBED * 4, 4), writeable=False)
 
-    def pooled(self, laid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def placed(self, laid: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The filters at each place, by halves. The last places of a text's last half would reach into the next text: they never count, and the place before them ends where the half does."""
+        made = (self.patches(laid) @ self.filters).reshape(-1, HALF // STRIDE, FILTERS)
+        made[at[1:] - 1, HALF // STRIDE - (WIDTH // STRIDE - 1) :] = -np.inf
+        return made
+
+    def pooled(self, laid: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The largest value of each filter in each half chunk, and its place."""
-        made = self.patches(laid) @ self.filters
-        made = made.reshape(-1, HALF // STRIDE, FILTERS)
+        made = self.placed(laid, at)
         place = made.argmax(1)
         return np.take_along_axis(made, place[:, None], 1)[:, 0], place + np.arange(len(made))[:, None] * (HALF // STRIDE)
 
@@ -75,8 +80,7 @@ class Net:
 
     def features(self, laid: np.ndarray, at: np.ndarray) -> np.ndarray:
         """For each text the mean and the largest over its chunks, after the rectifier."""
-        best = self.patches(laid) @ self.filters
-        halves = best.reshape(-1, HALF // STRIDE, FILTERS).max(1)
+        halves = self.placed(laid, at).max(1)
         chunk = np.maximum(self.chunks(halves, at)[0] + self.bias, 0)
         mean = np.add.reduceat(chunk, at[:-1]) / np.diff(at)[:, None]
         return np.hstack([mean, np.maximum.reduceat(chunk, at[:-1])])
@@ -90,7 +94,7 @@ class Net:
     def gradients(self, data: np.ndarray, begin: np.ndarray, label: np.ndarray) -> list[np.ndarray]:
         """Of the mean logistic loss over the texts."""
         laid, at = self.laid(data, begin)
-        halves, place = self.pooled(laid)
+        halves, place = self.pooled(laid, at)
         raw, which = self.chunks(halves, at)
         raw = raw + self.bias
         chunk = np.maximum(raw, 0)
@@ -151,13 +155,14 @@ def fit(texts: list[bytes], labels: list[float], epochs: int = EPOCHS, seed: int
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str = "quality", n: int = SAMPLE, longest: int = LONGEST) -> tuple[list[bytes], list[float]]:
-    """At most n labelled texts of at most `longest` bytes, those of the least hashed ids, with their labels.
+    """At most n labelled texts, those of the least hashed ids, with their labels; of texts with more characters than `longest` a run of so many, at a place that the id's hash gives.
 
     Only this sample is bounded; it comes to the driver. Labels that are null are left out, of several for one id the mean counts,
-    rounded. Of rows repeated with one id the text of the least hash is taken.
+    rounded. Of rows repeated with one id the least text is taken; a null text is empty, a null id never taken.
     """
     marks = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.round(F.avg(label)).alias("label"))
-    fit_docs = docs.select("doc_id", "text").filter((remainder("doc_id", 5) != 0) & (F.octet_length(F.coalesce("text", F.lit(""))) <= longest))
+    run = F.expr(f"CASE WHEN length(text) > {longest} THEN substring(text, cast(pmod(xxhash64(doc_id), length(text) - {longest}) AS int) + 1, {longest}) ELSE text END")
+    fit_docs = docs.select("doc_id", F.coalesce(run, F.lit("")).alias("text")).filter(remainder("doc_id", 5) != 0)
     some = marks.filter(remainder("doc_id", 5) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     rows = fit_docs.join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
     got = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).collect()
@@ -167,10 +172,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str = "quality",
 def classify(docs: DataFrame, net: Net, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """The columns carry of docs with score, the probability of label 1, from 0 to 1; every byte of every text is read.
 
-    A null text is empty, and scored as such. Repeated rows are scored each by itself; an empty table gives no rows;
-    columns in carry must not be named score.
+    A score is a function of its text alone: neither the batch nor the order of rows matters. A null text is empty, and
+    scored as such. Repeated rows are scored each by itself; an empty table gives no rows; a column in carry that is
+    named score is replaced by the new one.
     """
     weights = net.arrays()
+    carry = [c for c in carry or [] if c != "score"]
 
     def run(batches):
         own = Net(*weights)
@@ -182,7 +189,7 @@ def classify(docs: DataFrame, net: Net, text: str = "text", carry: list[str] | N
                 scores.append(own.score(data[lo:hi], begin[first : last + 1] - lo) if hi - lo <= 4 * AT_ONCE else _long(own, data[lo:hi]))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(np.concatenate(scores))], names=[*batch.schema.names[1:], "score"])
 
-    rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text_"), *[F.col(f"`{c}`") for c in carry or []])
+    rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text_"), *[F.col(f"`{c}`") for c in carry])
     return rows.mapInArrow(run, "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[1:]) + "score double")
 
 
@@ -194,7 +201,7 @@ def _long(net: Net, data: np.ndarray) -> np.ndarray:
     for a in range(0, whole, step):
         part = data[a * HALF : (a + step + 2) * HALF]  # two halves more, for the last chunk and its last filters
         laid, at = net.laid(part, np.array([0, len(part)]))
-        halves = (net.patches(laid) @ net.filters).reshape(-1, HALF // STRIDE, FILTERS).max(1)
+        halves = net.placed(laid, at).max(1)
         chunk = np.maximum(net.chunks(halves, at)[0][:step] + net.bias, 0)
         total, top, n = total + chunk.sum(0), np.maximum(top, chunk.max(0)), n + len(chunk)
     z = float(np.r_[total / n, top] @ net.last + net.offset[0])
