@@ -1,4 +1,13 @@
-"""Line deduplication (7): a segment-partition edit join of lines; DataFrame functions only."""
+"""Line deduplication (7): a segment-partition edit join of lines; DataFrame functions only.
+
+Lines are split into segments of which the allowed edits leave some whole, and are looked up under those.
+- Lines under LONG characters are cut into as many equal segments as edits, and one more. Longer lines probe for them at
+  the places where they can stand (multi-match-aware), by length.
+- Longer lines are cut where words end, so that a shift moves no cut: an edit spoils two segments at most. Both sides
+  are looked up under their 2 * edits + SHARED longest segments; near lines have SHARED of those in common.
+- Longer lines with too few such segments are indexed under edits + 1 disjoint pieces of GRAM characters; lines that have
+  few enough to be near them probe with every GRAM characters.
+"""
 
 from __future__ import annotations
 
@@ -10,25 +19,20 @@ from pyspark.sql import functions as F
 from .common import table
 from .exact import BITS_A_ROW, MOST_BITS, PAGE, bit, bitmaps
 
-#: Lines of fewer characters are never compared nor dropped; from LONG characters on, two edits are allowed, else one.
-LEAST, LONG = 20, 40
-#: Bits of the sketch (pairs of neighbouring characters hashed to one of 64, by parity) that one edit can change: it takes away two pairs and brings two.
-BITS_AN_EDIT = 4
+#: Lines of fewer characters have to be equal. From there on one edit is allowed, from TWO characters of the shorter line on two, from LONG on one in SHARE characters.
+SHORT, TWO, LONG, SHARE = 20, 40, 150, 50
+#: Where long lines are cut: behind white space, unless one of the most frequent last letters stands before it.
+CUT, SHARED, GRAM = r"(?<=[^ens\\s]\\s)", 3, 24
 #: Rows up to which a side of two or three numbers a row is sent to all executors.
 SENT = 500_000
+#: Lines that are under one key and meet in one task; a key with more is dealt over several.
+MEET = 256
 _NONE = -(1 << 63)
-#: The whole rule: edits are allowed from SHORT characters on, one in SHARE characters, and one at least. Lines from GRAMS characters on are indexed under their disjoint pieces of GRAM characters.
-SHORT, SHARE, GRAMS, GRAM = 10, 20, 64, 16
 
 
 def allowed(length: str) -> str:
-    """SQL for how many edits the shorter of two lines allows."""
-    return f"CASE WHEN {length} >= {LONG} THEN 2 ELSE 1 END"
-
-
-def allowed_whole(length: str) -> str:
-    """SQL for how many edits the shorter of two lines allows by the whole rule."""
-    return f"cast(CASE WHEN {length} >= {SHORT} THEN greatest(1, {length} div {SHARE}) ELSE 0 END AS int)"
+    """SQL for how many edits the shorter of two lines allows, by its length."""
+    return f"cast(CASE WHEN {length} >= {LONG} THEN {length} div {SHARE} WHEN {length} >= {TWO} THEN 2 WHEN {length} >= {SHORT} THEN 1 ELSE 0 END AS int)"
 
 
 def segment(length: str, edits: int, i: int) -> tuple[str, str]:
@@ -38,8 +42,9 @@ def segment(length: str, edits: int, i: int) -> tuple[str, str]:
     return f"({i - 1} * ({length} div {k}) + {extra} + 1)", f"({length} div {k} + CASE WHEN {i} > {k} - {length} % {k} THEN 1 ELSE 0 END)"
 
 
-def index_keys(line: str, n: str, whole: bool = False) -> str:
-    """SQL for an array of keys: of every segment its length, number and text; by the whole rule, of long lines every piece."""
+def segment_keys(line: str, n: str) -> str:
+    """SQL for an array of the keys of a line under LONG characters: of every segment its length, number and text."""
+
     def of(edits: int) -> str:
         out = []
         for i in range(1, edits + 2):
@@ -47,26 +52,21 @@ def index_keys(line: str, n: str, whole: bool = False) -> str:
             out.append(f"xxhash64({n}, {i}, substring({line}, {at}, {size}))")
         return f"array({', '.join(out)})"
 
-    if whole:
-        # n div GRAM pieces, of which n div SHARE edits leave one at least
-        pieces = f"transform(sequence(1, {n} div {GRAM}), i -> {gram_key(line, f'(i - 1) * {GRAM} + 1')})"
-        classes = " ".join(f"WHEN {n} >= {max(SHORT, e * SHARE if e > 1 else 0)} THEN {of(e)}" for e in range((GRAMS - 1) // SHARE, 0, -1))
-        return f"CASE WHEN {n} >= {GRAMS} THEN {pieces} {classes} ELSE cast(array() AS array<bigint>) END"
-    return f"CASE WHEN {n} >= {LONG} THEN {of(2)} ELSE {of(1)} END"
+    return f"CASE WHEN {n} >= {TWO} THEN {of(2)} ELSE {of(1)} END"
 
 
 def gram_key(line: str, at: str) -> str:
     return f"xxhash64(0, substring({line}, cast({at} AS int), {GRAM}))"
 
 
-def probes(most: int = 2) -> list[tuple[int, int, int, int]]:
+def probes() -> list[tuple[int, int, int, int]]:
     """(edits, less, i, shift): where lines probe for segment i of lines that are shorter by `less` and allow so many edits.
 
     Only the places are probed at which a segment can stand when the edits before it and behind it are as few as the
     others leave (multi-match-aware selection); a line's own segments are left out.
     """
     out = []
-    for edits in range(1, most + 1):
+    for edits in (1, 2):
         for less in range(edits + 1):
             for i in range(1, edits + 2):
                 low, high = max(-(i - 1), less - (edits + 1 - i)), min(i - 1, less + edits + 1 - i)
@@ -74,34 +74,32 @@ def probes(most: int = 2) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def probed(lines: DataFrame, whole: bool = False) -> DataFrame:
-    """(h, seg): the keys under which lines no longer than each line, and within its edits, can be indexed.
+def length_class(n: str) -> str:
+    """SQL for the class of a long line's length: classes are wider than the edits, so near lengths are in one class or in neighbouring ones."""
+    return f"cast(floor(ln({n}) * {SHARE * 4 // 5}) AS int)"
+
+
+def _probed(short: DataFrame) -> DataFrame:
+    """(h, n, seg): the keys under which lines under LONG characters, no longer than each line and within its edits, can be indexed.
 
     One small expression a row, rather than a long one a line: the compiler leaves very long ones alone.
     """
-    places = probes((GRAMS - 1) // SHARE if whole else 2)
-    at = F.array(*[F.struct(F.lit(e).alias("e"), F.lit(d).alias("less"), F.lit(i).alias("i"), F.lit(x).alias("x")) for e, d, i, x in places])
-    # a longer line has at most as many characters more as the longest that is indexed by segments allows edits
-    some = lines.filter(f"n < {GRAMS + (GRAMS - 1) // SHARE}") if whole else lines
-    rows = some.select("line", _hash(F.col("line")).alias("h"), "n", F.explode(at).alias("p")).selectExpr("line", "h", "n - p.less AS m", "p.e AS e", "p.i AS i", "p.x AS x")
-    rows = rows.filter(f"m >= {SHORT} AND m < {GRAMS} AND e = {allowed_whole('m')}" if whole else f"m >= {LEAST} AND e = {allowed('m')}")
-    rows = rows.selectExpr("line", "h", "m", "i", "x", "e + 1 - m % (e + 1) AS even", "m div (e + 1) AS size")
-    keys = rows.selectExpr("h", "xxhash64(m, i, substring(line, cast((i - 1) * size + greatest(0, i - 1 - even) + 1 + x AS int), cast(size + CASE WHEN i > even THEN 1 ELSE 0 END AS int))) AS seg")
-    if not whole:
-        return keys
-    # a piece can stand anywhere in a longer line; the places of the line's own pieces are in the index
-    rows = lines.filter(f"n >= {GRAMS}").select("line", _hash(F.col("line")).alias("h"), "n", F.explode(F.expr(f"sequence(1, n - {GRAM - 1})")).alias("at"))
-    return keys.unionByName(rows.filter(f"(at - 1) % {GRAM} <> 0").selectExpr("h", f"{gram_key('line', 'at')} AS seg"))
-
+    at = F.array(*[F.struct(F.lit(e).alias("e"), F.lit(d).alias("less"), F.lit(i).alias("i"), F.lit(x).alias("x")) for e, d, i, x in probes()])
+    rows = short.select("line", "h", "n", F.explode(at).alias("p")).selectExpr("line", "h", "n", "n - p.less AS m", "p.e AS e", "p.i AS i", "p.x AS x")
+    rows = rows.filter(f"m >= {SHORT} AND m < {LONG} AND e = {allowed('m')}")
+    rows = rows.selectExpr("line", "h", "n", "m", "i", "x", "e + 1 - m % (e + 1) AS even", "m div (e + 1) AS size")
+    return rows.selectExpr("h", "n", "xxhash64(m, i, substring(line, cast((i - 1) * size + greatest(0, i - 1 - even) + 1 + x AS int), cast(size + CASE WHEN i > even THEN 1 ELSE 0 END AS int))) AS seg")
 
-def _lines(docs: DataFrame, whole: bool = False) -> DataFrame:
-    """key, th, no (from 0), line, n of the lines that are compared."""
-    rows = docs.select("key", "th", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    return rows.withColumn("n", F.length("line")).filter(F.col("line").rlike(r"\S") if whole else F.col("n") >= LEAST)
 
+def _cut(long: DataFrame) -> DataFrame:
+    """h, n, k, many, segs: of each long line the distinct segments as numbers, the longest first; how many; those that it is looked up under.
 
-def _hash(line: Column) -> Column:
-    return F.xxhash64(line)
+    A segment's number has its length (at most 127) in the seven bits before 56 of its hash, so that sorting puts the
+    longest, which are the rarest, first in every line alike.
+    """
+    code = f"transform(split(line, '{CUT}'), c -> shiftleft(cast(127 - least(127, length(c)) AS bigint), 56) | (xxhash64(c) & {(1 << 56) - 1}))"
+    rows = long.selectExpr("h", "n", f"{allowed('n')} AS k", f"sort_array(array_distinct({code})) AS all_", "line")
+    return rows.selectExpr("h", "n", "k", "size(all_) AS many", f"slice(all_, 1, 2 * k + {SHARED}) AS segs", "line")
 
 
 def _sent(df: DataFrame) -> DataFrame:
@@ -109,91 +107,94 @@ def _sent(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SENT else df
 
 
-def near_lines(docs: DataFrame, whole: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(places, links) of docs(key, th, text): key, th, no and hash h of every line; verified pairs (a, b) of hashes.
+def _in(rows: DataFrame, keys: DataFrame, column: str, name: str) -> DataFrame:
+    """The rows whose number in column is in keys, and a few others: by a Bloom filter of bounded size; when keys outgrow it, more others."""
+    bits = min(MOST_BITS, max(PAGE, 1 << math.ceil(math.log2(max(1, keys.count()) * BITS_A_ROW))))
+    place = F.pmod(column, F.lit(bits))
+    found = rows.join(F.broadcast(table(bitmaps(keys, F.pmod(keys.columns[0], F.lit(bits))), name)), (place / PAGE).cast("long") == F.col("page"))
+    return found.filter(bit(F.col("words"), place % PAGE)).drop("page", "words")
+
 
-    Every line is indexed under its segments. Its other probes pass a Bloom filter of the index (of bounded size: when the
-    index outgrows it more probes pass) before they are shuffled. Keys that only one line has are dropped by a
-    pre-aggregated minimum and maximum; what is left is joined by key, lines whose sketches differ too much for so few
-    edits are left out, and the rest is verified by banded edit distance. By the whole rule a candidate also has to have as
-    many of the shorter line's pieces as the edits leave.
+def near_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(places, links) of docs(key, th, text): key, th, no and hash h of every line that isn't blank; verified pairs (a, b) of hashes.
+
+    Probes pass a Bloom filter of the index before they are shuffled. Keys that only one line has are dropped by a
+    pre-aggregated minimum and maximum, and the rest is filtered by another. A key with many lines is dealt over several
+    tasks: its probing side by a hash, its indexed side copied. Long lines meet only where their lengths are near. Pairs
+    with enough keys in common are verified by banded edit distance.
     """
-    lines = _lines(docs, whole)
-    hashed = _hash(F.col("line")).alias("h")
-    places = table(lines.select("key", "th", "no", hashed), "places")
-    index = table(lines.select(hashed, F.explode(F.expr(index_keys("line", "n", whole))).alias("seg")).distinct(), "segments")
-    bits = min(MOST_BITS, max(PAGE, 1 << math.ceil(math.log2(max(1, index.count()) * BITS_A_ROW))))
-    place = F.pmod("seg", F.lit(bits))
-    probes = probed(lines, whole).join(F.broadcast(table(bitmaps(index, place), "bloom")), (place / PAGE).cast("long") == F.col("page"))
-    probes = table(probes.filter(bit(F.col("words"), place % PAGE)).select("h", "seg").distinct(), "probes")
-    keys = index.withColumn("own", F.lit(1)).unionByName(probes.withColumn("own", F.lit(0)))
-    common = keys.groupBy("seg").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.max("own").alias("any")).filter("lo <> hi AND any = 1").select("seg")
-    keys = table(keys.join(_sent(table(common, "common")), "seg"), "keys")
-    wanted = table(keys.select("h").distinct(), "wanted")
-    texts = lines.select(hashed, "line").join(_sent(wanted), "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
-    pairs_of = "zip_with(slice(c_, 1, size(c_) - 1), slice(c_, 2, size(c_)), (a, b) -> cast(pmod(xxhash64(a, b), 64) AS int))"
-    texts = texts.withColumn("c_", F.split("line", "")).withColumn("sketch", F.expr(f"aggregate({pairs_of}, 0L, (s, p) -> s ^ shiftleft(1L, p))")).drop("c_")
-    texts = table(texts, "texts")
-    if whole:
-        return places, _whole_links(keys, texts, lines)
-    keys = keys.join(_sent(texts.select("h", "sketch")), "h")
-    other = keys.select("seg", F.col("h").alias("h2"), F.col("sketch").alias("sketch2"), F.col("own").alias("own2"))
-    close = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sketch2"))) <= 2 * BITS_AN_EDIT
-    # two lines that own a key meet once
-    pairs = keys.filter("own = 1").join(other, (keys["seg"] == other["seg"]) & (F.col("h") != F.col("h2")) & ((F.col("own2") == 0) | (F.col("h") < F.col("h2"))) & close)
-    pairs = table(pairs.select(F.least("h", "h2").alias("a"), F.greatest("h", "h2").alias("b")).distinct(), "candidates")
+    lines = docs.select("key", "th", F.posexplode(F.split("text", "\n")).alias("no", "line")).filter(F.col("line").rlike(r"\S"))
+    lines = lines.withColumn("h", F.xxhash64("line"))
+    places = table(lines.select("key", "th", "no", "h"), "places")
+    lines = lines.select("h", "line", F.length("line").alias("n"))
+    short = lines.filter(f"n >= {SHORT} AND n < {LONG + 2}")
+    cut = _cut(lines.filter(f"n >= {LONG}"))
+    long = table(cut.selectExpr("h", "n", "segs", f"many < 2 * k + {SHARED} AS few").distinct(), "cut")
+    # long lines with few segments are indexed under pieces of text; and what may be longer than one of those probes for them
+    few = cut.filter(f"many < 4 * k + {SHARED}").selectExpr("h", "n", "k", "line", f"many < 2 * k + {SHARED} AS own")
+    pieces = few.filter("own").select("h", "n", F.explode(F.expr(f"transform(sequence(0, k), i -> {gram_key('line', f'i * {GRAM} + 1')})")).alias("seg"))
+    index = short.filter(f"n < {LONG}").select("h", "n", F.explode(F.expr(segment_keys("line", "n"))).alias("seg")).unionByName(pieces)
+    index = table(index.distinct(), "index")
+    grams = few.select("line", "h", "n", F.explode(F.expr(f"sequence(1, n - {GRAM - 1})")).alias("at")).selectExpr("h", "n", f"{gram_key('line', 'at')} AS seg")
+    probing = table(_in(_probed(short).unionByName(grams), index.select("seg"), "seg", "bloom").distinct(), "probes")
+    # own: lines are indexed under it; kind: how many keys of the kind SHARED are worth
+    keys = index.selectExpr("h", "n", "seg", "1 AS own", f"{SHARED} AS worth").unionByName(probing.selectExpr("h", "n", "seg", "0 AS own", f"{SHARED} AS worth"))
+    keys = keys.unionByName(long.select("h", "n", F.explode("segs").alias("seg"), F.lit(1).alias("own"), F.lit(1).alias("worth")))
+    ends = [F.min("h").alias("lo"), F.max("h").alias("hi"), F.max("own").alias("any"), F.count(F.lit(1)).alias("lines")]
+    common = table(keys.groupBy("seg").agg(*ends).filter("lo <> hi AND any = 1").select("seg", "lines"), "common")
+    keys = _in(keys, common, "seg", "common")
+    # keys with more than a hundred-thousandth of all that are common, and so a bounded number
+    least = max(MEET, (common.agg(F.sum("lines")).first()[0] or 0) // 100_000)
+    hot = table(common.filter(F.col("lines") > least).selectExpr("seg", f"cast(ceil(lines / {MEET}) AS int) AS parts"), "hot")
+    keys = keys.join(F.broadcast(hot), "seg", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    keys = table(keys, "keys")
+    pairs = table(_meet(keys), "candidates")
+    texts = lines.filter(f"n >= {SHORT}").select("h", "line")
+    wanted = table(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "wanted")
+    texts = table(_in(texts, wanted, "h", "wanted").groupBy("h").agg(F.first("line").alias("line")), "texts")
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("line_a")), "a").join(texts.select(F.col("h").alias("b"), F.col("line").alias("line_b")), "b")
-    edits = F.expr(allowed("least(length(line_a), length(line_b))"))
-    far = F.when(edits == 2, F.levenshtein("line_a", "line_b", 2)).otherwise(F.levenshtein("line_a", "line_b", 1))
+    far = F.expr(f"levenshtein(line_a, line_b, {allowed('least(length(line_a), length(line_b))')})")
     return places, table(both.filter(far >= 0).select("a", "b"), "links")
 
 
-def _whole_links(keys: DataFrame, texts: DataFrame, lines: DataFrame) -> DataFrame:
-    """The verified pairs (a, b) of hashes among lines that share keys(h, seg, own), by the whole rule.
-
-    The shorter line of a pair has to own the key. Of its pieces those are counted that stand in the longer one.
-    """
-    keys = keys.join(_sent(texts.select("h", "sketch", F.length("line").alias("n"))), "h")
-    # equal pieces of one line are one key, that counts as often as it stands there
-    again = lines.filter(f"n >= {2 * GRAM} AND n >= {GRAMS}").select(_hash(F.col("line")).alias("h"), F.expr(index_keys("line", "n", True)).alias("all_"))
-    again = again.filter("size(array_distinct(all_)) < size(all_)").dropDuplicates(["h"]).select("h", F.explode("all_").alias("seg")).groupBy("h", "seg").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    keys = keys.join(_sent(table(again, "repeated")), ["h", "seg"], "left").withColumn("times", F.coalesce("times", F.lit(1)))
-    other = keys.select("seg", F.col("h").alias("h2"), F.col("sketch").alias("sketch2"), F.col("n").alias("n2"))
-    k = F.expr(allowed_whole("n"))
-    close = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sketch2"))) <= k * BITS_AN_EDIT
-    pairs = keys.filter("own = 1").join(other, (keys["seg"] == other["seg"]) & (F.col("h") != F.col("h2")) & (F.col("n2") >= F.col("n")) & (F.col("n2") - F.col("n") <= k) & close)
-    shared = pairs.groupBy("h", "h2").agg(F.sum("times").alias("shared"), F.first("n").alias("n"))
-    pairs = shared.filter(f"shared >= CASE WHEN n >= {GRAMS} THEN n div {GRAM} - n div {SHARE} ELSE 1 END")
-    pairs = table(pairs.select(F.least("h", "h2").alias("a"), F.greatest("h", "h2").alias("b")).distinct(), "candidates")
-    both = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("line_a")), "a").join(texts.select(F.col("h").alias("b"), F.col("line").alias("line_b")), "b")
-    far = F.expr(f"levenshtein(line_a, line_b, {allowed_whole('least(length(line_a), length(line_b))')})")
-    return table(both.filter(far >= 0).select("a", "b"), "links")
+def _meet(keys: DataFrame) -> DataFrame:
+    """Pairs (a, b) of lines that have keys(h, n, seg, own, worth, parts) worth SHARED in common, the shorter one as its index, and whose lengths are within its edits."""
+    wide = F.expr(f"worth = 1 OR n >= {LONG}")
+    own = keys.filter("own = 1").withColumn("cls", F.when(wide, F.expr(length_class("n"))).otherwise(0)).withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+    other = keys.withColumn("part", F.pmod("h", "parts")).withColumn("cls", F.when(wide, F.expr(f"sequence({length_class(f'greatest({LONG}, n - {allowed("n")})')}, {length_class('n')})")).otherwise(F.array(F.lit(0))))
+    # a line just beyond LONG may probe for shorter ones, by segments, and for long ones, by pieces
+    other = other.withColumn("cls", F.when(F.expr(f"worth = {SHARED} AND n >= {LONG} AND n < {LONG + 2}"), F.array_union(F.array(F.lit(0)), "cls")).otherwise(F.col("cls")))
+    other = other.select("seg", F.col("h").alias("h2"), F.col("n").alias("n2"), F.col("own").alias("own2"), "part", F.explode("cls").alias("cls"))
+    near = F.expr(f"n2 >= n AND n2 - n <= {allowed('n')} AND h <> h2 AND (n2 > n OR own2 = 0 OR h < h2)")
+    pairs = own.join(other, ["seg", "cls", "part"]).filter(near)
+    pairs = pairs.select(F.least("h", "h2").alias("a"), F.greatest("h", "h2").alias("b"), "worth")
+    return pairs.groupBy("a", "b").agg(F.sum("worth").alias("worth")).filter(f"worth >= {SHARED}").select("a", "b")
 
 
-def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list[str] | None = None, whole: bool = False) -> DataFrame:
+def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
     """The columns carry of docs (all if not given) with kept_text, n_lines, n_dropped and n_links.
 
-    Lines of at least LEAST characters are near when at most one edit, from LONG characters of the shorter line on two
-    edits, turn one into the other. With whole, every line that isn't blank is compared: from SHORT characters of the
-    shorter line on, one edit in SHARE characters and one at least may lie between near lines, shorter ones have to be equal. A line is dropped when a line near it, or the same line, stands earlier: in a document
-    of smaller doc_id, or before it in the same. n_links counts, over the lines of the text, the different lines near them.
-    Of one distance each line is one row, however often it stands; hot lines are pre-aggregated. A null text stays null and
-    has no lines; a null doc_id is the smallest; documents repeated with id and text are the same one and lose the same
-    lines; different texts under one id are ordered by a hash. An empty table gives no rows. Columns of docs with the
-    names of the new ones are replaced.
+    Lines are near when few edits turn one into the other: by the length of the shorter line one from SHORT characters on,
+    two from TWO on, one in SHARE characters from LONG on; shorter lines have to be equal. A line is dropped when a line
+    near it, or the same line, stands earlier: in a document of smaller doc_id, or before it in the same. Blank lines are
+    never dropped. n_links counts, over the lines of the text, the different lines near them. Of one distance each line is
+    one row, however often it stands; hot lines are pre-aggregated. A null text stays null and has no lines; a null doc_id
+    is the smallest; documents repeated with id and text are the same one and lose the same lines; different texts under
+    one id are ordered by a hash. An empty table gives no rows. Columns of docs with the names of the new ones are
+    replaced.
     """
     new = ["kept_text", "n_lines", "n_dropped", "n_links"]
     held = [c for c in (docs.columns if carry is None else carry) if c not in new]
     body = F.coalesce(F.col(text), F.lit(""))
     ident = [F.coalesce(F.col(doc_id).cast("long"), F.lit(_NONE)).alias("key"), F.xxhash64(body).alias("th")]
     narrow = docs.select(*ident, body.alias("text"))
-    places, links = near_lines(narrow, whole)
+    places, links = near_lines(narrow)
     firsts = table(places.groupBy("h").agg(F.min(F.struct("key", "th", "no")).alias("first"), F.count(F.lit(1)).alias("copies")), "firsts")
     ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     before = ends.join(firsts.select(F.col("h").alias("b"), F.col("first").alias("other")), "b").groupBy("a").agg(F.min("other").alias("other"), F.count(F.lit(1)).alias("links"))
     known = firsts.join(before, firsts["h"] == before["a"], "left").filter("copies > 1 OR links > 0")
-    known = table(known.select("h", "first", (F.coalesce(F.col("other") < F.col("first"), F.lit(False))).alias("late"), F.coalesce("links", F.lit(0)).alias("links")), "known")
-    places = places.join(_sent(known), "h")
+    known = table(known.select("h", "first", (F.coalesce(F.col("other") < F.col("first"), F.lit(False))).alias("late"), F.coalesce("links", F.lit(0)).alias("links"), "copies"), "known")
+    places = _of_known(places, known)
     gone = F.col("late") | (F.struct("key", "th", "no") != F.col("first"))
     per = places.groupBy("key", "th", "no").agg(F.max("links").alias("links"), F.bool_or(gone).alias("gone"))
     per = table(per.groupBy("key", "th").agg(F.collect_list(F.when(F.col("gone"), F.col("no"))).alias("gone"), F.sum("links").alias("links")), "dropped")
@@ -208,37 +209,34 @@ def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carr
     return rows.select("doc.*", kept.alias("kept_text"), F.coalesce(F.size("lines_"), F.lit(0)).cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_dropped"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
-    done = line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), carry=["doc_id"])
-    return done.select("doc_id", "n_lines", "n_dropped", "n_links", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+def _of_known(places: DataFrame, known: DataFrame, sent: int = SENT) -> DataFrame:
+    """places with what is known of their lines. If that isn't small, the few lines with a share of all places of their own are sent, and only the others' places are shuffled."""
+    n = known.agg(F.count(F.lit(1)), F.sum("copies")).first()
+    if n[0] <= sent:
+        return places.join(F.broadcast(known), "h")
+    hot = F.broadcast(known.filter(F.col("copies") > max(MEET, n[1] // 100_000)))
+    return places.join(hot, "h").unionByName(places.join(hot.select("h"), "h", "left_anti").join(known, "h").select(*places.join(hot, "h").columns))
 
 
-def op7_line_dedup_whole(spark, sf_dir: str) -> DataFrame:
-    """op7_line_dedup by the whole rule: no line is too short to be a copy, and the edits grow with the line."""
-    done = line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), carry=["doc_id"], whole=True)
+def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
+    done = line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), carry=["doc_id"])
     return done.select("doc_id", "n_lines", "n_dropped", "n_links", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
+#: Letters by whose counts the SQL leaves most pairs out before it measures them.
+_LETTERS = "eantirso"
+_FREE = "".join(f"|| chr({i}) " for i in [*range(2, 9), *range(14, 32), 127])
+#: DuckDB measures bytes: up to 27 different characters beyond ASCII are put as unused control characters first.
 SQL = f"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
 o AS (SELECT doc_id, unnest(range(len(l))) AS no, unnest(l) AS line FROM d),
-t AS (SELECT line, length(line) AS n, min(doc_id * 100000 + no) AS first FROM o WHERE length(line) >= {LEAST} GROUP BY line),
-e AS (SELECT a.line AS line, b.first AS other, a.first AS first FROM t a JOIN t b ON a.line <> b.line AND b.n BETWEEN a.n - 2 AND a.n + 2
-    WHERE levenshtein(a.line, b.line) <= CASE WHEN least(a.n, b.n) >= {LONG} THEN 2 ELSE 1 END),
-k AS (SELECT line, count(*) AS links, min(other) AS other FROM e GROUP BY line),
-p AS (SELECT o.doc_id AS doc_id, o.no AS no, o.line AS line, coalesce(o.doc_id * 100000 + o.no <> t.first OR k.other < t.first, false) AS gone, coalesce(k.links, 0) AS links
-    FROM o LEFT JOIN t ON o.line = t.line LEFT JOIN k ON o.line = k.line)
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, cast(sum(links) AS bigint) AS n_links, sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS kept_sha256
-FROM p GROUP BY doc_id
-"""
-
-WHOLE_SQL = f"""
-WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
-o AS (SELECT doc_id, unnest(range(len(l))) AS no, unnest(l) AS line FROM d),
-t AS (SELECT line, length(line) AS n, CASE WHEN length(line) >= {SHORT} THEN greatest(1, length(line) // {SHARE}) ELSE 0 END AS k, min(doc_id * 100000 + no) AS first
-    FROM o WHERE regexp_matches(line, '[^\\s\\x0B]') GROUP BY line),
-c AS (SELECT a.line AS x, b.line AS y, a.first AS fx, b.first AS fy FROM t a JOIN t b ON a.line <> b.line AND b.n BETWEEN a.n AND a.n + a.k AND (a.n < b.n OR a.line < b.line)
-    WHERE a.k > 0 AND levenshtein(a.line, b.line) <= a.k),
+f AS (SELECT coalesce(string_agg(c, '' ORDER BY c), '') AS wide FROM (SELECT DISTINCT unnest(string_split(regexp_replace(text, '[\\x00-\\x7F]+', '', 'g'), '')) AS c FROM documents) x),
+t AS (SELECT line, translate(line, f.wide, chr(1) {_FREE}) AS b, length(line) AS n, min(doc_id * 100000 + no) AS first,
+    CASE WHEN length(line) >= {LONG} THEN length(line) // {SHARE} WHEN length(line) >= {TWO} THEN 2 WHEN length(line) >= {SHORT} THEN 1 ELSE 0 END AS k
+    FROM o, f WHERE regexp_matches(line, '[^\\s\\x0B]') GROUP BY line, f.wide),
+u AS (SELECT *, {", ".join(f"n - length(replace(line, '{x}', '')) AS n_{x}" for x in _LETTERS)} FROM t),
+c AS (SELECT x.line AS x, y.line AS y, x.first AS fx, y.first AS fy FROM u x JOIN u y ON x.line <> y.line AND y.n BETWEEN x.n AND x.n + x.k AND (x.n < y.n OR x.line < y.line)
+    WHERE x.k > 0 AND CASE WHEN {" + ".join(f"abs(x.n_{c} - y.n_{c})" for c in _LETTERS)} <= 2 * x.k THEN levenshtein(x.b, y.b) <= x.k ELSE false END),
 e AS (SELECT x AS line, fy AS other FROM c UNION ALL SELECT y, fx FROM c),
 k AS (SELECT line, count(*) AS links, min(other) AS other FROM e GROUP BY line),
 p AS (SELECT o.doc_id AS doc_id, o.no AS no, o.line AS line, coalesce(o.doc_id * 100000 + o.no <> t.first OR k.other < t.first, false) AS gone, coalesce(k.links, 0) AS links

@@ -12,7 +12,6 @@ QUERIES = {
     "op5_sentencepiece": pieces.op5_sentencepiece,
     "op6_suffix_dedup": suffixes.op6_suffix_dedup,
     "op7_line_dedup": lines.op7_line_dedup,
-    "op7_line_dedup_whole": lines.op7_line_dedup_whole,
     "op8_quality_classifier": classifier.op8_quality_classifier,
     "op9_ngram_jaccard_join": jaccard.op9_ngram_jaccard_join,
     "op10_exact_dedup": exact.op10_exact_dedup,
@@ -21,7 +20,6 @@ ORACLES = {
     "op1_quality_rules": quality.SQL,
     "op2_warc": warc.SQL,
     "op7_line_dedup": lines.SQL,
-    "op7_line_dedup_whole": lines.WHOLE_SQL,
     "op9_ngram_jaccard_join": jaccard.SQL,
     "op10_exact_dedup": exact.SQL,
 }
