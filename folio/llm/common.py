@@ -20,9 +20,11 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as a URI or path: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder that driver and executors share, as a URI or path: spark.checkpoint.dir, or, where it is unset and all runs on one machine, a temporary one."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = _own.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="folio-")
         _own[spark.sparkContext.applicationId] = at
         spark.sparkContext.setCheckpointDir(at)
@@ -38,7 +40,18 @@ def table(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet below the shared folder and read again: its lineage ends there, and a lost executor costs nothing."""
     path = scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    done = df.sparkSession.read.schema(df.schema).parquet(path)
+    done.scratch_path = path
+    return done
+
+
+def free(*tables: DataFrame) -> None:
+    """Deletes tables that nothing reads any more, and lets the driver forget shuffles that are no longer in use, so that their files go too."""
+    spark = tables[0].sparkSession
+    for t in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark._jvm.System.gc()
 
 
 def remainder(column: str, n: int) -> Column:

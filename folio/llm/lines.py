@@ -16,13 +16,17 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import free, table
 from .exact import BITS_A_ROW, MOST_BITS, PAGE, bit, bitmaps
 
 #: Lines of fewer characters have to be equal. From there on one edit is allowed, from TWO characters of the shorter line on two, from LONG on one in SHARE characters.
 SHORT, TWO, LONG, SHARE = 20, 40, 150, 50
 #: Where long lines are cut: behind white space, unless one of the most frequent last letters stands before it.
-CUT, SHARED, GRAM = r"(?<=[^ens\\s]\\s)", 3, 24
+CUT, SHARED, GRAM = r"(?<=[^ens\\s]\\s)", 2, 24
+#: Characters of the parts that very long lines are taken apart in, as a place far in a text is slow to find.
+PART = 256
+#: Letters by whose counts most pairs are left out before they are measured.
+LETTERS = "abcdefghijklmnopqrstuvwxyz "
 #: Rows up to which a side of two or three numbers a row is sent to all executors.
 SENT = 500_000
 #: Lines that are under one key and meet in one task; a key with more is dealt over several.
@@ -135,7 +139,8 @@ def near_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pieces = few.filter("own").select("h", "n", F.explode(F.expr(f"transform(sequence(0, k), i -> {gram_key('line', f'i * {GRAM} + 1')})")).alias("seg"))
     index = short.filter(f"n < {LONG}").select("h", "n", F.explode(F.expr(segment_keys("line", "n"))).alias("seg")).unionByName(pieces)
     index = table(index.distinct(), "index")
-    grams = few.select("line", "h", "n", F.explode(F.expr(f"sequence(1, n - {GRAM - 1})")).alias("at")).selectExpr("h", "n", f"{gram_key('line', 'at')} AS seg")
+    parts = few.select("line", "h", "n", F.explode(F.expr(f"sequence(0, (n - {GRAM}) div {PART})")).alias("part")).selectExpr("h", "n", f"substring(line, part * {PART} + 1, {PART + GRAM - 1}) AS line")
+    grams = parts.select("line", "h", "n", F.explode(F.expr(f"sequence(1, length(line) - {GRAM - 1})")).alias("at")).selectExpr("h", "n", f"{gram_key('line', 'at')} AS seg")
     probing = table(_in(_probed(short).unionByName(grams), index.select("seg"), "seg", "bloom").distinct(), "probes")
     # own: lines are indexed under it; kind: how many keys of the kind SHARED are worth
     keys = index.selectExpr("h", "n", "seg", "1 AS own", f"{SHARED} AS worth").unionByName(probing.selectExpr("h", "n", "seg", "0 AS own", f"{SHARED} AS worth"))
@@ -147,27 +152,38 @@ def near_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     least = max(MEET, (common.agg(F.sum("lines")).first()[0] or 0) // 100_000)
     hot = table(common.filter(F.col("lines") > least).selectExpr("seg", f"cast(ceil(lines / {MEET}) AS int) AS parts"), "hot")
     keys = keys.join(F.broadcast(hot), "seg", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    held = [long, index, probing, common]
     keys = table(keys, "keys")
+    free(*held)
     pairs = table(_meet(keys), "candidates")
+    free(keys)
     texts = lines.filter(f"n >= {SHORT}").select("h", "line")
     wanted = table(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "wanted")
-    texts = table(_in(texts, wanted, "h", "wanted").groupBy("h").agg(F.first("line").alias("line")), "texts")
-    both = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("line_a")), "a").join(texts.select(F.col("h").alias("b"), F.col("line").alias("line_b")), "b")
-    far = F.expr(f"levenshtein(line_a, line_b, {allowed('least(length(line_a), length(line_b))')})")
-    return places, table(both.filter(far >= 0).select("a", "b"), "links")
+    texts = _in(texts, wanted, "h", "wanted").groupBy("h").agg(F.first("line").alias("line"))
+    # an edit changes the counts of two letters by one at most: most pairs are left out by those
+    often = "transform(split('" + LETTERS + "', ''), c -> length(line) - length(replace(line, c, '')))"
+    texts = table(texts.selectExpr("h", "line", f"{often} AS often"), "texts")
+    both = pairs.join(texts.alias("x"), F.col("a") == F.col("x.h")).join(texts.alias("y"), F.col("b") == F.col("y.h"))
+    most = allowed("least(length(x.line), length(y.line))")
+    apart = "aggregate(zip_with(x.often, y.often, (i, j) -> abs(i - j)), 0, (s, d) -> s + d)"
+    far = f"CASE WHEN {apart} <= 2 * {most} THEN levenshtein(x.line, y.line, {most}) ELSE -1 END"
+    return places, table(both.filter(f"{far} >= 0").select("a", "b"), "links")
 
 
 def _meet(keys: DataFrame) -> DataFrame:
     """Pairs (a, b) of lines that have keys(h, n, seg, own, worth, parts) worth SHARED in common, the shorter one as its index, and whose lengths are within its edits."""
-    wide = F.expr(f"worth = 1 OR n >= {LONG}")
-    own = keys.filter("own = 1").withColumn("cls", F.when(wide, F.expr(length_class("n"))).otherwise(0)).withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
-    other = keys.withColumn("part", F.pmod("h", "parts")).withColumn("cls", F.when(wide, F.expr(f"sequence({length_class(f'greatest({LONG}, n - {allowed("n")})')}, {length_class('n')})")).otherwise(F.array(F.lit(0))))
-    # a line just beyond LONG may probe for shorter ones, by segments, and for long ones, by pieces
-    other = other.withColumn("cls", F.when(F.expr(f"worth = {SHARED} AND n >= {LONG} AND n < {LONG + 2}"), F.array_union(F.array(F.lit(0)), "cls")).otherwise(F.col("cls")))
-    other = other.select("seg", F.col("h").alias("h2"), F.col("n").alias("n2"), F.col("own").alias("own2"), "part", F.explode("cls").alias("cls"))
-    near = F.expr(f"n2 >= n AND n2 - n <= {allowed('n')} AND h <> h2 AND (n2 > n OR own2 = 0 OR h < h2)")
-    pairs = own.join(other, ["seg", "cls", "part"]).filter(near)
-    pairs = pairs.select(F.least("h", "h2").alias("a"), F.greatest("h", "h2").alias("b"), "worth")
+    near = lambda x, y: F.expr(f"{y}.n >= {x}.n AND {y}.n - {x}.n <= {allowed(f'{x}.n')} AND {x}.h <> {y}.h AND 2 * {x}.own + {y}.own >= 2 AND ({y}.n > {x}.n OR {y}.own = 0 OR {x}.h < {y}.h)")
+    out = [F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b"), "x.worth"]
+    # both sides alike, so that they are shuffled once
+    few = keys.filter("parts = 1")
+    pairs = few.alias("x").join(few.alias("y"), (F.col("x.seg") == F.col("y.seg")) & near("x", "y")).select(*out)
+    # keys of many lines: by the class of the length too, and dealt over parts; segments of short lines are of one length already
+    wide = f"n >= {LONG + 2} OR worth = 1"
+    hot = keys.filter("parts > 1")
+    own = hot.filter("own = 1").withColumn("cls", F.expr(f"CASE WHEN {wide} THEN {length_class('n')} ELSE 0 END")).withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+    other = hot.withColumn("part", F.pmod("h", "parts")).withColumn("cls", F.explode(F.expr(f"CASE WHEN {wide} THEN array_union(array(0), sequence({length_class(f'greatest({LONG}, n - {allowed("n")})')}, {length_class('n')})) ELSE array(0) END")))
+    met = own.alias("x").join(other.alias("y"), (F.col("x.seg") == F.col("y.seg")) & (F.col("x.cls") == F.col("y.cls")) & (F.col("x.part") == F.col("y.part")) & near("x", "y"))
+    pairs = pairs.unionByName(met.select(*out))
     return pairs.groupBy("a", "b").agg(F.sum("worth").alias("worth")).filter(f"worth >= {SHARED}").select("a", "b")
 
 
@@ -223,8 +239,6 @@ def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", "n_links", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
-#: Letters by whose counts the SQL leaves most pairs out before it measures them.
-_LETTERS = "eantirso"
 _FREE = "".join(f"|| chr({i}) " for i in [*range(2, 9), *range(14, 32), 127])
 #: DuckDB measures bytes: up to 27 different characters beyond ASCII are put as unused control characters first.
 SQL = f"""
@@ -234,9 +248,9 @@ f AS (SELECT coalesce(string_agg(c, '' ORDER BY c), '') AS wide FROM (SELECT DIS
 t AS (SELECT line, translate(line, f.wide, chr(1) {_FREE}) AS b, length(line) AS n, min(doc_id * 100000 + no) AS first,
     CASE WHEN length(line) >= {LONG} THEN length(line) // {SHARE} WHEN length(line) >= {TWO} THEN 2 WHEN length(line) >= {SHORT} THEN 1 ELSE 0 END AS k
     FROM o, f WHERE regexp_matches(line, '[^\\s\\x0B]') GROUP BY line, f.wide),
-u AS (SELECT *, {", ".join(f"n - length(replace(line, '{x}', '')) AS n_{x}" for x in _LETTERS)} FROM t),
+u AS (SELECT *, {", ".join(f"n - length(replace(line, '{x}', '')) AS n_{i}" for i, x in enumerate(LETTERS))} FROM t),
 c AS (SELECT x.line AS x, y.line AS y, x.first AS fx, y.first AS fy FROM u x JOIN u y ON x.line <> y.line AND y.n BETWEEN x.n AND x.n + x.k AND (x.n < y.n OR x.line < y.line)
-    WHERE x.k > 0 AND CASE WHEN {" + ".join(f"abs(x.n_{c} - y.n_{c})" for c in _LETTERS)} <= 2 * x.k THEN levenshtein(x.b, y.b) <= x.k ELSE false END),
+    WHERE x.k > 0 AND CASE WHEN {" + ".join(f"abs(x.n_{i} - y.n_{i})" for i in range(len(LETTERS)))} <= 2 * x.k THEN levenshtein(x.b, y.b) <= x.k ELSE false END),
 e AS (SELECT x AS line, fy AS other FROM c UNION ALL SELECT y, fx FROM c),
 k AS (SELECT line, count(*) AS links, min(other) AS other FROM e GROUP BY line),
 p AS (SELECT o.doc_id AS doc_id, o.no AS no, o.line AS line, coalesce(o.doc_id * 100000 + o.no <> t.first OR k.other < t.first, false) AS gone, coalesce(k.links, 0) AS links
