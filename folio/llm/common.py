@@ -54,6 +54,23 @@ def free(*tables: DataFrame) -> None:
     spark._jvm.System.gc()
 
 
+#: Rows up to which a side of a few numbers a row is sent to all executors (below 32 MB), and the least weight of a hot key.
+SENT, HOT_KEY = 500_000, 256
+
+
+def dealt_join(rows: DataFrame, keys: DataFrame, on: list[str], weight: str, how: str = "inner", sent: int | None = None) -> DataFrame:
+    """rows joined with a written table keys that has each of `on` once, and in weight about how many of rows have it.
+
+    Keys are sent if they are few. Else those with more than a hundred-thousandth of all weight are, which bounds their
+    number, and only rows of other keys are shuffled: no key brings a large share of rows into one task.
+    """
+    n = keys.agg(F.count(F.lit(1)), F.sum(weight)).first()
+    if n[0] <= (SENT if sent is None else sent):
+        return rows.join(F.broadcast(keys), on, how)
+    hot = F.broadcast(keys.filter(F.col(weight) > max(HOT_KEY, n[1] // 100_000)))
+    return rows.join(hot, on).unionByName(rows.join(hot.select(on), on, "left_anti").join(keys, on, how))
+
+
 def remainder(column: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % n

@@ -1,4 +1,11 @@
-"""N-gram Jaccard join (9): an LSH forest of MinHash signatures, then exact verification in blocks."""
+"""N-gram Jaccard join (9): an LSH forest of MinHash signatures, then exact verification in blocks.
+
+Every tree of the forest is a prefix trie of signatures of DEPTH values, held as sorted rows: the texts below a node are
+neighbours. Matched prefixes are shortened level by level from the full depth, in each part of a tree until all its texts
+are linked or the depth is reached at which a pair at the threshold has met in some tree as surely as RECALL asks. Texts
+of one node become candidates only if their whole signatures agree in enough values, so that pairs which are merely
+somewhat alike don't chain up; candidates form components, and a component's pairs are verified exactly.
+"""
 
 from __future__ import annotations
 
@@ -7,22 +14,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat, give_back, mix, packed, prefix_hash, runs, span_hash, table, words
+from .common import SENT, dealt_join, flat, give_back, mix, packed, prefix_hash, runs, span_hash, table, words
 from .components import components
 
 #: Words in a shingle; a pair is linked from a Jaccard similarity of 4/5 on.
 SHINGLE, SIMILAR = 5, (4, 5)
 #: Trees of the forest, their full depth, and the recall at the threshold until which prefixes are shortened.
 TREES, DEPTH, RECALL = 24, 12, 0.9999
-#: Texts that are compared at once, and rows up to which a side is sent to all executors (below 32 MB).
-BLOCK, SENT = 1000, 500_000
+#: Values of two whole signatures that agree at least, of 288: at similarity 0.8 it is 231, and 178 is 7 standard deviations less; at 0.5 it is 145.
+AGREE = 178
+#: Texts that are compared at once.
+BLOCK = 1000
 #: Bytes of text that are hashed at once.
 CHUNK = 2_000_000
 _NONE = -(1 << 63)
 
 
-def prefix_length(similar: float, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
-    """How long a common prefix must be: shortened from the full depth until a pair of that similarity meets in a tree as surely as asked."""
+def shallowest(similar: float, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
+    """The least shortening, from the full depth on, at which a pair of that similarity has met in a tree as surely as asked."""
     while depth > 1 and 1 - (1 - similar**depth) ** trees < recall:
         depth -= 1
     return depth
@@ -57,23 +66,80 @@ def shingles(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return h, np.searchsorted(of, np.arange(len(n) + 1)), all_words
 
 
-def tree_keys(h: np.ndarray, at: np.ndarray, trees: int, depth: int) -> np.ndarray:
-    """For each text with shingles and each tree, the trie node at depth: a hash of the tree and of its first MinHash values."""
+def signatures(h: np.ndarray, at: np.ndarray, trees: int, depth: int) -> np.ndarray:
+    """For each text with shingles a row of trees * depth MinHash values, a byte each: tree after tree, from its root down."""
     some = np.flatnonzero(np.diff(at))
-    out = np.zeros((len(some), trees), np.uint64)
-    if not len(some):
-        return out
-    first = at[:-1][some]
-    factors = mix(np.arange(1, trees * depth + 1, dtype=np.uint64)) | np.uint64(1)
-    for t in range(trees):
-        key = np.full(len(some), t + 1, np.uint64)
-        for k in range(depth):
-            low = np.minimum.reduceat(h * factors[t * depth + k], first)
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + (low >> np.uint64(32)))
-        out[:, t] = key
+    out = np.zeros((len(some), trees * depth), np.uint8)
+    if len(some):
+        first = at[:-1][some]
+        for i, factor in enumerate(mix(np.arange(1, trees * depth + 1, dtype=np.uint64)) | np.uint64(1)):
+            # the least of many is near 0: mixed again, so that all bytes are as likely
+            out[:, i] = mix(np.minimum.reduceat(h * factor, first)) >> np.uint64(56)
     return out
 
 
+def trie_links(own: np.ndarray, whole: np.ndarray, least: int, agree: int) -> np.ndarray:
+    """A label for each of the texts of a part of a tree, in the trie's order: the first text that it is linked with, over any number of links.
+
+    own has their signatures in this tree, whole in all trees. From the full depth on prefixes are shortened down to
+    `least`; where not all texts below a node are linked yet they are compared.
+    """
+    m, depth = own.shape
+    label = np.arange(m)
+    if m < 2:
+        return label
+    differ = own[1:] != own[:-1]
+    common = np.where(differ.any(1), differ.argmax(1), depth)
+    for d in range(depth, least - 1, -1):
+        cut = np.r_[0, np.flatnonzero(common < d) + 1, m]
+        for a, z in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            if z - a < 2 or (label[a:z] == label[a]).all():
+                continue
+            link = np.stack([(whole[a:z] == x).sum(1) >= agree for x in whole[a:z]])
+            link |= label[a:z, None] == label[None, a:z]
+            label[a:z] = _least(link, label[a:z] * m + np.arange(a, z)) // m
+    return label
+
+
+def _climb(least: int, trees: int, depth: int, agree: int):
+    """Of rows sorted by trie, salt and own signature, the candidates (a, b) in each part of a tree, as few as link them all.
+
+    A part with more texts than can be compared at once comes in salted portions, which are linked whole.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        held, key = [], None
+
+        def done():
+            node = np.concatenate([x[0] for x in held])
+            own, whole = (np.concatenate([x[i] for x in held]) for i in (1, 2))
+            if key[2] > 1:
+                to = np.full(len(node), key[3])
+            else:
+                label = trie_links(own, whole, least, agree)
+                to = node[label]
+            some = to != node
+            return pa.RecordBatch.from_arrays([pa.array(to[some]), pa.array(node[some])], schema=schema)
+
+        for batch in batches:
+            trie, salt, parts, head, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            own = flat(batch.column(5))[0].reshape(-1, depth)
+            whole = flat(batch.column(6))[0].reshape(-1, trees * depth)
+            cut = np.flatnonzero(np.r_[True, (trie[1:] != trie[:-1]) | (salt[1:] != salt[:-1])]) if len(trie) else []
+            for a, z in zip(cut, [*cut[1:], len(trie)], strict=True):
+                now = (int(trie[a]), int(salt[a]), int(parts[a]), int(head[a]))
+                if held and now != key:
+                    yield done()
+                    held = []
+                key = now
+                held.append((node[a:z].copy(), own[a:z].copy(), whole[a:z].copy()))
+        if held:
+            yield done()
+
+    return run
+
+
 def _chunks(batch):
     """(first, last, shingles) of runs of texts of a batch whose third column is the text."""
     data, begin = flat(batch.column(2))
@@ -83,7 +149,7 @@ def _chunks(batch):
         give_back()
 
 
-_SIGNED = pa.schema([("key", pa.int64()), ("th", pa.int64()), ("words", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("trees", pa.list_(pa.int64()))])
+_SIGNED = pa.schema([("key", pa.int64()), ("th", pa.int64()), ("words", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sig", pa.binary())])
 
 
 def _sign(trees: int, depth: int):
@@ -95,9 +161,8 @@ def _sign(trees: int, depth: int):
                 some = n > 0
                 sums = [np.r_[np.uint64(0), np.cumsum(x, dtype=np.uint64)] for x in (h, mix(h + np.uint64(7)))]
                 h1, h2 = (mix(s[at[1:]] - s[at[:-1]] + n.astype(np.uint64)).view(np.int64) for s in sums)
-                keys = tree_keys(h, at, trees, depth).view(np.int64).reshape(-1)
-                offsets = pa.array(np.r_[0, np.cumsum(some * trees)].astype(np.int32))
-                lists = pa.ListArray.from_arrays(offsets, pa.array(keys))
+                offsets = np.r_[0, np.cumsum(some * (trees * depth))].astype(np.int32)
+                lists = pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(signatures(h, at, trees, depth))])
                 held = [pa.array(x, mask=~some) for x in (h1, h2)]
                 yield pa.RecordBatch.from_arrays([key.slice(first, last - first), th.slice(first, last - first), pa.array(all_words.view(np.int64)), *held, lists], schema=_SIGNED)
 
@@ -194,36 +259,44 @@ def _least(link: np.ndarray, node: np.ndarray) -> np.ndarray:
         label = new
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", trees: int = TREES, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", trees: int = TREES, block: int = BLOCK, sent: int = SENT) -> DataFrame:
     """One row per row of docs: doc_id, class_id, n_links, first, key, th.
 
     Texts are linked when the Jaccard similarity of their sets of five-word shingles is 0.8 or more. n_links counts the
     other different texts (by their words) that a text is linked with; class_id is the least doc_id of all that it is
     linked with, over any number of links; first marks one row of each class, the least by doc_id. Copies are one
-    representative: they are never compared. Candidates share a trie node in some tree; nodes and representatives form
-    components, and every pair of a component is compared exactly, in blocks if there are many.
+    representative: they are never compared. Candidates share a trie node in some tree and agree in their signatures;
+    they form components, and every pair of a component is compared exactly, in blocks if there are many. Where more
+    than `block` different texts share a node, all of them are in one component.
     A text of fewer than five words has one shingle, of them all; a text without words has no links and is a class of its
     own. A null doc_id is the smallest. Repeated rows are copies. An empty table gives no rows; other columns aren't read.
     """
-    depth = prefix_length(SIMILAR[0] / SIMILAR[1], trees)
+    least = shallowest(SIMILAR[0] / SIMILAR[1], trees)
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NONE)).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.select("key", F.xxhash64("text").alias("th"), "text")
-    signed = rows.mapInArrow(_sign(trees, depth), "key long, th long, words long, h1 long, h2 long, trees array<long>").withColumn("row", F.monotonically_increasing_id())
+    signed = rows.mapInArrow(_sign(trees, DEPTH), "key long, th long, words long, h1 long, h2 long, sig binary").withColumn("row", F.monotonically_increasing_id())
     signed = table(signed, "signed")
-    texts = signed.filter("h1 IS NOT NULL").groupBy("h1", "h2", "words").agg(F.min(F.struct("key", "row", "th")).alias("least"), F.count(F.lit(1)).alias("n"), F.first("trees").alias("trees"))
-    sets = texts.groupBy("h1", "h2").agg(F.min("least").alias("least"), F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n"), F.first("trees").alias("trees"))
-    sets = table(sets.select(F.col("h1").alias("node"), "h2", F.col("least.key").alias("key"), F.col("least.th").alias("th"), F.col("least.row").alias("row"), "texts", "n", "trees"), "sets")
-
-    nodes = sets.select("node", F.explode("trees").alias("trie"))
-    shared = nodes.groupBy("trie").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z").select("trie", "a")
-    links = nodes.join(shared, "trie").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
-    comps = table(components(links), "candidates")
-    members = sets.drop("trees", "row", "n").join(comps, "node").withColumnRenamed("root", "comp")
-    sizes = members.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    members = members.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("h2", "node"), F.col("blocks")).cast("int"))
+    texts = signed.filter("h1 IS NOT NULL").groupBy("h1", "h2", "words").agg(F.min(F.struct("key", "row", "th")).alias("least"), F.count(F.lit(1)).alias("n"), F.first("sig").alias("sig"))
+    sets = texts.groupBy("h1", "h2").agg(F.min("least").alias("least"), F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n"), F.first("sig").alias("sig"))
+    sets = table(sets.select(F.col("h1").alias("node"), "h2", F.col("least.key").alias("key"), F.col("least.th").alias("th"), F.col("least.row").alias("row"), "texts", "n", "sig"), "sets")
+
+    nodes = sets.select("node", "sig", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    nodes = nodes.selectExpr("node", "tree", f"xxhash64(tree, substring(sig, tree * {DEPTH} + 1, {least})) AS trie")
+    shared = nodes.groupBy("trie").agg(F.min("node").alias("head"), F.max("node").alias("z"), F.count(F.lit(1)).alias("many")).filter("head <> z")
+    shared = table(shared.selectExpr("trie", "head", "many", f"cast(ceil(many / {block}) AS int) AS parts"), "shared")
+    met = dealt_join(nodes, shared, ["trie"], "many", sent=sent).withColumn("salt", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    met = table(met.select("trie", "salt", "parts", "head", "node", "tree"), "met")
+    met = met.join(sets.select("node", "sig"), "node").selectExpr("trie", "salt", "parts", "head", "node", f"substring(sig, tree * {DEPTH} + 1, {DEPTH}) AS own", "sig")
+    tasks = max(1, met.count() // 20_000 + 1)
+    met = met.repartition(tasks, "trie", "salt").sortWithinPartitions("trie", "salt", "own", "node")
+    links = met.mapInArrow(_climb(least, trees, DEPTH, AGREE * trees // TREES), "a long, b long").distinct()
+    comps = table(components(links, sent=sent), "candidates")
+    sizes = table(comps.groupBy(F.col("root").alias("comp")).agg(F.count(F.lit(1)).alias("many"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "sizes")
+    members = dealt_join(sets.drop("sig", "row", "n").join(comps, "node").withColumnRenamed("root", "comp"), sizes, ["comp"], "many", sent=sent)
+    members = members.withColumn("block", F.pmod(F.xxhash64("h2", "node"), F.col("blocks")).cast("int"))
     members = table(members.select("key", "th", "node", "h2", "texts", "comp", "blocks", "block"), "members")
-    some = members.count()
-    side = F.broadcast(members) if some <= SENT else members
+    some, copies = members.agg(F.count(F.lit(1)), F.sum("blocks")).first()
+    side = F.broadcast(members) if some <= sent else members
     # copies of a representative under one id are one row here
     found = rows.join(side, ["key", "th"]).select("key", "th", "text", "node", "h2", "texts", "comp", "blocks", "block")
     ddl = "key long, th long, node long, h2 long, texts long, comp long, blocks int, block int, shingles binary"
@@ -231,19 +304,20 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     other = F.expr("explode(transform(sequence(0, blocks - 1), x -> struct(least(x, block) AS i, greatest(x, block) AS j)))")
     pairs = found.select("comp", "blocks", "block", "node", "h2", "texts", "shingles", other.alias("ij"))
     pairs = pairs.select("comp", F.col("ij.i").alias("i"), F.col("ij.j").alias("j"), "node", "h2", "texts", "block", "blocks", "shingles")
-    tasks = max(1, some // 2000 + 1)
+    tasks = max(1, (copies or 0) // 2000 + 1)
     pairs = pairs.repartition(tasks, "comp", "i", "j").sortWithinPartitions("comp", "i", "j", "node", "h2")
     verified = table(pairs.mapInArrow(_verify, _FOUND_DDL), "verified")
     # a component of one block is settled by its task; the others by the links between their blocks
     roots = verified.filter("blocks = 1").select("node", F.col("other").alias("root"))
-    roots = roots.unionByName(components(verified.filter("blocks > 1").select(F.col("node").alias("a"), F.col("other").alias("b"))))
+    roots = roots.unionByName(components(verified.filter("blocks > 1").select(F.col("node").alias("a"), F.col("other").alias("b")), sent=sent))
     counts = verified.groupBy("node", "h2").agg(F.sum("links").alias("links"))
-    part = sets.drop("trees").join(counts, ["node", "h2"], "left").join(roots, "node", "left")
+    part = sets.drop("sig").join(counts, ["node", "h2"], "left").join(roots, "node", "left")
     part = part.select("node", "h2", "key", "row", "texts", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
     part = table(part, "classes")
-    heads = part.groupBy("root").agg(F.min(F.struct("key", "row")).alias("head"), F.sum("n").alias("docs"))
-    known = part.join(heads.filter("docs > 1"), "root").select(F.col("node").alias("h1"), "h2", (F.col("links") + F.col("texts") - 1).alias("links"), "head")
-    out = signed.drop("trees", "words").join(known, ["h1", "h2"], "left")
+    heads = part.groupBy("root").agg(F.min(F.struct("key", "row")).alias("head"), F.sum("n").alias("docs"), F.count(F.lit(1)).alias("many"))
+    heads = table(heads.filter("docs > 1"), "heads")
+    known = dealt_join(part, heads, ["root"], "many", sent=sent).select(F.col("node").alias("h1"), "h2", (F.col("links") + F.col("texts") - 1).alias("links"), "head", "n")
+    out = dealt_join(signed.drop("sig", "words"), table(known, "known"), ["h1", "h2"], "n", "left", sent)
     real = lambda c: F.when(c != _NONE, c)
     return out.select(
         real(F.col("key")).alias("doc_id"),

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free, table
+from .common import SENT, dealt_join, free, table
 from .exact import BITS_A_ROW, MOST_BITS, PAGE, bit, bitmaps
 
 #: Lines of fewer characters have to be equal. From there on one edit is allowed, from TWO characters of the shorter line on two, from LONG on one in SHARE characters.
@@ -27,8 +27,6 @@ CUT, SHARED, GRAM = r"(?<=[^ens\\s]\\s)", 2, 24
 PART = 256
 #: Letters by whose counts most pairs are left out before they are measured.
 LETTERS = "abcdefghijklmnopqrstuvwxyz "
-#: Rows up to which a side of two or three numbers a row is sent to all executors.
-SENT = 500_000
 #: Lines that are under one key and meet in one task; a key with more is dealt over several.
 MEET = 256
 _NONE = -(1 << 63)
@@ -106,11 +104,6 @@ def _cut(long: DataFrame) -> DataFrame:
     return rows.selectExpr("h", "n", "k", "size(all_) AS many", f"slice(all_, 1, 2 * k + {SHARED}) AS segs", "line")
 
 
-def _sent(df: DataFrame) -> DataFrame:
-    """df, written and small, to all executors; else as it is."""
-    return F.broadcast(df) if df.count() <= SENT else df
-
-
 def _in(rows: DataFrame, keys: DataFrame, column: str, name: str) -> DataFrame:
     """The rows whose number in column is in keys, and a few others: by a Bloom filter of bounded size; when keys outgrow it, more others."""
     bits = min(MOST_BITS, max(PAGE, 1 << math.ceil(math.log2(max(1, keys.count()) * BITS_A_ROW))))
@@ -187,7 +180,7 @@ def _meet(keys: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.sum("worth").alias("worth")).filter(f"worth >= {SHARED}").select("a", "b")
 
 
-def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
+def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list[str] | None = None, sent: int = SENT) -> DataFrame:
     """The columns carry of docs (all if not given) with kept_text, n_lines, n_dropped and n_links.
 
     Lines are near when few edits turn one into the other: by the length of the shorter line one from SHORT characters on,
@@ -210,7 +203,7 @@ def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carr
     before = ends.join(firsts.select(F.col("h").alias("b"), F.col("first").alias("other")), "b").groupBy("a").agg(F.min("other").alias("other"), F.count(F.lit(1)).alias("links"))
     known = firsts.join(before, firsts["h"] == before["a"], "left").filter("copies > 1 OR links > 0")
     known = table(known.select("h", "first", (F.coalesce(F.col("other") < F.col("first"), F.lit(False))).alias("late"), F.coalesce("links", F.lit(0)).alias("links"), "copies"), "known")
-    places = _of_known(places, known)
+    places = dealt_join(places, known, ["h"], "copies", sent=sent)
     gone = F.col("late") | (F.struct("key", "th", "no") != F.col("first"))
     per = places.groupBy("key", "th", "no").agg(F.max("links").alias("links"), F.bool_or(gone).alias("gone"))
     per = table(per.groupBy("key", "th").agg(F.collect_list(F.when(F.col("gone"), F.col("no"))).alias("gone"), F.sum("links").alias("links")), "dropped")
@@ -225,15 +218,6 @@ def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carr
     return rows.select("doc.*", kept.alias("kept_text"), F.coalesce(F.size("lines_"), F.lit(0)).cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_dropped"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def _of_known(places: DataFrame, known: DataFrame, sent: int = SENT) -> DataFrame:
-    """places with what is known of their lines. If that isn't small, the few lines with a share of all places of their own are sent, and only the others' places are shuffled."""
-    n = known.agg(F.count(F.lit(1)), F.sum("copies")).first()
-    if n[0] <= sent:
-        return places.join(F.broadcast(known), "h")
-    hot = F.broadcast(known.filter(F.col("copies") > max(MEET, n[1] // 100_000)))
-    return places.join(hot, "h").unionByName(places.join(hot.select("h"), "h", "left_anti").join(known, "h").select(*places.join(hot, "h").columns))
-
-
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
     done = line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), carry=["doc_id"])
     return done.select("doc_id", "n_lines", "n_dropped", "n_links", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))

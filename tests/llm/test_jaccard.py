@@ -3,9 +3,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
-from folio.llm.jaccard import keep_one, near_duplicates, prefix_length
+from folio.llm import jaccard
+from folio.llm.jaccard import keep_one, near_duplicates, shallowest, trie_links
 
 
 def sets(t):
@@ -85,5 +87,50 @@ def test_empty(spark):
 
 
 def test_prefixes_are_shortened_until_the_recall():
-    d = prefix_length(0.8)
+    d = shallowest(0.8)
     assert 1 - (1 - 0.8**d) ** 24 >= 0.9999 > 1 - (1 - 0.8 ** (d + 1)) ** 24
+
+
+def test_trie_links_are_those_of_all_pairs():
+    r = np.random.default_rng(3)
+    base = r.integers(0, 256, (6, 48), dtype=np.uint8)
+    whole = base[r.integers(0, 6, 120)]
+    whole = np.where(r.random(whole.shape) < 0.25, r.integers(0, 256, whole.shape, dtype=np.uint8), whole)
+    whole[:, :2] = 7  # all below one node
+    whole = whole[np.lexsort(whole[:, 11::-1].T)]
+    label = trie_links(whole[:, :12], whole, 2, 24)
+    link = (whole[:, None] == whole[None]).sum(2) >= 24
+    want = np.arange(len(whole))
+    for _ in want:
+        want = np.where(link, want[None], len(want)).min(1)
+    assert (label == want).all() and len(set(label)) > 1
+
+
+def test_weak_pairs_do_not_chain_up(spark, monkeypatch):
+    """Each text is 0.4 alike the next: no component, and so nothing to verify."""
+    r = random.Random(6)
+    words = [f"w{i}" for i in range(100_000)]
+    said = [r.choice(words) for _ in range(300 * 100)]
+    rows = [(i, " ".join(said[i * 43 : i * 43 + 104])) for i in range(250)]
+    met = []
+    own = jaccard.components
+    monkeypatch.setattr(jaccard, "components", lambda e, **kw: met.append(e.count()) or own(e, **kw))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(x.class_id == x.doc_id and x.n_links == 0 for x in got) and met[0] == 0
+
+
+@pytest.mark.parametrize("sent", [500_000, 5])
+def test_one_group_of_most_rows(spark, sent):
+    """Copies and near copies of one text, in a table whose sides are sent and in one where they are dealt."""
+    r = random.Random(5)
+    w = [f"v{i}" for i in range(300)]
+    rows = [(i, " ".join(w)) for i in range(60)]
+    for i in range(60, 160):
+        x = list(w)
+        x[r.randrange(300)] = f"z{i}"
+        rows.append((i, " ".join(x)))
+    rows += [(i, " ".join(f"u{r.randrange(10**6)}" for _ in range(30))) for i in range(160, 200)]
+    want = brute(rows)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block=30, sent=sent).collect()
+    by = dict(rows)
+    assert all((x.class_id, x.n_links) == want[sets(by[x.doc_id])[0]] for x in got) and len(got) == 200

@@ -73,10 +73,10 @@ def sample(seed=4, n=90):
     return rows + [(200, None), (201, ""), (202, "\n \n\t\n"), (None, base[0]), (203, base[1] + "\n" + base[1]), (203, base[1] + "\n" + base[1]), (204, "y" * 700), (205, "y" * 701)]
 
 
-def check(spark, rows):
+def check(spark, rows, **kw):
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, n_lines string").repartition(4)
     want = brute(rows)
-    got = line_dedup(df).collect()
+    got = line_dedup(df, **kw).collect()
     assert len(got) == len(rows)
     for r in got:
         if r.text is None:
@@ -95,13 +95,11 @@ def test_against_all_pairs(spark):
 def test_hot_keys_are_dealt(spark, monkeypatch):
     """One segment in most lines, and sides too large to be sent: the same result."""
     monkeypatch.setattr(lines, "MEET", 4)
-    own = lines._of_known
-    monkeypatch.setattr(lines, "_of_known", lambda places, known: own(places, known, 10))
     r = random.Random(9)
     shared = " ".join("".join(r.choice("abcdefg") for _ in range(7)) for _ in range(12))
     rows = [(i, shared + " " + " ".join(r.choice(["over", "under", "into", "the"]) for _ in range(r.choice([12, 12, 30])))) for i in range(60)]
     rows += [(100 + i, ("q" * 30 + str(i % 7) * 8) + "\nsame line here and there") for i in range(30)]
-    check(spark, rows)
+    check(spark, rows, sent=10)
 
 
 def test_replaced_word_and_short_repeats(spark):
