@@ -6,6 +6,7 @@ import ctypes
 import io
 import tempfile
 import uuid
+from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
@@ -181,8 +182,9 @@ def save_array(folder: str, x: np.ndarray) -> str:
 
 
 def load_array(uri: str) -> np.ndarray:
-    """The array of save_array: memory-mapped where the folder is mounted, read where it is a store's."""
+    """The array of save_array: memory-mapped where the folder is mounted; of a store's the last used ones stay in memory, up to HELD bytes a worker."""
     if uri in _arrays:
+        _arrays.move_to_end(uri)
         return _arrays[uri]
     store, path = _store(uri)
     if isinstance(store, fs.LocalFileSystem):
@@ -190,14 +192,19 @@ def load_array(uri: str) -> np.ndarray:
     else:
         with store.open_input_file(path) as f:
             x = np.load(io.BytesIO(f.read()))
-        return x
-    if len(_arrays) > 4000:
-        _arrays.clear()
     _arrays[uri] = x
+    while len(_arrays) > 4000 or len(_arrays) > 1 and sum(_memory(x) for x in _arrays.values()) > HELD:
+        _arrays.popitem(last=False)
     return x
 
 
-_arrays: dict[str, np.ndarray] = {}
+def _memory(x: np.ndarray) -> int:
+    return 0 if isinstance(x, np.memmap) else x.nbytes
+
+
+#: Bytes of arrays from a store that a worker keeps.
+HELD = 256_000_000
+_arrays: OrderedDict[str, np.ndarray] = OrderedDict()
 
 
 def _store(uri: str) -> tuple[fs.FileSystem, str]:

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, table
+from .common import SPACE, dealt_join, table
 
 #: Bits of the filter for each row, and the most bits of each of its two halves: the broadcast never grows beyond 128 MB.
 BITS_A_ROW, MOST_BITS = 16, 1 << 28
@@ -31,13 +31,13 @@ def bit(words: Column, position: Column) -> Column:
     return F.coalesce(F.getbit(F.get(words, (position / 32).cast("int")), at) == 1, F.lit(False))
 
 
-def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", most_bits: int = MOST_BITS) -> DataFrame:
+def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", most_bits: int = MOST_BITS, sent: int | None = None) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when they are identical after each run of white space became one space; null counts as empty.
     The first pass counts, at two hashed places per text, whether more than one row falls there; the places hit
     repeatedly make two bitmaps. In the second pass only rows with both bits set may have a copy: they alone are
-    shuffled by the hash of the text, and the rest pass straight through as their own groups. If the input outgrows
+    grouped by the hash of the text, and the rest pass straight through as their own groups. If the input outgrows
     the bitmaps, more rows are shuffled; the result stays the same.
     Rows repeated with the same doc_id count as copies, and just one of them stays. A null doc_id is the smallest.
     An empty table gives no rows; other columns aren't read.
@@ -58,8 +58,10 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mos
     hexed = F.lower(F.hex("sha")).alias("text_sha256")
     alone = seen.filter("not maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), hexed)
     maybe = seen.filter("maybe").drop("maybe")
+    # a group's rows needn't be together: they are joined with its one row where they are, or spread if there are too many groups to send
     groups = maybe.groupBy("sha").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("group_size"))
-    some = maybe.join(groups, "sha").select("doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), hexed)
+    some = dealt_join(maybe, table(groups, "groups"), ["sha"], "group_size", sent=sent)
+    some = some.select("doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), hexed)
     return alone.select(out).unionByName(some.select(out))
 
 

@@ -496,8 +496,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", carry: list[str] |
     """The columns carry of docs with n_tokens, n_known, base_score and score of each text, all logarithms to base 10.
 
     Perplexity is 10 ** (-score / n_tokens). Null text is empty: one token, the end. Repeated rows are scored each by
-    itself; an empty table gives no rows; columns in carry must not have the names of the new ones.
+    itself; an empty table gives no rows; columns in carry with the names of the new ones are replaced by those.
     """
+    carry = [c for c in carry or [] if c not in ("n_tokens", "n_known", "base_score", "score")]
     made = [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
 
     def run(batches):
@@ -509,7 +510,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", carry: list[str] |
                 give_back()
                 yield pa.RecordBatch.from_arrays([*(c.slice(first, last - first) for c in batch.columns[1:]), *(pa.array(x, t) for x, (_, t) in zip(got, made, strict=True))], names=[*batch.schema.names[1:], *[n for n, _ in made]])
 
-    rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text_"), *[F.col(f"`{c}`") for c in carry or []])
+    rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text_"), *[F.col(f"`{c}`") for c in carry])
     ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[1:]) + "n_tokens long, n_known long, base_score double, score double"
     return rows.mapInArrow(run, ddl)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import binascii
 import hashlib
 import math
 import re
@@ -15,7 +16,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, scratch, table
+from .common import dealt_join, packed, scratch, table
 
 #: Skippable frame that holds the dictionary, a zstd frame, and a zstd dictionary (fixed values of the formats).
 SKIPPABLE, FRAME, DICTIONARY = 0x184D2A5D, 0xFD2FB528, 0xEC30A437
@@ -55,7 +56,10 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: tupl
 def _headers(lines: list[bytes]) -> dict[str, str]:
     out: dict[str, str] = {}
     for line in lines:
-        k, colon, v = line.decode().partition(":")
+        try:
+            k, colon, v = line.decode().partition(":")
+        except UnicodeDecodeError as e:
+            raise WarcError(f"header not in UTF-8: {line[:80]!r}") from e
         if not colon or not k.strip() or k.lower() in out:
             raise WarcError(f"bad or repeated header {line[:80]!r}")
         out[k.lower()] = v.strip()
@@ -148,9 +152,16 @@ def frames(read) -> Iterator[bytes]:
     if len(raw) < size:
         raise WarcError("the dictionary ends early")
     if raw[:4] == struct.pack("<I", FRAME):  # the dictionary itself may be compressed
-        raw = zstandard.ZstdDecompressor().decompress(raw)
+        try:
+            raw = zstandard.ZstdDecompressor().decompressobj().decompress(raw)
+        except zstandard.ZstdError as e:
+            raise WarcError(f"the dictionary can't be decoded: {e}") from e
     kind = zstandard.DICT_TYPE_FULLDICT if raw[:4] == struct.pack("<I", DICTIONARY) else zstandard.DICT_TYPE_RAWCONTENT
-    unpress = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw, dict_type=kind))
+    try:
+        unpress = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw, dict_type=kind))
+        unpress.decompressobj()
+    except zstandard.ZstdError as e:
+        raise WarcError(f"no dictionary: {e}") from e
     rest = b""
     while True:
         while len(rest) < 18 and (more := read(CHUNK)):
@@ -159,9 +170,9 @@ def frames(read) -> Iterator[bytes]:
             return
         if len(rest) < 4 or struct.unpack("<I", rest[:4])[0] != FRAME:
             raise WarcError(f"no frame where a record should begin: {rest[:8]!r}")
-        wanted = zstandard.get_frame_parameters(rest).content_size
         one, parts = unpress.decompressobj(), []
         try:
+            wanted = zstandard.get_frame_parameters(rest).content_size
             parts.append(one.decompress(rest))
             while not one.eof:
                 if not (more := read(CHUNK)):
@@ -180,7 +191,7 @@ def _at(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri) if re.match(r"\w+:", uri) else (fs.LocalFileSystem(), uri)
 
 
-def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html", sent: int | None = None) -> DataFrame:
     """Writes a record per row of pages into archives below folder, a URI that all workers reach; returns (uri, records).
 
     Of equal payloads of at least LEAST_REVISIT bytes the row with the largest page_id is a response and the others
@@ -190,17 +201,18 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     """
     body = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), body.alias("html"), F.unhex(F.sha1(body)).alias("sha"))
-    groups = rows.filter(F.octet_length("html") >= LEAST_REVISIT).groupBy("sha").agg(F.max("page_id").alias("kept_id"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("sha").alias("group_sha"), "kept_id")
-    rows = rows.join(groups, F.col("sha") == F.col("group_sha"), "left")
+    groups = rows.filter(F.octet_length("html") >= LEAST_REVISIT).groupBy("sha").agg(F.max("page_id").alias("kept_id"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rows = dealt_join(rows, table(groups, "repeated"), ["sha"], "n", "left", sent)
     size = pages.agg(F.sum(F.octet_length(html))).first()[0] or 0
-    rows = rows.select("page_id", "url", "html", (F.col("group_sha").isNotNull() & ~F.col("kept_id").eqNullSafe(F.col("page_id"))).alias("again"), "kept_id")
+    rows = rows.select("page_id", "url", "html", (F.col("n").isNotNull() & ~F.col("kept_id").eqNullSafe(F.col("page_id"))).alias("again"), "kept_id")
     schema = pa.schema([("uri", pa.string()), ("records", pa.int64())])
 
     def run(batches):
         def records():
             for batch in batches:
-                for i, u, h, again, kept in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    yield record(i, u, h.encode(), (kept,) if again else None)
+                for a in range(0, len(batch), 64):  # so that few pages stand twice in memory
+                    for i, u, h, again, kept in zip(*(c.slice(a, 64).to_pylist() for c in batch.columns), strict=True):
+                        yield record(i, u, h.encode(), (kept,) if again else None)
 
         for archive in archives(records()):
             n, uri = -1, f"{folder}/{uuid.uuid4().hex}.warc.zst"  # the first part is the dictionary
@@ -212,7 +224,7 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
                     n += 1
             yield packed([(uri, n)], schema)
 
-    return table(rows.coalesce(max(1, math.ceil(size / ARCHIVE_BYTES))).mapInArrow(run, "uri string, records long"), "archives")
+    return table(rows.repartition(max(1, math.ceil(size / ARCHIVE_BYTES))).mapInArrow(run, "uri string, records long"), "archives")
 
 
 def read_archives(listed: DataFrame, strict: bool = True) -> DataFrame:
@@ -241,7 +253,11 @@ def read_archives(listed: DataFrame, strict: bool = True) -> DataFrame:
                     algorithm, _, digest = (r["digest"] or _sha1(r["payload"])).partition(":")
                     if algorithm != "sha1":
                         raise WarcError(f"digest {algorithm}")
-                    yield (page(r["id"]), r["url"], r["type"], r["length"], base64.b32decode(digest).hex(), page(r["refers_to"]), r["payload"], None)
+                    try:
+                        digest = base64.b32decode(digest).hex()
+                    except (binascii.Error, ValueError) as e:
+                        raise WarcError(f"digest {digest[:80]!r}: {e}") from e
+                    yield (page(r["id"]), r["url"], r["type"], r["length"], digest, page(r["refers_to"]), r["payload"], None)
         except WarcError as e:
             if strict:
                 raise

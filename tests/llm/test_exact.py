@@ -25,3 +25,11 @@ def test_against_a_dictionary(spark, bits):
         assert not r.kept or r.doc_id == r.keep_id
     assert sum(r.kept for r in got) == len(groups)
     assert exact_dedup(df.limit(0)).count() == 0
+
+
+def test_one_group_of_most_rows(spark):
+    """The same result when groups are too many to be sent."""
+    rows = [(i, "same  text" if i % 3 else f"text {i % 50}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    sent, dealt = (sorted(map(tuple, exact_dedup(df, sent=n).collect())) for n in (500_000, 2))
+    assert sent == dealt and sum(r[3] for r in sent) == 1 + len({t for i, t in rows if not i % 3})
