@@ -21,7 +21,7 @@ LEAST_ROWS = 100
 FLOORS = (0.05, 0.05, 0.15, 0.08)
 #: Squared Mahalanobis distance beyond which a row is rejected: chi-square(4) at 1 - 1e-5.
 CUTOFF = 28.5
-#: The statistics are whole multiples of 1 / UNIT up to 4, so that sums of squares are exact in any order.
+#: The statistics are whole multiples of 1 / UNIT, so that sums of squares are exact in any order. They end at 64, as sums are 64-bit numbers: e ** 64 characters a word, 4096 symbols a word.
 UNIT = 1024
 P = 4
 #: Parts that the rows of a group are joined in.
@@ -63,13 +63,13 @@ _VECTOR = (
     "n_dup_lines / cast(n_lines + 5 AS double)",
     "n_repeat_words / cast(n_words + 20 AS double)",
 )
-VECTOR = [f"cast(round(least({x}, 4.0e0) * {UNIT}) AS bigint) AS x{i}" for i, x in enumerate(_VECTOR)]
+VECTOR = [f"cast(round(least({x}, 64.0e0) * {UNIT}) AS bigint) AS x{i}" for i, x in enumerate(_VECTOR)]
 
 
 def mcd_sql(stats: str, percentile: str, salts: str, prefix: str = "") -> list[tuple[str, str]]:
     """Named queries, each over those before it, of which the last (far) gives the columns of stats with d2: each row's squared distance from the estimates of its language and source.
 
-    stats has lang, source, x0..x3. Every group, language and the whole table get two starts: the mean and
+    stats has lang, source, x0..x3 and the statistics; rows that fail the base rules take no part in the estimates. Every group, language and the whole table get two starts: the mean and
     covariance of all rows, and medians with quartile ranges. Each concentration step takes, by a histogram of the
     distances that keeps sums of products, the nearest H of the rows (with ties) and computes their mean and
     covariance; the start that ends at the smaller determinant is used. Sums are of integers, so any order of rows
@@ -99,7 +99,7 @@ def mcd_sql(stats: str, percentile: str, salts: str, prefix: str = "") -> list[t
     half = ", ".join(f"{percentile}(x{i}, 0.5) / {UNIT}.0e0 AS m{i}, ({percentile}(x{i}, 0.75) - {percentile}(x{i}, 0.25)) / {UNIT}.0e0 / 1.349e0 AS q{i}" for i in range(P))
     diag = ", ".join(f"q{i} * q{i} + {FLOORS[i] ** 2:.6f}e0 AS c{i}{i}" if i == j else f"0.0e0 AS c{i}{j}" for i, j in _PAIRS)
     parts = [
-        "@e AS (" + " UNION ALL ".join(f"SELECT {lvl} AS lvl, {la} AS lang, {so} AS source, (x0 + x1 + x2 + x3) % {SALTS} AS salt, {xs} FROM {stats}" for lvl, la, so in ((0, "''", "''"), (1, "lang", "''"), (2, "lang", "source"))) + ")",
+        "@e AS (" + " UNION ALL ".join(f"SELECT {lvl} AS lvl, {la} AS lang, {so} AS source, (x0 + x1 + x2 + x3) % {SALTS} AS salt, {xs} FROM {stats} WHERE NOT {BASE_FAILED}" for lvl, la, so in ((0, "''", "''"), (1, "lang", "''"), (2, "lang", "source"))) + ")",
         f"@a0 AS (SELECT lvl, lang, source, 0 AS start, count(*) AS n, {sums} FROM @e GROUP BY lvl, lang, source)",
         f"@b0 AS (SELECT lvl, lang, source, 1 AS start, count(*) AS n, {half} FROM @e GROUP BY lvl, lang, source)",
         f"@a1 AS (SELECT *, {means} FROM @a0)",
@@ -127,7 +127,7 @@ def mcd_sql(stats: str, percentile: str, salts: str, prefix: str = "") -> list[t
         "@est AS (SELECT g.lang AS lang, g.source AS source, "
         + ", ".join(f"coalesce(x.{c}, y.{c}, w.{c}) AS {c}" for c in cols)
         + " FROM @g g LEFT JOIN (SELECT * FROM @best WHERE lvl = 2) x ON g.lang = x.lang AND g.source = x.source LEFT JOIN (SELECT * FROM @best WHERE lvl = 1) y ON g.lang = y.lang LEFT JOIN (SELECT * FROM @best WHERE lvl = 0) w ON g.top = w.lvl)",
-        f"@q AS (SELECT s.*, {', '.join('t.' + c for c in cols)} FROM {stats} s JOIN @est t ON s.lang = t.lang AND s.source = t.source)",
+        f"@q AS (SELECT s.*, {', '.join('t.' + c for c in cols)} FROM {stats} s JOIN (SELECT *, {salts} AS salt FROM @est) t ON s.lang = t.lang AND s.source = t.source AND (s.x0 + s.x1 + s.x2 + s.x3) % {SALTS} = t.salt)",
     ]
     parts.append(f"@far AS (SELECT *, {zs} FROM @q)")
     return [(x.partition(" AS (")[0][1:], x.partition(" AS (")[2][:-1].replace("@", prefix)) for x in parts]

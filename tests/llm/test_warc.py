@@ -100,3 +100,33 @@ def test_the_files_are_archives_themselves(spark, tmp_path):
         raw = open(r.uri.removeprefix("file://"), "rb").read()
         assert struct.unpack("<I", raw[:4])[0] == warc.SKIPPABLE
         assert len(list(warc.frames(io.BytesIO(raw).read))) == r.records
+
+
+@pytest.mark.parametrize("broken", ["header", "digest", "dictionary"])
+def test_what_cannot_be_decoded_is_a_warc_error(spark, tmp_path, broken):
+    one = warc.record(1, "http://u", b"abc" * 600, None)
+    if broken == "header":
+        one = one.replace(b"http://u", b"http://\xff")
+    if broken == "digest":
+        at = one.index(b"WARC-Payload-Digest: sha1:") + 26
+        one = one[:at] + b"!!!" + one[at + 3 :]
+        head, _, rest = one.partition(b"\r\n\r\n")
+        one = head.replace(b"WARC-Type: response", b"WARC-Type: revisit") + b"\r\n\r\n" + rest
+    raw = archive([one] * 3)
+    if broken == "dictionary":
+        raw = struct.pack("<II", warc.SKIPPABLE, 12) + struct.pack("<I", warc.FRAME) + b"\xff" * 8 + raw[8 + struct.unpack("<I", raw[4:8])[0] :]
+    path = tmp_path / "broken.warc.zst"
+    path.write_bytes(raw)
+    listed = spark.createDataFrame([(f"file://{path}",)], "uri string")
+    got = warc.read_archives(listed, strict=False).collect()
+    assert len(got) == 1 and got[0].error and got[0].page_id is None
+    with pytest.raises(Exception, match="WarcError"):
+        warc.read_archives(listed).collect()
+
+
+def test_one_payload_of_most_pages(spark, tmp_path):
+    """The same records when groups are too many to be sent."""
+    rows = [(i, "u", BIG + str(i % 5 if i % 3 else 0), None) for i in range(90)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, error string").repartition(4)
+    got = [sorted(tuple(r)[:6:2] + (r.refers_to,) for r in warc.read_archives(warc.write_archives(df, f"file://{tmp_path}/{n}", sent=n)).collect()) for n in (1, 500_000)]
+    assert got[0] == got[1] and len(got[0]) == 90
