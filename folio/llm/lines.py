@@ -25,10 +25,10 @@ SHORT, TWO, LONG, SHARE = 20, 40, 150, 50
 CUT, SHARED, GRAM = r"(?<=[^ens\\s]\\s)", 2, 24
 #: Characters of the parts that very long lines are taken apart in, as a place far in a text is slow to find.
 PART = 256
-#: Letters by whose counts most pairs are left out before they are measured.
-LETTERS = "abcdefghijklmnopqrstuvwxyz "
+#: Letters by whose counts, of at most 255, most pairs are left out when they meet; characters of the blocks that equal begins and ends of two lines are left out by.
+LETTERS, EQUAL = "abcdefghilmnoprstu ", 32
 #: Lines that are under one key and meet in one task; a key with more is dealt over several.
-MEET = 256
+MEET = 8192
 _NONE = -(1 << 63)
 
 
@@ -112,13 +112,13 @@ def _in(rows: DataFrame, keys: DataFrame, column: str, name: str) -> DataFrame:
     return found.filter(bit(F.col("words"), place % PAGE)).drop("page", "words")
 
 
-def near_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def near_lines(docs: DataFrame, sent: int = SENT) -> tuple[DataFrame, DataFrame]:
     """(places, links) of docs(key, th, text): key, th, no and hash h of every line that isn't blank; verified pairs (a, b) of hashes.
 
     Probes pass a Bloom filter of the index before they are shuffled. Keys that only one line has are dropped by a
     pre-aggregated minimum and maximum, and the rest is filtered by another. A key with many lines is dealt over several
-    tasks: its probing side by a hash, its indexed side copied. Long lines meet only where their lengths are near. Pairs
-    with enough keys in common are verified by banded edit distance.
+    tasks: its probing side by a hash, its indexed side copied. Lines meet only where their lengths and the counts of their
+    letters are near. Pairs with enough keys in common are verified by banded edit distance.
     """
     lines = docs.select("key", "th", F.posexplode(F.split("text", "\n")).alias("no", "line")).filter(F.col("line").rlike(r"\S"))
     lines = lines.withColumn("h", F.xxhash64("line"))
@@ -146,26 +146,47 @@ def near_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     hot = table(common.filter(F.col("lines") > least).selectExpr("seg", f"cast(ceil(lines / {MEET}) AS int) AS parts"), "hot")
     keys = keys.join(F.broadcast(hot), "seg", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     held = [long, index, probing, common]
-    keys = table(keys, "keys")
+    keys = table(keys, "common-keys")
     free(*held)
+    wanted = table(keys.groupBy("h").agg(F.count(F.lit(1)).alias("keys")), "wanted")
+    texts = _in(lines.filter(f"n >= {SHORT}").select("h", "line"), wanted, "h", "wanted").groupBy("h").agg(F.first("line").alias("line"))
+    blocks = lambda x: f"split({x}, '(?s)(?<=\\\\G.{{{EQUAL}}})')"
+    texts = table(texts.selectExpr("h", "line", f"{blocks('line')} AS front", f"{blocks('reverse(line)')} AS back", *_counted("line")), "texts")
+    counts = table(texts.join(F.broadcast(wanted) if wanted.count() <= sent else wanted, "h").select("h", "keys", *_WORDS), "counts")
+    keys = table(dealt_join(keys, counts, ["h"], "keys", sent=sent), "keys")
     pairs = table(_meet(keys), "candidates")
     free(keys)
-    texts = lines.filter(f"n >= {SHORT}").select("h", "line")
-    wanted = table(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "wanted")
-    texts = _in(texts, wanted, "h", "wanted").groupBy("h").agg(F.first("line").alias("line"))
-    # an edit changes the counts of two letters by one at most: most pairs are left out by those
-    often = "transform(split('" + LETTERS + "', ''), c -> length(line) - length(replace(line, c, '')))"
-    texts = table(texts.selectExpr("h", "line", f"{often} AS often"), "texts")
     both = pairs.join(texts.alias("x"), F.col("a") == F.col("x.h")).join(texts.alias("y"), F.col("b") == F.col("y.h"))
-    most = allowed("least(length(x.line), length(y.line))")
-    apart = "aggregate(zip_with(x.often, y.often, (i, j) -> abs(i - j)), 0, (s, d) -> s + d)"
-    far = f"CASE WHEN {apart} <= 2 * {most} THEN levenshtein(x.line, y.line, {most}) ELSE -1 END"
+    # equal blocks at the begin and behind the rest at the end change no distance
+    rest = lambda line: f"substring({line}, {EQUAL} * same + 1, length({line}) - {EQUAL} * (same + same_back))"
+    equal = lambda c: f"array_position(zip_with(x.{c}, y.{c}, (i, j) -> coalesce(i = j, false)), false) - 1"
+    both = both.selectExpr("a", "b", "x.line AS line_a", "y.line AS line_b", f"{equal('front')} AS same", f"{equal('back')} AS back")
+    both = both.withColumn("most", F.expr(allowed("least(length(line_a), length(line_b))")))
+    both = both.withColumn("same_back", F.expr(f"greatest(0, least(back, (least(length(line_a), length(line_b)) - {EQUAL} * same) div {EQUAL}))"))
+    far = f"levenshtein({rest('line_a')}, {rest('line_b')}, most)"
     return places, table(both.filter(f"{far} >= 0").select("a", "b"), "links")
 
 
+_WORDS = [f"c{i}" for i in range(-(-len(LETTERS) // 8))]
+
+
+def _counted(line: str) -> list[str]:
+    """SQL for numbers with a byte for how often each of LETTERS is in a line."""
+    out = []
+    for i, word in enumerate(_WORDS):
+        counts = [f"shiftleft(cast(least(255, length({line}) - length(replace({line}, '{c}', ''))) AS bigint), {8 * j})" for j, c in enumerate(LETTERS[8 * i : 8 * i + 8])]
+        out.append(f"{' | '.join(counts)} AS {word}")
+    return out
+
+
+def _apart(x: str, y: str) -> str:
+    """SQL for how much those counts of two lines differ: an edit changes two of them by one at most."""
+    return " + ".join(f"abs((shiftrightunsigned({x}.c{i // 8}, {i % 8 * 8}) & 255) - (shiftrightunsigned({y}.c{i // 8}, {i % 8 * 8}) & 255))" for i in range(len(LETTERS)))
+
+
 def _meet(keys: DataFrame) -> DataFrame:
     """Pairs (a, b) of lines that have keys(h, n, seg, own, worth, parts) worth SHARED in common, the shorter one as its index, and whose lengths are within its edits."""
-    near = lambda x, y: F.expr(f"{y}.n >= {x}.n AND {y}.n - {x}.n <= {allowed(f'{x}.n')} AND {x}.h <> {y}.h AND 2 * {x}.own + {y}.own >= 2 AND ({y}.n > {x}.n OR {y}.own = 0 OR {x}.h < {y}.h)")
+    near = lambda x, y: F.expr(f"{y}.n >= {x}.n AND {y}.n - {x}.n <= {allowed(f'{x}.n')} AND {x}.h <> {y}.h AND 2 * {x}.own + {y}.own >= 2 AND ({y}.n > {x}.n OR {y}.own = 0 OR {x}.h < {y}.h) AND {_apart(x, y)} <= 2 * {allowed(f'{x}.n')}")
     out = [F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b"), "x.worth"]
     # both sides alike, so that they are shuffled once
     few = keys.filter("parts = 1")
@@ -197,7 +218,7 @@ def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carr
     body = F.coalesce(F.col(text), F.lit(""))
     ident = [F.coalesce(F.col(doc_id).cast("long"), F.lit(_NONE)).alias("key"), F.xxhash64(body).alias("th")]
     narrow = docs.select(*ident, body.alias("text"))
-    places, links = near_lines(narrow)
+    places, links = near_lines(narrow, sent)
     firsts = table(places.groupBy("h").agg(F.min(F.struct("key", "th", "no")).alias("first"), F.count(F.lit(1)).alias("copies")), "firsts")
     ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     before = ends.join(firsts.select(F.col("h").alias("b"), F.col("first").alias("other")), "b").groupBy("a").agg(F.min("other").alias("other"), F.count(F.lit(1)).alias("links"))
