@@ -26,7 +26,7 @@ CUT, SHARED, GRAM = r"(?<=[^ens\\s]\\s)", 2, 24
 #: Characters of the parts that very long lines are taken apart in, as a place far in a text is slow to find.
 PART = 256
 #: Letters by whose counts, of at most 255, most pairs are left out when they meet; characters of the blocks that equal begins and ends of two lines are left out by.
-LETTERS, EQUAL = "abcdefghilmnoprstu ", 32
+LETTERS, EQUAL = "eantirso", 32
 #: Lines that are under one key and meet in one task; a key with more is dealt over several.
 MEET = 8192
 _NONE = -(1 << 63)
@@ -82,26 +82,26 @@ def length_class(n: str) -> str:
 
 
 def _probed(short: DataFrame) -> DataFrame:
-    """(h, n, seg): the keys under which lines under LONG characters, no longer than each line and within its edits, can be indexed.
+    """(h, n, c, seg): the keys under which lines under LONG characters, no longer than each line and within its edits, can be indexed.
 
     One small expression a row, rather than a long one a line: the compiler leaves very long ones alone.
     """
     at = F.array(*[F.struct(F.lit(e).alias("e"), F.lit(d).alias("less"), F.lit(i).alias("i"), F.lit(x).alias("x")) for e, d, i, x in probes()])
-    rows = short.select("line", "h", "n", F.explode(at).alias("p")).selectExpr("line", "h", "n", "n - p.less AS m", "p.e AS e", "p.i AS i", "p.x AS x")
+    rows = short.select("line", "h", "n", "c", F.explode(at).alias("p")).selectExpr("line", "h", "n", "c", "n - p.less AS m", "p.e AS e", "p.i AS i", "p.x AS x")
     rows = rows.filter(f"m >= {SHORT} AND m < {LONG} AND e = {allowed('m')}")
-    rows = rows.selectExpr("line", "h", "n", "m", "i", "x", "e + 1 - m % (e + 1) AS even", "m div (e + 1) AS size")
-    return rows.selectExpr("h", "n", "xxhash64(m, i, substring(line, cast((i - 1) * size + greatest(0, i - 1 - even) + 1 + x AS int), cast(size + CASE WHEN i > even THEN 1 ELSE 0 END AS int))) AS seg")
+    rows = rows.selectExpr("line", "h", "n", "c", "m", "i", "x", "e + 1 - m % (e + 1) AS even", "m div (e + 1) AS size")
+    return rows.selectExpr("h", "n", "c", "xxhash64(m, i, substring(line, cast((i - 1) * size + greatest(0, i - 1 - even) + 1 + x AS int), cast(size + CASE WHEN i > even THEN 1 ELSE 0 END AS int))) AS seg")
 
 
 def _cut(long: DataFrame) -> DataFrame:
-    """h, n, k, many, segs: of each long line the distinct segments as numbers, the longest first; how many; those that it is looked up under.
+    """h, n, c, k, many, segs, line: of each long line the distinct segments as numbers, the longest first; how many; those that it is looked up under.
 
     A segment's number has its length (at most 127) in the seven bits before 56 of its hash, so that sorting puts the
     longest, which are the rarest, first in every line alike.
     """
     code = f"transform(split(line, '{CUT}'), c -> shiftleft(cast(127 - least(127, length(c)) AS bigint), 56) | (xxhash64(c) & {(1 << 56) - 1}))"
-    rows = long.selectExpr("h", "n", f"{allowed('n')} AS k", f"sort_array(array_distinct({code})) AS all_", "line")
-    return rows.selectExpr("h", "n", "k", "size(all_) AS many", f"slice(all_, 1, 2 * k + {SHARED}) AS segs", "line")
+    rows = long.selectExpr("h", "n", "c", f"{allowed('n')} AS k", f"sort_array(array_distinct({code})) AS all_", "line")
+    return rows.selectExpr("h", "n", "c", "k", "size(all_) AS many", f"slice(all_, 1, 2 * k + {SHARED}) AS segs", "line")
 
 
 def _in(rows: DataFrame, keys: DataFrame, column: str, name: str) -> DataFrame:
@@ -123,21 +123,21 @@ def near_lines(docs: DataFrame, sent: int = SENT) -> tuple[DataFrame, DataFrame]
     lines = docs.select("key", "th", F.posexplode(F.split("text", "\n")).alias("no", "line")).filter(F.col("line").rlike(r"\S"))
     lines = lines.withColumn("h", F.xxhash64("line"))
     places = table(lines.select("key", "th", "no", "h"), "places")
-    lines = lines.select("h", "line", F.length("line").alias("n"))
+    lines = lines.select("h", "line", F.length("line").alias("n"), F.expr(_counted("line")).alias("c"))
     short = lines.filter(f"n >= {SHORT} AND n < {LONG + 2}")
     cut = _cut(lines.filter(f"n >= {LONG}"))
-    long = table(cut.selectExpr("h", "n", "segs", f"many < 2 * k + {SHARED} AS few").distinct(), "cut")
+    long = table(cut.select("h", "n", "c", "segs").distinct(), "cut")
     # long lines with few segments are indexed under pieces of text; and what may be longer than one of those probes for them
-    few = cut.filter(f"many < 4 * k + {SHARED}").selectExpr("h", "n", "k", "line", f"many < 2 * k + {SHARED} AS own")
-    pieces = few.filter("own").select("h", "n", F.explode(F.expr(f"transform(sequence(0, k), i -> {gram_key('line', f'i * {GRAM} + 1')})")).alias("seg"))
-    index = short.filter(f"n < {LONG}").select("h", "n", F.explode(F.expr(segment_keys("line", "n"))).alias("seg")).unionByName(pieces)
+    few = cut.filter(f"many < 4 * k + {SHARED}").selectExpr("h", "n", "c", "k", "line", f"many < 2 * k + {SHARED} AS own")
+    pieces = few.filter("own").select("h", "n", "c", F.explode(F.expr(f"transform(sequence(0, k), i -> {gram_key('line', f'i * {GRAM} + 1')})")).alias("seg"))
+    index = short.filter(f"n < {LONG}").select("h", "n", "c", F.explode(F.expr(segment_keys("line", "n"))).alias("seg")).unionByName(pieces)
     index = table(index.distinct(), "index")
-    parts = few.select("line", "h", "n", F.explode(F.expr(f"sequence(0, (n - {GRAM}) div {PART})")).alias("part")).selectExpr("h", "n", f"substring(line, part * {PART} + 1, {PART + GRAM - 1}) AS line")
-    grams = parts.select("line", "h", "n", F.explode(F.expr(f"sequence(1, length(line) - {GRAM - 1})")).alias("at")).selectExpr("h", "n", f"{gram_key('line', 'at')} AS seg")
+    parts = few.select("line", "h", "n", "c", F.explode(F.expr(f"sequence(0, (n - {GRAM}) div {PART})")).alias("part")).selectExpr("h", "n", "c", f"substring(line, part * {PART} + 1, {PART + GRAM - 1}) AS line")
+    grams = parts.select("line", "h", "n", "c", F.explode(F.expr(f"sequence(1, length(line) - {GRAM - 1})")).alias("at")).selectExpr("h", "n", "c", f"{gram_key('line', 'at')} AS seg")
     probing = table(_in(_probed(short).unionByName(grams), index.select("seg"), "seg", "bloom").distinct(), "probes")
     # own: lines are indexed under it; kind: how many keys of the kind SHARED are worth
-    keys = index.selectExpr("h", "n", "seg", "1 AS own", f"{SHARED} AS worth").unionByName(probing.selectExpr("h", "n", "seg", "0 AS own", f"{SHARED} AS worth"))
-    keys = keys.unionByName(long.select("h", "n", F.explode("segs").alias("seg"), F.lit(1).alias("own"), F.lit(1).alias("worth")))
+    keys = index.selectExpr("h", "n", "c", "seg", "1 AS own", f"{SHARED} AS worth").unionByName(probing.selectExpr("h", "n", "c", "seg", "0 AS own", f"{SHARED} AS worth"))
+    keys = keys.unionByName(long.select("h", "n", "c", F.explode("segs").alias("seg"), F.lit(1).alias("own"), F.lit(1).alias("worth")))
     ends = [F.min("h").alias("lo"), F.max("h").alias("hi"), F.max("own").alias("any"), F.count(F.lit(1)).alias("lines")]
     common = table(keys.groupBy("seg").agg(*ends).filter("lo <> hi AND any = 1").select("seg", "lines"), "common")
     keys = _in(keys, common, "seg", "common")
@@ -146,16 +146,14 @@ def near_lines(docs: DataFrame, sent: int = SENT) -> tuple[DataFrame, DataFrame]
     hot = table(common.filter(F.col("lines") > least).selectExpr("seg", f"cast(ceil(lines / {MEET}) AS int) AS parts"), "hot")
     keys = keys.join(F.broadcast(hot), "seg", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     held = [long, index, probing, common]
-    keys = table(keys, "common-keys")
+    keys = table(keys, "keys")
     free(*held)
-    wanted = table(keys.groupBy("h").agg(F.count(F.lit(1)).alias("keys")), "wanted")
-    texts = _in(lines.filter(f"n >= {SHORT}").select("h", "line"), wanted, "h", "wanted").groupBy("h").agg(F.first("line").alias("line"))
-    blocks = lambda x: f"split({x}, '(?s)(?<=\\\\G.{{{EQUAL}}})')"
-    texts = table(texts.selectExpr("h", "line", f"{blocks('line')} AS front", f"{blocks('reverse(line)')} AS back", *_counted("line")), "texts")
-    counts = table(texts.join(F.broadcast(wanted) if wanted.count() <= sent else wanted, "h").select("h", "keys", *_WORDS), "counts")
-    keys = table(dealt_join(keys, counts, ["h"], "keys", sent=sent), "keys")
     pairs = table(_meet(keys), "candidates")
     free(keys)
+    wanted = table(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "wanted")
+    texts = _in(lines.filter(f"n >= {SHORT}").select("h", "line"), wanted, "h", "wanted").groupBy("h").agg(F.first("line").alias("line"))
+    blocks = lambda x: f"split({x}, '(?s)(?<=\\\\G.{{{EQUAL}}})')"
+    texts = table(texts.selectExpr("h", "line", f"{blocks('line')} AS front", f"{blocks('reverse(line)')} AS back"), "texts")
     both = pairs.join(texts.alias("x"), F.col("a") == F.col("x.h")).join(texts.alias("y"), F.col("b") == F.col("y.h"))
     # equal blocks at the begin and behind the rest at the end change no distance
     rest = lambda line: f"substring({line}, {EQUAL} * same + 1, length({line}) - {EQUAL} * (same + same_back))"
@@ -167,25 +165,18 @@ def near_lines(docs: DataFrame, sent: int = SENT) -> tuple[DataFrame, DataFrame]
     return places, table(both.filter(f"{far} >= 0").select("a", "b"), "links")
 
 
-_WORDS = [f"c{i}" for i in range(-(-len(LETTERS) // 8))]
-
-
-def _counted(line: str) -> list[str]:
-    """SQL for numbers with a byte for how often each of LETTERS is in a line."""
-    out = []
-    for i, word in enumerate(_WORDS):
-        counts = [f"shiftleft(cast(least(255, length({line}) - length(replace({line}, '{c}', ''))) AS bigint), {8 * j})" for j, c in enumerate(LETTERS[8 * i : 8 * i + 8])]
-        out.append(f"{' | '.join(counts)} AS {word}")
-    return out
+def _counted(line: str) -> str:
+    """SQL for a number with a byte for how often each of LETTERS is in a line."""
+    return " | ".join(f"shiftleft(cast(least(255, length({line}) - length(replace({line}, '{c}', ''))) AS bigint), {8 * i})" for i, c in enumerate(LETTERS))
 
 
 def _apart(x: str, y: str) -> str:
     """SQL for how much those counts of two lines differ: an edit changes two of them by one at most."""
-    return " + ".join(f"abs((shiftrightunsigned({x}.c{i // 8}, {i % 8 * 8}) & 255) - (shiftrightunsigned({y}.c{i // 8}, {i % 8 * 8}) & 255))" for i in range(len(LETTERS)))
+    return " + ".join(f"abs((shiftrightunsigned({x}.c, {8 * i}) & 255) - (shiftrightunsigned({y}.c, {8 * i}) & 255))" for i in range(len(LETTERS)))
 
 
 def _meet(keys: DataFrame) -> DataFrame:
-    """Pairs (a, b) of lines that have keys(h, n, seg, own, worth, parts) worth SHARED in common, the shorter one as its index, and whose lengths are within its edits."""
+    """Pairs (a, b) of lines that have keys(h, n, c, seg, own, worth, parts) worth SHARED in common, the shorter one as its index, and whose lengths are within its edits."""
     near = lambda x, y: F.expr(f"{y}.n >= {x}.n AND {y}.n - {x}.n <= {allowed(f'{x}.n')} AND {x}.h <> {y}.h AND 2 * {x}.own + {y}.own >= 2 AND ({y}.n > {x}.n OR {y}.own = 0 OR {x}.h < {y}.h) AND {_apart(x, y)} <= 2 * {allowed(f'{x}.n')}")
     out = [F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b"), "x.worth"]
     # both sides alike, so that they are shuffled once
