@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -62,22 +62,32 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     return old.join(new, key, "left_anti").unionByName(new)
 
 
+def edition_order() -> list[Column]:
+    """What manifests are sorted by: numeric editions by number, then the others by text."""
+    edition = F.col("edition").cast("string")
+    return [F.when(edition.rlike(r"^\d+$"), 0).otherwise(1), edition.try_cast("long"), edition]
+
+
 def manifest_order(rows: DataFrame) -> DataFrame:
-    """rows with pos: numeric editions by number, then the others by text."""
-    number = F.col("edition").cast("string").rlike(r"^\d+$")
-    w = Window.orderBy(F.when(number, 0).otherwise(1), F.col("edition").cast("string").try_cast("long"), F.col("edition").cast("string"))
-    return rows.withColumn("pos", F.row_number().over(w))
+    """rows with pos, their place in that order: the sorted ranges number their own rows, and start behind what the ranges before them hold."""
+    ranged = rows.orderBy(*edition_order()).withColumn("part_", F.spark_partition_id()).withColumn("id_", F.monotonically_increasing_id())
+    sizes = ranged.groupBy("part_").agg(F.count(F.lit(1)).alias("n_"))
+    # a row for each range
+    before = sizes.withColumn("before_", F.coalesce(F.sum("n_").over(Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n_")
+    own = F.col("id_") - F.shiftleft(F.col("part_").cast("long"), 33)
+    return ranged.join(F.broadcast(before), "part_").withColumn("pos", own + F.col("before_") + 1).drop("part_", "id_", "before_")
 
 
 def layout_lookup(books: DataFrame, rules: DataFrame) -> DataFrame:
     """books(edition, stem) with the options of all rules(ord, key, opt, val) that match, later ones over earlier ones.
 
-    Rules for an edition join by equality; rules for a part of the name are few and are tried on every book.
+    Rules for an edition join by equality; rules for a part of the name are tried on every book, and sent to all while
+    they are few.
     """
     by_id = rules.filter(F.col("key").startswith("edition:")).withColumn("edition", F.substring_index("key", ":", -1).cast("long")).drop("key")
     by_name = rules.filter(~F.col("key").startswith("edition:"))
     hit = books.join(by_id, "edition").select("edition", "ord", "opt", "val")
-    part = books.join(F.broadcast(by_name), F.instr(F.lower(F.col("stem")), F.lower(F.col("key"))) > 0).select("edition", "ord", "opt", "val")
+    part = books.join(F.broadcast(by_name) if by_name.count() <= 10_000 else by_name, F.instr(F.lower(F.col("stem")), F.lower(F.col("key"))) > 0).select("edition", "ord", "opt", "val")
     return hit.unionByName(part).groupBy("edition", "opt").agg(F.max_by("val", "ord").alias("val"))
 
 

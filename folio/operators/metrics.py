@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import functools
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import STAGES
+from ..sources.tables import STAGES, shared_folder
 
 
 def stage_windows(spark: SparkSession, days: DataFrame) -> DataFrame:
@@ -73,23 +76,43 @@ def duty_cycle(samples: DataFrame, below: float) -> DataFrame:
 
 
 def dips(tagged: DataFrame, below: float, least_s: int, cold_s: int, cpu_stages: tuple[str, ...] = ("assembly", "rasterize")) -> DataFrame:
-    """Runs below the bound of at least least_s seconds, by kind: expected in stages that use no GPU; a cold start soon after the stage began; else a stall."""
+    """Runs below the bound of at least least_s seconds with their mean, by kind: expected in stages that use no GPU; a cold start soon after a stage of recognition began; else a stall, which alone is a warning."""
     w = Window.partitionBy("series").orderBy("ts", "event_id")
     t = tagged.withColumn("new", F.coalesce((F.lag("stage").over(w) != F.col("stage")), F.lit(True)))
     t = t.withColumn("block_start", F.max(F.when(F.col("new"), F.col("ts"))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    d = islands(t, below).filter("low").groupBy("series", "run").agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"), F.count(F.lit(1)).alias("n"), F.min_by(F.struct("stage", "block_start"), F.struct("ts", "event_id")).alias("first"))
+    d = islands(t, below).filter("low").groupBy("series", "run").agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"), F.count(F.lit(1)).alias("n"), F.min_by(F.struct("stage", "block_start"), F.struct("ts", "event_id")).alias("first"), F.round(F.avg("util"), 1).alias("mean"))
     us = lambda c: F.unix_micros(c.cast("timestamp"))
     d = d.withColumn("seconds", F.floor((us(F.col("t1")) - us(F.col("t0"))) / 1000000)).filter(F.col("seconds") >= least_s)
     since = (us(F.col("t0")) - us(F.col("first.block_start"))) / 1000000
-    kind = F.when(F.col("first.stage").isin(*cpu_stages), "expected_cpu_stage").when(since <= cold_s, "cold_start").otherwise("stall")
-    return d.select("series", "t0", "t1", "n", "seconds", F.col("first.stage").alias("stage"), kind.alias("kind"))
+    kind = F.when(F.col("first.stage").isin(*cpu_stages), "expected_cpu_stage").when((F.col("first.stage") == "ocr") & (since <= cold_s), "cold_start").otherwise("stall")
+    return d.select("series", "t0", "t1", "n", "seconds", F.col("first.stage").alias("stage"), kind.alias("kind"), F.when(kind == "stall", "warn").otherwise("info").alias("severity"), "mean")
 
 
 def verdict(m: DataFrame) -> DataFrame:
-    """m(swap_delta, avail, gpu, cpu, cores, sys) with verdict, in order: memory, mixed, gpu, cpu, underutilised, unknown."""
-    gpu, cpu = F.col("gpu") >= 70, (F.col("cpu") >= 85 * F.col("cores")) | (F.col("sys") >= 85)
+    """m(swap_delta, avail, gpu, cpu, cores, sys) with verdict, in order: memory, mixed, gpu, cpu, underutilised, unknown; and notes.
+
+    With a column provider the bound of the GPU is the provider's; one that isn't known measures nothing to go by. A column
+    idle, the idle share of the stage, is noted from a fifth on.
+    """
+    busy = F.lit(70.0)
+    if "provider" in m.columns:
+        busy = F.create_map(*[F.lit(x) for kv in GPU_BOUND.items() for x in kv])[F.col("provider")]
+    gpu, cpu = F.coalesce(F.col("gpu") >= busy, F.lit(False)), (F.col("cpu") >= 85 * F.col("cores")) | (F.col("sys") >= 85)
     v = F.when((F.col("swap_delta") > 0.05) | (F.col("avail") < 2), "memory").when(gpu & cpu, "mixed").when(gpu, "gpu").when(cpu, "cpu").when(F.col("gpu").isNotNull() | F.col("cpu").isNotNull(), "underutilised").otherwise("unknown")
-    return m.withColumn("verdict", v)
+    idle = F.col("idle") if "idle" in m.columns else F.lit(None).cast("double")
+    low = F.coalesce(busy == GPU_BOUND["ioreg"], F.lit(False)) & gpu
+    notes = F.array(
+        F.when(idle >= 0.2, "stalls again and again"),
+        F.when(F.col("swap_delta") > 0.05, "swaps"),
+        F.when(F.col("avail") < 2, "little memory left"),
+        F.when(F.col("gpu").isNotNull(), "GPU of the whole machine"),
+        F.when(low, "GPU use is understated"),
+    )
+    return m.withColumns({"verdict": v, "notes": F.array_join(F.filter(notes, lambda x: x.isNotNull()), ",")})
+
+
+#: From which use on the GPU is the bound, by who measures it.
+GPU_BOUND = {"nvml": 70.0, "powermetrics": 70.0, "ioreg": 50.0}
 
 
 def deltas(samples: DataFrame, by: list[str]) -> DataFrame:
@@ -105,19 +128,67 @@ def aggregate_runs(runs: DataFrame) -> DataFrame:
 
 
 def recommend(runs: DataFrame) -> DataFrame:
-    """What to change, by ordered rules."""
-    a = F.when(F.col("swapped") | (F.col("avail") < 2), "fewer workers").when(F.col("idle") > 0.3, "more workers").when(F.col("busy") >= 80, "keep").otherwise("measure longer")
+    """What to change, by ordered rules: memory first, then stalls, then how busy the GPU is at work; no measurement is balance."""
+    a = F.when(F.col("swapped") | (F.col("avail") < 2), "reduce instances").when(F.round("idle", 3) >= 0.2, "fix stalls first")
+    a = a.when(F.round("busy", 1) >= 88, "saturated").when(F.round("busy", 1) <= 70, "headroom: add an instance").otherwise("balanced")
     return runs.withColumn("action", a)
 
 
+def fastest_first(runs: DataFrame) -> DataFrame:
+    """aggregate_runs() in order of their seconds a page; runs without any, or with none measured, stand last."""
+    return runs.orderBy(F.nullif(F.col("s_page"), F.lit(0)).asc_nulls_last(), "run")
+
+
+def in_window(samples: DataFrame, t0: str, t1: str) -> DataFrame:
+    """The samples from t0 to t1, both included."""
+    return samples.filter((F.col("ts") >= F.lit(t0).cast("timestamp")) & (F.col("ts") <= F.lit(t1).cast("timestamp")))
+
+
+def latest(samples: DataFrame) -> DataFrame:
+    """Of each series the last sample; none where there is none."""
+    others = [c for c in samples.columns if c != "series"]
+    return samples.groupBy("series").agg(F.max_by(F.struct(*others), F.struct("ts", "event_id")).alias("s")).select("series", "s.*")
+
+
+#: Detectors by name: functions of tagged samples that return findings(series, t0, t1, kind, severity, mean). More may be registered.
+DETECTORS: dict[str, Callable[[DataFrame], DataFrame]] = {"dip": lambda tagged: dips(tagged, 10, 10, 120)}
+
+
+def detect(tagged: DataFrame, detectors: dict[str, Callable[[DataFrame], DataFrame]] | None = None) -> DataFrame:
+    """The findings of all detectors, each with its detector's name."""
+    found = [f(tagged).select("series", "t0", "t1", "kind", "severity", "mean", F.lit(name).alias("detector")) for name, f in (DETECTORS if detectors is None else detectors).items()]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def cpu_seconds(text: Column) -> Column:
+    """Seconds of [[dd-]hh:]mm:ss[.cc]; 0 for what isn't a time."""
+    days = F.when(text.contains("-"), F.split_part(text, F.lit("-"), F.lit(1)).try_cast("double")).otherwise(0.0)
+    clock = F.transform(F.split(F.when(text.contains("-"), F.regexp_replace(text, "^[^-]*-", "")).otherwise(text), ":"), lambda x: x.try_cast("double"))
+    return F.when(F.exists(clock, lambda x: x.isNull()), 0.0).otherwise(F.aggregate(clock, F.lit(0.0), lambda a, x: a * 60 + x) + F.coalesce(days, F.lit(0.0)) * 86400)
+
+
 def process_tree(procs: DataFrame, spark: SparkSession) -> DataFrame:
-    """procs(pid, ppid) with the topmost ancestor and depth of each, by a recursive query."""
-    procs.createOrReplaceTempView("procs_")
-    return spark.sql("""
-        WITH RECURSIVE t(pid, root, depth) AS (
-            SELECT pid, pid, 0 FROM procs_ WHERE ppid = 0 OR ppid NOT IN (SELECT pid FROM procs_)
-            UNION ALL SELECT p.pid, t.root, t.depth + 1 FROM t JOIN procs_ p ON p.ppid = t.pid AND p.pid <> t.pid)
-        SELECT pid, root, depth FROM t""")
+    """procs(pid, ppid) with the topmost ancestor and depth of each.
+
+    A process whose parent is 0, null, itself or not among them is a root. Each round doubles how far everyone looks up, so
+    a tree of depth n takes log2(n) of them; each is written, so that no lineage builds up. A circle stops the job.
+    """
+    own = procs.select("pid", "ppid")
+    known = own.select(F.col("pid").alias("ppid"), F.lit(True).alias("known")).distinct()
+    t = own.join(known, "ppid", "left").withColumn("up", F.when(F.col("known") & (F.col("ppid") != F.col("pid")) & (F.col("ppid") != 0), F.col("ppid")))
+    t = t.select("pid", F.coalesce("up", "pid").alias("root"), F.col("up").isNotNull().cast("int").alias("depth"))
+    deepest = -1
+    for _ in range(40):
+        path = shared_folder(spark, "procs")
+        t.write.parquet(path)
+        t = spark.read.schema(t.schema).parquet(path)
+        now = t.agg(F.max("depth")).first()[0] or 0
+        if now == deepest:
+            return t
+        deepest = now
+        above = t.select(F.col("pid").alias("at"), F.col("root").alias("higher"), F.col("depth").alias("more"))
+        t = t.join(above, F.col("root") == F.col("at")).select("pid", F.col("higher").alias("root"), (F.col("depth") + F.col("more")).alias("depth"))
+    raise ValueError("processes that are their own ancestors")
 
 
 def matches(procs: DataFrame, needles: list[str]) -> DataFrame:

@@ -50,8 +50,20 @@ def swap_plan(files: DataFrame, start: int, end: int | None = None) -> DataFrame
 
 
 def letters(n: Column) -> Column:
-    """a to z, aa to zz for 0 to 701."""
-    return F.when(n < 26, F.chr(97 + n)).otherwise(F.concat(F.chr(96 + F.floor(n / 26)), F.chr(97 + n % 26)))
+    """a to z, aa to zz, aaa and so on for 0, 1, 2, ...: numbers of base 26 that have no zero, up to 5 letters."""
+    out, below = None, 0
+    for size in range(1, 6):
+        rest = n - below
+        word = F.concat(*[F.chr((97 + F.pmod(F.floor(rest / 26**i), F.lit(26))).cast("int")) for i in reversed(range(size))])
+        below += 26**size
+        out = F.when(n < below, word) if out is None else out.when(n < below, word)
+    return out
+
+
+def letters_number(word: Column) -> Column:
+    """The number that letters() writes so."""
+    digits = F.transform(F.split(word, ""), lambda c: (F.ascii(c) - 96).cast("long"))
+    return F.aggregate(digits, F.lit(0).cast("long"), lambda a, x: a * 26 + x) - 1
 
 
 def dedupe_added(files: DataFrame) -> DataFrame:
@@ -157,7 +169,8 @@ def drop_spec(spec: Column) -> Column:
 def add_pages(files: DataFrame, added: DataFrame) -> DataFrame:
     """added(book, after, ord, sha) with new_name: <name of the anchor><next free letter>; contents that the book has, or that come twice, are left out.
 
-    An anchor that isn't there stops the job.
+    Letters that a page of the book has behind the anchor's name already aren't given again. An anchor that isn't there
+    stops the job.
     """
     own = files.select("book", "sha").distinct()
     once = added.withColumn("rep", F.row_number().over(Window.partitionBy("book", "sha").orderBy("after", "ord"))).filter("rep = 1").drop("rep")
@@ -165,6 +178,12 @@ def add_pages(files: DataFrame, added: DataFrame) -> DataFrame:
     at = files.select("book", F.col("file_idx").alias("after"), F.col("name").alias("anchor"))
     new = new.join(at, ["book", "after"], "left").withColumn("n", F.row_number().over(Window.partitionBy("book", "after").orderBy("ord")) - 1)
     stem, ext = F.regexp_replace("anchor", r"\.[^.]*$", ""), F.regexp_extract("anchor", r"(\.[^.]*)$", 1)
+    # letters in use, by the name before them; the n-th free number lies behind as many used ones as are not beyond it
+    used = files.select("book", F.regexp_replace("name", r"[a-z]+(\.[^.]*)?$", "").alias("stem_"), F.regexp_extract("name", r"\d([a-z]+)(\.[^.]*)?$", 1).alias("word")).filter("word <> ''")
+    used = used.groupBy("book", "stem_").agg(F.sort_array(F.collect_set(letters_number(F.col("word")))).alias("used"))
+    new = new.withColumn("stem_", stem).join(used, ["book", "stem_"], "left").drop("stem_")
+    free = F.aggregate(F.coalesce("used", F.array().cast("array<bigint>")), F.col("n").cast("long"), lambda a, x: F.when(x <= a, a + 1).otherwise(a))
+    new = new.withColumn("n", free).drop("used")
     missing = F.raise_error(F.concat(F.lit("no page "), F.col("after"), F.lit(" in book "), F.col("book")))
     return new.withColumn("new_name", F.when(F.col("anchor").isNotNull(), F.concat(stem, letters(F.col("n")), ext)).otherwise(missing)).drop("anchor", "n")
 
@@ -180,7 +199,10 @@ def resolve_start(files: DataFrame, starts: DataFrame) -> DataFrame:
 def better_side(strips: DataFrame, samples: int = 16) -> DataFrame:
     """strips(book, file_idx, side, val): per book the side whose numbers are read on more of evenly spaced sample pages; top if equal."""
     n = F.max("file_idx").over(Window.partitionBy("book"))
-    s = strips.withColumn("every", F.greatest(F.ceil(n / samples), F.lit(1))).filter((F.col("file_idx") - 1) % F.col("every") == 0)
+    k = F.least(F.lit(samples), F.col("n_"))
+    # place i of k, from 0: i (n - 1) / (k - 1), halves to the even one
+    places = F.transform(F.sequence(F.lit(0), (k - 1).cast("int")), lambda i: F.bround(i * (F.col("n_") - 1) / F.greatest(k - 1, F.lit(1))).cast("long"))
+    s = strips.withColumn("n_", n).filter(F.array_contains(places, F.col("file_idx") - 1)).drop("n_")
     read = lambda side: F.count_if((F.col("side") == side) & F.col("val").isNotNull())
     return s.groupBy("book").agg(F.when(read("bottom") > read("top"), "bottom").otherwise("top").alias("side"))
 
@@ -198,7 +220,7 @@ def unscramble(files: DataFrame) -> DataFrame:
     inferred = infer_missing(files).select("book", "file_idx", "inferred")
     odd = suspects(files).select("book", "file_idx", "suspect")
     j = files.join(order, ["book", "file_idx"]).join(inferred, ["book", "file_idx"], "left").join(odd, ["book", "file_idx"], "left")
-    return j.select("book", F.lpad(F.col("seq").cast("string"), 4, "0").alias("file"), F.col("name").alias("source"), F.coalesce(F.when(F.col("kind").isNotNull(), F.col("printed")), F.col("inferred")).alias("page"), F.col("inferred").isNotNull().alias("was_inferred"), F.coalesce("suspect", F.lit(False)).alias("suspect"))
+    return j.select("book", F.lpad(F.col("seq").cast("string"), F.greatest(F.lit(4), F.length(F.col("seq").cast("string"))), F.lit("0")).alias("file"), F.col("name").alias("source"), F.coalesce(F.when(F.col("kind").isNotNull(), F.col("printed")), F.col("inferred")).alias("page"), F.col("inferred").isNotNull().alias("was_inferred"), F.coalesce("suspect", F.lit(False)).alias("suspect"))
 
 
 def rotation(spec: Column) -> Column:
@@ -210,3 +232,23 @@ def rotation(spec: Column) -> Column:
     clockwise = F.when(F.upper(F.split_part(turn, F.lit(":"), F.lit(2))) == "CCW", -degrees).otherwise(degrees)
     bad = F.raise_error(F.concat(F.lit("bad rotation "), spec))
     return F.when(~good | (degrees > 180), bad).when(degrees > 0, F.struct(clockwise.alias("degrees"), bound(1).alias("first"), bound(2).alias("last")))
+
+
+def resolve_anchor(files: DataFrame, anchors: DataFrame, strict: bool = True) -> DataFrame:
+    """anchors(book, anchor) with prefix, width and number of the book's first page of that number, after which pages are added.
+
+    An anchor that is a path, has no number, or names no page stops the job, in the last case with the pages at most three
+    numbers away; with strict=False they get the message in column error.
+    """
+    number = page_number(F.col("anchor"))
+    path = F.col("anchor").rlike(r"[/\\]")
+    pages = files.select("book", "name", page_number(F.col("name")).alias("number")).filter("number IS NOT NULL")
+    a = anchors.withColumn("wanted", F.when(~path, number))
+    near = a.join(pages, (a["book"] == pages["book"]) & (F.abs(pages["number"] - a["wanted"]) <= 3)).groupBy(a["book"], "anchor")
+    near = near.agg(F.sort_array(F.collect_set("number")).alias("near"), F.min_by("name", F.when(F.col("number") == F.col("wanted"), F.struct(F.length("name"), F.col("name")))).alias("found"))
+    out = a.join(near, ["book", "anchor"], "left")
+    message = F.when(path, "a path").when(F.col("wanted").isNull(), "no page number").when(F.col("found").isNull(), F.concat(F.lit("no such page, near it: "), F.coalesce(F.array_join("near", ","), F.lit(""))))
+    if strict:
+        message = F.when(message.isNotNull(), F.raise_error(F.concat(F.lit("anchor "), F.col("anchor"), F.lit(": "), message)).cast("string"))
+    digits = F.regexp_extract("found", r"(\d+)\s*(\.[^.]*)?$", 1)
+    return out.select("book", "anchor", F.regexp_extract("found", r"^(.*?)(\d+)\s*(\.[^.]*)?$", 1).alias("prefix"), F.nullif(F.length(digits), F.lit(0)).alias("width"), F.when(F.col("found").isNotNull(), F.col("wanted")).alias("number"), message.alias("error"))

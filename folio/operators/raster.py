@@ -43,17 +43,39 @@ def footnote_rule(grey: np.ndarray, lower: float = 0.5, wide: float = 0.10, thic
     return None
 
 
-def gutter(grey: np.ndarray, a: float, b: float, paper: float, sides: float) -> int | None:
-    """The emptiest column between shares a and b of the width, if it is nearly free of ink and both sides aren't."""
+def gutter(grey: np.ndarray, a: float, b: float, paper: float, sides: float, beyond: bool = False) -> int | None:
+    """The emptiest column between shares a and b of the width, if it is nearly free of ink and both sides aren't: what is beside it, or beyond the shares."""
+    if not grey.size:
+        return None
     density = (grey < DARK).mean(0)
     w = len(density)
     lo, hi = int(w * a), max(int(w * b), int(w * a) + 1)
     at = lo + int(density[lo:hi].argmin())
-    if density[at] > paper or density[:at].max(initial=0) < sides or density[at + 1 :].max(initial=0) < sides:
+    left, right = (lo, hi) if beyond else (at, at + 1)
+    if density[at] > paper or density[:left].max(initial=0) < sides or density[right:].max(initial=0) < sides:
         return None
     return at
 
 
+def inner_gutter(grey: np.ndarray) -> int | None:
+    """Where a block's image is two columns: an empty column in its middle two fifths, and ink on both sides of those. Blocks narrower than 20 pixels have none."""
+    w = grey.shape[1]
+    if w < 20 or int(w * 0.7) - int(w * 0.3) < 3:
+        return None
+    return gutter(grey, 0.30, 0.70, 0.012, 0.08, beyond=True)
+
+
+def merged_columns(grey: np.ndarray, boxes: list[tuple[float, float, float, float]]) -> list[int]:
+    """Which boxes of a page, at least half as wide as it, hold several columns as one block: they need a review."""
+    out = []
+    for i, (x0, y0, x1, y1) in enumerate(boxes):
+        if x1 - x0 >= 0.5 * grey.shape[1]:
+            crop = grey[max(0, round(y0)) : max(0, round(y1)), max(0, round(x0)) : max(0, round(x1))]
+            if crop.size and inner_gutter(crop) is not None:
+                out.append(i)
+    return out
+
+
 def cuts(grey: np.ndarray, columns: int) -> list[int]:
     """The gutters near the bounds of so many equal columns."""
     found = [gutter(grey, k / columns - 0.14, k / columns + 0.14, 0.02, 0.04) for k in range(1, columns)]
@@ -68,7 +90,7 @@ def profiles(images: DataFrame) -> DataFrame:
             out = []
             for row in f.itertuples():
                 g = _grey(row)
-                out.append((row.id, footnote_rule(g), gutter(g, 0.30, 0.70, 0.012, 0.08), gutter(g, 0.35, 0.65, 0.01, 0.05) if row.w >= 1.15 * row.h else None, int(longest_runs(g < DARK).max())))
+                out.append((row.id, footnote_rule(g), inner_gutter(g), gutter(g, 0.35, 0.65, 0.01, 0.05) if row.w >= 1.15 * row.h else None, int(longest_runs(g < DARK).max())))
             yield pd.DataFrame(out, columns=["id", "rule_y", "inner_gutter", "two_up", "longest"]).astype({c: "Int64" for c in ("rule_y", "inner_gutter", "two_up")})
 
     return images.mapInPandas(run, "id long, rule_y long, inner_gutter long, two_up long, longest long")

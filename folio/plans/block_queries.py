@@ -253,12 +253,21 @@ for _name, _test, _sql in (
     ("ragged", T.is_ragged, d_ragged("text")),
     ("list_item", T.is_list_item, f"{d_enumerator('text')} AND NOT {d_ragged('text')}"),
     ("toc_block", T.is_toc, d_toc("text")),
-    ("flowed", T.is_flowed, d_flowed("text")),
     ("terminated", T.terminated, rf"(regexp_replace(text, '\s+$', '') = '' OR right(regexp_replace(text, '\s+$', ''), 1) IN ('.', '!', '?', '\"', '''', ')', ']', '”', '’', '…'))".replace('\\"', '"')),
 ):
     _predicate(_name, _test, _sql)
 
 
+#: Lines of raw as a page wraps them: 26 characters each, some with a short last one.
+WRAPPED = "concat_ws(chr(10), substr(raw, 1, 26), substr(raw, 27, 26), substr(raw, 53, 26), substr(raw, 79, 12 + 14 * (line_no % 2)))"
+
+
+@query(f"{BLK}, wr AS (SELECT {K}, {WRAPPED} AS text FROM blk) SELECT {K} FROM wr WHERE {d_flowed('text')}")
+def flowed(spark, sf_dir):
+    b = blocks(spark, sf_dir).withColumn("text", F.expr(WRAPPED))
+    return b.filter(T.is_flowed(F.col("text"))).select(*KEY)
+
+
 D_REF = d_get("text", r"^\s*(\d+(?:\.\d+)*)\s*[.)—\-\s]")
 
 
@@ -425,7 +434,7 @@ def needs_review(spark, sf_dir):
     return S.typed(blocks(spark, sf_dir)).filter("needs_review").select(*KEY)
 
 
-@query(rf"{BLK} SELECT {K}, cast(coalesce(nullif(regexp_extract(coalesce(html, ''), '<h([1-6])', 1), ''), '2') AS int) AS level FROM blk WHERE label = 'SectionHeader'")
+@query(rf"{BLK} SELECT {K}, cast(coalesce(nullif(regexp_extract(coalesce(html, ''), '(?i)<h([1-6])', 1), ''), '2') AS int) AS level FROM blk WHERE label = 'SectionHeader'")
 def heading_level(spark, sf_dir):
     return blocks(spark, sf_dir).filter("label = 'SectionHeader'").select(*KEY, T.heading_level(F.col("html"), F.col("label")).alias("level"))
 
@@ -524,7 +533,7 @@ def endnote_keys(spark, sf_dir):
     return N.endnote_keys(blocks(spark, sf_dir)).select(*KEY, "scope_key")
 
 
-BACK = f"{TYPED}, bl AS (SELECT doc_id, 'p' || page_idx || ':' || {d_marker('raw_text', True)} AS scope_key, min(id) AS block_id FROM (SELECT ty.*, blk.text AS raw_text FROM ty JOIN blk ON ty.doc_id = blk.doc_id AND ty.page_idx = blk.page_idx AND ty.block_idx = blk.block_idx) WHERE label = 'Footnote' AND {d_marker('raw_text', True)} IS NOT NULL GROUP BY ALL)"
+BACK = f"{TYPED}, bl AS (SELECT doc_id, 'p' || (page_idx + 1) || ':' || {d_marker('raw_text', True)} AS scope_key, min(id) AS block_id FROM (SELECT ty.*, blk.text AS raw_text FROM ty JOIN blk ON ty.doc_id = blk.doc_id AND ty.page_idx = blk.page_idx AND ty.block_idx = blk.block_idx) WHERE label = 'Footnote' AND {d_marker('raw_text', True)} IS NOT NULL GROUP BY ALL)"
 
 
 @query(f"{BACK} SELECT * FROM bl")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,8 @@ from ..sources.tables import shared_folder
 from ..operators.structure import FURNITURE, NOTE, VERSE, typed
 
 SCHEMA_VERSION = "1.2"
-FEATURES = ["region", "indent", "citation_cues", "footnotes"]
+#: What a document declares to have been looked for, whether or not it was found.
+FEATURES = ["indent", "centered", "verse", "quote", "ref_label", "printer_key", "copyright", "list_item", "toc", "region", "running_head", "title_page", "dedication", "colophon", "epigraph", "citation_cues"]
 
 
 def build(blk: DataFrame) -> DataFrame:
@@ -44,9 +47,51 @@ def is_content(kind: Column) -> Column:
     return ~F.coalesce(kind, F.lit("body")).isin(FURNITURE + NOTE)
 
 
+def has_feature(b: DataFrame, name: str) -> Column:
+    """Whether a row's document declares the feature; rows without a column features come from this version, which has all of FEATURES."""
+    return F.coalesce(F.array_contains("features", name), F.lit(False)) if "features" in b.columns else F.lit(name in FEATURES)
+
+
+def iter_blocks(b: DataFrame, region: str | None = None, types: Sequence[str] | None = None, exclude_types: Sequence[str] | None = None, chapter: str | None = None) -> DataFrame:
+    """Blocks for which all that is asked for holds; a block without a region is of the body. They are ordered by page and seq."""
+    out = b
+    if region is not None:
+        out = out.filter(F.coalesce("region", F.lit("body")) == region)
+    if types is not None:
+        out = out.filter(F.col("type").isin(list(types)))
+    if exclude_types is not None:
+        out = out.filter(~F.coalesce(F.col("type").isin(list(exclude_types)), F.lit(False)))
+    return out if chapter is None else out.filter(F.col("chapter") == chapter)
+
+
+def headings(b: DataFrame) -> DataFrame:
+    return iter_blocks(b, types=["heading"])
+
+
+def doc_lengths(b: DataFrame) -> DataFrame:
+    """How many blocks each document has."""
+    return b.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_blocks"))
+
+
+#: What is read of a document in JSON; other keys are left alone.
+BLOCK_DDL = "id string, type string, text string, page long, level int, chapter string, region string, marker string, continuation boolean"
+DOC_DDL = f"doc_id string, schema_version string, title string, source string, features array<string>, blocks array<struct<{', '.join(x.replace(' ', ':', 1) for x in BLOCK_DDL.split(', '))}>>"
+
+
+def open_docs(texts: DataFrame, column: str = "json") -> DataFrame:
+    """The blocks of documents in JSON, a row each: doc_id, schema_version ('0' where there is none), features, seq and the block's fields.
+
+    Texts that aren't JSON give no rows; a block without a region is of the body.
+    """
+    d = texts.select(F.from_json(column, DOC_DDL).alias("d")).filter("d.blocks IS NOT NULL").select("d.*")
+    d = d.select("doc_id", F.coalesce("schema_version", F.lit("0")).alias("schema_version"), F.coalesce("features", F.array().cast("array<string>")).alias("features"), F.posexplode("blocks").alias("seq", "b"))
+    return d.select("doc_id", "schema_version", "features", "seq", "b.*").withColumn("region", F.coalesce("region", F.lit("body"))).withColumn("page_idx", F.col("page"))
+
+
 def content_blocks(b: DataFrame, region: str | None = "body") -> DataFrame:
+    """Blocks that are neither furniture nor notes; of the region, where the document declares regions."""
     out = b.filter(is_content(F.col("type")))
-    return out if region is None else out.filter(F.coalesce("region", F.lit("body")) == region)
+    return out if region is None else out.filter(~has_feature(b, "region") | (F.coalesce("region", F.lit("body")) == region))
 
 
 def doc_text(b: DataFrame, region: str | None = "body", sep: str = "\n\n") -> DataFrame:

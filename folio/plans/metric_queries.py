@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import metrics as M
@@ -72,9 +73,10 @@ def duty_cycle(spark, sf_dir):
 
 DIPS = f"""{TAGGED}, b AS (SELECT *, CASE WHEN coalesce(lag(stage) OVER w <> stage, true) THEN ts END AS start FROM tg WINDOW w AS (PARTITION BY series ORDER BY ts, event_id)),
 c AS (SELECT *, max(start) OVER (PARTITION BY series ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block_start, sum(CASE WHEN coalesce(util < 20, false) THEN 0 ELSE 1 END) OVER (PARTITION BY series ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM b),
-d AS (SELECT series, run, min(ts) AS t0, max(ts) AS t1, count(*) AS n, arg_min(stage, (ts, event_id)) AS stage, arg_min(block_start, (ts, event_id)) AS bs FROM c WHERE util < 20 GROUP BY series, run)
+d AS (SELECT series, run, min(ts) AS t0, max(ts) AS t1, count(*) AS n, arg_min(stage, (ts, event_id)) AS stage, arg_min(block_start, (ts, event_id)) AS bs, round(avg(util), 1) AS mean FROM c WHERE util < 20 GROUP BY series, run)
 SELECT series, t0, t1, n, cast(floor((epoch_us(t1) - epoch_us(t0)) / 1000000) AS bigint) AS seconds, stage,
-    CASE WHEN stage IN ('assembly', 'rasterize') THEN 'expected_cpu_stage' WHEN (epoch_us(t0) - epoch_us(bs)) / 1000000 <= 7200 THEN 'cold_start' ELSE 'stall' END AS kind FROM d WHERE floor((epoch_us(t1) - epoch_us(t0)) / 1000000) >= 3600"""
+    CASE WHEN stage IN ('assembly', 'rasterize') THEN 'expected_cpu_stage' WHEN stage = 'ocr' AND (epoch_us(t0) - epoch_us(bs)) / 1000000 <= 7200 THEN 'cold_start' ELSE 'stall' END AS kind, mean,
+    CASE WHEN stage IN ('assembly', 'rasterize') OR stage = 'ocr' AND (epoch_us(t0) - epoch_us(bs)) / 1000000 <= 7200 THEN 'info' ELSE 'warn' END AS severity FROM d WHERE floor((epoch_us(t1) - epoch_us(t0)) / 1000000) >= 3600"""
 
 
 @query(DIPS)
@@ -82,13 +84,14 @@ def dips(spark, sf_dir):
     return M.dips(_tagged(spark, sf_dir), 20, 3600, 7200)
 
 
-VERDICT = "event_id, value % 7 / 70 AS swap_delta, value % 11 AS avail, value AS gpu, value * 3 AS cpu, 4 AS cores, value / 2 AS sys"
+VERDICT = "event_id, value % 7 / 70 AS swap_delta, value % 11 AS avail, value AS gpu, value * 3 AS cpu, 4 AS cores, value / 2 AS sys, event_id % 10 / cast(10 AS double) AS idle, CASE event_id % 4 WHEN 0 THEN 'nvml' WHEN 1 THEN 'powermetrics' WHEN 2 THEN 'ioreg' ELSE 'off' END AS provider"
 
 
-@query(f"""WITH m AS (SELECT {VERDICT} FROM events)
-SELECT event_id, CASE WHEN swap_delta > 0.05 OR avail < 2 THEN 'memory' WHEN gpu >= 70 AND (cpu >= 85 * cores OR sys >= 85) THEN 'mixed' WHEN gpu >= 70 THEN 'gpu' WHEN cpu >= 85 * cores OR sys >= 85 THEN 'cpu' WHEN gpu IS NOT NULL OR cpu IS NOT NULL THEN 'underutilised' ELSE 'unknown' END AS verdict FROM m""")
+@query(f"""WITH m AS (SELECT {VERDICT} FROM events), b AS (SELECT *, coalesce(CASE provider WHEN 'ioreg' THEN gpu >= 50 WHEN 'off' THEN false ELSE gpu >= 70 END, false) AS g, coalesce(cpu >= 85 * cores, false) OR coalesce(sys >= 85, false) AS c FROM m)
+SELECT event_id, CASE WHEN swap_delta > 0.05 OR avail < 2 THEN 'memory' WHEN g AND c THEN 'mixed' WHEN g THEN 'gpu' WHEN c THEN 'cpu' WHEN gpu IS NOT NULL OR cpu IS NOT NULL THEN 'underutilised' ELSE 'unknown' END AS verdict,
+    concat_ws(',', CASE WHEN idle >= 0.2 THEN 'stalls again and again' END, CASE WHEN swap_delta > 0.05 THEN 'swaps' END, CASE WHEN avail < 2 THEN 'little memory left' END, CASE WHEN gpu IS NOT NULL THEN 'GPU of the whole machine' END, CASE WHEN g AND provider = 'ioreg' THEN 'GPU use is understated' END) AS notes FROM b""")
 def interpret(spark, sf_dir):
-    return M.verdict(read(spark, sf_dir, "events").selectExpr(*VERDICT.split(", "))).select("event_id", "verdict")
+    return M.verdict(read(spark, sf_dir, "events").selectExpr(*VERDICT.split(", "))).select("event_id", "verdict", "notes")
 
 
 @query("SELECT user_id AS series, event_type, round(arg_max(value, (ts, event_id)) - arg_min(value, (ts, event_id)), 3) AS delta FROM events GROUP BY 1, 2")
@@ -110,9 +113,9 @@ def agg_runs(spark, sf_dir):
     return _runs(spark, sf_dir).select("run", F.round("s_page", 6).alias("s_page"), F.round("busy", 6).alias("busy"), F.round("idle", 6).alias("idle"), "avail", "swapped")
 
 
-@query(f"{D_AGG} SELECT run, CASE WHEN swapped OR avail < 2 THEN 'fewer workers' WHEN round(idle, 6) > 0.3 THEN 'more workers' WHEN busy >= 80 THEN 'keep' ELSE 'measure longer' END AS action FROM g")
+@query(f"{D_AGG} SELECT run, CASE WHEN swapped OR avail < 2 THEN 'reduce instances' WHEN round(idle, 3) >= 0.2 THEN 'fix stalls first' WHEN round(busy, 1) >= 88 THEN 'saturated' WHEN round(busy, 1) <= 70 THEN 'headroom: add an instance' ELSE 'balanced' END AS action FROM g")
 def recommend(spark, sf_dir):
-    return M.recommend(_runs(spark, sf_dir).withColumn("idle", F.round("idle", 6))).select("run", "action")
+    return M.recommend(_runs(spark, sf_dir)).select("run", "action")
 
 
 PROCS = "user_id AS series, CASE event_type WHEN 'click' THEN 'llama-server' WHEN 'view' THEN 'surya' ELSE 'helper' END AS name, event_type AS cmd, value AS cpu"
@@ -131,10 +134,10 @@ def named_sums(spark, sf_dir):
     return M.named_sums(p, {"model": ["CLICK", "view"], "surya": ["view"]}, ["series"])
 
 
-@query("""WITH RECURSIVE p AS (SELECT event_id AS pid, event_id // 3 AS ppid FROM events WHERE event_id BETWEEN 1 AND 1999), t(pid, root, depth) AS (SELECT pid, pid, 0 FROM p WHERE ppid = 0 UNION ALL SELECT p.pid, t.root, t.depth + 1 FROM t JOIN p ON p.ppid = t.pid AND p.pid <> t.pid)
+@query("""WITH RECURSIVE p AS (SELECT event_id AS pid, event_id // 3 AS ppid FROM events WHERE event_id > 0), t(pid, root, depth) AS (SELECT pid, pid, 0 FROM p WHERE ppid = 0 UNION ALL SELECT p.pid, t.root, t.depth + 1 FROM t JOIN p ON p.ppid = t.pid AND p.pid <> t.pid)
 SELECT pid, root, depth FROM t""")
 def proc_tree(spark, sf_dir):
-    p = read(spark, sf_dir, "events").filter("event_id BETWEEN 1 AND 1999").selectExpr("event_id AS pid", "event_id div 3 AS ppid")
+    p = read(spark, sf_dir, "events").filter("event_id > 0").selectExpr("event_id AS pid", "event_id div 3 AS ppid")
     return M.process_tree(p, spark)
 
 
@@ -178,7 +181,7 @@ def row_runs(spark, sf_dir):
 
 def _files(df, parts: int) -> str:
     folder = shared_folder(df.sparkSession, "stream")
-    df.repartition(parts).write.json(folder)
+    df.repartition(parts).write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(folder)
     return folder
 
 
@@ -191,9 +194,43 @@ def stream_manifest(spark, sf_dir):
     return tail.latest(rows, "edition", "version", shared_folder(spark, "manifest")).select("edition", "title")
 
 
-@query()
+@query(f"SELECT series, t0, t1, n FROM ({DIPS}) x")
 def stream_dips(spark, sf_dir):
     schema = "series long, ts timestamp, event_id long, util double"
-    folder = _files(samples(spark, sf_dir).select("series", "ts", "event_id", "util"), 1)
+    folder = _files(tail.closed(samples(spark, sf_dir).select("series", "ts", "event_id", "util")), 1)
     stream = spark.readStream.schema(schema).json(folder)
     return tail.run_to_files(tail.dip_stream(stream, 20, 3600), shared_folder(spark, "dips"))
+
+
+@query(f"{D_AGG} SELECT run, row_number() OVER (ORDER BY nullif(s_page, 0) ASC NULLS LAST, run) AS place FROM g")
+def run_order(spark, sf_dir):
+    # a row per run: so few that one window holds them
+    runs = M.fastest_first(_runs(spark, sf_dir)).select("run", "s_page")
+    return runs.withColumn("place", F.row_number().over(Window.orderBy(F.nullif(F.col("s_page"), F.lit(0)).asc_nulls_last(), "run")).cast("long")).drop("s_page")
+
+
+SPAN = ("2024-01-05 00:00:00", "2024-01-20 12:00:00")
+
+
+@query(f"SELECT user_id AS series, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(value, (ts, event_id)) AS util FROM events WHERE ts BETWEEN '{SPAN[0]}' AND '{SPAN[1]}' GROUP BY user_id")
+def sample_window(spark, sf_dir):
+    return M.latest(M.in_window(samples(spark, sf_dir), *SPAN)).select("series", "ts", "event_id", "util")
+
+
+def _peaks(tagged):
+    """A detector beside the built-in one: samples far above the scale."""
+    high = tagged.filter("util >= 300")
+    return high.select("series", F.col("ts").alias("t0"), F.col("ts").alias("t1"), F.lit("peak").alias("kind"), F.lit("info").alias("severity"), F.round("util", 1).alias("mean"))
+
+
+@query(f"SELECT series, t0, t1, kind, severity, mean, 'dip' AS detector FROM ({DIPS}) x UNION ALL SELECT user_id, ts, ts, 'peak', 'info', round(value, 1), 'peak' FROM events WHERE value >= 300")
+def detect(spark, sf_dir):
+    return M.detect(_tagged(spark, sf_dir), {"dip": lambda t: M.dips(t, 20, 3600, 7200), "peak": _peaks})
+
+
+CLOCKS = "CASE event_id % 5 WHEN 0 THEN '1:02.50' WHEN 1 THEN '01:02:03' WHEN 2 THEN '2-03:04:05' WHEN 3 THEN 'x:1' ELSE '59' END"
+
+
+@query(f"SELECT event_id, cast(CASE event_id % 5 WHEN 0 THEN 62.5 WHEN 1 THEN 3723 WHEN 2 THEN 183845 WHEN 3 THEN 0 ELSE 59 END AS double) AS seconds FROM events")
+def cpu_time(spark, sf_dir):
+    return read(spark, sf_dir, "events").select("event_id", M.cpu_seconds(F.expr(CLOCKS)).alias("seconds"))

@@ -64,9 +64,9 @@ def page_list(spark, sf_dir):
     return P.expand_pages(read(spark, sf_dir, "customer").select(c.alias("book"), spec.alias("spec")))
 
 
-@query("SELECT cast(n AS bigint) AS n, CASE WHEN n < 26 THEN chr(cast(97 + n AS int)) ELSE chr(cast(96 + n // 26 AS int)) || chr(cast(97 + n % 26 AS int)) END AS label FROM range(702) t(n)")
+@query("SELECT cast(n AS bigint) AS n, CASE WHEN n < 26 THEN chr(cast(97 + n AS int)) WHEN n < 702 THEN chr(cast(96 + n // 26 AS int)) || chr(cast(97 + n % 26 AS int)) ELSE chr(cast(97 + (n - 702) // 676 AS int)) || chr(cast(97 + (n - 702) // 26 % 26 AS int)) || chr(cast(97 + (n - 702) % 26 AS int)) END AS label FROM range(18278) t(n)")
 def add_labels(spark, sf_dir):
-    return spark.range(702).select(F.col("id").alias("n"), P.letters(F.col("id")).alias("label"))
+    return spark.range(18278).select(F.col("id").alias("n"), P.letters(F.col("id")).alias("label"))
 
 
 @query(f"{PF} SELECT book, name, content FROM pf QUALIFY row_number() OVER (PARTITION BY book, content ORDER BY length(regexp_extract(name, '(\\d+)(\\.[^.]*)?$', 1)) DESC, name) = 1")
@@ -159,8 +159,10 @@ def _strips(spark, sf_dir):
 
 
 STRIPS = f"""{PF}, st AS (SELECT book, file_idx, 'top' AS side, CASE WHEN (o_orderkey + book) % 4 <> 0 THEN printed END AS val FROM pf UNION ALL SELECT book, file_idx, 'bottom', CASE WHEN (o_orderkey + book) % 3 <> 0 THEN printed END FROM pf),
-sm AS (SELECT *, greatest(cast(ceil(max(file_idx) OVER (PARTITION BY book) / 16.0) AS bigint), 1) AS every FROM st),
-bs AS (SELECT book, CASE WHEN count(val) FILTER (side = 'bottom') > count(val) FILTER (side = 'top') THEN 'bottom' ELSE 'top' END AS side FROM sm WHERE (file_idx - 1) % every = 0 GROUP BY book)"""
+nn AS (SELECT book, max(file_idx) AS n, least(max(file_idx), 16) AS k FROM st GROUP BY book),
+pl AS (SELECT DISTINCT book, 1 + cast(round_even(cast(i * (n - 1) AS double) / greatest(k - 1, 1), 0) AS bigint) AS file_idx FROM (SELECT *, unnest(range(k)) AS i FROM nn)),
+sm AS (SELECT st.* FROM st JOIN pl ON st.book = pl.book AND st.file_idx = pl.file_idx),
+bs AS (SELECT book, CASE WHEN count(val) FILTER (side = 'bottom') > count(val) FILTER (side = 'top') THEN 'bottom' ELSE 'top' END AS side FROM sm GROUP BY book)"""
 
 
 @query(f"{STRIPS} SELECT book, side FROM bs")

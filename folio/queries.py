@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from .plans import block_queries, corpus_queries, metric_queries, page_queries
+from .plans import block_queries, book_queries, corpus_queries, metric_queries, page_queries
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for _m in (block_queries, page_queries, corpus_queries, metric_queries):
+for _m in (block_queries, book_queries, page_queries, corpus_queries, metric_queries):
     QUERIES |= _m.QUERIES
     ORACLES |= _m.ORACLES

@@ -124,3 +124,8 @@ def page_images(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).drop("content")
     name = F.substring_index("path", "/", -1)
     return rows.filter(F.lower(F.substring_index("path", ".", -1)).isin(IMAGES)).select("path", name.alias("name"), "modificationTime", "length", natural_key(name).alias("order"))
+
+
+def file_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """The files below folder: path and size; their content isn't read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select(F.regexp_replace("path", "^file:/*", "/").alias("path"), F.col("length").alias("size"))

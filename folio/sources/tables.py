@@ -55,8 +55,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir, which all workers reach; below a temporary folder where that is unset."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="folio-")
+    """A new path below spark.checkpoint.dir, which all workers reach; below a temporary folder where that is unset and all runs on one machine."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        at = tempfile.mkdtemp(prefix="folio-")
     return f"{at.rstrip('/')}/folio/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -141,3 +145,27 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: F5: stages of a day as (ord, label, from hour, to hour).
 STAGES = [(0, "rasterize", 0, 3), (1, "ocr", 3, 15), (2, "detection", 15, 18), (3, "assembly", 18, 21)]
+
+#: F7: the files of a book, as (rel, mod): the file is there unless the part's key is a multiple of mod.
+FILE_KINDS = [(".doc.json", 19), ("body/all_pages.txt", 5), ("full/all_pages.txt", 7), ("body/pages.jsonl", 4), (".pdf", 6), ("_frontmatter.pdf", 2)]
+_KINDS = ", ".join(f"('{rel}', {mod})" for rel, mod in FILE_KINDS)
+_FOLDER = "CASE WHEN p_partkey % 10 = 9 THEN 'book' ELSE 'e' END || cast(p_partkey AS varchar(12))"
+#: F7 for both engines: path and size of the files below /native and /scanned, and the sidecars of folders.
+LISTING_SQL = f"""SELECT '/' || tree || '/' || {_FOLDER} || '/' || CASE WHEN rel LIKE '%/%' THEN rel ELSE cast(p_partkey AS varchar(12)) || rel END AS path, cast(p_partkey * 37 % 9000 AS bigint) AS size
+    FROM part, (VALUES {_KINDS}) k(rel, mod), (VALUES ('native', 3), ('scanned', 2)) t(tree, every) WHERE p_partkey % mod <> 0 AND p_partkey % every = 0"""
+SIDECAR_SQL = f"SELECT '/' || tree || '/' || {_FOLDER} AS folder, cast(p_partkey AS bigint) AS edition, CASE WHEN p_partkey % 14 = 0 THEN 's' || cast(p_partkey AS varchar(12)) END AS pub_id FROM part, (VALUES ('native', 3), ('scanned', 2)) t(tree, every) WHERE p_partkey % every = 0 AND p_partkey % 20 IN (9, 10)"
+DUCK_LISTING = f"files AS MATERIALIZED ({LISTING_SQL}), sidecar AS ({SIDECAR_SQL})"
+
+
+def _from_part(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    return spark.sql(sql.replace("FROM part,", "FROM {part},"), part=read(spark, sf_dir, "part"))
+
+
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the files of books, path and size."""
+    return _from_part(spark, sf_dir, LISTING_SQL)
+
+
+def sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """what the sidecars of some folders say: edition and public id."""
+    return _from_part(spark, sf_dir, SIDECAR_SQL)

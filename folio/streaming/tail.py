@@ -45,7 +45,7 @@ def windowed(stream: DataFrame, late: str = "1 day", width: str = "1 day") -> Da
 
 
 def dip_stream(stream: DataFrame, below: float, least_s: int) -> DataFrame:
-    """Runs below the bound, as they end. stream(series, ts, event_id, util) must bring a series' rows in time order; the state is one open run a series."""
+    """Runs below the bound, as they end; closed() ends those of a recording that is over. stream(series, ts, event_id, util) must bring a series' rows in time order; the state is one open run a series."""
 
     def step(key: tuple, frames, state: GroupState):
         t0, t1, n = state.get if state.exists else (None, None, 0)
@@ -66,6 +66,12 @@ def dip_stream(stream: DataFrame, below: float, least_s: int) -> DataFrame:
     return stream.groupBy("series").applyInPandasWithState(step, "series long, t0 timestamp, t1 timestamp, n long", "t0 long, t1 long, n long", "append", GroupStateTimeout.NoTimeout)
 
 
+def closed(samples: DataFrame) -> DataFrame:
+    """samples(series, ts, event_id, util) with a last row without a value for each series, a second behind its end: it ends the run that is open there."""
+    end = samples.groupBy("series").agg(F.timestamp_add("SECOND", F.lit(1), F.max("ts")).alias("ts"), (F.max("event_id") + 1).alias("event_id"))
+    return samples.unionByName(end.withColumn("util", F.lit(None).cast("double")).select(*samples.columns))
+
+
 def expired(heartbeats: DataFrame, ttl: str) -> DataFrame:
     """heartbeats(name, ts): leases whose last sign of life is older than ttl before the latest of all."""
     last = heartbeats.groupBy("name").agg(F.max("ts").alias("ts"))

