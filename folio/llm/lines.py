@@ -1,11 +1,12 @@
 """Line deduplication (7): a segment-partition edit join of lines; DataFrame functions only.
 
-Lines are split into segments of which the allowed edits leave some whole, and are looked up under those.
-- Lines under LONG characters are cut into as many equal segments as edits, and one more. Longer lines probe for them at
-  the places where they can stand (multi-match-aware), by length.
-- Longer lines are cut where words end, so that a shift moves no cut: an edit spoils two segments at most. Both sides
-  are looked up under their 2 * edits + SHARED longest segments; near lines have SHARED of those in common.
-- Longer lines with too few such segments are indexed under edits + 1 disjoint pieces of GRAM characters; lines that have
+Lines are cut into as many equal segments as edits, and one more, of which the edits leave one whole. They are looked up
+under those; longer lines probe for them at the places where they can stand (multi-match-aware), by length.
+
+With a share, edits grow with the line, and so would the places. From LONG characters on it is done otherwise then:
+- Lines are cut where words end, so that a shift moves no cut: an edit spoils two segments at most. Both sides are looked
+  up under their 2 * edits + SHARED longest segments; near lines have SHARED of those in common.
+- Lines with too few such segments are indexed under edits + 1 disjoint pieces of GRAM characters; lines that have
   few enough to be near them probe with every GRAM characters.
 """
 
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 from .common import SENT, dealt_join, free, table
 from .exact import BITS_A_ROW, MOST_BITS, PAGE, bit, bitmaps
 
-#: Lines of fewer characters have to be equal. From there on one edit is allowed, from TWO characters of the shorter line on two, from LONG on one in SHARE characters.
-SHORT, TWO, LONG, SHARE = 20, 40, 150, 50
+#: Lines of fewer characters have to be equal. From there on one edit is allowed, from TWO characters of the shorter line on two; with a share, from LONG characters on one in so many characters.
+SHORT, TWO, LONG = 20, 40, 150
 #: Where long lines are cut: behind white space, unless one of the most frequent last letters stands before it.
 CUT, SHARED, GRAM = r"(?<=[^ens\\s]\\s)", 2, 24
 #: Characters of the parts that very long lines are taken apart in, as a place far in a text is slow to find.
@@ -32,9 +33,10 @@ MEET = 8192
 _NONE = -(1 << 63)
 
 
-def allowed(length: str) -> str:
+def allowed(length: str, share: int | None) -> str:
     """SQL for how many edits the shorter of two lines allows, by its length."""
-    return f"cast(CASE WHEN {length} >= {LONG} THEN {length} div {SHARE} WHEN {length} >= {TWO} THEN 2 WHEN {length} >= {SHORT} THEN 1 ELSE 0 END AS int)"
+    long = f"WHEN {length} >= {LONG} THEN greatest(2, {length} div {share}) " if share else ""
+    return f"cast(CASE {long}WHEN {length} >= {TWO} THEN 2 WHEN {length} >= {SHORT} THEN 1 ELSE 0 END AS int)"
 
 
 def segment(length: str, edits: int, i: int) -> tuple[str, str]:
@@ -45,7 +47,7 @@ def segment(length: str, edits: int, i: int) -> tuple[str, str]:
 
 
 def segment_keys(line: str, n: str) -> str:
-    """SQL for an array of the keys of a line under LONG characters: of every segment its length, number and text."""
+    """SQL for an array of a line's keys: of every segment its length, number and text."""
 
     def of(edits: int) -> str:
         out = []
@@ -76,32 +78,32 @@ def probes() -> list[tuple[int, int, int, int]]:
     return out
 
 
-def length_class(n: str) -> str:
+def length_class(n: str, share: int) -> str:
     """SQL for the class of a long line's length: classes are wider than the edits, so near lengths are in one class or in neighbouring ones."""
-    return f"cast(floor(ln({n}) * {SHARE * 4 // 5}) AS int)"
+    return f"cast(floor(ln({n}) * {share * 4 // 5}) AS int)"
 
 
-def _probed(short: DataFrame) -> DataFrame:
-    """(h, n, c, seg): the keys under which lines under LONG characters, no longer than each line and within its edits, can be indexed.
+def _probed(short: DataFrame, share: int | None) -> DataFrame:
+    """(h, n, seg): the keys under which lines no longer than each line and within its edits can be indexed by segments.
 
     One small expression a row, rather than a long one a line: the compiler leaves very long ones alone.
     """
     at = F.array(*[F.struct(F.lit(e).alias("e"), F.lit(d).alias("less"), F.lit(i).alias("i"), F.lit(x).alias("x")) for e, d, i, x in probes()])
-    rows = short.select("line", "h", "n", "c", F.explode(at).alias("p")).selectExpr("line", "h", "n", "c", "n - p.less AS m", "p.e AS e", "p.i AS i", "p.x AS x")
-    rows = rows.filter(f"m >= {SHORT} AND m < {LONG} AND e = {allowed('m')}")
-    rows = rows.selectExpr("line", "h", "n", "c", "m", "i", "x", "e + 1 - m % (e + 1) AS even", "m div (e + 1) AS size")
-    return rows.selectExpr("h", "n", "c", "xxhash64(m, i, substring(line, cast((i - 1) * size + greatest(0, i - 1 - even) + 1 + x AS int), cast(size + CASE WHEN i > even THEN 1 ELSE 0 END AS int))) AS seg")
+    rows = short.select("line", "h", "n", F.explode(at).alias("p")).selectExpr("line", "h", "n", "n - p.less AS m", "p.e AS e", "p.i AS i", "p.x AS x")
+    rows = rows.filter(f"m >= {SHORT} AND e = {allowed('m', None)}" + (f" AND m < {LONG}" if share else ""))
+    rows = rows.selectExpr("line", "h", "n", "m", "i", "x", "e + 1 - m % (e + 1) AS even", "m div (e + 1) AS size")
+    return rows.selectExpr("h", "n", "xxhash64(m, i, substring(line, cast((i - 1) * size + greatest(0, i - 1 - even) + 1 + x AS int), cast(size + CASE WHEN i > even THEN 1 ELSE 0 END AS int))) AS seg")
 
 
-def _cut(long: DataFrame) -> DataFrame:
-    """h, n, c, k, many, segs, line: of each long line the distinct segments as numbers, the longest first; how many; those that it is looked up under.
+def _cut(long: DataFrame, share: int) -> DataFrame:
+    """h, n, k, many, segs, line: of each long line the distinct segments as numbers, the longest first; how many; those that it is looked up under.
 
     A segment's number has its length (at most 127) in the seven bits before 56 of its hash, so that sorting puts the
     longest, which are the rarest, first in every line alike.
     """
     code = f"transform(split(line, '{CUT}'), c -> shiftleft(cast(127 - least(127, length(c)) AS bigint), 56) | (xxhash64(c) & {(1 << 56) - 1}))"
-    rows = long.selectExpr("h", "n", "c", f"{allowed('n')} AS k", f"sort_array(array_distinct({code})) AS all_", "line")
-    return rows.selectExpr("h", "n", "c", "k", "size(all_) AS many", f"slice(all_, 1, 2 * k + {SHARED}) AS segs", "line")
+    rows = long.selectExpr("h", "n", f"{allowed('n', share)} AS k", f"sort_array(array_distinct({code})) AS all_", "line")
+    return rows.selectExpr("h", "n", "k", "size(all_) AS many", f"slice(all_, 1, 2 * k + {SHARED}) AS segs", "line")
 
 
 def _in(rows: DataFrame, keys: DataFrame, column: str, name: str) -> DataFrame:
@@ -112,7 +114,7 @@ def _in(rows: DataFrame, keys: DataFrame, column: str, name: str) -> DataFrame:
     return found.filter(bit(F.col("words"), place % PAGE)).drop("page", "words")
 
 
-def near_lines(docs: DataFrame, sent: int = SENT) -> tuple[DataFrame, DataFrame]:
+def near_lines(docs: DataFrame, share: int | None = None, sent: int = SENT) -> tuple[DataFrame, DataFrame]:
     """(places, links) of docs(key, th, text): key, th, no and hash h of every line that isn't blank; verified pairs (a, b) of hashes.
 
     Probes pass a Bloom filter of the index before they are shuffled. Keys that only one line has are dropped by a
@@ -123,35 +125,43 @@ def near_lines(docs: DataFrame, sent: int = SENT) -> tuple[DataFrame, DataFrame]
     lines = docs.select("key", "th", F.posexplode(F.split("text", "\n")).alias("no", "line")).filter(F.col("line").rlike(r"\S"))
     lines = lines.withColumn("h", F.xxhash64("line"))
     places = table(lines.select("key", "th", "no", "h"), "places")
-    lines = lines.select("h", "line", F.length("line").alias("n"), F.expr(_counted("line")).alias("c"))
-    short = lines.filter(f"n >= {SHORT} AND n < {LONG + 2}")
-    cut = _cut(lines.filter(f"n >= {LONG}"))
-    long = table(cut.select("h", "n", "c", "segs").distinct(), "cut")
-    # long lines with few segments are indexed under pieces of text; and what may be longer than one of those probes for them
-    few = cut.filter(f"many < 4 * k + {SHARED}").selectExpr("h", "n", "c", "k", "line", f"many < 2 * k + {SHARED} AS own")
-    pieces = few.filter("own").select("h", "n", "c", F.explode(F.expr(f"transform(sequence(0, k), i -> {gram_key('line', f'i * {GRAM} + 1')})")).alias("seg"))
-    index = short.filter(f"n < {LONG}").select("h", "n", "c", F.explode(F.expr(segment_keys("line", "n"))).alias("seg")).unionByName(pieces)
-    index = table(index.distinct(), "index")
-    parts = few.select("line", "h", "n", "c", F.explode(F.expr(f"sequence(0, (n - {GRAM}) div {PART})")).alias("part")).selectExpr("h", "n", "c", f"substring(line, part * {PART} + 1, {PART + GRAM - 1}) AS line")
-    grams = parts.select("line", "h", "n", "c", F.explode(F.expr(f"sequence(1, length(line) - {GRAM - 1})")).alias("at")).selectExpr("h", "n", "c", f"{gram_key('line', 'at')} AS seg")
-    probing = table(_in(_probed(short).unionByName(grams), index.select("seg"), "seg", "bloom").distinct(), "probes")
-    # own: lines are indexed under it; kind: how many keys of the kind SHARED are worth
-    keys = index.selectExpr("h", "n", "c", "seg", "1 AS own", f"{SHARED} AS worth").unionByName(probing.selectExpr("h", "n", "c", "seg", "0 AS own", f"{SHARED} AS worth"))
-    keys = keys.unionByName(long.select("h", "n", "c", F.explode("segs").alias("seg"), F.lit(1).alias("own"), F.lit(1).alias("worth")))
+    lines = lines.select("h", "line", F.length("line").alias("n")).filter(f"n >= {SHORT}")
+    short = lines.filter(f"n < {LONG + 2}") if share else lines
+    index = short.filter(f"n < {LONG}") if share else short
+    index = index.select("h", "n", F.explode(F.expr(segment_keys("line", "n"))).alias("seg"))
+    probing, held = _probed(short, share), []
+    if share:
+        cut = _cut(lines.filter(f"n >= {LONG}"), share)
+        held.append(long := table(cut.select("h", "n", "segs").distinct(), "cut"))
+        # long lines with few segments are indexed under pieces of text; and what may be longer than one of those probes for them
+        few = cut.filter(f"many < 4 * k + {SHARED}").selectExpr("h", "n", "k", "line", f"many < 2 * k + {SHARED} AS own")
+        pieces = few.filter("own").select("h", "n", F.explode(F.expr(f"transform(sequence(0, k), i -> {gram_key('line', f'i * {GRAM} + 1')})")).alias("seg"))
+        index = index.unionByName(pieces)
+        parts = few.select("line", "h", "n", F.explode(F.expr(f"sequence(0, (n - {GRAM}) div {PART})")).alias("part")).selectExpr("h", "n", f"substring(line, part * {PART} + 1, {PART + GRAM - 1}) AS line")
+        probing = probing.unionByName(parts.select("line", "h", "n", F.explode(F.expr(f"sequence(1, length(line) - {GRAM - 1})")).alias("at")).selectExpr("h", "n", f"{gram_key('line', 'at')} AS seg"))
+    held.append(index := table(index.distinct(), "index"))
+    held.append(probing := table(_in(probing, index.select("seg"), "seg", "bloom").distinct(), "probes"))
+    # own: lines are indexed under it; worth: in how many keys of long lines it counts
+    keys = index.selectExpr("h", "n", "seg", "1 AS own", f"{SHARED} AS worth").unionByName(probing.selectExpr("h", "n", "seg", "0 AS own", f"{SHARED} AS worth"))
+    if share:
+        keys = keys.unionByName(long.select("h", "n", F.explode("segs").alias("seg"), F.lit(1).alias("own"), F.lit(1).alias("worth")))
     ends = [F.min("h").alias("lo"), F.max("h").alias("hi"), F.max("own").alias("any"), F.count(F.lit(1)).alias("lines")]
-    common = table(keys.groupBy("seg").agg(*ends).filter("lo <> hi AND any = 1").select("seg", "lines"), "common")
+    held.append(common := table(keys.groupBy("seg").agg(*ends).filter("lo <> hi AND any = 1").select("seg", "lines"), "common"))
     keys = _in(keys, common, "seg", "common")
     # keys with more than a hundred-thousandth of all that are common, and so a bounded number
     least = max(MEET, (common.agg(F.sum("lines")).first()[0] or 0) // 100_000)
     hot = table(common.filter(F.col("lines") > least).selectExpr("seg", f"cast(ceil(lines / {MEET}) AS int) AS parts"), "hot")
     keys = keys.join(F.broadcast(hot), "seg", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    held = [long, index, probing, common]
-    keys = table(keys, "keys")
+    keys = table(keys, "common-keys")
     free(*held)
-    pairs = table(_meet(keys), "candidates")
-    free(keys)
+    wanted = table(keys.groupBy("h").agg(F.count(F.lit(1)).alias("keys")), "wanted")
+    counts = _in(lines.select("h", "line"), wanted, "h", "wanted").select("h", F.expr(_counted("line")).alias("c")).distinct()
+    counts = table(counts.join(F.broadcast(wanted) if wanted.count() <= sent else wanted, "h"), "counts")
+    met = table(dealt_join(keys, counts, ["h"], "keys", sent=sent), "keys")
+    pairs = table(_meet(met, share), "candidates")
+    free(keys, met, wanted, counts)
     wanted = table(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "wanted")
-    texts = _in(lines.filter(f"n >= {SHORT}").select("h", "line"), wanted, "h", "wanted").groupBy("h").agg(F.first("line").alias("line"))
+    texts = _in(lines.select("h", "line"), wanted, "h", "wanted").groupBy("h").agg(F.first("line").alias("line"))
     blocks = lambda x: f"split({x}, '(?s)(?<=\\\\G.{{{EQUAL}}})')"
     texts = table(texts.selectExpr("h", "line", f"{blocks('line')} AS front", f"{blocks('reverse(line)')} AS back"), "texts")
     both = pairs.join(texts.alias("x"), F.col("a") == F.col("x.h")).join(texts.alias("y"), F.col("b") == F.col("y.h"))
@@ -159,7 +169,7 @@ def near_lines(docs: DataFrame, sent: int = SENT) -> tuple[DataFrame, DataFrame]
     rest = lambda line: f"substring({line}, {EQUAL} * same + 1, length({line}) - {EQUAL} * (same + same_back))"
     equal = lambda c: f"array_position(zip_with(x.{c}, y.{c}, (i, j) -> coalesce(i = j, false)), false) - 1"
     both = both.selectExpr("a", "b", "x.line AS line_a", "y.line AS line_b", f"{equal('front')} AS same", f"{equal('back')} AS back")
-    both = both.withColumn("most", F.expr(allowed("least(length(line_a), length(line_b))")))
+    both = both.withColumn("most", F.expr(allowed("least(length(line_a), length(line_b))", share)))
     both = both.withColumn("same_back", F.expr(f"greatest(0, least(back, (least(length(line_a), length(line_b)) - {EQUAL} * same) div {EQUAL}))"))
     far = f"levenshtein({rest('line_a')}, {rest('line_b')}, most)"
     return places, table(both.filter(f"{far} >= 0").select("a", "b"), "links")
@@ -175,28 +185,34 @@ def _apart(x: str, y: str) -> str:
     return " + ".join(f"abs((shiftrightunsigned({x}.c, {8 * i}) & 255) - (shiftrightunsigned({y}.c, {8 * i}) & 255))" for i in range(len(LETTERS)))
 
 
-def _meet(keys: DataFrame) -> DataFrame:
+def _meet(keys: DataFrame, share: int | None) -> DataFrame:
     """Pairs (a, b) of lines that have keys(h, n, c, seg, own, worth, parts) worth SHARED in common, the shorter one as its index, and whose lengths are within its edits."""
-    near = lambda x, y: F.expr(f"{y}.n >= {x}.n AND {y}.n - {x}.n <= {allowed(f'{x}.n')} AND {x}.h <> {y}.h AND 2 * {x}.own + {y}.own >= 2 AND ({y}.n > {x}.n OR {y}.own = 0 OR {x}.h < {y}.h) AND {_apart(x, y)} <= 2 * {allowed(f'{x}.n')}")
+    near = lambda x, y: F.expr(f"{y}.n >= {x}.n AND {y}.n - {x}.n <= {allowed(f'{x}.n', share)} AND {x}.h <> {y}.h AND 2 * {x}.own + {y}.own >= 2 AND ({y}.n > {x}.n OR {y}.own = 0 OR {x}.h < {y}.h) AND {_apart(x, y)} <= 2 * {allowed(f'{x}.n', share)}")
     out = [F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b"), "x.worth"]
     # both sides alike, so that they are shuffled once
     few = keys.filter("parts = 1")
     pairs = few.alias("x").join(few.alias("y"), (F.col("x.seg") == F.col("y.seg")) & near("x", "y")).select(*out)
-    # keys of many lines: by the class of the length too, and dealt over parts; segments of short lines are of one length already
-    wide = f"n >= {LONG + 2} OR worth = 1"
+    # keys of many lines are dealt over parts; with a share also by the class of the length, where the key isn't of one length
     hot = keys.filter("parts > 1")
-    own = hot.filter("own = 1").withColumn("cls", F.expr(f"CASE WHEN {wide} THEN {length_class('n')} ELSE 0 END")).withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
-    other = hot.withColumn("part", F.pmod("h", "parts")).withColumn("cls", F.explode(F.expr(f"CASE WHEN {wide} THEN array_union(array(0), sequence({length_class(f'greatest({LONG}, n - {allowed("n")})')}, {length_class('n')})) ELSE array(0) END")))
+    one = several = "0"
+    if share:
+        wide, least = f"n >= {LONG + 2} OR worth = 1", f"greatest({LONG}, n - {allowed('n', share)})"
+        one = f"CASE WHEN {wide} THEN {length_class('n', share)} ELSE 0 END"
+        several = f"CASE WHEN {wide} THEN array_union(array(0), sequence({length_class(least, share)}, {length_class('n', share)})) ELSE array(0) END"
+    own = hot.filter("own = 1").withColumn("cls", F.expr(one)).withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+    other = hot.withColumn("part", F.pmod("h", "parts")).withColumn("cls", F.explode(F.expr(several)) if share else F.expr(several))
     met = own.alias("x").join(other.alias("y"), (F.col("x.seg") == F.col("y.seg")) & (F.col("x.cls") == F.col("y.cls")) & (F.col("x.part") == F.col("y.part")) & near("x", "y"))
     pairs = pairs.unionByName(met.select(*out))
     return pairs.groupBy("a", "b").agg(F.sum("worth").alias("worth")).filter(f"worth >= {SHARED}").select("a", "b")
 
 
-def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list[str] | None = None, sent: int = SENT) -> DataFrame:
+def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list[str] | None = None, share: int | None = None, sent: int = SENT) -> DataFrame:
     """The columns carry of docs (all if not given) with kept_text, n_lines, n_dropped and n_links.
 
     Lines are near when few edits turn one into the other: by the length of the shorter line one from SHORT characters on,
-    two from TWO on, one in SHARE characters from LONG on; shorter lines have to be equal. A line is dropped when a line
+    two from TWO on and, with a share, one in so many characters (25 or more) from LONG on; shorter lines have to be equal.
+    With a share the lines of near copies of a long text are near each other, and their links grow with the square of the
+    copies. A line is dropped when a line
     near it, or the same line, stands earlier: in a document of smaller doc_id, or before it in the same. Blank lines are
     never dropped. n_links counts, over the lines of the text, the different lines near them. Of one distance each line is
     one row, however often it stands; hot lines are pre-aggregated. A null text stays null and has no lines; a null doc_id
@@ -209,7 +225,7 @@ def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carr
     body = F.coalesce(F.col(text), F.lit(""))
     ident = [F.coalesce(F.col(doc_id).cast("long"), F.lit(_NONE)).alias("key"), F.xxhash64(body).alias("th")]
     narrow = docs.select(*ident, body.alias("text"))
-    places, links = near_lines(narrow, sent)
+    places, links = near_lines(narrow, share, sent)
     firsts = table(places.groupBy("h").agg(F.min(F.struct("key", "th", "no")).alias("first"), F.count(F.lit(1)).alias("copies")), "firsts")
     ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     before = ends.join(firsts.select(F.col("h").alias("b"), F.col("first").alias("other")), "b").groupBy("a").agg(F.min("other").alias("other"), F.count(F.lit(1)).alias("links"))
@@ -242,7 +258,7 @@ WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM do
 o AS (SELECT doc_id, unnest(range(len(l))) AS no, unnest(l) AS line FROM d),
 f AS (SELECT coalesce(string_agg(c, '' ORDER BY c), '') AS wide FROM (SELECT DISTINCT unnest(string_split(regexp_replace(text, '[\\x00-\\x7F]+', '', 'g'), '')) AS c FROM documents) x),
 t AS (SELECT line, translate(line, f.wide, chr(1) {_FREE}) AS b, length(line) AS n, min(doc_id * 100000 + no) AS first,
-    CASE WHEN length(line) >= {LONG} THEN length(line) // {SHARE} WHEN length(line) >= {TWO} THEN 2 WHEN length(line) >= {SHORT} THEN 1 ELSE 0 END AS k
+    CASE WHEN length(line) >= {TWO} THEN 2 WHEN length(line) >= {SHORT} THEN 1 ELSE 0 END AS k
     FROM o, f WHERE regexp_matches(line, '[^\\s\\x0B]') GROUP BY line, f.wide),
 u AS (SELECT *, {", ".join(f"n - length(replace(line, '{x}', '')) AS n_{i}" for i, x in enumerate(LETTERS))} FROM t),
 c AS (SELECT x.line AS x, y.line AS y, x.first AS fx, y.first AS fy FROM u x JOIN u y ON x.line <> y.line AND y.n BETWEEN x.n AND x.n + x.k AND (x.n < y.n OR x.line < y.line)

@@ -23,11 +23,11 @@ def distance(a, b, most):
     return row[-1]
 
 
-def edits(n):
-    return n // 50 if n >= 150 else 2 if n >= 40 else 1 if n >= 20 else 0
+def edits(n, share=None):
+    return max(n // share, 2) if share and n >= 150 else 2 if n >= 40 else 1 if n >= 20 else 0
 
 
-def brute(rows):
+def brute(rows, share=None):
     first, where = {}, []
     for i, t in sorted({(-(1 << 63) if i is None else i, t) for i, t in rows if t is not None}):
         for no, line in enumerate(t.split("\n")):
@@ -38,7 +38,7 @@ def brute(rows):
     texts = list(first)
     for x, a in enumerate(texts):
         for b in texts[x + 1 :]:
-            k = edits(min(len(a), len(b)))
+            k = edits(min(len(a), len(b)), share)
             if k and abs(len(a) - len(b)) <= k and distance(a, b, k) <= k:
                 near[a].append(b)
                 near[b].append(a)
@@ -64,7 +64,7 @@ def sample(seed=4, n=90):
 
     def near(s):
         s = list(s)
-        for _ in range(r.randint(0, edits(len(s)) + 2)):
+        for _ in range(r.randint(0, edits(len(s), r.choice([None, 50])) + 2)):
             k, p = r.choice("sid"), r.randrange(len(s) or 1)
             s[p : p + (k != "i")] = [] if k == "d" else [r.choice("# ")]
         return "".join(s)
@@ -73,10 +73,10 @@ def sample(seed=4, n=90):
     return rows + [(200, None), (201, ""), (202, "\n \n\t\n"), (None, base[0]), (203, base[1] + "\n" + base[1]), (203, base[1] + "\n" + base[1]), (204, "y" * 700), (205, "y" * 701)]
 
 
-def check(spark, rows, **kw):
+def check(spark, rows, share=None, **kw):
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, n_lines string").repartition(4)
-    want = brute(rows)
-    got = line_dedup(df, **kw).collect()
+    want = brute(rows, share)
+    got = line_dedup(df, share=share, **kw).collect()
     assert len(got) == len(rows)
     for r in got:
         if r.text is None:
@@ -87,26 +87,28 @@ def check(spark, rows, **kw):
     return df
 
 
-def test_against_all_pairs(spark):
-    df = check(spark, sample())
+@pytest.mark.parametrize("share", [None, 50])
+def test_against_all_pairs(spark, share):
+    df = check(spark, sample(), share)
     assert line_dedup(df.limit(0)).count() == 0
 
 
-def test_hot_keys_are_dealt(spark, monkeypatch):
+@pytest.mark.parametrize("share", [None, 50])
+def test_hot_keys_are_dealt(spark, monkeypatch, share):
     """One segment in most lines, and sides too large to be sent: the same result."""
     monkeypatch.setattr(lines, "MEET", 4)
     r = random.Random(9)
     shared = " ".join("".join(r.choice("abcdefg") for _ in range(7)) for _ in range(12))
     rows = [(i, shared + " " + " ".join(r.choice(["over", "under", "into", "the"]) for _ in range(r.choice([12, 12, 30])))) for i in range(60)]
     rows += [(100 + i, ("q" * 30 + str(i % 7) * 8) + "\nsame line here and there") for i in range(30)]
-    check(spark, rows, sent=10)
+    check(spark, rows, share, sent=10)
 
 
 def test_replaced_word_and_short_repeats(spark):
     r = random.Random(3)
     line = " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(49))
     df = spark.createDataFrame([(1, line + "\nIetzte.\nx\n\n"), (2, line[:140] + "#" * 6 + line[146:] + "\nx\nIetzte.\n\ny")], "doc_id long, text string")
-    assert {r.doc_id: (r.n_dropped, r.n_links, r.kept_text) for r in line_dedup(df).collect()} == {1: (0, 1, line + "\nIetzte.\nx\n\n"), 2: (3, 1, "\ny")}
+    assert {r.doc_id: (r.n_dropped, r.n_links, r.kept_text) for r in line_dedup(df, share=50).collect()} == {1: (0, 1, line + "\nIetzte.\nx\n\n"), 2: (3, 1, "\ny")}
 
 
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.001"])
