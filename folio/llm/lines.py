@@ -26,8 +26,10 @@ SHORT, TWO, LONG = 20, 40, 150
 CUT, SHARED, GRAM = r"(?<=[^ens\\s]\\s)", 2, 24
 #: Characters of the parts that very long lines are taken apart in, as a place far in a text is slow to find.
 PART = 256
-#: Letters by whose counts, of at most 255, most pairs are left out when they meet; characters of the blocks that equal begins and ends of two lines are left out by.
-LETTERS, EQUAL = "eantirso", 32
+#: Bits of a line's sketch that one edit can change: it takes away two pairs of characters and brings two.
+BITS_AN_EDIT = 4
+#: Characters of the blocks that equal begins and ends of two lines are left out by before their distance is measured.
+EQUAL = 32
 #: Lines that are under one key and meet in one task; a key with more is dealt over several.
 MEET = 8192
 _NONE = -(1 << 63)
@@ -119,8 +121,7 @@ def near_lines(docs: DataFrame, share: int | None = None, sent: int = SENT) -> t
 
     Probes pass a Bloom filter of the index before they are shuffled. Keys that only one line has are dropped by a
     pre-aggregated minimum and maximum, and the rest is filtered by another. A key with many lines is dealt over several
-    tasks: its probing side by a hash, its indexed side copied. Lines meet only where their lengths and the counts of their
-    letters are near. Pairs with enough keys in common are verified by banded edit distance.
+    tasks: its probing side by a hash, its indexed side copied. Lines meet only where their lengths and sketches are near. Pairs with enough keys in common are verified by banded edit distance.
     """
     lines = docs.select("key", "th", F.posexplode(F.split("text", "\n")).alias("no", "line")).filter(F.col("line").rlike(r"\S"))
     lines = lines.withColumn("h", F.xxhash64("line"))
@@ -155,11 +156,11 @@ def near_lines(docs: DataFrame, share: int | None = None, sent: int = SENT) -> t
     keys = table(keys, "common-keys")
     free(*held)
     wanted = table(keys.groupBy("h").agg(F.count(F.lit(1)).alias("keys")), "wanted")
-    counts = _in(lines.select("h", "line"), wanted, "h", "wanted").select("h", F.expr(_counted("line")).alias("c")).distinct()
-    counts = table(counts.join(F.broadcast(wanted) if wanted.count() <= sent else wanted, "h"), "counts")
-    met = table(dealt_join(keys, counts, ["h"], "keys", sent=sent), "keys")
+    sketches = _sketched(_in(lines.select("h", "line"), wanted, "h", "wanted").dropDuplicates(["h"]))
+    sketches = table(sketches.join(F.broadcast(wanted) if wanted.count() <= sent else wanted, "h"), "sketches")
+    met = table(dealt_join(keys, sketches, ["h"], "keys", sent=sent), "keys")
     pairs = table(_meet(met, share), "candidates")
-    free(keys, met, wanted, counts)
+    free(keys, met, wanted, sketches)
     wanted = table(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "wanted")
     texts = _in(lines.select("h", "line"), wanted, "h", "wanted").groupBy("h").agg(F.first("line").alias("line"))
     blocks = lambda x: f"split({x}, '(?s)(?<=\\\\G.{{{EQUAL}}})')"
@@ -175,19 +176,15 @@ def near_lines(docs: DataFrame, share: int | None = None, sent: int = SENT) -> t
     return places, table(both.filter(f"{far} >= 0").select("a", "b"), "links")
 
 
-def _counted(line: str) -> str:
-    """SQL for a number with a byte for how often each of LETTERS is in a line."""
-    return " | ".join(f"shiftleft(cast(least(255, length({line}) - length(replace({line}, '{c}', ''))) AS bigint), {8 * i})" for i, c in enumerate(LETTERS))
-
-
-def _apart(x: str, y: str) -> str:
-    """SQL for how much those counts of two lines differ: an edit changes two of them by one at most."""
-    return " + ".join(f"abs((shiftrightunsigned({x}.c, {8 * i}) & 255) - (shiftrightunsigned({y}.c, {8 * i}) & 255))" for i in range(len(LETTERS)))
+def _sketched(lines: DataFrame) -> DataFrame:
+    """h and c of lines: pairs of neighbouring characters, each hashed to one of 64 bits, by parity."""
+    pairs_of = "zip_with(slice(c_, 1, size(c_) - 1), slice(c_, 2, size(c_)), (a, b) -> cast(pmod(xxhash64(a, b), 64) AS int))"
+    return lines.withColumn("c_", F.split("line", "")).select("h", F.expr(f"aggregate({pairs_of}, 0L, (s, p) -> s ^ shiftleft(1L, p))").alias("c"))
 
 
 def _meet(keys: DataFrame, share: int | None) -> DataFrame:
     """Pairs (a, b) of lines that have keys(h, n, c, seg, own, worth, parts) worth SHARED in common, the shorter one as its index, and whose lengths are within its edits."""
-    near = lambda x, y: F.expr(f"{y}.n >= {x}.n AND {y}.n - {x}.n <= {allowed(f'{x}.n', share)} AND {x}.h <> {y}.h AND 2 * {x}.own + {y}.own >= 2 AND ({y}.n > {x}.n OR {y}.own = 0 OR {x}.h < {y}.h) AND {_apart(x, y)} <= 2 * {allowed(f'{x}.n', share)}")
+    near = lambda x, y: F.expr(f"{y}.n >= {x}.n AND {y}.n - {x}.n <= {allowed(f'{x}.n', share)} AND {x}.h <> {y}.h AND 2 * {x}.own + {y}.own >= 2 AND ({y}.n > {x}.n OR {y}.own = 0 OR {x}.h < {y}.h) AND bit_count({x}.c ^ {y}.c) <= {BITS_AN_EDIT} * {allowed(f'{x}.n', share)}")
     out = [F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b"), "x.worth"]
     # both sides alike, so that they are shuffled once
     few = keys.filter("parts = 1")
@@ -251,6 +248,8 @@ def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", "n_links", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
+#: Letters by whose counts the SQL leaves most pairs out before it measures them.
+LETTERS = "eantirso"
 _FREE = "".join(f"|| chr({i}) " for i in [*range(2, 9), *range(14, 32), 127])
 #: DuckDB measures bytes: up to 27 different characters beyond ASCII are put as unused control characters first.
 SQL = f"""
