@@ -1,4 +1,8 @@
-"""From raw documents to packed training windows: five stages, each written and read again by the next."""
+"""From raw documents to packed training windows: five stages, each written and read again by the next.
+
+In every stage a null text counts as empty, a null doc_id as the smallest, rows repeated with id and text as copies, and an
+empty table gives an empty one; ties go by id and then by a hash of the text. Other columns go along as they are.
+"""
 
 from __future__ import annotations
 
@@ -21,7 +25,7 @@ def _with_text(done: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go, null and empty texts among them; repeated rows are judged each by itself."""
     return quality_rules(docs).filter("kept").select(docs.columns)
 
 
@@ -31,7 +35,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicate documents the one of smallest id stays."""
+    """Of each group of near-duplicate documents the one of smallest id stays, of rows repeated with id and text one; texts without words all stay."""
     return keep_one(docs).select(docs.columns)
 
 
@@ -41,7 +45,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Windows of the tokens of all documents; a row per piece."""
+    """Windows of the tokens of all documents; a row per piece. An empty text is its end token alone; repeated rows are packed each by itself."""
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
