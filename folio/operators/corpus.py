@@ -149,3 +149,22 @@ def acquire(claims: DataFrame, wanted: DataFrame, host: str, ttl: int) -> DataFr
     held = stealable(claims, host, ttl).filter("NOT stealable").select("name", "pid")
     first = wanted.groupBy("name").agg(F.min_by("pid", F.struct("asked_at", "pid")).alias("pid"))
     return held.withColumn("won", F.lit(False)).unionByName(first.join(held, "name", "left_anti").withColumn("won", F.lit(True)))
+
+
+def update_claims(claims: DataFrame, changes: DataFrame) -> DataFrame:
+    """claims(name, host, pid, note) with the notes of changes(name, host, pid, note), each only while who changes it still holds the name."""
+    new = changes.groupBy("name", "host", "pid").agg(F.max("note").alias("note_"), F.lit(True).alias("hit_"))
+    out = claims.join(new, ["name", "host", "pid"], "left")
+    return out.withColumn("note", F.when(F.col("hit_"), F.col("note_")).otherwise(F.col("note"))).select(*claims.columns)
+
+
+def release(claims: DataFrame, done: DataFrame) -> DataFrame:
+    """claims without those of done(name, host, pid): a name that another has taken since stays with that one."""
+    return claims.join(done.select("name", "host", "pid").distinct(), ["name", "host", "pid"], "left_anti")
+
+
+def time_left(state: DataFrame) -> DataFrame:
+    """state(pages_done, pages_before, pages, seconds) with s_page and seconds_left: by the pages that were done since the run began; null until one was."""
+    fresh = F.col("pages_done") - F.col("pages_before")
+    rate = F.when(fresh > 0, F.col("seconds") / fresh)
+    return state.withColumns({"s_page": rate, "seconds_left": rate * F.greatest(F.col("pages") - F.col("pages_done"), F.lit(0))})

@@ -170,3 +170,30 @@ def leases(spark, sf_dir):
     claims = read(spark, sf_dir, "supplier").selectExpr(*CLAIM2.split(", "))
     wanted = read(spark, sf_dir, "lineitem").selectExpr("l_suppkey AS name", "l_orderkey AS pid", "l_linenumber AS asked_at")
     return C.acquire(claims, wanted, "h1", 900)
+
+
+HELD = "s_suppkey AS name, 'h' || (s_nationkey % 3) AS host, s_suppkey * 3 AS pid, 'old' AS note"
+ASKED = "s_suppkey AS name, 'h' || (s_nationkey % 3) AS host, s_suppkey * CASE WHEN s_suppkey % 4 = 0 THEN 5 ELSE 3 END AS pid, 'n' || s_suppkey AS note"
+
+
+@query(f"SELECT name, host, pid, CASE WHEN name % 5 = 1 AND name % 4 <> 0 THEN 'n' || name ELSE note END AS note FROM (SELECT {HELD} FROM supplier) c")
+def claim_update(spark, sf_dir):
+    s = read(spark, sf_dir, "supplier")
+    claims, asked = (s.selectExpr(*x.split(", ")) for x in (HELD, ASKED))
+    return C.update_claims(claims, asked.filter("name % 5 = 1"))
+
+
+@query(f"SELECT name, host, pid FROM (SELECT {HELD} FROM supplier) c WHERE name % 3 <> 0 OR name % 4 = 0 AND name <> 0")
+def claim_release(spark, sf_dir):
+    s = read(spark, sf_dir, "supplier")
+    claims, asked = (s.selectExpr(*x.split(", ")) for x in (HELD, ASKED))
+    return C.release(claims, asked.filter("name % 3 = 0")).select("name", "host", "pid")
+
+
+LEFT = "c_custkey AS campaign, c_custkey % 50 AS pages_done, c_custkey % 20 AS pages_before, 40 + c_custkey % 7 AS pages, 10 * (c_custkey % 11) AS seconds"
+
+
+@query(f"SELECT campaign, round(CASE WHEN pages_done > pages_before THEN seconds / (pages_done - pages_before) END, 6) AS s_page, round(CASE WHEN pages_done > pages_before THEN seconds / (pages_done - pages_before) * greatest(pages - pages_done, 0) END, 6) AS seconds_left FROM (SELECT {LEFT} FROM customer) s")
+def time_left(spark, sf_dir):
+    t = C.time_left(read(spark, sf_dir, "customer").selectExpr(*LEFT.split(", ")))
+    return t.select("campaign", F.round("s_page", 6).alias("s_page"), F.round("seconds_left", 6).alias("seconds_left"))
