@@ -89,3 +89,9 @@ def test_stages(spark, tmp_path):
     pieces = lambda rows: sorted((p.doc_id, p.start, p.length, p.ids_crc32) for p in rows)
     assert pieces(whole) == pieces(after)
     assert np.sum([p.length for p in whole]) == sum(n.values())
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, "").count() == 0, name
