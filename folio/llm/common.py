@@ -46,9 +46,9 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return done
 
 
-def free(*tables: DataFrame) -> None:
+def free(*tables: DataFrame, spark: SparkSession | None = None) -> None:
     """Deletes tables that nothing reads any more, and lets the driver forget shuffles that are no longer in use, so that their files go too."""
-    spark = tables[0].sparkSession
+    spark = spark or tables[0].sparkSession
     for t in tables:
         path = spark._jvm.org.apache.hadoop.fs.Path(t.scratch_path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -3,6 +3,7 @@
 import math
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from folio.llm import lm
@@ -70,3 +71,44 @@ def test_two_words_of_context_count(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], "text string")
     assert lm.score(spark.createDataFrame([("a b",)], "text string"), lm.train(none, order=3)).first().score == 0.0
+
+
+def test_keys_are_found():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 5, 3000, 300_000):
+        key = np.unique(rng.integers(0, 1 << lm.KEY_BITS, n, dtype=np.uint64))
+        # keys that differ in their last bits only
+        key = np.unique(np.r_[key, key[::7] ^ np.uint64(1), key[::7] ^ np.uint64(2)])
+        raw = lm.keyed(key)
+        assert (lm.find(raw, key) == np.arange(len(key))).all()
+        others = np.setdiff1d(np.r_[rng.integers(0, 1 << lm.KEY_BITS, 1000, dtype=np.uint64), key ^ np.uint64(4)], key)
+        assert (lm.find(raw, others) == -1).all()
+
+
+def test_grams_go_there_and_back():
+    rng = np.random.default_rng(4)
+    token = rng.integers(3, 1 << lm.BITS, 500, dtype=np.uint64)
+    tok = token[np.minimum(rng.zipf(1.3, 20_000), 500) - 1]
+    at = np.array([0, 0, 400, 20_000])
+    for order in (2, 3, 4):
+        cols, count = lm.grams(tok, at, order)
+        before = np.r_[lm.BEGIN, tok[:-1]]
+        before[[0, 400]] = lm.BEGIN
+        want = Counter(zip(*(c.tolist() for c in lm.histories(tok, before, at[1:], order)), strict=True))
+        assert dict(zip(zip(*(c.tolist() for c in cols), strict=True), count.tolist(), strict=True)) == want
+        for common in (token[:1], token[:100]):
+            rows = np.stack([count, count * 3], 1)
+            back, counts = lm._unpack_grams(lm._pack_grams(cols, rows, common), order, common)
+            assert all((x == y).all() for x, y in zip(back, cols, strict=True)) and (counts == rows).all()
+
+
+def test_order_and_counts():
+    rng = np.random.default_rng(5)
+    h = rng.integers(0, 1 << 64, 50_000, dtype=np.uint64)
+    h = np.r_[h, h[:9000], h[:50] + np.uint64(1)]
+    assert (lm.order_of(h) == np.argsort(h, kind="stable")).all()
+    some, number = lm.numbered(h >> np.uint64(50))
+    assert (some[number] == h >> np.uint64(50)).all() and (np.diff(some.astype(np.int64)) > 0).all()
+    x = rng.integers(0, 400, (1000, 4))
+    assert (lm.counts_at(lm.counted(x), np.arange(1000)) == x).all()
+    assert (lm.counts_at(lm.counted(x[:, 0]), np.arange(0, 1000, 3)) == x[::3, 0]).all()
