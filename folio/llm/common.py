@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 #: White space between words, everywhere in this package.
 SPACE = r"[\x20\x09-\x0D]+"
 _own: dict[str, str] = {}
+#: Whether Spark deletes the shuffle files of a query at its end, instead of when the driver's collector finds the shuffle unused.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,10 +40,15 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet below the shared folder and read again: its lineage ends there, and a lost executor costs nothing."""
-    path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    done = df.sparkSession.read.schema(df.schema).parquet(path)
+    """df written as Parquet below the shared folder and read again: its lineage ends there, and a lost executor costs nothing. The shuffles that made it are deleted with the end of the write."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    done = spark.read.schema(df.schema).parquet(path)
     done.scratch_path = path
     return done
 

@@ -20,8 +20,8 @@ BITS = 56
 BEGIN, END = np.uint64(1), np.uint64(2)
 #: So many of the most frequent tokens of the same sample are sent as two bytes; it decides how n-grams are written in a shuffle, not what is counted.
 COMMON = 65_535
-#: Keys of n-grams in the arrays have 56 bits too: so many bits lie between those of their bucket and the last eight.
-KEY_BITS, MIDDLE = 56, 32
+#: In the arrays keys of n-grams keep, behind the bits of their bucket of at most 16 keys, so many bits: one of 2**28 n-grams that aren't there is taken for one that is.
+KEPT = 32
 #: Tokens that make up at least this share of a sample are first tokens of so many bigrams that these are dealt by their second token.
 HOT, HOT_SAMPLE = 1 / 500, 20_000_000
 #: The order of the query's model.
@@ -230,40 +230,37 @@ def _dealt(cols: list[np.ndarray], counts: np.ndarray, hot: np.ndarray, shards:
 
 
 def keyed(key: np.ndarray) -> np.ndarray:
-    """Bytes of a sorted set of keys of KEY_BITS bits, about five and a half a key: where each bucket of equal first bits begins, then the MIDDLE bits of each key, then its last ones."""
-    bits = min(KEY_BITS - MIDDLE, max(KEY_BITS - MIDDLE - 8, len(key).bit_length() - 4))
-    last = KEY_BITS - MIDDLE - bits
-    start = np.searchsorted(key >> np.uint64(KEY_BITS - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.uint32)
-    middle = ((key >> np.uint64(last)) & np.uint64((1 << MIDDLE) - 1)).astype(np.uint32)
-    return np.concatenate([x.view(np.uint8) for x in (np.array([bits], np.uint32), start, middle, (key & np.uint64((1 << last) - 1)).astype(np.uint8))])
+    """Bytes of sorted keys of 64 bits, about four and a half a key: where each bucket of equal first bits begins, then the next KEPT bits of each key."""
+    bits = max(1, len(key).bit_length() - 4)
+    start = np.searchsorted(key >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.uint32)
+    return np.r_[np.uint32(bits), start, _kept(key, bits)].view(np.uint8)
+
+
+def _kept(key: np.ndarray, bits: int) -> np.ndarray:
+    return ((key >> np.uint64(64 - bits - KEPT)) & np.uint64((1 << KEPT) - 1)).astype(np.uint32)
 
 
 def find(raw: np.ndarray, key: np.ndarray) -> np.ndarray:
     """The place of each key in keyed bytes, or -1: all are searched in their buckets at once."""
-    bits = int(raw[:4].view(np.uint32)[0])
-    last, at = KEY_BITS - MIDDLE - bits, 4 + 4 * ((1 << bits) + 1)
-    n = (len(raw) - at) // 5
-    out = np.full(len(key), -1, np.int64)
-    if not n or not len(key):
-        return out
-    start, middle, ends = raw[4:at].view(np.uint32), raw[at : at + 4 * n].view(np.uint32), raw[at + 4 * n :]
-    bucket = (key >> np.uint64(KEY_BITS - bits)).astype(np.int64)
+    words_ = raw.view(np.uint32)
+    bits = int(words_[0])
+    start, kept = words_[1 : (1 << bits) + 2], words_[(1 << bits) + 2 :]
+    if not len(kept) or not len(key):
+        return np.full(len(key), -1, np.int64)
+    bucket, want = (key >> np.uint64(64 - bits)).astype(np.int64), _kept(key, bits)
     low, end = start[bucket].astype(np.int64), start[bucket + 1].astype(np.int64)
-    want, want_end = ((key >> np.uint64(last)) & np.uint64((1 << MIDDLE) - 1)).astype(np.uint32), (key & np.uint64((1 << last) - 1)).astype(np.uint8)
     high = end.copy()
     for _ in range(int((high - low).max()).bit_length()):
         half = (low + high) >> 1
-        less = (middle[np.minimum(half, n - 1)] < want) & (low < high)
+        less = (kept[np.minimum(half, len(kept) - 1)] < want) & (low < high)
         low, high = np.where(less, half + 1, low), np.where(less, high, half)
-    todo = np.flatnonzero(low < end)
-    while len(todo):  # more than once only where the middle bits of two keys agree
-        todo = todo[middle[low[todo]] == want[todo]]
-        hit = ends[low[todo]] == want_end[todo]
-        out[todo[hit]] = low[todo[hit]]
-        todo = todo[~hit]
-        low[todo] += 1
-        todo = todo[low[todo] < end[todo]]
-    return out
+    return np.where((low < end) & (kept[np.minimum(low, len(kept) - 1)] == want), low, -1)
+
+
+def gram_arrays(key: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
+    """Arrays of n-grams by their sorted keys: those that stand once without a count."""
+    once = count == 1
+    return [keyed(key[once]), keyed(key[~once]), *counted(count[~once])]
 
 
 def counted(x: np.ndarray) -> list[np.ndarray]:
@@ -402,14 +399,14 @@ def _level(n: int, shards: int, folder: str, hot: np.ndarray, common: np.ndarray
             del parts
             cols, counts, key = _distinct([np.concatenate(c) for c in zip(*cols, strict=True)], np.concatenate(counts))
             real = cols[1] != BEGIN
-            count, key = counts[real, 0], key[real] >> np.uint64(64 - KEY_BITS)
+            count, key = counts[real, 0], key[real]
             context = _gram_key([c[real] for c in cols[:-1]])
             by = order_of(context)
             context, held = context[by], count[by]
             first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(context) else np.zeros(0, np.int64)
             own = np.stack([np.add.reduceat(x.astype(np.int64), first) if len(first) else np.zeros(0, np.int64) for x in (held, held == 1, held == 2, held >= 3)], 1)
-            context, once = context[first] >> np.uint64(64 - KEY_BITS), own[:, 0] == 1
-            file = save_arrays(folder, [keyed(key), *counted(count), keyed(context[~once]), *counted(own[~once]), keyed(context[once])])
+            context, once = context[first], own[:, 0] == 1
+            file = save_arrays(folder, [*gram_arrays(key, count), keyed(context[once]), keyed(context[~once]), *counted(own[~once])])
             yield packed([(shard, [file], [*_of_counts(count).tolist(), len(count)], None, None, None)], _MERGED)
             del key, context, own, by, held
             lower, counts, _ = _distinct(cols[1:], np.stack([np.where(real, 1, counts[:, -1]), counts[:, -1]], 1))
@@ -442,7 +439,7 @@ def _merge(shards: int, folder: str, hot: np.ndarray, common: np.ndarray, order:
             by = order_of(key)
             token, own = a[first], np.stack([total, *ns] if order == 2 else [np.add.reduceat(of_texts, first), *ns, total], 1)
             at = np.isin(token, hot)
-            files = [save_arrays(folder, [keyed(key[by] >> np.uint64(64 - KEY_BITS)), *counted(count[by])]), save_arrays(f"{folder}/first", [token[~at], *counted(own[~at])])]
+            files = [save_arrays(folder, gram_arrays(key[by], count[by])), save_arrays(f"{folder}/first", [token[~at], *counted(own[~at])])]
             yield packed([(shard, files, [*_of_counts(count).tolist(), len(count)], None, None, None)], _MERGED)
             yield packed([(shard, None, x, t, None, None) for t, x in zip(token[at].tolist(), own[at].tolist(), strict=True)], _MERGED)
             del key, by
@@ -566,11 +563,11 @@ class Model:
         seen = seen[new]
         own = np.zeros((len(seen), 4), np.int64)
         for arrays, i, j in self._by_shard(_shard_of_key(seen, self.shards), grams):
-            wanted = seen[i:j] >> np.uint64(64 - KEY_BITS)
-            at = find(arrays[4], wanted)
-            own[i + np.flatnonzero(at >= 0)] = counts_at(arrays[5:8], at[at >= 0])
-            rest = np.flatnonzero(at < 0)
-            own[i + rest[find(arrays[8], wanted[rest]) >= 0]] = (1, 1, 0, 0)
+            once = find(arrays[5], seen[i:j]) >= 0
+            own[i:j][once] = (1, 1, 0, 0)
+            rest = i + np.flatnonzero(~once)
+            at = find(arrays[6], seen[rest])
+            own[rest[at >= 0]] = counts_at(arrays[7:10], at[at >= 0])
         total = np.maximum(own[:, 0], 1)
         left = np.where(own[:, 0] > 0, own[:, 1:] @ np.array(d) / total, 1.0)
         out = p.copy()
@@ -580,8 +577,11 @@ class Model:
     def _gram_counts(self, grams: dict[int, str], shard: np.ndarray, key: np.ndarray) -> np.ndarray:
         out = np.zeros(len(key), np.int64)
         for arrays, i, j in self._by_shard(shard, grams):
-            at = find(arrays[0], key[i:j] >> np.uint64(64 - KEY_BITS))
-            out[i + np.flatnonzero(at >= 0)] = counts_at(arrays[1:4], at[at >= 0])
+            once = find(arrays[0], key[i:j]) >= 0
+            out[i:j][once] = 1
+            rest = i + np.flatnonzero(~once)
+            at = find(arrays[1], key[rest])
+            out[rest[at >= 0]] = counts_at(arrays[2:5], at[at >= 0])
         return out
 
     def score(self, data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
