@@ -39,15 +39,17 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/folio/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet below the shared folder and read again: its lineage ends there, and a lost executor costs nothing. The shuffles that made it are deleted with the end of the write."""
+def table(df: DataFrame, name: str, clean: bool = False) -> DataFrame:
+    """df written as Parquet below the shared folder and read again: its lineage ends there, and a lost executor costs nothing. With clean, the shuffles that made it are deleted at the end of the write."""
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
     before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    if clean:
+        spark.conf.set(_CLEANUP, "true")
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+        if clean:
+            spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     done = spark.read.schema(df.schema).parquet(path)
     done.scratch_path = path
     return done

@@ -631,7 +631,7 @@ def train(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD, order:
     parts = body.mapInArrow(_count(shards, hot, common, order), _DDL).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "part")
     longer, held = [], []
     for n in range(order, 2, -1):
-        level = table(parts.mapInArrow(_level(n, shards, folder, hot, common), _MERGED_DDL), f"grams{n}")
+        level = table(parts.mapInArrow(_level(n, shards, folder, hot, common), _MERGED_DDL), f"grams{n}", clean=True)
         del parts
         free(*held, spark=spark)
         held = [level]
@@ -639,7 +639,7 @@ def train(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD, order:
         of = np.array([r.sums for r in done], np.int64).reshape(-1, 5).sum(0).tolist()
         longer.insert(0, ({r.shard: r.files[0] for r in done}, discounts(of[:4])))
         parts = level.filter("to IS NOT NULL").select(F.col("to").alias("shard"), F.col("shard").cast("long").alias("part"), "data").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "part")
-    merged = table(parts.mapInArrow(_merge(shards, folder, hot, common, order), _MERGED_DDL), "bigrams")
+    merged = table(parts.mapInArrow(_merge(shards, folder, hot, common, order), _MERGED_DDL), "bigrams", clean=True)
     del parts
     free(*held, spark=spark)
     done = merged.filter("files IS NOT NULL").select("shard", "files", "sums").collect()
@@ -651,7 +651,7 @@ def train(docs: DataFrame, text: str = "text", shard_bytes: int = SHARD, order:
     # shards without a second token still may hold first ones: a part of nothing for each
     empty = spark.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(-1).cast("long").alias("part"), F.lit(bytearray(16)).alias("data"))
     seconds = seconds.unionByName(empty).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "part")
-    done = table(seconds.mapInArrow(_vocabulary(folder, shards, firsts, own_sums, d2, order), _MERGED_DDL), "vocabulary").select("shard", "files", "sums").collect()
+    done = table(seconds.mapInArrow(_vocabulary(folder, shards, firsts, own_sums, d2, order), _MERGED_DDL), "vocabulary", clean=True).select("shard", "files", "sums").collect()
     vocabulary = {r.shard: r.files[0] for r in done}
     del seconds
     firsts_ = spark.range(0)
