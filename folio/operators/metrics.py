@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..sources.tables import STAGES, shared_folder
@@ -19,11 +19,8 @@ def stage_windows(spark: SparkSession, days: DataFrame) -> DataFrame:
 
 
 def tag(samples: DataFrame, stages: DataFrame) -> DataFrame:
-    """samples with the first stage whose window holds their time, else (idle); windows are joined by their day."""
-    s = samples.withColumn("day", F.date_trunc("DAY", "ts"))
-    hit = s.join(stages, "day", "left").withColumn("in_", (F.col("ts") >= F.col("a")) & (F.col("ts") <= F.col("b")))
-    first = F.min_by("stage", F.when(F.col("in_"), F.col("ord")))
-    return hit.groupBy(*samples.columns).agg(F.coalesce(first, F.lit("(idle)")).alias("stage"))
+    """samples with the first stage whose window holds their time, else (idle); windows are joined by their day. Repeated rows stay."""
+    return tag_stream(samples, day_windows(stages))
 
 
 def day_windows(stages: DataFrame) -> DataFrame:
@@ -58,9 +55,14 @@ def stats(samples: DataFrame, by: list[str], value: str = "util") -> DataFrame:
     return samples.groupBy(*by).agg(F.count(value).alias("n"), r(F.min(value)).alias("min"), r(F.avg(value)).alias("mean"), r(F.max(value)).alias("max"), r(p95).alias("p95"), r(F.max_by(value, F.struct("ts", "event_id"))).alias("last"))
 
 
+def in_order(*by: str) -> WindowSpec:
+    """Per group the samples by time and number; those without come last."""
+    return Window.partitionBy(*by).orderBy(F.asc_nulls_last("ts"), F.asc_nulls_last("event_id"))
+
+
 def islands(samples: DataFrame, below: float, value: str = "util") -> DataFrame:
     """Rows below a bound with the number of their run: rows not below it, or without a value, end a run."""
-    w = Window.partitionBy("series").orderBy("ts", "event_id")
+    w = in_order("series")
     low = F.coalesce(F.col(value) < below, F.lit(False))
     out = samples.withColumn("low", low).withColumn("run", F.sum((~F.col("low")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return out
@@ -75,12 +77,21 @@ def duty_cycle(samples: DataFrame, below: float) -> DataFrame:
     return per.join(runs, "series", "left").select("series", r("idle_frac").alias("idle_frac"), F.coalesce("episodes", F.lit(0)).alias("episodes"), r("mean_len").alias("mean_len"), F.coalesce("max_len", F.lit(0)).alias("max_len"), r("busy_mean").alias("busy_mean"))
 
 
+def rounded(c: Column, places: int) -> Column:
+    """A double to so many places as SQL's round(): the scaled double to the nearest whole one, halves away from zero. F.round() goes by the decimal digits instead, which for 13.049999999999999 are below 13.05; ten times it is 130.5."""
+    scaled = c * 10.0**places
+    return F.when(F.abs(scaled) < float("inf"), F.signum(c) * F.round(F.abs(scaled)) / 10.0**places).otherwise(c)
+
+
 def dips(tagged: DataFrame, below: float, least_s: int, cold_s: int, cpu_stages: tuple[str, ...] = ("assembly", "rasterize")) -> DataFrame:
     """Runs below the bound of at least least_s seconds with their mean, by kind: expected in stages that use no GPU; a cold start soon after a stage of recognition began; else a stall, which alone is a warning."""
-    w = Window.partitionBy("series").orderBy("ts", "event_id")
+    w = in_order("series")
     t = tagged.withColumn("new", F.coalesce((F.lag("stage").over(w) != F.col("stage")), F.lit(True)))
     t = t.withColumn("block_start", F.max(F.when(F.col("new"), F.col("ts"))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    d = islands(t, below).filter("low").groupBy("series", "run").agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"), F.count(F.lit(1)).alias("n"), F.min_by(F.struct("stage", "block_start"), F.struct("ts", "event_id")).alias("first"), F.round(F.avg("util"), 1).alias("mean"))
+    # the mean so far, in order: a sum of doubles depends on it, and an aggregate may merge parts of a run
+    r = in_order("series", "run")
+    low = islands(t, below).filter("low").withColumns({"place": F.row_number().over(r), "so_far": F.avg("util").over(r.rowsBetween(Window.unboundedPreceding, 0))})
+    d = low.groupBy("series", "run").agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"), F.count(F.lit(1)).alias("n"), F.min_by(F.struct("stage", "block_start"), "place").alias("first"), rounded(F.max_by("so_far", "place"), 1).alias("mean"))
     us = lambda c: F.unix_micros(c.cast("timestamp"))
     d = d.withColumn("seconds", F.floor((us(F.col("t1")) - us(F.col("t0"))) / 1000000)).filter(F.col("seconds") >= least_s)
     since = (us(F.col("t0")) - us(F.col("first.block_start"))) / 1000000
