@@ -220,7 +220,7 @@ def sample_window(spark, sf_dir):
 def _peaks(tagged):
     """A detector beside the built-in one: samples far above the scale."""
     high = tagged.filter("util >= 300")
-    return high.select("series", F.col("ts").alias("t0"), F.col("ts").alias("t1"), F.lit("peak").alias("kind"), F.lit("info").alias("severity"), F.round("util", 1).alias("mean"))
+    return high.select("series", F.col("ts").alias("t0"), F.col("ts").alias("t1"), F.lit("peak").alias("kind"), F.lit("info").alias("severity"), M.rounded(F.col("util"), 1).alias("mean"))
 
 
 @query(f"SELECT series, t0, t1, kind, severity, mean, 'dip' AS detector FROM ({DIPS}) x UNION ALL SELECT user_id, ts, ts, 'peak', 'info', round(value, 1), 'peak' FROM events WHERE value >= 300")

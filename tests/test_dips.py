@@ -48,3 +48,11 @@ def test_odd_rows(spark, tmp_path, more):
     events += {"repeated": [events[1]], "no time": [(9, None, *rest), (8, None, 1, "view", 50.0, "{}")], "no number": [(None, at, 1, "view", 90.0, "{}")]}[more]
     got, want = both(spark, tmp_path, "q_dips", events)
     assert got == want and got
+
+
+def test_peaks(spark, tmp_path):
+    events = rows(1, [5.0, 410.54999999999995, 300.25, 299.99, 7.5, float("inf"), 10.28, 18.44, 10.43])
+    got, want = both(spark, tmp_path, "q_detect", events)
+    assert got == want
+    assert sorted(r[5] for r in got if r[6] == "peak") == [300.3, 410.6, float("inf")]
+    assert [r[5] for r in got if r[6] == "dip"] == [13.1]
